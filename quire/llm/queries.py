@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bitpack, byte_bpe
+from . import bitpack, byte_bpe, sharding, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), n_shards=8)
+
+
 def op4_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as P
 
@@ -25,9 +29,15 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_decode(table(spark, sf_dir, "documents"), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
 
 
+def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_back(warc.write_archive(table(spark, sf_dir, "pages"), least=100))
+
+
 QUERIES = {
+    "op1_label_propagation_shards": op1_label_propagation_shards,
     "op4_bit_packed_ids": op4_bit_packed_ids,
     "op5_byte_bpe": op5_byte_bpe,
+    "op10_warc_index": op10_warc_index,
 }
 
 ORACLES: dict[str, str] = {}
