@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bitpack, byte_bpe, sharding, warc
+from . import bitpack, byte_bpe, fingerprint, sharding, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_decode(table(spark, sf_dir, "documents"), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
 
 
+def op7_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_back(warc.write_archive(table(spark, sf_dir, "pages"), least=100))
 
@@ -37,6 +41,7 @@ QUERIES = {
     "op1_label_propagation_shards": op1_label_propagation_shards,
     "op4_bit_packed_ids": op4_bit_packed_ids,
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_iblt_fingerprints": op7_iblt_fingerprints,
     "op10_warc_index": op10_warc_index,
 }
 

@@ -260,5 +260,7 @@ def read_back(archive: Archive) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests), pa.array(kinds), pa.array(refers, pa.int64())], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
     stretch = F.floor(F.col("offset") / STRETCH)
-    placed = archive.captures().repartition("file", stretch).sortWithinPartitions("file", "offset")
+    # index lines are small and what they lead to is not: their tasks must not be merged by size
+    tasks = int(archive.spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = archive.captures().repartition(tasks, "file", stretch).sortWithinPartitions("file", "offset")
     return placed.select("page_id", "file", "offset", "length").mapInArrow(run, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
