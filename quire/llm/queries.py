@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bitpack, byte_bpe, fingerprint, sharding, warc
+from . import bitpack, byte_bpe, fingerprint, mixing, sharding, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), n_shards=8)
 
 
+def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), mixing.Target(repeats=2.0))
+
+
 def op4_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as P
 
@@ -39,10 +43,13 @@ def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_label_propagation_shards": op1_label_propagation_shards,
+    "op2_temperature_mixing": op2_temperature_mixing,
     "op4_bit_packed_ids": op4_bit_packed_ids,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_iblt_fingerprints": op7_iblt_fingerprints,
     "op10_warc_index": op10_warc_index,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_temperature_mixing": mixing.MIX_SQL,
+}
