@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bitpack, byte_bpe, fingerprint, mixing, sharding, warc
+from . import bitpack, byte_bpe, fingerprint, mixing, quality, sharding, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op7_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op9_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_back(warc.write_archive(table(spark, sf_dir, "pages"), least=100))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op4_bit_packed_ids": op4_bit_packed_ids,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_iblt_fingerprints": op7_iblt_fingerprints,
+    "op9_crf_quality": op9_crf_quality,
     "op10_warc_index": op10_warc_index,
 }
 
