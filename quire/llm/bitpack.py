@@ -8,10 +8,12 @@ of all of these. Any range of ids is read with one range read of the blocks that
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import make_dir, new_path, open_fs, put_file, small_batches, text_of
+from ._pieces import Splitter
 
 MAGIC = b"QIDS0001"
 #: ids in a block, a multiple of 64.
@@ -26,7 +29,8 @@ BLOCK = 1 << 16
 #: ids that a reader holds at once, about.
 READ = 1 << 22
 TRAILER = struct.Struct("<QQQIII")  # documents, ids, offset of the document table, bits, block, unused
-REMEMBERED = 400_000
+#: Pre-tokens that a worker remembers before the older half goes.
+REMEMBERED = 600_000
 
 
 def bits_for(vocabulary: int) -> int:
@@ -134,23 +138,48 @@ class PieceEncoder:
         import regex
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks fill the cores already
         self.tok = Tokenizer.from_file(path)
-        self.vocabulary = self.tok.get_vocab_size(with_added_tokens=True)
-        self.find = regex.compile(pattern).findall
+        self.split = Splitter(pattern)
         added = [regex.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()]
-        # letters, digits and spaces up to U+02FF are classed alike by all Unicode versions
-        self.whole = regex.compile("|".join([*added, r"[^\x00-˿Ͱ-ͳΑ-ΡΣ-ϿЀ-ҁҊ-ӿא-ת‐-‧‰-⁞ぁ-ゖァ-ヺ一-龥가-힣]"])).search
+        self.added = regex.compile("|".join(added) or "(?!)").search
+        # blocks whose characters all Unicode versions of the last decade class alike
+        self.unsure = regex.compile(r"[^\x00-\u02ff\u0391-\u03a1\u03a3-\u03ff\u0400-\u0481\u048a-\u04ff\u05d0-\u05ea\u2010-\u2027\u2030-\u205e\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]").search
+        self.is_word = regex.compile(r" \p{L}+").fullmatch
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def whole(self, text: str) -> bool:
+        return bool(self.added(text) or not text.isascii() and self.unsure(text))
+
+    def learn(self, pieces: list[str]) -> None:
+        """Encodes new pieces. Words that start with a space are split alike when they stand in one string, so that a
+        single call encodes many of them."""
+        words, others = [], []
+        for p in pieces:
+            if p in self.older:
+                self.known[p] = self.older[p]
+            else:
+                (words if self.is_word(p) else others).append(p)
+        for at in range(0, len(words), 4096):
+            part = words[at : at + 4096]
+            e = self.tok.encode("".join(part), add_special_tokens=False)
+            ids, cuts = np.array(e.ids, "<u4"), np.flatnonzero(np.diff(np.array(e.word_ids), prepend=-1))
+            if len(cuts) != len(part):
+                others += part
+                continue
+            for p, x in zip(part, np.split(ids, cuts[1:]), strict=True):
+                self.known[p] = x.tobytes()
+        for at in range(0, len(others), 4096):
+            part = others[at : at + 4096]
+            for p, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.known[p] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        split = [None if self.whole(t) else self.find(t) for t in texts]
-        fresh = list({p for pieces in split if pieces for p in pieces if p not in self.known})
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at : at + 4096]
-            for p, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[p] = np.array(e.ids, "<u4").tobytes()
+            self.known, self.older = {}, self.known
+        split = [None if self.whole(t) else self.split(t) for t in texts]
+        self.learn(list(set(filterfalse(self.known.__contains__, chain.from_iterable(filter(None, split))))))
         out = []
         for text, pieces in zip(texts, split, strict=True):
             if pieces is None:
