@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import small_batches, text_of
+from ._pieces import Splitter
 
-#: Pre-tokens that a worker remembers before it starts anew.
+#: Pre-tokens that a worker remembers before the older half goes.
 REMEMBERED = 400_000
 
 
@@ -34,10 +35,9 @@ class ByteBPE:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import ahocorasick
-        import regex
 
         self.ranks, self.bytes_of = ranks, {i: b for b, i in ranks.items()}
-        self.find = regex.compile(pattern).findall
+        self.split = Splitter(pattern)
         self.automaton = ahocorasick.Automaton()
         for token, i in ranks.items():
             if self.merged(token) == [i]:  # an entry that merging never yields is no match
@@ -47,6 +47,7 @@ class ByteBPE:
         self.beside: dict[tuple[int, int], bool] = {}
         self.shorter: dict[int, int | None] = {}
         self.known: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.older: dict[str, tuple[tuple[int, ...], str]] = {}
 
     def merged(self, data: bytes) -> list[int]:
         """Plain merging by rank; for short inputs."""
@@ -97,20 +98,21 @@ class ByteBPE:
         return out
 
     def remember(self, text: str) -> tuple[tuple[int, ...], str]:
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
-        if len(self.beside) >= 4 * REMEMBERED:
-            self.beside.clear()
-        ids = tuple(self.piece(text.encode("utf-8", "surrogatepass")))
-        found = self.known[text] = (ids, ",".join(map(str, ids)))
+        found = self.older.get(text)
+        if found is None:
+            ids = tuple(self.piece(text.encode("utf-8", "surrogatepass")))
+            found = (ids, ",".join(map(str, ids)))
+        self.known[text] = found
         return found
 
     def pieces(self, text: str) -> list[tuple[tuple[int, ...], str]]:
-        known, out = self.known, []
-        for p in self.find(text):
-            out.append(known.get(p) or self.remember(p))
-            known = self.known
-        return out
+        """For each pre-token its ids, and these as text."""
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        if len(self.beside) > 4 * REMEMBERED:
+            self.beside.clear()
+        get, remember = self.known.get, self.remember
+        return [get(p) or remember(p) for p in self.split(text)]
 
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(ids for ids, _ in self.pieces(text)))
