@@ -66,7 +66,12 @@ def stretches(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarra
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hashes, texts, places) of all words in order: maximal runs of bytes that are no ASCII space, A-Z in lower case;
     the text that a word is in, and its first byte's place in the data."""
-    hashes, texts, places = [], [], []
+    return sized_words(data, offsets)[:3]
+
+
+def sized_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As words(), with the bytes of each word."""
+    hashes, texts, places, sizes = [], [], [], []
     for starts, of in stretches(data, offsets):
         base, end = int(starts[0]), int(starts[-1])
         if base == end:
@@ -86,7 +91,8 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
         value[~solid[at[0] :]] = 0
         hashes.append(mix(np.add.reduceat(value, at - at[0])))
         places.append(at + base)
+        sizes.append(np.add.reduceat(solid[at[0] :], at - at[0], dtype=np.int64))
         texts.append(of[np.searchsorted(starts, at + base, side="right") - 1])
     if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(hashes), np.concatenate(texts), np.concatenate(places)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(texts), np.concatenate(places), np.concatenate(sizes)
