@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bitpack, byte_bpe, fingerprint, mixing, quality, sharding, warc
+from . import bitpack, brown, byte_bpe, fingerprint, mixing, near_dup, quality, sharding, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), mixing.Target(repeats=2.0))
 
 
+def op3_brown_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score_documents(table(spark, sf_dir, "documents"), held_out=2, folds=7)
+
+
 def op4_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as P
 
@@ -37,6 +41,10 @@ def op7_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_probminhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,9 +56,11 @@ def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_label_propagation_shards": op1_label_propagation_shards,
     "op2_temperature_mixing": op2_temperature_mixing,
+    "op3_brown_class_lm": op3_brown_class_lm,
     "op4_bit_packed_ids": op4_bit_packed_ids,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_iblt_fingerprints": op7_iblt_fingerprints,
+    "op8_probminhash_near_dup": op8_probminhash_near_dup,
     "op9_crf_quality": op9_crf_quality,
     "op10_warc_index": op10_warc_index,
 }
