@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bitpack, brown, byte_bpe, fingerprint, mixing, near_dup, quality, sharding, warc
+from . import bitpack, brown, byte_bpe, fingerprint, mixing, near_dup, quality, sharding, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_decode(table(spark, sf_dir, "documents"), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
 
 
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", every=50, k=5)
+
+
 def op7_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ QUERIES = {
     "op3_brown_class_lm": op3_brown_class_lm,
     "op4_bit_packed_ids": op4_bit_packed_ids,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_exact_top_k": op6_exact_top_k,
     "op7_iblt_fingerprints": op7_iblt_fingerprints,
     "op8_probminhash_near_dup": op8_probminhash_near_dup,
     "op9_crf_quality": op9_crf_quality,
@@ -67,4 +72,5 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op2_temperature_mixing": mixing.MIX_SQL,
+    "op6_exact_top_k": topk.TOP_SQL,
 }
