@@ -54,6 +54,28 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def tidied(run):
+    """A function of batches that, at its end, gives the memory it no longer needs back: workers outlive tasks."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        give_back()
+
+    return wrapped
+
+
+def give_back() -> None:
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except OSError:  # another C library
+        pass
+
+
 def open_fs(uri: str):
     """(file system, path) for a folder or file URI; works on executors for any store that pyarrow knows."""
     from pyarrow import fs

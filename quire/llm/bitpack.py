@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import make_dir, new_path, open_fs, put_file, small_batches, text_of
+from ._common import make_dir, new_path, open_fs, put_file, small_batches, text_of, tidied
 from ._pieces import Splitter
 
 MAGIC = b"QIDS0001"
@@ -232,7 +232,7 @@ def write_ids(docs: DataFrame, tokenizer: str, pattern: str, end_id: int, vocabu
 
     given = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text")).withColumn("tie", F.xxhash64("text"))
     placed = given.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie")
-    files = placed.mapInArrow(run, "low bigint, tie bigint, file string, n_docs bigint, n_ids bigint").collect()  # one row per file
+    files = placed.mapInArrow(tidied(run), "low bigint, tie bigint, file string, n_docs bigint, n_ids bigint").collect()  # one row per file
     files.sort(key=lambda r: (r.low is not None, r.low or 0, r.tie))
     return [(r.file, r.n_docs, r.n_ids) for r in files]
 
@@ -259,4 +259,4 @@ def read_ids(spark, files: list[tuple[str, int, int]]) -> DataFrame:
                     k = stop
 
     listed = spark.createDataFrame(rows, "file string, before bigint").repartition(max(1, len(rows)))
-    return listed.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return listed.mapInArrow(tidied(run), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

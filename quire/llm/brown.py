@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import drop_table, id_hash_mod, small_batches, text_of, write_table
+from ._common import drop_table, id_hash_mod, small_batches, text_of, tidied, write_table
 from ._text import raw, sized_words
 
 #: Words that the exchange gives classes to, at most.
@@ -103,7 +103,7 @@ def count_words(docs: DataFrame) -> DataFrame:
             h, s, _ = tokens(batch.column(0))
             # the shape takes the place of the hash's lowest bits on the way: both are one key
             tally.add((h.view(np.int64) & ~np.int64(7)) | s)
-            if len(tally.keys) > 1 << 22:
+            if len(tally.keys) > 1 << 21:
                 tally.merge()
                 shape_of = (tally.keys & 7).astype(np.int8)
                 yield from out(tally)
@@ -113,7 +113,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         yield from out(tally)
 
     small_batches(docs.sparkSession)
-    return docs.select("text").mapInArrow(run, "word bigint, shape tinyint, n bigint").groupBy("word", "shape").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(tidied(run), "word bigint, shape tinyint, n bigint").groupBy("word", "shape").agg(F.sum("n").alias("n"))
 
 
 def level(n: str) -> F.Column:
@@ -200,7 +200,7 @@ def neighbours(docs: DataFrame, shared) -> DataFrame:
             if batch.num_rows:
                 before, unit = units(v, *tokens(batch.column(0)))
                 pairs.add(before << 32 | unit)
-                if len(pairs.keys) > 1 << 22:
+                if len(pairs.keys) > 1 << 21:
                     yield from emit(pairs)
                     pairs = Tally()
         yield from emit(pairs)
@@ -216,20 +216,21 @@ def neighbours(docs: DataFrame, shared) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([held], pa.int32()), *cells], names=["slice", "after", "n_after", "before", "n_before"])
 
         for batch in batches:
-            for k, side, keys, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for k, side, keys, counts in zip(*batch.columns, strict=True):
+                k = k.as_py()
                 if k != held:
                     if held is not None:
                         yield done()
                     held, own = k, [Tally(), Tally()]
-                own[side].add(np.frombuffer(keys, "<i8"), np.frombuffer(counts, "<i8"))
+                own[side.as_py()].add(np.frombuffer(keys.as_buffer(), "<i8"), np.frombuffer(counts.as_buffer(), "<i8"))
         if held is not None:
             yield done()
 
-    small_batches(docs.sparkSession)
-    parts = docs.select("text").mapInArrow(gather, "slice int, side tinyint, keys binary, counts binary")
+    small_batches(docs.sparkSession, 128)
+    parts = docs.select("text").mapInArrow(tidied(gather), "slice int, side tinyint, keys binary, counts binary")
     # rows are few and large: their tasks must not be merged
     placed = parts.repartition(min(SLICES, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "slice").sortWithinPartitions("slice")
-    return write_table(placed.mapInArrow(join, "slice int, after binary, n_after binary, before binary, n_before binary"), "neighbours")
+    return write_table(placed.mapInArrow(tidied(join), "slice int, after binary, n_after binary, before binary, n_before binary"), "neighbours")
 
 
 def log_of(x: np.ndarray) -> np.ndarray:
@@ -237,7 +238,7 @@ def log_of(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def profiles(keys: bytes, counts: bytes, k: int, n_units: int, classes: np.ndarray) -> np.ndarray:
+def profiles(keys, counts, k: int, n_units: int, classes: np.ndarray) -> np.ndarray:
     """Counts by unit of slice k and by class of its neighbours."""
     key, n = np.frombuffer(keys, "<i8"), np.frombuffer(counts, "<i8")
     rows = -(-(n_units - k) // SLICES) if n_units > k else 0
@@ -247,7 +248,7 @@ def profiles(keys: bytes, counts: bytes, k: int, n_units: int, classes: np.ndarr
 
 def exchange(slices: DataFrame, n_units: int) -> tuple[np.ndarray, np.ndarray]:
     """(class of each unit, counts of class bigrams) after the exchange."""
-    spark = slices.sparkSession
+    small_batches(slices.sparkSession, 1)  # rows are large
     every = n_units + len(LENGTHS) + 2
     classes = np.concatenate((np.arange(n_units) % CLASSES, CLASSES + np.arange(len(LENGTHS) + 2))).astype(np.int64)
 
@@ -255,12 +256,13 @@ def exchange(slices: DataFrame, n_units: int) -> tuple[np.ndarray, np.ndarray]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = np.zeros((N_ALL, N_ALL))
             for batch in batches:
-                for k, keys, counts in zip(*(c.to_pylist() for c in batch.columns[:3]), strict=True):
-                    by_unit = profiles(keys, counts, k, every, classes)
+                for k, keys, counts in zip(*batch.columns, strict=True):
+                    k = k.as_py()
+                    by_unit = profiles(keys.as_buffer(), counts.as_buffer(), k, every, classes)
                     np.add.at(own, classes[np.arange(k, every, SLICES)], by_unit)
             yield pa.RecordBatch.from_arrays([pa.array([own.tobytes()], pa.binary())], names=["own"])
 
-        rows = slices.select("slice", "after", "n_after").mapInArrow(run, "own binary").collect()  # a small matrix from each task
+        rows = slices.select("slice", "after", "n_after").mapInArrow(tidied(run), "own binary").collect()  # a small matrix from each task
         return sum((np.frombuffer(r.own).reshape(N_ALL, N_ALL) for r in rows), np.zeros((N_ALL, N_ALL)))
 
     def likelihood(n: np.ndarray) -> float:
@@ -272,8 +274,9 @@ def exchange(slices: DataFrame, n_units: int) -> tuple[np.ndarray, np.ndarray]:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for k, after, n_after, before, n_before in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    a, b = (profiles(x, y, k, every, classes) for x, y in ((after, n_after), (before, n_before)))
+                for k, after, n_after, before, n_before in zip(*batch.columns, strict=True):
+                    k = k.as_py()
+                    a, b = (profiles(x.as_buffer(), y.as_buffer(), k, every, classes) for x, y in ((after, n_after), (before, n_before)))
                     ids = np.arange(k, every, SLICES)
                     ids, a, b = ids[ids < n_units], a[: (ids < n_units).sum()], b[: (ids < n_units).sum()]
                     if not len(ids):
@@ -288,7 +291,7 @@ def exchange(slices: DataFrame, n_units: int) -> tuple[np.ndarray, np.ndarray]:
                     best = enter.argmax(1)
                     yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(best), pa.array(enter[np.arange(len(ids)), best] + leave)], names=["unit", "best", "gain"])
 
-        found = slices.mapInArrow(run, "unit bigint, best bigint, gain double").toArrow()  # at most CLUSTERED rows
+        found = slices.mapInArrow(tidied(run), "unit bigint, best bigint, gain double").toArrow()  # at most CLUSTERED rows
         best, gain = classes[:n_units].copy(), np.zeros(n_units)
         at = found.column("unit").to_numpy()
         best[at], gain[at] = found.column("best").to_numpy(), found.column("gain").to_numpy()
@@ -344,6 +347,7 @@ def train(counts: DataFrame, docs: DataFrame) -> Model:
 def score(docs: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score, score of every row; ``docs`` has doc_id and text."""
     spark = docs.sparkSession
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # bounded as its vocabulary is
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -370,9 +374,8 @@ def score(docs: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(row + np.arange(n)), batch.column(0), pa.array(np.bincount(of, minlength=n)), pa.array(known), pa.array(seen), pa.array(after), rare], names=["row", "doc_id", "n_tokens", "known", "seen", "after", "rare"])
             row += n
 
-    small_batches(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = write_table(docs.select("doc_id", "text").mapInArrow(run, f"row bigint, doc_id {kind}, n_tokens bigint, known bigint, seen double, after double, rare array<struct<word:bigint,times:bigint>>"), "scored")
+    rows = write_table(docs.select("doc_id", "text").mapInArrow(tidied(run), f"row bigint, doc_id {kind}, n_tokens bigint, known bigint, seen double, after double, rare array<struct<word:bigint,times:bigint>>"), "scored")
     rare = rows.select("row", F.explode("rare").alias("r")).select("row", F.col("r.word").alias("word"), F.col("r.times").alias("times"))
     found = rare.join(counts.select("word", "n"), "word").groupBy("row").agg(F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more_seen"))
     all_rows = rows.select("row", "doc_id", "n_tokens", "known", "seen", "after").join(found, "row", "left")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import id_hash_mod, small_batches, text_of
+from ._common import id_hash_mod, small_batches, text_of, tidied
 from ._text import raw, words
 
 #: Labelled documents that the weights are fitted on, at most.
@@ -189,7 +189,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(short)), pa.array(data, pa.binary()), batch.column(2).take(pa.array(short))], names=["doc_id", "features", "quality"])
 
     kind = sample.schema["doc_id"].dataType.simpleString()
-    placed = texts.select("doc_id", "text", "quality").mapInArrow(features, f"doc_id {kind}, features binary, quality int")
+    placed = texts.select("doc_id", "text", "quality").mapInArrow(tidied(features), f"doc_id {kind}, features binary, quality int")
     # ids may repeat in the documents: the sample stays bounded
     rows = placed.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "features").limit(SAMPLE).collect()
     own = [np.frombuffer(r.features, "<f4").reshape(-1, OWN).astype(float) for r in rows]
@@ -210,7 +210,7 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     from pyspark.sql import types as T
 
-    return given.mapInArrow(run, T.StructType([*[docs.schema[c] for c in keep], T.StructField("score", T.DoubleType())]))
+    return given.mapInArrow(tidied(run), T.StructType([*[docs.schema[c] for c in keep], T.StructField("score", T.DoubleType())]))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import small_batches, write_table
+from ._common import small_batches, tidied, write_table
 
 #: Vectors in a block of candidates and of queries.
 CANDIDATES, QUERIES = 4096, 1024
@@ -63,7 +63,7 @@ def rotation(rows: DataFrame, width: int) -> np.ndarray:
             own += x.T @ x
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(width), pa.int32()), pa.array(list(own))], names=["i", "row"])
 
-    sums = rows.select("x").mapInArrow(run, "i int, row array<double>").select("i", F.posexplode("row").alias("j", "v")).groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
+    sums = rows.select("x").mapInArrow(tidied(run), "i int, row array<double>").select("i", F.posexplode("row").alias("j", "v")).groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
     gram = np.zeros((width, width))
     for r in sums:
         gram[r.i, r.j] = r.v
@@ -93,7 +93,7 @@ def packed(rows: DataFrame, width: int, size: int, label: str) -> DataFrame:
         if n:
             yield block(np.concatenate([a for a, _ in held]), np.concatenate([b for _, b in held]))
 
-    return write_table(rows.select("id", "x").mapInArrow(run, "n int, longest double, ids array<bigint>, data binary"), label)
+    return write_table(rows.select("id", "x").mapInArrow(tidied(run), "n int, longest double, ids array<bigint>, data binary"), label)
 
 
 def best_of(queries: np.ndarray, floor: np.ndarray, q_ids: np.ndarray, ids: np.ndarray, x: np.ndarray, turn: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -141,7 +141,7 @@ def compared(pairs: DataFrame, width: int, turn: np.ndarray, k: int) -> DataFram
                     rows, vecs, scores = (np.concatenate(c) for c in zip(*found, strict=True))
                     yield pa.RecordBatch.from_arrays([pa.array(q_ids[rows]), pa.array(vecs), pa.array(scores.astype(np.int64))], names=["query_id", "vec_id", "score"])
 
-    return pairs.select("ids", "data", "q_ids", "q_data", "floors").mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+    return pairs.select("ids", "data", "q_ids", "q_data", "floors").mapInArrow(tidied(run), "query_id bigint, vec_id bigint, score bigint")
 
 
 def ranked(found: DataFrame, k: int) -> DataFrame:

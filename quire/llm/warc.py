@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import make_dir, new_path, open_fs, put_file, small_batches, text_of, write_table
+from ._common import make_dir, new_path, open_fs, put_file, small_batches, text_of, tidied, write_table
 
 #: Lines in a block of the index.
 LINES = 3000
@@ -120,7 +120,7 @@ class Archive:
                     yield pa.RecordBatch.from_pylist(read_block(name, offset, length), schema=pa.schema([("urlkey", pa.string()), ("page_id", pa.int64()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]))
 
         blocks = self.directory.select("file", "offset", "length")
-        return blocks.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(run, INDEX)
+        return blocks.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(tidied(run), INDEX)
 
     def lookup(self, url: str) -> list[tuple[dict[str, str], bytes]]:
         """(headers, payload) of every capture of a URL, by two bisections and range reads; the directory is read in
@@ -195,7 +195,7 @@ def write_archive(pages: DataFrame, least: int = 100) -> Archive:
             keys, ids, offsets, lengths = zip(*lines[k : k + 10_000], strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids, pa.int64()), pa.array([name] * len(keys)), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())], names=["urlkey", "page_id", "file", "offset", "length"])
 
-    lines = write_table(rows.mapInArrow(archive, INDEX), "captures")
+    lines = write_table(rows.mapInArrow(tidied(archive), INDEX), "captures")
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = f"{folder}/{uuid.uuid4().hex}.cdx.gz"
@@ -229,7 +229,7 @@ def write_archive(pages: DataFrame, least: int = 100) -> Archive:
         yield pa.RecordBatch.from_pylist(entries, schema=pa.schema([("first_key", pa.string()), ("first_page", pa.int64()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("n", pa.int64())]))
 
     placed = lines.repartitionByRange("urlkey", "page_id").sortWithinPartitions("urlkey", "page_id", "file", "offset")
-    directory = write_table(placed.mapInArrow(index, "first_key string, first_page bigint, file string, offset bigint, length bigint, n bigint"), "directory")
+    directory = write_table(placed.mapInArrow(tidied(index), "first_key string, first_page bigint, file string, offset bigint, length bigint, n bigint"), "directory")
     return Archive(spark, folder, directory)
 
 
@@ -263,4 +263,4 @@ def read_back(archive: Archive) -> DataFrame:
     # index lines are small and what they lead to is not: their tasks must not be merged by size
     tasks = int(archive.spark.conf.get("spark.sql.shuffle.partitions"))
     placed = archive.captures().repartition(tasks, "file", stretch).sortWithinPartitions("file", "offset")
-    return placed.select("page_id", "file", "offset", "length").mapInArrow(run, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
+    return placed.select("page_id", "file", "offset", "length").mapInArrow(tidied(run), "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
