@@ -12,17 +12,17 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import small_batches, text_of
+from ._common import small_batches, text_of, tidied
 from ._pieces import Splitter
 
 #: Pre-tokens that a worker remembers before the older half goes.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -46,8 +46,9 @@ class ByteBPE:
         self.usable = {i for _, (i, _) in self.automaton.items()}
         self.beside: dict[tuple[int, int], bool] = {}
         self.shorter: dict[int, int | None] = {}
-        self.known: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.older: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.decimal = {i: str(i) for i in self.bytes_of}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merged(self, data: bytes) -> list[int]:
         """Plain merging by rank; for short inputs."""
@@ -97,25 +98,21 @@ class ByteBPE:
                 at, token = end, longest[end]
         return out
 
-    def remember(self, text: str) -> tuple[tuple[int, ...], str]:
+    def remember(self, text: str) -> bytes:
         found = self.older.get(text)
         if found is None:
-            ids = tuple(self.piece(text.encode("utf-8", "surrogatepass")))
-            found = (ids, ",".join(map(str, ids)))
+            found = np.array(self.piece(text.encode("utf-8", "surrogatepass")), "<u4").tobytes()
         self.known[text] = found
         return found
 
-    def pieces(self, text: str) -> list[tuple[tuple[int, ...], str]]:
-        """For each pre-token its ids, and these as text."""
+    def encode(self, text: str) -> list[int]:
+        """Ids of a text: those of its pre-tokens, which are remembered as packed bytes."""
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
-        if len(self.beside) > 4 * REMEMBERED:
+        if len(self.beside) > 2 * REMEMBERED:
             self.beside.clear()
         get, remember = self.known.get, self.remember
-        return [get(p) or remember(p) for p in self.split(text)]
-
-    def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(ids for ids, _ in self.pieces(text)))
+        return np.frombuffer(b"".join([get(p) or remember(p) for p in self.split(text)]), "<u4").tolist()
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -146,10 +143,9 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
         for batch in batches:
             counts, digests, decoded, kept = [], [], [], []
             for text in batch.column(1).to_pylist():
-                found = bpe.pieces(text)
-                ids = list(chain.from_iterable(x[0] for x in found))
+                ids = bpe.encode(text)
                 counts.append(len(ids))
-                digests.append(sha(",".join([x[1] for x in found]).encode()).hexdigest())
+                digests.append(sha(",".join(map(bpe.decimal.__getitem__, ids)).encode()).hexdigest())
                 decoded.append(sha(bpe.decode(ids)).hexdigest())
                 if with_ids:
                     kept.append(ids)
@@ -163,4 +159,4 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
     given = docs.select(F.col(id_col), text_of(text_col).alias(text_col))
     kind = given.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
-    return given.mapInArrow(run, schema)
+    return given.mapInArrow(tidied(run), schema)
