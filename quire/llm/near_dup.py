@@ -7,10 +7,12 @@ with the probability Jaccard of their weights. BANDS bands of ROWS registers sen
 bucket is verified: two texts are linked if their sets of shingles have a Jaccard of at least 0.8.
 
 Texts with the same set of shingles are one node. In each bucket all nodes are compared with the one that meets most
-others, then, where a bucket still has several components, with one of another component; what is left there is
-compared by registers, node by node, in blocks within tasks, and only pairs whose registers nearly reach the threshold
-are verified. So a bucket of thousands of copies costs as many comparisons as it has members, and no link between
-different texts that meet in a bucket is lost. A class is a connected component.
+others, then, where a bucket still has several components, with one of another component. What is left there is
+compared node by node in blocks within tasks, by registers first and by sets if these nearly reach the threshold, and
+tasks emit links alone. So a bucket of thousands of copies costs as many comparisons as it has members, and no link
+between different texts that meet in a bucket is lost. A class is a connected component.
+
+Sets are compared by 32-bit hashes of their shingles.
 """
 
 from __future__ import annotations
@@ -20,11 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import drop_table, small_batches, text_of, write_table
+from ._common import drop_table, small_batches, text_of, tidied, write_table
 from ._text import mix, raw, words
 
 SHINGLE = 5
@@ -38,6 +40,7 @@ GATHER = 4 << 20
 #: Texts that one call works on, at most; their number and a shingle's hash share 64 bits.
 MOST = 1 << 13
 HASH_BITS = np.uint64(51)
+SHORT = HASH_BITS - np.uint64(32)
 #: Nodes in a block of the exhaustive comparison.
 BLOCK = 256
 #: Ids up to which they are sent to all tasks: 16 bytes each.
@@ -125,7 +128,8 @@ def set_keys(hashes: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
 
 
 def sign(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, bands, registers): the set's hash, a hash of each band, and a byte of each register."""
+    """(doc_id, tie, node, bands, registers): a hash of the text and one of its set, a hash of each band, and a byte of
+    each register."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
@@ -140,11 +144,12 @@ def sign(docs: DataFrame) -> DataFrame:
             some = np.bincount(of, minlength=n) > 0
             bytes_of = (mix(own) & np.uint64(255)).astype(np.uint8)
             cuts = np.concatenate(([0], np.cumsum(some * BANDS))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(set_keys(h, of, n)), pa.ListArray.from_arrays(pa.array(cuts), pa.array(bands[some].reshape(-1).view(np.int64))), pa.array([x.tobytes() for x in bytes_of], pa.binary())], names=["doc_id", "node", "bands", "registers"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(set_keys(h, of, n)), pa.ListArray.from_arrays(pa.array(cuts), pa.array(bands[some].reshape(-1).view(np.int64))), pa.array([x.tobytes() for x in bytes_of], pa.binary())], names=["doc_id", "tie", "node", "bands", "registers"])
 
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_of("text").alias("text")).mapInArrow(run, f"doc_id {kind}, node bigint, bands array<bigint>, registers binary")
+    text = text_of("text")
+    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("tie")).mapInArrow(tidied(run), f"doc_id {kind}, tie bigint, node bigint, bands array<bigint>, registers binary")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -157,13 +162,21 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             keys = set_keys(h, of, n)
             cuts = np.searchsorted(of, np.arange(n + 1))
             right = np.flatnonzero(keys == batch.column(1).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(keys[right]), pa.array([h[cuts[k] : cuts[k + 1]].tobytes() for k in right], pa.binary())], names=["node", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[right]), pa.array([np.unique((h[cuts[k] : cuts[k + 1]] >> SHORT).astype(np.uint32)).tobytes() for k in right], pa.binary())], names=["node", "shingles"])
 
     if wanted.count() <= MOST_SENT:
         wanted = F.broadcast(wanted)
     small_batches(docs.sparkSession)
     given = docs.select("doc_id", text_of("text").alias("text")).join(wanted, "doc_id").select("text", "node")
-    return write_table(given.mapInArrow(run, "node bigint, shingles binary").dropDuplicates(["node"]), "sets")
+    return write_table(given.mapInArrow(tidied(run), "node bigint, shingles binary").dropDuplicates(["node"]), "sets")
+
+
+def alike(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets, as sorted arrays, reach the threshold."""
+    if min(len(x), len(y)) < THRESHOLD * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= THRESHOLD * (len(x) + len(y) - both)
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -171,19 +184,13 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for k, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if min(len(x), len(y)) >= THRESHOLD * max(len(x), len(y)):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    if both >= THRESHOLD * (len(x) + len(y) - both):
-                        keep.append(k)
-            at = pa.array(keep, pa.int64())
+            sets_of_pairs = zip(batch.column(2), batch.column(3), strict=True)
+            at = pa.array([k for k, (x, y) in enumerate(sets_of_pairs) if alike(np.frombuffer(x.as_buffer(), np.uint32), np.frombuffer(y.as_buffer(), np.uint32))], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
 
     left, right = sets.withColumnsRenamed({"node": "a", "shingles": "x"}), sets.withColumnsRenamed({"node": "b", "shingles": "y"})
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return write_table(rows.mapInArrow(run, "a bigint, b bigint"), "links")
+    return write_table(rows.mapInArrow(tidied(run), "a bigint, b bigint"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -218,54 +225,55 @@ def starred(members: DataFrame) -> DataFrame:
     return members.join(picked, "bucket").filter("component <> of").select(F.col("node").alias("a"), "b").distinct()
 
 
-def remaining(members: DataFrame, registers_of: DataFrame) -> DataFrame:
-    """(a, b) of different components that share a bucket and whose registers nearly reach the threshold.
+def remaining(members: DataFrame, registers_of: DataFrame, sets: DataFrame) -> DataFrame:
+    """The links (a, b) between different components that share a bucket.
 
-    Buckets are cut into blocks of BLOCK nodes, and tasks compare blocks with blocks by registers; only what passes
-    is emitted.
+    Buckets are cut into blocks of BLOCK nodes, and tasks compare blocks with blocks: a pair in the first band that it
+    shares, by registers, and by sets if the registers nearly reach the threshold.
     """
     mixed = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = members.join(mixed, "bucket").join(registers_of, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = members.join(mixed, "bucket").join(registers_of.join(sets, "node"), "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "registers")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def compare(part: list[tuple]) -> Iterator[tuple[int, int]]:
-            i, j = part[0][1], part[0][2]
-            comps = np.array([x[5] for x in part])
-            if (comps == comps[0]).all():
-                return
-            nodes, own = np.array([x[4] for x in part]), np.array([x[3] for x in part])
-            regs = np.frombuffer(b"".join(x[6] for x in part), np.uint8).reshape(len(part), M)
-            for k in range(len(part)):
-                if i == j:
-                    with_k = np.arange(k + 1, len(part))
-                elif own[k] == i:
-                    with_k = np.flatnonzero(own == j)
-                else:
-                    continue
-                with_k = with_k[comps[with_k] != comps[k]]
-                near = with_k[(regs[with_k] == regs[k]).mean(1) >= NEARLY]
-                for x in near:
+    rows = rows.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "band", "node", "component", "registers", "shingles")
+
+    def compare(part: list[tuple]) -> Iterator[tuple[int, int]]:
+        (_, i, j, _, band, *_) = part[0]
+        comps = np.array([x[6] for x in part])
+        if (comps == comps[0]).all():
+            return
+        nodes, own = np.array([x[5] for x in part]), np.array([x[3] for x in part])
+        regs = np.frombuffer(b"".join(x[7] for x in part), np.uint8).reshape(len(part), M)
+        sets_of_part = [np.frombuffer(x[8], np.uint32) for x in part]
+        for k in range(len(part)):
+            if i == j:
+                others = np.arange(k + 1, len(part))
+            elif own[k] == i:
+                others = np.flatnonzero(own == j)
+            else:
+                continue
+            others = others[comps[others] != comps[k]]
+            same = regs[others] == regs[k]
+            near = same.mean(1) >= NEARLY
+            if band:
+                near &= ~same[:, : band * ROWS].reshape(len(others), band, ROWS).all(2).any(1)
+            for x in others[near]:
+                if alike(sets_of_part[k], sets_of_part[x]):
                     yield min(nodes[k], nodes[x]), max(nodes[k], nodes[x])
 
-        part, found = [], set()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part: list[tuple] = []
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if part and row[:3] != part[0][:3]:
-                    found.update(compare(part))
+                    yield pairs_of(set(compare(part)))
                     part = []
                 part.append(row)
-            if len(found) > 100_000:
-                yield pairs_of(found)
-                found = set()
         if part:
-            found.update(compare(part))
-        yield pairs_of(found)
+            yield pairs_of(set(compare(part)))
 
     tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = rows.repartition(tasks, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return placed.mapInArrow(run, "a bigint, b bigint").distinct()
+    return write_table(placed.mapInArrow(tidied(run), "a bigint, b bigint").distinct(), "links")
 
 
 def pairs_of(found: set[tuple[int, int]]) -> pa.RecordBatch:
@@ -273,16 +281,21 @@ def pairs_of(found: set[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+def head_of() -> Column:
+    """What the first row of a class has the smallest of: its id, null last, and its text's hash."""
+    return F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tie")
+
+
 def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(signed, classes): each row's (doc_id, node), and (node, class_id) of every node; a class's id is its smallest
-    doc_id."""
+    """(signed, classes): each row's (doc_id, tie, node), and (node, class_id, class_tie) of every node; a class's id is
+    its smallest doc_id, and its tie the smallest hash of a text of that id."""
     signed = write_table(sign(docs), "signed")
-    nodes = write_table(signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("bands").alias("bands"), F.min("registers").alias("registers")), "nodes")
-    buckets = nodes.select("node", F.explode("bands").alias("bucket"))
+    nodes = write_table(signed.groupBy("node").agg(F.min(head_of()).alias("head"), F.min("bands").alias("bands"), F.min("registers").alias("registers")).select("node", F.col("head.doc_id").alias("doc_id"), F.col("head.tie").alias("tie"), "bands", "registers"), "nodes")
+    buckets = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).filter("low < high").select("bucket", "n")
-    members = write_table(buckets.join(shared, "bucket").select("bucket", "node", "n"), "members")
+    members = write_table(buckets.join(shared, "bucket").select("bucket", "band", "node", "n"), "members")
     weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
-    members = write_table(members.join(weights, "node").select("bucket", "node", "weight"), "members")
+    members = write_table(members.join(weights, "node").select("bucket", "band", "node", "weight"), "members")
     met = write_table(nodes.select("node", "doc_id").join(weights.select("node"), "node", "left_semi"), "met")
     sets = sets_of(docs, met.select("doc_id", "node"))
 
@@ -290,13 +303,14 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = verified(members.join(hubs, "bucket").filter("node <> b").select(F.col("node").alias("a"), "b").distinct(), sets)
     for last in (False, True):
         labels = components(links)
-        known = write_table(members.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"), "weight"), "members")
-        pairs = remaining(known, nodes.select("node", "registers")) if last else starred(known)
-        links = write_table(links.union(verified(pairs, sets)).distinct(), "links")
+        known = write_table(members.join(labels, "node", "left").select("bucket", "band", "node", F.coalesce("component", "node").alias("component"), "weight"), "members")
+        more = remaining(known, nodes.select("node", "registers"), sets) if last else verified(starred(known), sets)
+        links = write_table(links.union(more).distinct(), "links")
     labels = components(links)
-    placed = nodes.select("node", "doc_id").join(labels, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
-    ids = placed.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    return signed.select("doc_id", "node"), write_table(placed.join(ids, "component").select("node", "class_id"), "classes")
+    placed = nodes.select("node", "doc_id", "tie").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    heads = placed.groupBy("component").agg(F.min(head_of()).alias("head"))
+    classes = placed.join(heads, "component").select("node", F.col("head.doc_id").alias("class_id"), F.col("head.tie").alias("class_tie"))
+    return signed.select("doc_id", "tie", "node"), write_table(classes, "classes")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -311,11 +325,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each class of near-duplicates, that of the smallest doc_id, with all columns of ``docs``. Rows
-    without a doc_id are kept only if no row of their class has one."""
-    names, mark = docs.columns, f"keep_{uuid.uuid4().hex[:8]}"
+    """One row of each class of near-duplicates, that of the smallest doc_id (nulls last) and text hash, with all
+    columns of ``docs``. Of repeated rows one stays."""
+    names, at = docs.columns, [f"{c}_{uuid.uuid4().hex[:8]}" for c in ("id", "tie")]
     signed, classes = link(docs)
-    kept = signed.join(classes, "node").filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias(mark)).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col(mark)))
-    first = F.row_number().over(W.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    return rows.withColumn(mark, first).filter(F.col(mark) == 1).select(*[F.col(f"`{c}`") for c in names])
+    judged = write_table(signed.join(classes, "node").select("doc_id", "tie", (F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("tie") == F.col("class_tie"))).alias("stays")), "judged")
+    gone = judged.filter("not stays").select(F.col("doc_id").alias(at[0]), F.col("tie").alias(at[1])).distinct()
+    if gone.count() <= MOST_SENT:
+        gone = F.broadcast(gone)
+    rows = docs.withColumn("__tie", F.xxhash64(text_of("text"))).join(gone, F.col("doc_id").eqNullSafe(F.col(at[0])) & (F.col("__tie") == F.col(at[1])), "left_anti")
+    repeated = judged.filter("stays").groupBy("doc_id", "tie").count().filter("count > 1").limit(1).count()
+    if repeated:
+        rows = rows.withColumn("__n", F.row_number().over(W.partitionBy("doc_id", "__tie").orderBy("__tie"))).filter("__n = 1")
+    return rows.select(*[F.col(f"`{c}`") for c in names])
