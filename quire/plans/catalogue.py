@@ -1,4 +1,426 @@
-"""Queries by name, and the SQL that gives the same rows."""
+"""The engine's operators over the driver's tables, by name, with the SQL that gives the same rows.
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+Each query runs an operator of quire.operators or quire.functions over whole tables; numbers are BIGINT on both sides.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from quire.functions import text as T
+from quire.functions.edits import opcodes
+from quire.operators import align_fuzzy, checks, rollup, spans
+from quire.operators import streams as S
+from quire.operators import words as words_of
+from quire.spec import LayoutSpec
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Registers a query under its function's name."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def big(c: Column | str) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("long")
+
+
+TOKENS = r"regexp_split_to_array({}, '[ \t\n\v\f\r]+')"
+ACCENTS = ("áàâäãéèêëíìîïóòôöõúùûüñç", "aaaaaeeeeiiiiooooouuuunc")
+
+# tokens and normal forms
+
+
+@query(f"""
+WITH t AS (SELECT doc_id, unnest({TOKENS.format('text')}) AS word, generate_subscripts({TOKENS.format('text')}, 1) AS k FROM documents)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS word_no, word FROM t WHERE word <> ''
+""")
+def doc_tokens_numbered(spark, sf):
+    raw = table(spark, sf, "documents").select("doc_id", F.posexplode(T.tokens(F.col("text"))).alias("k", "word"))
+    return S.ordinal(raw, ["doc_id"], ["k"], "n").select("doc_id", big("n").alias("word_no"), "word")
+
+
+@query("SELECT doc_id, sha256(regexp_replace(translate(lower(text), 'áàâäãéèêëíìîïóòôöõúùûüñç', 'aaaaaeeeeiiiiooooouuuunc'), '[^a-zß ]', '', 'g')) AS canonical FROM documents")
+def doc_canonical_text(spark, sf):
+    plain = F.regexp_replace(F.translate(F.lower("text"), *ACCENTS), "[^a-zß ]", "")
+    return table(spark, sf, "documents").select("doc_id", T.sha256(plain).alias("canonical"))
+
+
+@query("SELECT page_id, length(regexp_replace(html, '<[^>]+>', '', 'g')) AS text_chars, length(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '[ \\t\\n\\v\\f\\r]', '', 'g')) AS plain_chars FROM pages")
+def html_strip_tags(spark, sf):
+    plain = T.without_tags(F.col("html"))
+    return table(spark, sf, "pages").select("page_id", big(F.length(plain)).alias("text_chars"), big(F.length(T.no_space(plain))).alias("plain_chars"))
+
+
+@query(f"""
+WITH t AS (SELECT doc_id, unnest({TOKENS.format('text')}) AS w FROM documents),
+p AS (SELECT doc_id, w, regexp_matches(w, '^[0-9]+$') AS d, regexp_matches(w, '^[0-9]+[^0-9]') AS h, regexp_matches(w, '[^0-9][0-9]+$') AS e FROM t WHERE regexp_matches(w, '[0-9]')),
+m AS (
+ SELECT doc_id, '' AS token, TRY_CAST(w AS INTEGER) AS marker FROM p WHERE d
+ UNION ALL SELECT doc_id, '', TRY_CAST(regexp_extract(w, '^([0-9]+)', 1) AS INTEGER) FROM p WHERE NOT d AND h
+ UNION ALL SELECT doc_id, regexp_extract(w, '^[0-9]+(.+)$', 1, 's'), NULL FROM p WHERE NOT d AND h
+ UNION ALL SELECT doc_id, regexp_extract(w, '^(.+?)[0-9]+$', 1, 's'), NULL FROM p WHERE NOT d AND NOT h AND e
+ UNION ALL SELECT doc_id, '', TRY_CAST(regexp_extract(w, '([0-9]+)$', 1) AS INTEGER) FROM p WHERE NOT d AND NOT h AND e
+ UNION ALL SELECT doc_id, w, NULL FROM p WHERE NOT d AND NOT h AND NOT e)
+SELECT doc_id, token, CAST(marker AS BIGINT) AS marker, count(*) AS n FROM m GROUP BY ALL
+""")
+def token_marker_split(spark, sf):
+    words = table(spark, sf, "documents").select("doc_id", F.explode(T.tokens(F.col("text"))).alias("w")).filter(F.col("w").rlike("[0-9]"))
+    parts = words.select("doc_id", F.explode(T.split_token(F.col("w"))).alias("p"))
+    return parts.groupBy("doc_id", F.col("p.token").alias("token"), big("p.marker").alias("marker")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT doc_id, sha256(text) AS digest FROM documents")
+def sha256_text(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", T.sha256(F.col("text")).alias("digest"))
+
+
+# counts and roll-ups
+
+
+@query("SELECT r_name, count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name")
+def nation_counts(spark, sf):
+    both = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return both.groupBy("r_name").agg(F.count("*").alias("n"))
+
+
+@query("SELECT 'verse_total' AS rule, r_name AS key, CAST(n AS VARCHAR) AS detail FROM (SELECT r_name, count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name) WHERE n <> 4")
+def totals_vs_expected(spark, sf):
+    return checks.violation(nation_counts(spark, sf).filter("n <> 4"), "verse_total", F.col("r_name"), F.col("n"))
+
+
+@query("SELECT count(DISTINCT l_orderkey || ':' || l_linenumber) AS n FROM lineitem")
+def distinct_composite_key(spark, sf):
+    return table(spark, sf, "lineitem").agg(F.count_distinct(T.key("l_orderkey", "l_linenumber")).alias("n"))
+
+
+@query("SELECT o_orderkey, count(*) AS n_lines, count(DISTINCT l_linenumber) AS n_numbers, CAST(min(l_linenumber) AS BIGINT) AS first_line, CAST(max(l_linenumber) AS BIGINT) AS last_line, CAST(sum(l_linenumber) AS BIGINT) AS total FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey")
+def group_minmax_rollup(spark, sf):
+    both = table(spark, sf, "orders").select("o_orderkey").join(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), F.col("o_orderkey") == F.col("l_orderkey"))
+    line = F.col("l_linenumber")
+    return both.groupBy("o_orderkey").agg(F.count("*").alias("n_lines"), F.count_distinct(line).alias("n_numbers"), big(F.min(line)).alias("first_line"), big(F.max(line)).alias("last_line"), big(F.sum(line)).alias("total"))
+
+
+@query("SELECT l_orderkey, string_agg(l_linenumber || '/' || l_partkey || '/' || l_suppkey, ',' ORDER BY l_linenumber, l_partkey, l_suppkey) AS lines FROM lineitem GROUP BY l_orderkey")
+def nested_lines_per_order(spark, sf):
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey")
+    lines = F.array_sort(F.collect_list(line))
+    return table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.transform(lines, lambda x: F.concat_ws("/", x["l_linenumber"], x["l_partkey"], x["l_suppkey"])), ",").alias("lines"))
+
+
+@query("SELECT (SELECT count(*) FROM orders) AS n, CAST(count_if(o_totalprice > 200000) AS BIGINT) AS n_large, CAST(max(o_custkey) AS BIGINT) AS last FROM orders")
+def filtered_counts(spark, sf):
+    return table(spark, sf, "orders").agg(F.count("*").alias("n"), F.count_if(F.col("o_totalprice") > 200000).alias("n_large"), big(F.max("o_custkey")).alias("last"))
+
+
+# spans and joins by offset
+
+
+@query("SELECT conv_id, turn, CAST(sum(length(text)) OVER w - length(text) AS BIGINT) AS start, CAST(sum(length(text)) OVER w AS BIGINT) AS stop FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)")
+def char_spans(spark, sf):
+    rows = table(spark, sf, "conversations").withColumn("stop", S.running(F.length("text"), ["conv_id"], ["turn"]))
+    return rows.select("conv_id", "turn", big(F.col("stop") - F.length("text")).alias("start"), big("stop").alias("stop"))
+
+
+@query(r"""
+WITH s AS (SELECT conv_id, turn, regexp_replace(text, '[ \t\n\v\f\r]+', '', 'g') AS seg FROM conversations),
+p AS (SELECT conv_id, turn, seg, sum(length(seg)) OVER (PARTITION BY conv_id ORDER BY turn) AS stop FROM s),
+t AS (SELECT conv_id, turn, unnest(regexp_split_to_array(text, '[ \t\n\v\f\r]+')) AS w, generate_subscripts(regexp_split_to_array(text, '[ \t\n\v\f\r]+'), 1) AS k FROM conversations),
+c AS (SELECT conv_id, turn, k, w, sum(length(w)) OVER (PARTITION BY conv_id ORDER BY turn, k ROWS UNBOUNDED PRECEDING) - length(w) AS at FROM t WHERE w <> '')
+SELECT p.conv_id, p.turn, count(*) AS n_words, bool_and(true) AND string_agg(c.w, '' ORDER BY c.at) = any_value(p.seg) AS equal
+FROM p JOIN c ON c.conv_id = p.conv_id AND c.at >= p.stop - length(p.seg) AND c.at < p.stop GROUP BY p.conv_id, p.turn
+""")
+def offset_join_exact(spark, sf):
+    conv = table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    segs = conv.withColumn("seg", T.no_space(F.col("text"))).withColumn("at", S.running(F.length("seg"), ["conv_id"], ["turn"], before=True)).filter("seg <> ''")
+    word = conv.select("conv_id", "turn", F.posexplode(T.tokens(F.col("text"))).alias("k", "w")).withColumn("at", S.running(F.length("w"), ["conv_id"], ["turn", "k"], before=True))
+    owned = S.assign_by_offset(word.select("conv_id", "w", "at"), segs.select("conv_id", "at", F.col("turn").alias("of"), "seg"), ["conv_id"], "at", "at", ["of", "seg"])
+    return owned.groupBy("conv_id", F.col("of").alias("turn")).agg(F.count("*").alias("n_words"), (S.joined_text("w", "at") == F.first("seg")).alias("equal"))
+
+
+@query("""
+WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT) AS q, sum(CAST(l_quantity AS BIGINT)) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate ROWS UNBOUNDED PRECEDING) AS stop FROM lineitem),
+b AS (SELECT l_orderkey, unnest(generate_series(0, CAST((max(stop) - 1) // 10 AS BIGINT))) AS bin FROM l GROUP BY l_orderkey)
+SELECT l.l_orderkey, b.bin, count(*) AS n, CAST(sum(least(l.stop, b.bin * 10 + 10) - greatest(l.stop - l.q, b.bin * 10)) AS BIGINT) AS overlap
+FROM l JOIN b ON l.l_orderkey = b.l_orderkey AND l.stop - l.q < b.bin * 10 + 10 AND b.bin * 10 < l.stop AND l.q > 0 GROUP BY l.l_orderkey, b.bin
+""")
+def span_overlap_map(spark, sf):
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
+    line = table(spark, sf, "lineitem").select("l_orderkey", *order, big("l_quantity").alias("q")).withColumn("stop", S.running(F.col("q"), ["l_orderkey"], order)).withColumn("start", F.col("stop") - F.col("q"))
+    bins = line.groupBy("l_orderkey").agg(F.max("stop").alias("top")).select("l_orderkey", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("top") - 1) / 10))).alias("bin")).withColumn("b0", F.col("bin") * 10).withColumn("b1", F.col("bin") * 10 + 10)
+    pairs = S.overlap_join(line, bins, ["l_orderkey"], ("start", "stop"), ("b0", "b1"))
+    return pairs.groupBy("l_orderkey", "bin").agg(F.count("*").alias("n"), big(F.sum(F.least("stop", "b1") - F.greatest("start", "b0"))).alias("overlap"))
+
+
+@query("SELECT e.event_id, s.event_id AS signup_id FROM events e ASOF LEFT JOIN (SELECT user_id, ts, event_id FROM events WHERE event_type = 'signup') s ON e.user_id = s.user_id AND e.ts >= s.ts")
+def boundary_asof(spark, sf):
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    starts = events.filter("event_type = 'signup'").select("user_id", "at", F.col("event_id").alias("signup_id"))
+    return S.assign_by_offset(events.select("event_id", "user_id", "at"), starts, ["user_id"], "at", "at", ["signup_id"], width=86_400_000_000).select("event_id", "signup_id")
+
+
+# distances and edits
+
+
+@query("""
+SELECT a.p_partkey AS left_key, b.p_partkey AS right_key, CAST(levenshtein(a.p_name, b.p_name) AS BIGINT) AS distance
+FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey
+WHERE levenshtein(a.p_name, b.p_name) <= greatest(2, least(6, greatest(2, CAST(floor(length(a.p_name) * 0.25) AS BIGINT))))
+""")
+def fuzzy_candidates(spark, sf):
+    part = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    other = part.select(F.col("p_partkey").alias("right_key"), F.col("p_name").alias("right_name"), "p_brand", "p_size")
+    pairs = part.join(other, ["p_brand", "p_size"]).filter("p_partkey < right_key")
+    near = pairs.withColumn("distance", T.within_distance(F.col("p_name"), F.col("right_name"), 6)).filter((F.col("distance") >= 0) & (F.col("distance") <= T.distance_limit(F.length("p_name"))))
+    return near.select(F.col("p_partkey").alias("left_key"), "right_key", big("distance").alias("distance"))
+
+
+@query()
+def fuzzy_segmentation(spark, sf):
+    """Turns of conversations, a letter changed in every fourth word, against their words."""
+    conv = table(spark, sf, "conversations").select(big("conv_id").cast("int").alias("edition_id"), F.lit(1).alias("page"), big("turn").cast("int").alias("line"), F.slice(T.tokens(F.col("text")), 1, 12).alias("w")).filter(F.size("w") > 0)
+    segs = conv.select("edition_id", "page", "line", F.lit(0).alias("seg"), F.lit(1).alias("surah"), F.array_join(F.transform("w", lambda x, i: F.when(i % 4 == 3, F.concat(F.lit("q"), F.substring(x, 2, 99))).otherwise(x)), "").alias("text"), F.lit(None).cast("int").alias("marker"))
+    word = conv.select("edition_id", "page", "line", F.posexplode("w").alias("k", "word"))
+    word = S.ordinal(word, ["edition_id"], ["line", "k"], "pos").select("edition_id", F.lit(1).alias("surah"), F.col("line").alias("ayah"), "page", big("pos").alias("pos"), F.col("word"), F.lit(1).alias("wordIndex"), T.fuzzy_canonical(F.col("word")).alias("f"))
+    path = align_fuzzy.align_pages(segs, word, LayoutSpec(max_words=16))
+    return path.select("edition_id", "line", "start", "stop", "distance", "status")
+
+
+@query()
+def edit_opcodes(spark, sf):
+    """Edit scripts from each benchmark item to every later one of equal first word."""
+    item = table(spark, sf, "benchmark").select("item_id", "text", F.substring_index("text", " ", 1).alias("head"))
+    pairs = item.join(item.select(F.col("item_id").alias("to_id"), F.col("text").alias("target"), "head"), "head").filter("item_id < to_id")
+
+    def run(batches):
+        for pdf in batches:
+            rows = [(a, b, k, *op) for a, b, s, t in zip(pdf.item_id, pdf.to_id, pdf.text, pdf.target, strict=True) for k, op in enumerate(opcodes(s, t))]
+            yield pd.DataFrame(rows, columns=["item_id", "to_id", "op", "tag", "src_start", "src_end", "dest_start", "dest_end"])
+
+    return pairs.select("item_id", "to_id", "text", "target").mapInPandas(run, "item_id bigint, to_id bigint, op int, tag string, src_start int, src_end int, dest_start int, dest_end int")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round_even(l_quantity / 2, 0) AS DOUBLE) AS half FROM lineitem")
+def half_even_round(spark, sf):
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", T.half_even(F.col("l_quantity") / 2).cast("double").alias("half"))
+
+
+# state carried along a stream
+
+
+@query("SELECT event_id, CAST(count_if(event_type = 'signup') OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS chapter FROM events")
+def running_chapter(spark, sf):
+    return table(spark, sf, "events").select("event_id", big(S.running((F.col("event_type") == "signup").cast("int"), ["user_id"], ["ts", "event_id"])).alias("chapter"))
+
+
+@query("SELECT event_id, CAST(row_number() OVER (ORDER BY ts, event_id) - 1 AS BIGINT) AS pos, CAST(sum(CAST(floor(value) AS BIGINT)) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total FROM events")
+def global_position(spark, sf):
+    rows = table(spark, sf, "events").select("event_id", "ts", "value", F.lit(1).alias("edition_id"), F.to_date("ts").alias("day"))
+    rows = S.prefix_sum(rows, F.lit(1), ["edition_id"], "day", ["ts", "event_id"], "pos")
+    return S.prefix_sum(rows, F.floor("value"), ["edition_id"], "day", ["ts", "event_id"], "total", before=False).select("event_id", "pos", "total")
+
+
+@query("""
+WITH g AS (SELECT event_id, user_id, ts, event_type, last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last_purchase,
+ coalesce(count_if(event_type = 'purchase') OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS grp FROM events)
+SELECT event_id, last_purchase, CASE WHEN event_type <> 'purchase' THEN CAST(count_if(event_type <> 'purchase') OVER (PARTITION BY user_id, grp ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) END AS word_no FROM g
+""")
+def marker_numbering(spark, sf):
+    keys, order = ["user_id"], ["ts", "event_id"]
+    marker = F.when(F.col("event_type") == "purchase", F.col("event_id"))
+    rows = table(spark, sf, "events").select("event_id", "user_id", "ts", marker.alias("marker"))
+    rows = rows.withColumn("last_purchase", S.last_known("marker", keys, order))
+    return words_of.inline_numbering(rows, keys, order).select("event_id", "last_purchase", big("wordIndex").alias("word_no"))
+
+
+@query("""
+WITH m AS (SELECT *, CASE WHEN lag(event_type) OVER w = event_type THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+i AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run FROM m)
+SELECT user_id, CAST(run AS BIGINT) AS run, any_value(event_type) AS event_type, count(*) AS n, string_agg(CAST(event_id AS VARCHAR), '' ORDER BY ts, event_id) AS joined FROM i GROUP BY user_id, run
+""")
+def merge_runs(spark, sf):
+    keys, order = ["user_id"], ["ts", "event_id"]
+    rows = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type", F.col("event_id").cast("string").alias("id_text"))
+    runs = S.islands(rows, keys, order, S.before("event_type", keys, order) == F.col("event_type"), "run")
+    return runs.groupBy("user_id", big("run").alias("run")).agg(F.first("event_type").alias("event_type"), F.count("*").alias("n"), S.joined_text("id_text", "ts", "event_id").alias("joined"))
+
+
+@query("""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents)
+SELECT doc_id, (k - 1) // 15 + 1 AS page, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS chars FROM l GROUP BY doc_id, page
+""")
+def page_chunks(spark, sf):
+    line = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("k", "line"))
+    page = (F.floor(F.col("k") / 15) + 1).cast("long")
+    return line.groupBy("doc_id", page.alias("page")).agg(F.count("*").alias("n_lines"), big(F.sum(F.length("line"))).alias("chars"))
+
+
+@query("SELECT user_id, arg_min(value, struct_pack(a := ts, b := event_id)) FILTER (event_type = 'error') AS first_error FROM events GROUP BY user_id")
+def first_nonnull(spark, sf):
+    rows = table(spark, sf, "events").withColumn("error", F.when(F.col("event_type") == "error", F.col("value")))
+    return rows.withColumn("first_error", S.first_known("error", ["user_id"], ["ts", "event_id"])).groupBy("user_id").agg(F.first("first_error").alias("first_error"))
+
+
+# sets
+
+
+@query("SELECT 'missing_labelled' AS rule, CAST(x AS VARCHAR) AS key, '' AS detail FROM range(0, (SELECT max(doc_id) + 1 FROM documents)) r(x) ANTI JOIN labels ON x = doc_id")
+def missing_spine(spark, sf):
+    top = table(spark, sf, "documents").agg(F.max("doc_id")).first()[0]
+    return checks.spine(table(spark, sf, "labels"), "doc_id", 0, top, "labelled")
+
+
+@query("SELECT 'missing_id' AS rule, CAST(doc_id AS VARCHAR) AS key, '' AS detail FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) UNION ALL SELECT 'extra_id', CAST(doc_id AS VARCHAR), '' FROM (SELECT DISTINCT doc_id FROM labels) WHERE doc_id NOT IN (SELECT doc_id FROM documents)")
+def set_equality(spark, sf):
+    ids = lambda t: table(spark, sf, t).select("doc_id")
+    return checks.set_equality(ids("labels"), ids("documents"), "id")
+
+
+@query("SELECT 'unlabelled' AS rule, CAST(doc_id AS VARCHAR) AS key, '' AS detail FROM (SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels)")
+def set_difference(spark, sf):
+    return checks.difference(table(spark, sf, "documents").select("doc_id"), table(spark, sf, "labels").select("doc_id"), "unlabelled")
+
+
+@query("SELECT count(*) = 0 AS is_subset FROM (SELECT doc_id FROM labels EXCEPT SELECT doc_id FROM documents)")
+def subset(spark, sf):
+    lost = checks.difference(table(spark, sf, "labels").select("doc_id"), table(spark, sf, "documents").select("doc_id"), "lost")
+    return lost.agg((F.count("*") == 0).alias("is_subset"))
+
+
+@query("""
+SELECT 1 AS edition_id, CAST(n_nationkey AS INTEGER) AS ayah, CAST(n_nationkey AS INTEGER) AS hafs_ayah FROM nation
+UNION ALL SELECT 2, CAST(c_custkey AS INTEGER), CAST(c_nationkey AS INTEGER) FROM customer
+""")
+def union_mapping_rows(spark, sf):
+    key = F.col("n_nationkey").cast("int")
+    identity = table(spark, sf, "nation").select(F.lit(1).alias("edition_id"), key.alias("ayah"), key.alias("hafs_ayah"))
+    mapped = table(spark, sf, "customer").select(F.lit(2).alias("edition_id"), F.col("c_custkey").cast("int").alias("ayah"), F.col("c_nationkey").cast("int").alias("hafs_ayah"))
+    return identity.unionByName(mapped)
+
+
+def _line_mapping(spark, sf) -> DataFrame:
+    return table(spark, sf, "lineitem").select(F.lit(2).alias("edition_id"), F.col("l_orderkey").alias("surah"), F.col("l_linenumber").alias("ayah"), F.col("l_partkey").alias("hafs_ayah")).distinct()
+
+
+@query("SELECT 2 AS edition_id, l_orderkey AS surah, l_linenumber AS ayah, count(DISTINCT l_partkey) AS n, array_to_string(list_sort(list(DISTINCT l_partkey)), ',') AS refs FROM lineitem GROUP BY ALL HAVING count(DISTINCT l_partkey) > 1")
+def multi_refs(spark, sf):
+    return spans.multiple_references(_line_mapping(spark, sf)).withColumn("refs", F.array_join(F.col("refs").cast("array<string>"), ","))
+
+
+@query("SELECT l_partkey AS hafs_ayah FROM (SELECT DISTINCT l_partkey FROM lineitem WHERE l_orderkey = 7 AND l_linenumber = 1)")
+def point_lookup(spark, sf):
+    return spans.references(_line_mapping(spark, sf), 2, 7, 1)
+
+
+# sort and limit
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5")
+def topk_states(spark, sf):
+    return table(spark, sf, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").select("o_orderkey", "o_totalprice").limit(5)
+
+
+@query("SELECT 'identity' AS rule, c_custkey || ':' || c_custkey AS key, CAST(c_nationkey AS VARCHAR) AS detail FROM customer WHERE c_custkey <> c_nationkey ORDER BY c_custkey LIMIT 1")
+def first_violation(spark, sf):
+    rows = table(spark, sf, "customer").filter("c_custkey <> c_nationkey").orderBy("c_custkey").limit(1)
+    return checks.violation(rows, "identity", T.key("c_custkey", "c_custkey"), F.col("c_nationkey"))
+
+
+# constraints
+
+
+@query("""
+WITH n AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem),
+w AS (SELECT *, lag(l_linenumber, 1, 0) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS before FROM n)
+SELECT 'continuity' AS rule, l_orderkey || ':' || l_linenumber AS key, before || '>' || l_linenumber AS detail FROM w WHERE l_linenumber <> before + 1
+""")
+def continuity_violations(spark, sf):
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    before = F.coalesce(S.before("l_linenumber", ["l_orderkey"], ["l_linenumber"]), F.lit(0))
+    bad = rows.withColumn("before", before).filter("l_linenumber <> before + 1")
+    return checks.violation(bad, "continuity", T.key("l_orderkey", "l_linenumber"), F.concat_ws(">", "before", "l_linenumber"))
+
+
+@query("""
+WITH r AS (SELECT l_orderkey, l_linenumber, min(l_partkey) AS low, max(l_partkey) AS high, count(DISTINCT l_partkey) AS n FROM lineitem GROUP BY ALL),
+b AS (SELECT *, lag(high) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS back FROM r)
+SELECT 'reference_gap' AS rule, '2:' || l_orderkey || ':' || l_linenumber AS key, low || ':' || high AS detail FROM r WHERE high - low + 1 <> n
+UNION ALL SELECT 'reference_order', '2:' || l_orderkey || ':' || l_linenumber, back || ':' || low FROM b WHERE low < back
+""")
+def contiguous_monotone(spark, sf):
+    return checks.mapping_monotone(_line_mapping(spark, sf))
+
+
+@query("""
+WITH a(n, want) AS (VALUES ('FRANCE', 'EUROPE'), ('JAPAN', 'ASIA'), ('NATION_1', 'ASIA'), ('NATION_2', 'AFRICA'))
+SELECT 'anchor' AS rule, a.n AS key, coalesce(r_name, '') AS detail FROM a LEFT JOIN (SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) x ON a.n = n_name WHERE r_name IS DISTINCT FROM want
+""")
+def anchors(spark, sf):
+    want = spark.createDataFrame([("FRANCE", "EUROPE"), ("JAPAN", "ASIA"), ("NATION_1", "ASIA"), ("NATION_2", "AFRICA")], "n_name string, want string")
+    have = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name")
+    return checks.violation(want.join(have, "n_name", "left").filter(~F.col("r_name").eqNullSafe(F.col("want"))), "anchor", F.col("n_name"), F.col("r_name"))
+
+
+@query("""
+SELECT 'orphan_label' AS rule, CAST(doc_id AS VARCHAR) AS key, '' AS detail FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+UNION ALL SELECT 'orphan_order', CAST(l_orderkey AS VARCHAR), '' FROM (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders))
+""")
+def referential_violations(spark, sf):
+    docs = checks.foreign_key(table(spark, sf, "documents"), table(spark, sf, "labels"), ["doc_id"], "label")
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return docs.unionByName(checks.foreign_key(lines, table(spark, sf, "orders"), ["o_orderkey"], "order"))
+
+
+@query("SELECT 'duplicate_line' AS rule, l_orderkey || ':' || l_linenumber AS key, CAST(count(*) AS VARCHAR) AS detail FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1")
+def duplicate_keys(spark, sf):
+    return checks.not_unique(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], "line")
+
+
+@query("SELECT 'page_lines' AS rule, '1:' || conv_id AS key, CAST(count(*) AS VARCHAR) AS detail FROM conversations GROUP BY conv_id HAVING count(*) > 6 OR min(turn) <> 0 OR max(turn) <> count(*) - 1")
+def page_cardinality(spark, sf):
+    """Conversations as pages of at most six lines."""
+    turns = table(spark, sf, "conversations").groupBy("conv_id").agg(F.count("*").alias("n"), F.min("turn").alias("low"), F.max("turn").alias("high"))
+    return checks.violation(turns.filter("n > 6 or low <> 0 or high <> n - 1"), "page_lines", T.key(F.lit("1"), "conv_id"), F.col("n"))
+
+
+@query("""
+WITH w AS (SELECT conv_id, turn, len(list_filter(regexp_split_to_array(text, '[ \\t\\n\\v\\f\\r]+'), lambda x: x <> '')) AS n FROM conversations)
+SELECT CAST(conv_id AS BIGINT) AS surah, min(turn) AS start_page, max(turn) AS end_page, count(*) AS n_pages, CAST(sum(n) AS BIGINT) AS n_lines FROM w WHERE n > 0 GROUP BY conv_id
+""")
+def chapter_rollup(spark, sf):
+    """Conversations as chapters, turns as pages, words as lines: the chapter records of the layout."""
+    word = table(spark, sf, "conversations").select(F.lit(1).alias("edition_id"), big("conv_id").cast("int").alias("surah"), big("turn").cast("int").alias("page"), F.posexplode(T.tokens(F.col("text"))).alias("k", "w"))
+    end = F.struct(F.lit("word").alias("type"), F.col("surah"), F.lit(1).alias("ayah"), F.col("w").alias("word"), (F.col("k") + 1).alias("wordIndex"), F.lit(None).cast("int").alias("number"))
+    lines = word.withColumn("line", F.col("k") + 1).withColumn("first_word", end).withColumn("end_word", end)
+    names = lines.select("edition_id", "surah", F.lit("").alias("surahName")).distinct()
+    out = rollup.chapter_records(lines, names, LayoutSpec())
+    return out.select(big("surahId").alias("surah"), big("startPage").alias("start_page"), big("endPage").alias("end_page"), big("totalPagesInSurah").alias("n_pages"), big("totalCompletedLines").alias("n_lines"))
+
+
+@query("SELECT l_orderkey, CAST(min(l_suppkey) AS BIGINT) AS supplier, arg_min(l_partkey, struct_pack(a := l_suppkey, b := l_extendedprice, c := l_partkey)) AS part FROM lineitem GROUP BY l_orderkey")
+def least_state(spark, sf):
+    order = F.struct("l_suppkey", "l_extendedprice", "l_partkey")
+    return table(spark, sf, "lineitem").groupBy("l_orderkey").agg(big(F.min("l_suppkey")).alias("supplier"), F.min_by("l_partkey", order).alias("part"))
+
+
+@query("SELECT event_id, CAST(dense_rank() OVER (PARTITION BY user_id ORDER BY event_type) AS BIGINT) AS page FROM events")
+def dense_pages(spark, sf):
+    return table(spark, sf, "events").select("event_id", big(F.dense_rank().over(W.partitionBy("user_id").orderBy("event_type"))).alias("page"))
