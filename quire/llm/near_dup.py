@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import drop_table, small_batches, text_of, tidied, write_table
+from ._common import small_batches, text_of, tidied, write_table
 from ._text import mix, raw, words
 
 SHINGLE = 5
@@ -196,24 +196,24 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of all nodes that have links: the smallest node of each component.
 
-    Labels pass along links and jump to their labels' labels, until none changes.
+    Every node goes to its smallest neighbour, twice over; links are redrawn between where their ends went, and those
+    within one place fall away, until none is left. At least half of the places go in a round.
     """
-    both = write_table(links.select("a", "b").union(links.select("b", "a")).distinct(), "arcs")
-    labels = write_table(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("component")), "labels")
-    while True:
-        # from neighbours, and to the label's own label
-        near = both.join(labels, both.b == labels.node).select(F.col("a").alias("node"), "component")
-        back = labels.select(F.col("component").alias("node"), F.col("component").alias("component"))
-        up = labels.alias("x").join(labels.alias("y"), F.col("x.component") == F.col("y.node")).select(F.col("x.node").alias("node"), F.col("y.component").alias("component"))
-        # a component's label also hears of what its members hear of
-        hear = near.join(labels.select("node", F.col("component").alias("head")), "node").select(F.col("head").alias("node"), "component")
-        fresh = write_table(near.union(up).union(hear).union(back).union(labels.select("node", "component")).groupBy("node").agg(F.min("component").alias("component")), "labels")
-        changed = fresh.join(labels.withColumnRenamed("component", "was"), "node").filter("component <> was").limit(1).count()
-        drop_table(labels)
-        labels = fresh
-        if not changed:
-            drop_table(both)
-            return labels
+    links = write_table(links.filter("a <> b").distinct(), "links")
+    labels = links.select(F.col("a").alias("node"), F.col("b").alias("component")).limit(0)
+    first = True
+    while links.limit(1).count():
+        up = links.union(links.select("b", "a")).groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("up"))
+        up = write_table(up, "up")
+        up = write_table(up.join(up.toDF("_at", "_up"), F.col("up") == F.col("_at")).select("node", F.col("_up").alias("up")), "up")
+        if first:
+            labels = up.withColumnRenamed("up", "component")
+        else:
+            labels = labels.join(up.toDF("_at", "_up"), F.col("component") == F.col("_at"), "left").select("node", F.coalesce("_up", "component").alias("component"))
+        labels, first = write_table(labels, "labels"), False
+        moved = links.join(up.toDF("a", "_a"), "a").join(up.toDF("b", "_b"), "b").filter("_a <> _b")
+        links = write_table(moved.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct(), "links")
+    return labels
 
 
 def starred(members: DataFrame) -> DataFrame:
@@ -305,7 +305,8 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         labels = components(links)
         known = write_table(members.join(labels, "node", "left").select("bucket", "band", "node", F.coalesce("component", "node").alias("component"), "weight"), "members")
         more = remaining(known, nodes.select("node", "registers"), sets) if last else verified(starred(known), sets)
-        links = write_table(links.union(more).distinct(), "links")
+        # a component found is a star from now on
+        links = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
     labels = components(links)
     placed = nodes.select("node", "doc_id", "tie").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     heads = placed.groupBy("component").agg(F.min(head_of()).alias("head"))
