@@ -2,8 +2,8 @@
 
 Linked documents start in shards by hash. In each round a document sees, through its links, how many of its neighbours
 every shard holds (joins of members with their links' counts) and asks for the shard with the most. A shard admits
-what its quota leaves: its equal share of all bytes less the linked bytes that it holds. When more ask than fit, a
-hash decides, and the rest stay until a later round. Documents without links cost no cut wherever they are, so that
+as many bytes as want to leave it for the asker's shard, and what its quota leaves: its equal share of all bytes less
+the linked bytes that it holds. When more ask than fit, a hash decides, and the rest stay until a later round. Documents without links cost no cut wherever they are, so that
 they are placed last, in parcels, largest first into the lightest shard, which evens the sizes. Only then, if linked
 documents alone leave shards uneven, do whole links and at last single documents move from heavy shards to light ones.
 
@@ -70,6 +70,19 @@ def even_out(loads: list[int], parcels: dict[int, list[tuple[int, int]]], limit:
         loads[low] += size
 
 
+def admitted(want: dict[tuple[int, int], int], free: list[float]) -> list[list[float]]:
+    """The share of the bytes asked for that may go from each shard to each: what goes the other way too is swapped,
+    and the room left in a shard is split between those who still ask for it."""
+    n = len(free)
+    swapped = {(a, b): min(x, want.get((b, a), 0)) for (a, b), x in want.items()}
+    rest = [sum(x - swapped[a, b] for (a, b), x in want.items() if b == to) for to in range(n)]
+    out = [[0.0] * n for _ in range(n)]
+    for (a, b), x in want.items():
+        more = (x - swapped[a, b]) * min(1.0, free[b] / rest[b]) if rest[b] else 0.0
+        out[a][b] = (swapped[a, b] + more) / x
+    return out
+
+
 def propagate(vertices: DataFrame, members: DataFrame, n_shards: int, capacity: float, rounds: int) -> DataFrame:
     """(v, size, shard) of the linked vertices after at most ``rounds`` rounds.
 
@@ -87,18 +100,18 @@ def propagate(vertices: DataFrame, members: DataFrame, n_shards: int, capacity:
         full = F.array(*[F.struct(F.col("n")[s].alias("neighbours"), F.pmod(F.lit(s) + turn, F.lit(n_shards)).alias("turn"), F.lit(s).alias("to")) for s in shards])
         load = {r.shard: r.b for r in labels.groupBy("shard").agg(F.sum("size").alias("b")).collect()}  # a row for each shard
         free = [max(0.0, capacity - load.get(s, 0)) for s in shards]
-        room = F.array(*[F.lit(x > 0) for x in free])
-        # shards without room are no targets; the own shard always is
+        # in turn: any shard, as others may leave it, and shards with room; the own shard always counts
+        room = F.array(*[F.lit(k % 2 == 0 or x > 0) for x in free])
         target = F.array_max(F.filter(full, lambda x: F.element_at(room, x["to"] + 1) | (x["to"] == F.col("shard"))))["to"]
         asked = labels.join(seen, "v", "left").withColumn("to", F.when(F.col("n").isNull(), F.col("shard")).otherwise(target))
         gained = F.element_at("n", F.col("to") + 1) > F.element_at("n", F.col("shard") + 1) - 1
         asked = write_table(asked.withColumn("to", F.when(gained, F.col("to")).otherwise(F.col("shard"))).select("v", "size", "shard", "to"), "asked")
-        want = {r.to: r.b for r in asked.filter("to <> shard").groupBy("to").agg(F.sum("size").alias("b")).collect()}  # a row for each shard
-        if not want:
+        want = {(r.shard, r.to): r.b for r in asked.filter("to <> shard").groupBy("shard", "to").agg(F.sum("size").alias("b")).collect()}  # a row for each pair of shards
+        if not want and k % 2 == 0:
             drop_table(asked)
             break
-        share = F.array(*[F.lit(min(1.0, free[s] / want[s]) if want.get(s) else 1.0) for s in shards])
-        goes = fraction(F.col("v"), F.lit(k)) < F.element_at(share, F.col("to") + 1)
+        share = admitted(want, free)
+        goes = fraction(F.col("v"), F.lit(k)) < F.element_at(F.element_at(F.array(*[F.array(*map(F.lit, row)) for row in share]), F.col("shard") + 1), F.col("to") + 1)
         fresh = write_table(asked.select("v", "size", F.when(goes, F.col("to")).otherwise(F.col("shard")).alias("shard")), "labels")
         drop_table(labels)
         drop_table(asked)
@@ -106,7 +119,7 @@ def propagate(vertices: DataFrame, members: DataFrame, n_shards: int, capacity:
     return labels
 
 
-def shard(vertices: DataFrame, members: DataFrame, n_shards: int = 8, rounds: int = 6) -> DataFrame:
+def shard(vertices: DataFrame, members: DataFrame, n_shards: int = 8, rounds: int = 8) -> DataFrame:
     """(v, size, shard, linked) of all vertices, sizes near equal.
 
     ``vertices`` (v, size), each v once; ``members`` (v, link), any number of links for a vertex. Links of one member
@@ -159,7 +172,7 @@ def numbered(rows: DataFrame, n: int, order: list[str], out: str = "slot") -> Da
     return ranked.join(before, ["shard", "bucket"]).withColumn(out, (F.col("before") + F.col("rank") - 1).cast("long")).drop("before", "rank", "bucket")
 
 
-def shard_documents(docs: DataFrame, n_shards: int = 8, rounds: int = 6) -> DataFrame:
+def shard_documents(docs: DataFrame, n_shards: int = 8, rounds: int = 8) -> DataFrame:
     """Shards of all rows of ``docs`` (doc_id, text), equal texts linked: doc_id, size, text_crc32, law, shard, slot,
     grown_shard, linked.
 
