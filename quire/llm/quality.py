@@ -9,6 +9,7 @@ SAMPLE_LINES lines, those with the smallest hashes of their ids); scoring covers
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -196,21 +197,22 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     return fit(np.concatenate(own) if own else np.zeros((0, OWN)), np.array([len(x) for x in own], np.int64), np.array([r.quality for r in rows], np.int64))
 
 
-def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of every row of ``docs`` and its score. A null text is the empty text, one empty line."""
+def score(docs: DataFrame, model: Model, keep: list[str], out: str = "score") -> DataFrame:
+    """The columns ``keep`` of every row of ``docs`` and its score, named ``out``. A null text is the empty text, one
+    empty line."""
     small_batches(docs.sparkSession)
     kept = [F.col(f"`{c}`") for c in keep]
-    given = docs.select(text_of("text").alias("__text"), *kept)
+    given = docs.select(text_of("text").alias(f"text_of_{out}"), *kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 found = model.scores(batch.column(0))
-                yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found, pa.float64())], names=[*keep, "score"])
+                yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found, pa.float64())], names=[*keep, out])
 
     from pyspark.sql import types as T
 
-    return given.mapInArrow(tidied(run), T.StructType([*[docs.schema[c] for c in keep], T.StructField("score", T.DoubleType())]))
+    return given.mapInArrow(tidied(run), T.StructType([*[docs.schema[c] for c in keep], T.StructField(out, T.DoubleType())]))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -222,5 +224,5 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are predicted to be good, all columns."""
-    names = docs.columns
-    return score(docs, learn(docs, labels), names).filter(F.col("score") >= THRESHOLD).select(*[F.col(f"`{c}`") for c in names])
+    names, mark = docs.columns, f"score_{uuid.uuid4().hex[:8]}"
+    return score(docs, learn(docs, labels), names, mark).filter(F.col(mark) >= THRESHOLD).select(*[F.col(f"`{c}`") for c in names])
