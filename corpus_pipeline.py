@@ -7,7 +7,6 @@ docs. All stages but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quire.llm import byte_bpe, mixing, near_dup, quality
 from quire.llm._common import new_path
@@ -28,8 +27,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document at least once, those of smaller sources more often, in the order of their permutations."""
-    planned = mixing.plan(docs, mixing.Target(repeats=REPEATS), "mix")
-    return mixing.realise(docs, planned, "mix").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return mixing.mixture(docs, mixing.Target(repeats=REPEATS))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
