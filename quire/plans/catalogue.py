@@ -72,7 +72,7 @@ def html_strip_tags(spark, sf):
 
 @query(f"""
 WITH t AS (SELECT doc_id, unnest({TOKENS.format('text')}) AS w FROM documents),
-p AS (SELECT doc_id, w, regexp_matches(w, '^[0-9]+$') AS d, regexp_matches(w, '^[0-9]+[^0-9]') AS h, regexp_matches(w, '[^0-9][0-9]+$') AS e FROM t WHERE regexp_matches(w, '[0-9]')),
+p AS (SELECT doc_id, w, regexp_matches(w, '^[0-9]+$') AS d, regexp_matches(w, '^[0-9]+[^0-9]') AS h, regexp_matches(w, '[^0-9][0-9]+$') AS e FROM t WHERE w <> ''),
 m AS (
  SELECT doc_id, '' AS token, TRY_CAST(w AS INTEGER) AS marker FROM p WHERE d
  UNION ALL SELECT doc_id, '', TRY_CAST(regexp_extract(w, '^([0-9]+)', 1) AS INTEGER) FROM p WHERE NOT d AND h
@@ -83,7 +83,7 @@ m AS (
 SELECT doc_id, token, CAST(marker AS BIGINT) AS marker, count(*) AS n FROM m GROUP BY ALL
 """)
 def token_marker_split(spark, sf):
-    words = table(spark, sf, "documents").select("doc_id", F.explode(T.tokens(F.col("text"))).alias("w")).filter(F.col("w").rlike("[0-9]"))
+    words = table(spark, sf, "documents").select("doc_id", F.explode(T.tokens(F.col("text"))).alias("w"))
     parts = words.select("doc_id", F.explode(T.split_token(F.col("w"))).alias("p"))
     return parts.groupBy("doc_id", F.col("p.token").alias("token"), big("p.marker").alias("marker")).agg(F.count("*").alias("n"))
 
@@ -195,13 +195,15 @@ def fuzzy_candidates(spark, sf):
 
 @query()
 def fuzzy_segmentation(spark, sf):
-    """Turns of conversations, a letter changed in every fourth word, against their words."""
-    conv = table(spark, sf, "conversations").select(big("conv_id").cast("int").alias("edition_id"), F.lit(1).alias("page"), big("turn").cast("int").alias("line"), F.slice(T.tokens(F.col("text")), 1, 12).alias("w")).filter(F.size("w") > 0)
-    segs = conv.select("edition_id", "page", "line", F.lit(0).alias("seg"), F.lit(1).alias("surah"), F.array_join(F.transform("w", lambda x, i: F.when(i % 4 == 3, F.concat(F.lit("q"), F.substring(x, 2, 99))).otherwise(x)), "").alias("text"), F.lit(None).cast("int").alias("marker"))
-    word = conv.select("edition_id", "page", "line", F.posexplode("w").alias("k", "word"))
-    word = S.ordinal(word, ["edition_id"], ["line", "k"], "pos").select("edition_id", F.lit(1).alias("surah"), F.col("line").alias("ayah"), "page", big("pos").alias("pos"), F.col("word"), F.lit(1).alias("wordIndex"), T.fuzzy_canonical(F.col("word")).alias("f"))
+    """Turns of conversations as pages, eight words a line, a letter changed in every fourth word, against their words."""
+    conv = table(spark, sf, "conversations").select(big("conv_id").cast("int").alias("edition_id"), (F.col("turn") + 1).cast("int").alias("page"), T.tokens(F.col("text")).alias("w")).filter(F.size("w") > 0)
+    line = conv.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.size("w") - 1) / 8).cast("int"))).alias("line"))
+    changed = F.transform(F.slice("w", F.col("line") * 8 + 1, 8), lambda x, i: F.when(i % 4 == 3, F.concat(F.lit("q"), F.substring(x, 2, 9999))).otherwise(x))
+    segs = line.select("edition_id", "page", "line", F.lit(0).alias("seg"), F.lit(1).alias("surah"), F.array_join(changed, "").alias("text"), F.lit(None).cast("int").alias("marker"))
+    word = conv.select("edition_id", "page", F.posexplode("w").alias("k", "word"))
+    word = word.select("edition_id", F.lit(1).alias("surah"), F.lit(1).alias("ayah"), "page", (big("page") * 1_000_000 + F.col("k")).alias("pos"), "word", F.lit(1).alias("wordIndex"), T.fuzzy_canonical(F.col("word")).alias("f"))
     path = align_fuzzy.align_pages(segs, word, LayoutSpec(max_words=16))
-    return path.select("edition_id", "line", "start", "stop", "distance", "status")
+    return path.select("edition_id", "page", "line", "start", "stop", "distance", "status")
 
 
 @query()
