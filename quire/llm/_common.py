@@ -18,7 +18,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
-        return found.rstrip("/")
+        return qualified(spark, found).rstrip("/")
     master = spark.sparkContext.master
     if master.split("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
@@ -28,6 +28,15 @@ def shared_dir(spark: SparkSession) -> str:
     return _fallback[app]
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path as a URI, on the default file system if it names none: Spark and pyarrow then mean the same place."""
+    if "://" in path:
+        return path
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    return uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:16]}"
 
