@@ -1,7 +1,8 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraphs.
 
-A text is cut into paragraphs: its lines, and of lines over PIECE characters pieces of that length, each taken to the
-end of its word. Every distinct paragraph's 64-bit digest is added to three cells, one in each of three subtables; a
+A text is cut into paragraphs: its lines, and of lines over PIECE characters (in texts under SHORT characters over
+SHORT_PIECE) pieces of that length, each taken to the end of its word. When two texts are compared, the second is cut
+as the first is. Every distinct paragraph's 64-bit digest is added to three cells, one in each of three subtables; a
 cell holds a count, the xor of its digests and the xor of their checks. The cells of two versions subtract: what both
 hold cancels out. Peeling takes a cell with a single digest, notes it and removes it from its other cells, until all
 are empty. When cells remain, larger sketches are built and subtracted: digests are dealt by their bits into groups
@@ -27,6 +28,8 @@ from ._common import text_of
 
 #: Characters after which a long line is cut, at the end of a word.
 PIECE = 200
+#: Texts of fewer characters are cut finer.
+SHORT, SHORT_PIECE = 800, 50
 #: Cells in a subtable of the fingerprint itself.
 SMALL = 4
 #: Cells in a subtable of a group's sketch, in its attempts.
@@ -41,10 +44,10 @@ BUCKET_CHARS = 16 << 20
 QUANTILES = 256
 
 
-def paragraphs(text: Column) -> Column:
-    """Distinct digests of a text's paragraphs."""
-    pieces = F.regexp_extract_all(text, F.lit(rf"[^\n]{{1,{PIECE}}}[^\s]*"), F.lit(0))
-    return F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p)))
+def paragraphs(text: Column, short: Column) -> Column:
+    """Distinct digests of a text's paragraphs, cut as those of a short text or not."""
+    pieces = lambda n: F.regexp_extract_all(text, F.lit(rf"[^\n]{{1,{n}}}[^\s]*"), F.lit(0))
+    return F.array_distinct(F.transform(F.when(short, pieces(SHORT_PIECE)).otherwise(pieces(PIECE)), lambda p: F.xxhash64(p)))
 
 
 def check_of(digest: Column) -> Column:
@@ -170,13 +173,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     document's. A null text is the empty text, whose fingerprint has empty cells only. A single document is its own
     next. Other columns are not read. Equal texts have equal fingerprints.
     """
-    text = F.col("text")
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
-    base = base.withColumn("n_chars", F.length(text).cast("long")).withColumn("tie", F.xxhash64(text)).withColumn("own", paragraphs(text))
+    text, short = F.col("text"), F.col("short")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text")).withColumn("n_chars", F.length(text).cast("long"))
+    base = base.withColumn("tie", F.xxhash64(text)).withColumn("short", F.col("n_chars") < SHORT).withColumn("own", paragraphs(text, short))
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    both = with_next(base, ["text", "own"])
+    both = with_next(base, ["text", "short", "own"])
     edited = F.concat(text.substr(F.lit(1), F.col("n_chars").cast("int") - half), F.col("next.text").substr(F.lit(1), half))
-    rows = both.withColumn("edited_text", edited).select("doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"), "own", paragraphs(F.col("edited_text")).alias("edited"), F.col("next.own").alias("other"))
+    rows = both.withColumn("edited_text", edited).withColumn("edited_short", F.length("edited_text") < SHORT)
+    alike = F.when(F.col("next.short") == short, F.col("next.own")).otherwise(paragraphs(F.col("next.text"), short))
+    rows = rows.select("doc_id", "n_chars", "short", "edited_short", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"), "own", paragraphs(F.col("edited_text"), F.col("edited_short")).alias("edited"), F.when(F.col("edited_short") != short, paragraphs(F.col("edited_text"), short)).alias("recut"), alike.alias("other"))
     cells = rows.select("*", *[sketch(F.col(c), SMALL).alias(f"{c}_cells") for c in ("own", "edited", "other")])
-    near = lambda c: likeness(F.col("own"), F.col(c), F.col("own_cells"), F.col(f"{c}_cells"))
-    return cells.select("doc_id", "n_chars", "edited_sha256", as_text(F.col("own_cells")).alias("fingerprint"), as_text(F.col("edited_cells")).alias("edited_fingerprint"), near("edited").alias("near_edited"), near("other").alias("near_next"))
+    cells = cells.withColumn("near_cells", F.when(F.col("recut").isNull(), F.col("edited_cells")).otherwise(sketch(F.col("recut"), SMALL))).withColumn("near", F.coalesce("recut", "edited"))
+    near = lambda c, cs: likeness(F.col("own"), F.col(c), F.col("own_cells"), F.col(cs))
+    return cells.select("doc_id", "n_chars", "edited_sha256", as_text(F.col("own_cells")).alias("fingerprint"), as_text(F.col("edited_cells")).alias("edited_fingerprint"), near("near", "near_cells").alias("near_edited"), near("other", "other_cells").alias("near_next"))
