@@ -42,7 +42,7 @@ MOST = 1 << 13
 HASH_BITS = np.uint64(51)
 SHORT = HASH_BITS - np.uint64(32)
 #: Nodes in a block of the exhaustive comparison.
-BLOCK = 256
+BLOCK = 1024
 #: Ids up to which they are sent to all tasks: 16 bytes each.
 MOST_SENT = 500_000
 
