@@ -1,28 +1,70 @@
+import hashlib
+from collections import Counter
+
+import duckdb
 import pytest
 
 pipeline = pytest.importorskip("corpus_pipeline")
+P = pytest.importorskip("public_tokenizers")
+
+from quire.llm import byte_bpe, mixing  # noqa: E402
+
+from .test_documents import classes  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_stages(spark):
+@pytest.fixture(scope="module")
+def stages(spark):
+    """The input of each stage, and the result."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    names, given = docs.columns, {r.doc_id: r.text for r in docs.collect()}
+    tables = [docs]
+    for _, stage in pipeline.STAGES:
+        docs = stage(spark, docs, SF).persist()
+        tables.append(docs)
+    return tables
+
+
+def test_columns_and_texts(stages):
+    names, given = stages[0].columns, {tuple(r) for r in stages[0].collect()}
+    for out in stages[1:-1]:
+        assert out.columns == names and {tuple(r) for r in out.collect()} <= given
+
+
+def test_quality_stage(spark, stages):
+    """Labelled documents stay or go as labelled."""
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
-    sizes = []
-    for name, stage in pipeline.STAGES:
-        out = stage(spark, docs, SF).persist()
-        if name != "byte_bpe":
-            assert out.columns == names and all(given[r.doc_id] == r.text for r in out.collect())
-        ids = [r.doc_id for r in out.select("doc_id").collect()]
-        sizes.append((len(ids), len(set(ids))))
-        if name == "quality":
-            assert not [i for i, q in labels.items() if q == 0 and i in ids] and not [i for i, q in labels.items() if q == 1 and i not in ids]
-        docs = out
-    (kept, _), (single, distinct), (mixed, after), (coded, _) = sizes
-    assert kept < len(given) and single == distinct < kept and mixed > after == distinct and coded == mixed
-
-
-def test_run(spark):
+    kept = {r.doc_id for r in stages[1].collect()}
+    assert kept & set(labels) == {i for i, q in labels.items() if q == 1} and len(kept) < stages[0].count()
+
+
+def test_near_dedup_stage(stages):
+    rows = sorted((r.doc_id, r.text) for r in stages[1].collect())
+    assert sorted(r.doc_id for r in stages[2].collect()) == sorted(set(classes(rows).values()))
+    assert stages[2].count() < len(rows)
+
+
+def test_mixing_stage(stages):
+    con = duckdb.connect()
+    con.register("documents", stages[2].toArrow())
+    sql = mixing.MIX_SQL.replace("ln(2.0)", f"ln({pipeline.REPEATS})")
+    want = Counter(r[0] for r in con.execute(f"SELECT doc_id FROM ({sql})").fetchall())
+    got = Counter(r.doc_id for r in stages[3].collect())
+    assert got == want and max(got.values()) == 2 and set(got) == {r.doc_id for r in stages[2].collect()}
+
+
+def test_encoding_stage(stages):
+    import tiktoken
+
+    e = tiktoken.Encoding("given", pat_str=P.PATTERN, mergeable_ranks=byte_bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
+    text = {r.doc_id: r.text for r in stages[3].collect()}
+    rows = stages[4].collect()
+    assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in stages[3].collect())
+    for r in rows:
+        ids = e.encode_ordinary(text[r.doc_id])
+        assert list(r.ids) == ids and r.decoded_sha256 == hashlib.sha256(text[r.doc_id].encode()).hexdigest()
+
+
+def test_run(spark, stages):
     rows = pipeline.run(spark, SF)
-    assert rows.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"] and rows.filter("n_tokens <> size(ids)").count() == 0
+    assert sorted(map(str, rows.collect())) == sorted(map(str, stages[4].collect()))
