@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _fallback: dict[str, str] = {}
+_made: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,7 +39,14 @@ def qualified(spark: SparkSession, path: str) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:16]}"
+    _made.append(f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:16]}")
+    return _made[-1]
+
+
+def clean(spark: SparkSession) -> None:
+    """Removes all intermediate tables and files that this process made; results that were not written go with them."""
+    while _made:
+        remove(spark, _made.pop())
 
 
 def write_table(df: DataFrame, label: str) -> DataFrame:
@@ -53,7 +61,10 @@ def write_table(df: DataFrame, label: str) -> DataFrame:
 
 def drop_table(df: DataFrame) -> None:
     """Removes a table of write_table that no later plan reads."""
-    spark, path = df.sparkSession, df._quire_path
+    remove(df.sparkSession, df._quire_path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 

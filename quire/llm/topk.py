@@ -169,7 +169,11 @@ def top_k(table: DataFrame, id_col: str, vector_col: str, every: int = 50, k: in
     own = packed(rows.repartitionByRange(parts, F.desc("norm"), "id").sortWithinPartitions(F.desc("norm"), "id"), width, CANDIDATES, "candidates")
     asked = rows.filter(F.col("id") % every == 0).dropDuplicates(["id"])
     q = packed(asked.repartition(max(1, min(tasks, -(-facts.n // every // QUERIES))), "id"), width, QUERIES, "queries")
-    q = write_table(q.select(F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.xxhash64("ids").alias("q")), "queries")
+    q = q.select(F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.xxhash64("ids").alias("name"))
+    # a row for each QUERIES queries
+    numbers = q.select("name").distinct().withColumn("q", F.row_number().over(W.orderBy("name")) - 1)
+    q = write_table(q.join(numbers, "name").select("q", "q_ids", "q_data"), "queries")
+    n_blocks = q.count()
 
     # the longest block alone gives every query a k-th score to beat
     own = own.withColumn("name", F.xxhash64("ids"))
@@ -177,18 +181,16 @@ def top_k(table: DataFrame, id_col: str, vector_col: str, every: int = 50, k: in
     if top is None:
         return rows.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("score")).limit(0)
     first, rest = own.filter(F.col("name") == top.name), own.filter(F.col("name") != top.name)
-    start = write_table(compared(joined(first, q.withColumn("floors", F.lit(None).cast("array<double>")), q), width, turn, k), "start")
+    start = write_table(compared(joined(first, q.withColumn("floors", F.lit(None).cast("array<double>")), n_blocks), width, turn, k), "start")
     kth = ranked(start, k).filter(F.col("rank") == k).select("query_id", "score")
     floors = with_floors(q, kth)
-    found = write_table(start.unionByName(compared(joined(rest, floors, q), width, turn, k)), "found")
+    found = write_table(start.unionByName(compared(joined(rest, floors, n_blocks), width, turn, k)), "found")
     return ranked(found, k)
 
 
-def joined(blocks: DataFrame, asked: DataFrame, q: DataFrame) -> DataFrame:
-    """Every block of candidates with every block of queries, by an equi-join on the latter's number."""
-    numbers = [r.q for r in q.select("q").collect()]  # a number for each QUERIES queries
-    spread = blocks.withColumn("q", F.explode(F.array(*[F.lit(x) for x in numbers]) if numbers else F.array().cast("array<bigint>")))
-    return spread.join(asked, "q")
+def joined(blocks: DataFrame, asked: DataFrame, n: int) -> DataFrame:
+    """Every block of candidates with every one of n blocks of queries, by an equi-join on the latter's number."""
+    return blocks.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(n - 1)) if n else F.array().cast("array<int>"))).join(asked, "q")
 
 
 def with_floors(q: DataFrame, kth: DataFrame) -> DataFrame:
