@@ -75,3 +75,9 @@ def build_styled(events: DataFrame, paragraphs: DataFrame, spec: LayoutSpec, edi
 def manifest(spec: LayoutSpec, source: dict) -> dict:
     """The manifest of a layout, as written beside its records."""
     return {"schema_version": spec.schema_version, "layout_source": spec.layout_source, "qiraah": spec.qiraah, "font_family": spec.font_family, "source": source, "total_pages": spec.pages, "total_surahs": spec.chapters}
+
+
+def styled_manifest(spec: LayoutSpec, geometry: dict | None, pages: int, chapters: int) -> dict:
+    """The manifest of a styled document's layout: its one font, for which all others were left out, and its geometry."""
+    policy = {"mode": "forced_single_mushaf_font", "forced_font_family": spec.font_family, "other_docx_font_families_ignored": True}
+    return {"schema_version": spec.schema_version, "layout_source": "docx", "font_family": spec.font_family, "font_policy": policy, "document_page_geometry": geometry or {}, "total_pages": pages, "total_surahs": chapters}
