@@ -45,6 +45,10 @@ N_ALL = CLASSES + len(LENGTHS) + 2  # clustered, by length, start of a text
 START = N_ALL - 1
 
 
+#: Keys that a task counts before it passes them on, and new ones that it gathers before it sorts them in.
+FULL, GATHERED = 1 << 20, 1 << 19
+
+
 class Tally:
     """Counts of 64-bit keys in sorted arrays."""
 
@@ -58,7 +62,7 @@ class Tally:
             keys, counts = np.unique(keys, return_counts=True)
         self.new.append((keys, counts))
         self.held += len(keys)
-        if self.held > max(1 << 20, len(self.keys)):
+        if self.held > GATHERED:
             self.merge()
 
     def merge(self) -> None:
@@ -103,7 +107,7 @@ def count_words(docs: DataFrame) -> DataFrame:
             h, s, _ = tokens(batch.column(0))
             # the shape takes the place of the hash's lowest bits on the way: both are one key
             tally.add((h.view(np.int64) & ~np.int64(7)) | s)
-            if len(tally.keys) > 1 << 21:
+            if len(tally.keys) > FULL:
                 tally.merge()
                 shape_of = (tally.keys & 7).astype(np.int8)
                 yield from out(tally)
@@ -189,10 +193,11 @@ def neighbours(docs: DataFrame, shared) -> DataFrame:
         for side, key, slice_of in ((0, keys, left % SLICES), (1, right << 32 | left, right % SLICES)):
             order = np.argsort(slice_of, kind="stable")
             cuts = np.searchsorted(slice_of[order], np.arange(SLICES + 1))
-            rows = [(k, key[o].tobytes(), counts[o].astype("<i8").tobytes()) for k in range(SLICES) if len(o := order[cuts[k] : cuts[k + 1]])]
-            if rows:
-                ks, a, b = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int32()), pa.array([side] * len(ks), pa.int8()), pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["slice", "side", "keys", "counts"])
+            for low in range(0, SLICES, 32):
+                rows = [(k, key[o].tobytes(), counts[o].astype("<i8").tobytes()) for k in range(low, min(SLICES, low + 32)) if len(o := order[cuts[k] : cuts[k + 1]])]
+                if rows:
+                    ks, a, b = zip(*rows, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int32()), pa.array([side] * len(ks), pa.int8()), pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["slice", "side", "keys", "counts"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, pairs = shared.value, Tally()
@@ -200,7 +205,7 @@ def neighbours(docs: DataFrame, shared) -> DataFrame:
             if batch.num_rows:
                 before, unit = units(v, *tokens(batch.column(0)))
                 pairs.add(before << 32 | unit)
-                if len(pairs.keys) > 1 << 21:
+                if len(pairs.keys) > FULL:
                     yield from emit(pairs)
                     pairs = Tally()
         yield from emit(pairs)
@@ -226,7 +231,7 @@ def neighbours(docs: DataFrame, shared) -> DataFrame:
         if held is not None:
             yield done()
 
-    small_batches(docs.sparkSession, 128)
+    small_batches(docs.sparkSession, 64)
     parts = docs.select("text").mapInArrow(tidied(gather), "slice int, side tinyint, keys binary, counts binary")
     # rows are few and large: their tasks must not be merged
     placed = parts.repartition(min(SLICES, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "slice").sortWithinPartitions("slice")
