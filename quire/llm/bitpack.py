@@ -13,7 +13,6 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +26,14 @@ MAGIC = b"QIDS0001"
 #: ids in a block, a multiple of 64.
 BLOCK = 1 << 16
 #: ids that a reader holds at once, about.
-READ = 1 << 22
+READ = 1 << 20
+#: Widths of machine words: these need no shifts.
+WHOLE = {8: "<u1", 16: "<u2", 32: "<u4"}
 TRAILER = struct.Struct("<QQQIII")  # documents, ids, offset of the document table, bits, block, unused
+#: Characters that are split and looked up at once: what stays in a processor's cache.
+TOGETHER = 1 << 18
 #: Pre-tokens that a worker remembers before the older half goes.
-REMEMBERED = 600_000
+REMEMBERED = 700_000
 
 
 def bits_for(vocabulary: int) -> int:
@@ -41,6 +44,10 @@ def bits_for(vocabulary: int) -> int:
 def pack(ids: np.ndarray, bits: int) -> np.ndarray:
     """Little-endian 64-bit words; 64 ids fill exactly ``bits`` words."""
     rows = -(-len(ids) // 64)
+    if bits in WHOLE:
+        whole = np.zeros(rows * 64, WHOLE[bits])
+        whole[: len(ids)] = ids
+        return whole.view("<u8")
     full = np.zeros(rows * 64, np.uint64)
     full[: len(ids)] = ids
     lanes, words = full.reshape(rows, 64), np.zeros((rows, bits), np.uint64)
@@ -53,6 +60,8 @@ def pack(ids: np.ndarray, bits: int) -> np.ndarray:
 
 
 def unpack(words: np.ndarray, n: int, bits: int) -> np.ndarray:
+    if bits in WHOLE:
+        return words.view(WHOLE[bits])[:n].astype(np.uint32)
     words = words.reshape(-1, bits)
     out, mask = np.empty((len(words), 64), np.uint32), np.uint64((1 << bits) - 1)
     for k in range(64):
@@ -145,7 +154,6 @@ class PieceEncoder:
         self.added = regex.compile("|".join(added) or "(?!)").search
         # blocks whose characters all Unicode versions of the last decade class alike
         self.unsure = regex.compile(r"[^\x00-\u02ff\u0391-\u03a1\u03a3-\u03ff\u0400-\u0481\u048a-\u04ff\u05d0-\u05ea\u2010-\u2027\u2030-\u205e\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]").search
-        self.is_word = regex.compile(r" \p{L}+").fullmatch
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -155,37 +163,47 @@ class PieceEncoder:
     def learn(self, pieces: list[str]) -> None:
         """Encodes new pieces. Words that start with a space are split alike when they stand in one string, so that a
         single call encodes many of them."""
+        if self.older:
+            again = [(p, x) for p, x in zip(pieces, map(self.older.get, pieces), strict=True) if x is not None]
+            self.known.update(again)
+            pieces = [p for p in pieces if p not in self.known] if again else pieces
         words, others = [], []
         for p in pieces:
-            if p in self.older:
-                self.known[p] = self.older[p]
-            else:
-                (words if self.is_word(p) else others).append(p)
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
+            (words if p[0] == " " and p[1:].isalpha() else others).append(p)
+        for at in range(0, len(words), 256):
+            part = words[at : at + 256]
             e = self.tok.encode("".join(part), add_special_tokens=False)
-            ids, cuts = np.array(e.ids, "<u4"), np.flatnonzero(np.diff(np.array(e.word_ids), prepend=-1))
+            packed, cuts = np.array(e.ids, "<u4").tobytes(), (4 * np.flatnonzero(np.diff(np.array(e.word_ids), prepend=-1))).tolist()
             if len(cuts) != len(part):
                 others += part
                 continue
-            for p, x in zip(part, np.split(ids, cuts[1:]), strict=True):
-                self.known[p] = x.tobytes()
+            self.known.update(zip(part, map(packed.__getitem__, map(slice, cuts, [*cuts[1:], len(packed)])), strict=True))
         for at in range(0, len(others), 4096):
             part = others[at : at + 4096]
             for p, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 self.known[p] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        out, low, held = [], 0, 0
+        for k, text in enumerate(texts, 1):
+            held += len(text)
+            if held >= TOGETHER or k == len(texts):
+                out += self.encode_some(texts[low:k])
+                low, held = k, 0
+        return out
+
+    def encode_some(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
-        split = [None if self.whole(t) else self.split(t) for t in texts]
-        self.learn(list(set(filterfalse(self.known.__contains__, chain.from_iterable(filter(None, split))))))
+        split = [() if self.whole(t) else self.split(t) for t in texts]
+        found = [list(map(self.known.get, pieces)) for pieces in split]
+        new = [[k for k, x in enumerate(ids) if x is None] for ids in found]
+        self.learn(list({pieces[k] for pieces, at in zip(split, new, strict=True) for k in at}))
         out = []
-        for text, pieces in zip(texts, split, strict=True):
-            if pieces is None:
-                out.append(np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32))
-            else:
-                out.append(np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), "<u4"))
+        for text, pieces, ids, at in zip(texts, split, found, new, strict=True):
+            for k in at:
+                ids[k] = self.known[pieces[k]]
+            out.append(np.frombuffer(b"".join(ids), "<u4") if pieces or not text else np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32))
         return out
 
 
@@ -252,7 +270,7 @@ def read_ids(spark, files: list[tuple[str, int, int]]) -> DataFrame:
                 while k < r.n_docs:
                     stop = max(k + 1, int(np.searchsorted(r.starts, r.starts[k] + READ)))
                     low, high = int(r.starts[k]), int(r.starts[stop - 1] + r.counts[stop - 1])
-                    ids = r.ids(low, high).astype("<u4")
+                    ids = r.ids(low, high).astype("<u4", copy=False)
                     cuts = r.starts[k:stop] - low
                     crc = [zlib.crc32(ids[a : a + n]) for a, n in zip(cuts, r.counts[k:stop], strict=True)]
                     yield pa.RecordBatch.from_arrays([pa.array(r.doc_ids[k:stop], pa.int64(), mask=~r.there[k:stop]), pa.array(r.starts[k:stop] + before), pa.array(r.counts[k:stop]), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
