@@ -228,22 +228,22 @@ def starred(members: DataFrame) -> DataFrame:
 def remaining(members: DataFrame, registers_of: DataFrame, sets: DataFrame) -> DataFrame:
     """The links (a, b) between different components that share a bucket.
 
-    Buckets are cut into blocks of BLOCK nodes, and tasks compare blocks with blocks: a pair in the first band that it
+    Buckets are cut into blocks of BLOCK nodes, and tasks compare blocks with blocks: a pair in every bucket that it
     shares, by registers, and by sets if the registers nearly reach the threshold.
     """
     mixed = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     rows = members.join(mixed, "bucket").join(registers_of.join(sets, "node"), "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "band", "node", "component", "registers", "shingles")
+    rows = rows.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "registers", "shingles")
 
     def compare(part: list[tuple]) -> Iterator[tuple[int, int]]:
-        (_, i, j, _, band, *_) = part[0]
-        comps = np.array([x[6] for x in part])
+        _, i, j, *_ = part[0]
+        comps = np.array([x[5] for x in part])
         if (comps == comps[0]).all():
             return
-        nodes, own = np.array([x[5] for x in part]), np.array([x[3] for x in part])
-        regs = np.frombuffer(b"".join(x[7] for x in part), np.uint8).reshape(len(part), M)
-        sets_of_part = [np.frombuffer(x[8], np.uint32) for x in part]
+        nodes, own = np.array([x[4] for x in part]), np.array([x[3] for x in part])
+        regs = np.frombuffer(b"".join(x[6] for x in part), np.uint8).reshape(len(part), M)
+        sets_of_part = [np.frombuffer(x[7], np.uint32) for x in part]
         for k in range(len(part)):
             if i == j:
                 others = np.arange(k + 1, len(part))
@@ -252,11 +252,7 @@ def remaining(members: DataFrame, registers_of: DataFrame, sets: DataFrame) -> D
             else:
                 continue
             others = others[comps[others] != comps[k]]
-            same = regs[others] == regs[k]
-            near = same.mean(1) >= NEARLY
-            if band:
-                near &= ~same[:, : band * ROWS].reshape(len(others), band, ROWS).all(2).any(1)
-            for x in others[near]:
+            for x in others[(regs[others] == regs[k]).mean(1) >= NEARLY]:
                 if alike(sets_of_part[k], sets_of_part[x]):
                     yield min(nodes[k], nodes[x]), max(nodes[k], nodes[x])
 
@@ -291,11 +287,11 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     its smallest doc_id, and its tie the smallest hash of a text of that id."""
     signed = write_table(sign(docs), "signed")
     nodes = write_table(signed.groupBy("node").agg(F.min(head_of()).alias("head"), F.min("bands").alias("bands"), F.min("registers").alias("registers")).select("node", F.col("head.doc_id").alias("doc_id"), F.col("head.tie").alias("tie"), "bands", "registers"), "nodes")
-    buckets = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    buckets = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).filter("low < high").select("bucket", "n")
-    members = write_table(buckets.join(shared, "bucket").select("bucket", "band", "node", "n"), "members")
+    members = write_table(buckets.join(shared, "bucket").select("bucket", "node", "n"), "members")
     weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
-    members = write_table(members.join(weights, "node").select("bucket", "band", "node", "weight"), "members")
+    members = write_table(members.join(weights, "node").select("bucket", "node", "weight"), "members")
     met = write_table(nodes.select("node", "doc_id").join(weights.select("node"), "node", "left_semi"), "met")
     sets = sets_of(docs, met.select("doc_id", "node"))
 
@@ -303,7 +299,7 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = verified(members.join(hubs, "bucket").filter("node <> b").select(F.col("node").alias("a"), "b").distinct(), sets)
     for last in (False, True):
         labels = components(links)
-        known = write_table(members.join(labels, "node", "left").select("bucket", "band", "node", F.coalesce("component", "node").alias("component"), "weight"), "members")
+        known = write_table(members.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"), "weight"), "members")
         more = remaining(known, nodes.select("node", "registers"), sets) if last else verified(starred(known), sets)
         # a component found is a star from now on
         links = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)

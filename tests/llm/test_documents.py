@@ -290,6 +290,14 @@ def test_near_duplicates_of_odd_rows(spark, odd_docs, no_docs):
     assert set(ids) - {None} == {c for c in of.values() if c is not None} and ids[3] == 1 and ids[5] in (1, 2)
 
 
+def test_pairs_that_agree_in_an_earlier_band_by_chance(spark):
+    """Two nodes whose register bytes agree in all bands, though they share the bucket of a later band only."""
+    members = spark.createDataFrame([(77, 9, k, k, 1) for k in (1, 2)], "bucket long, band int, node long, component long, weight long")
+    sets = spark.createDataFrame([(k, np.arange(100, dtype=np.uint32).tobytes()) for k in (1, 2)], "node long, shingles binary")
+    registers = spark.createDataFrame([(k, bytes(near_dup.M)) for k in (1, 2)], "node long, registers binary")
+    assert [tuple(r) for r in near_dup.remaining(members, registers, sets).collect()] == [(1, 2)]
+
+
 def test_ids_too_many_to_send(spark, monkeypatch):
     rng = random.Random(2)
     rows = [(k, t) for k, t in enumerate(list(copies(rng, 5)) + [prose(rng, 30) for _ in range(5)])]
