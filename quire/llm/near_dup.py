@@ -3,14 +3,16 @@
 Shingles of SHINGLE words are weighted by 1 + ln(times). Each shingle is a Poisson process of arrivals with its weight
 as rate, seeded by its hash; every arrival falls on one of M registers, which keep their earliest arrival and its
 shingle. A shingle is left as soon as its next arrival is later than all registers hold. Registers of two texts agree
-with the probability Jaccard of their weights. BANDS bands of ROWS registers send texts to buckets, and what meets in a
-bucket is verified: two texts are linked if their sets of shingles have a Jaccard of at least 0.8.
+with the probability Jaccard of their weights. BANDS bands of ROWS registers send texts to buckets. A text that repeats
+shingles goes to the buckets of its set too, by registers in which all weights are 1, as copies may differ in repeats
+alone. What meets in a bucket is verified: two texts are linked if their sets of shingles have a Jaccard of at least
+0.8.
 
 Texts with the same set of shingles are one node. In each bucket all nodes are compared with the one that meets most
 others, then, where a bucket still has several components, with one of another component. What is left there is
-compared node by node in blocks within tasks, by registers first and by sets if these nearly reach the threshold, and
-tasks emit links alone. So a bucket of thousands of copies costs as many comparisons as it has members, and no link
-between different texts that meet in a bucket is lost. A class is a connected component.
+compared node by node in blocks within tasks, by sets, and tasks emit links alone. So a bucket of thousands of copies
+costs as many comparisons as it has members, and no link between different texts that meet in a bucket is lost. A
+class is a connected component.
 
 Sets are compared by 32-bit hashes of their shingles.
 """
@@ -33,8 +35,6 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 5
 M = BANDS * ROWS
-#: Share of equal registers from which an exhaustive comparison verifies: four standard deviations below THRESHOLD.
-NEARLY = THRESHOLD - 4 * float(np.sqrt(THRESHOLD * (1 - THRESHOLD) / M))
 #: Bytes of text that one call works on.
 GATHER = 4 << 20
 #: Texts that one call works on, at most; their number and a shingle's hash share 64 bits.
@@ -128,28 +128,38 @@ def set_keys(hashes: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
 
 
 def sign(docs: DataFrame) -> DataFrame:
-    """(doc_id, tie, node, bands, registers): a hash of the text and one of its set, a hash of each band, and a byte of
-    each register."""
+    """(doc_id, tie, node, bands, more): a hash of the text and one of its set, a hash of each band of the set, and
+    those hashes of the weighted bands that are others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
+
+        def bands_of(own: np.ndarray) -> np.ndarray:
+            bands = np.zeros((len(own), BANDS), np.uint64)
+            for k in range(ROWS):
+                bands = mix(bands + own[:, k::ROWS] * _odd[k])
+            return mix(bands + salt)
+
+        def lists(bands: np.ndarray, wanted: np.ndarray) -> pa.ListArray:
+            cuts = np.concatenate(([0], np.cumsum(wanted.sum(1)))).astype(np.int32)
+            return pa.ListArray.from_arrays(pa.array(cuts), pa.array(bands[wanted].view(np.int64)))
+
         for batch in gathered(batches, 1):
             n = batch.num_rows
             h, of, times = shingles(batch.column(1))
-            own = registers(h, of, 1.0 + np.log(times), n)
-            bands = np.zeros((n, BANDS), np.uint64)
-            for k in range(ROWS):
-                bands = mix(bands + own[:, k::ROWS] * _odd[k])
-            bands = mix(bands + salt)
+            bands = bands_of(registers(h, of, np.ones(len(h)), n))
+            weighted = bands.copy()
+            repeats = np.bincount(of, times > 1, minlength=n) > 0
+            if repeats.any():  # without repeats both are the same
+                mine = repeats[of]
+                weighted[repeats] = bands_of(registers(h[mine], (np.cumsum(repeats) - 1)[of[mine]], 1.0 + np.log(times[mine]), int(repeats.sum())))
             some = np.bincount(of, minlength=n) > 0
-            bytes_of = (mix(own) & np.uint64(255)).astype(np.uint8)
-            cuts = np.concatenate(([0], np.cumsum(some * BANDS))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(set_keys(h, of, n)), pa.ListArray.from_arrays(pa.array(cuts), pa.array(bands[some].reshape(-1).view(np.int64))), pa.array([x.tobytes() for x in bytes_of], pa.binary())], names=["doc_id", "tie", "node", "bands", "registers"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(set_keys(h, of, n)), lists(bands, np.repeat(some[:, None], BANDS, 1)), lists(weighted, weighted != bands)], names=["doc_id", "tie", "node", "bands", "more"])
 
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = text_of("text")
-    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("tie")).mapInArrow(tidied(run), f"doc_id {kind}, tie bigint, node bigint, bands array<bigint>, registers binary")
+    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("tie")).mapInArrow(tidied(run), f"doc_id {kind}, tie bigint, node bigint, bands array<bigint>, more array<bigint>")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -225,16 +235,16 @@ def starred(members: DataFrame) -> DataFrame:
     return members.join(picked, "bucket").filter("component <> of").select(F.col("node").alias("a"), "b").distinct()
 
 
-def remaining(members: DataFrame, registers_of: DataFrame, sets: DataFrame) -> DataFrame:
+def remaining(members: DataFrame, sets: DataFrame) -> DataFrame:
     """The links (a, b) between different components that share a bucket.
 
     Buckets are cut into blocks of BLOCK nodes, and tasks compare blocks with blocks: a pair in every bucket that it
-    shares, by registers, and by sets if the registers nearly reach the threshold.
+    shares, by sets.
     """
     mixed = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = members.join(mixed, "bucket").join(registers_of.join(sets, "node"), "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = members.join(mixed, "bucket").join(sets, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "registers", "shingles")
+    rows = rows.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "shingles")
 
     def compare(part: list[tuple]) -> Iterator[tuple[int, int]]:
         _, i, j, *_ = part[0]
@@ -242,8 +252,14 @@ def remaining(members: DataFrame, registers_of: DataFrame, sets: DataFrame) -> D
         if (comps == comps[0]).all():
             return
         nodes, own = np.array([x[4] for x in part]), np.array([x[3] for x in part])
-        regs = np.frombuffer(b"".join(x[6] for x in part), np.uint8).reshape(len(part), M)
-        sets_of_part = [np.frombuffer(x[7], np.uint32) for x in part]
+        sizes = np.array([len(x[6]) // 4 for x in part])
+        every = np.frombuffer(b"".join(x[6] for x in part), np.uint32)
+        # numbers of the shingles; what only one set of the part has is left out
+        numbers, times = np.unique(every, return_inverse=True, return_counts=True)[1:]
+        kept = times[numbers] > 1
+        starts = np.concatenate(([0], np.cumsum(kept)))[np.concatenate(([0], np.cumsum(sizes)))]
+        numbers = numbers[kept].astype(np.int32)
+        flags = np.zeros(len(times) + 1, bool)
         for k in range(len(part)):
             if i == j:
                 others = np.arange(k + 1, len(part))
@@ -252,9 +268,17 @@ def remaining(members: DataFrame, registers_of: DataFrame, sets: DataFrame) -> D
             else:
                 continue
             others = others[comps[others] != comps[k]]
-            for x in others[(regs[others] == regs[k]).mean(1) >= NEARLY]:
-                if alike(sets_of_part[k], sets_of_part[x]):
-                    yield min(nodes[k], nodes[x]), max(nodes[k], nodes[x])
+            others = others[np.minimum(sizes[others], sizes[k]) >= THRESHOLD * np.maximum(sizes[others], sizes[k])]
+            mine = numbers[starts[k] : starts[k + 1]]
+            if not len(others) or not len(mine):
+                continue
+            flags[mine] = True
+            first, end = others[0], others[-1] + 1
+            hits = np.concatenate(([0], np.cumsum(flags[numbers[starts[first] : starts[end]]], dtype=np.int32)))
+            both = hits[starts[others + 1] - starts[first]] - hits[starts[others] - starts[first]]
+            flags[mine] = False
+            for x in others[both >= THRESHOLD * (sizes[others] + sizes[k] - both)]:
+                yield min(nodes[k], nodes[x]), max(nodes[k], nodes[x])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part: list[tuple] = []
@@ -286,8 +310,8 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(signed, classes): each row's (doc_id, tie, node), and (node, class_id, class_tie) of every node; a class's id is
     its smallest doc_id, and its tie the smallest hash of a text of that id."""
     signed = write_table(sign(docs), "signed")
-    nodes = write_table(signed.groupBy("node").agg(F.min(head_of()).alias("head"), F.min("bands").alias("bands"), F.min("registers").alias("registers")).select("node", F.col("head.doc_id").alias("doc_id"), F.col("head.tie").alias("tie"), "bands", "registers"), "nodes")
-    buckets = nodes.select("node", F.explode("bands").alias("bucket"))
+    nodes = write_table(signed.groupBy("node").agg(F.min(head_of()).alias("head"), F.min("bands").alias("bands")).select("node", F.col("head.doc_id").alias("doc_id"), F.col("head.tie").alias("tie"), "bands"), "nodes")
+    buckets = nodes.select("node", F.explode("bands").alias("bucket")).union(signed.select("node", F.explode("more").alias("bucket")).distinct())
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).filter("low < high").select("bucket", "n")
     members = write_table(buckets.join(shared, "bucket").select("bucket", "node", "n"), "members")
     weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
@@ -300,7 +324,7 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     for last in (False, True):
         labels = components(links)
         known = write_table(members.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"), "weight"), "members")
-        more = remaining(known, nodes.select("node", "registers"), sets) if last else verified(starred(known), sets)
+        more = remaining(known, sets) if last else verified(starred(known), sets)
         # a component found is a star from now on
         links = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
     labels = components(links)

@@ -291,11 +291,33 @@ def test_near_duplicates_of_odd_rows(spark, odd_docs, no_docs):
 
 
 def test_pairs_that_agree_in_an_earlier_band_by_chance(spark):
-    """Two nodes whose register bytes agree in all bands, though they share the bucket of a later band only."""
+    """Two nodes that share the bucket of a later band only."""
     members = spark.createDataFrame([(77, 9, k, k, 1) for k in (1, 2)], "bucket long, band int, node long, component long, weight long")
     sets = spark.createDataFrame([(k, np.arange(100, dtype=np.uint32).tobytes()) for k in (1, 2)], "node long, shingles binary")
-    registers = spark.createDataFrame([(k, bytes(near_dup.M)) for k in (1, 2)], "node long, registers binary")
-    assert [tuple(r) for r in near_dup.remaining(members, registers, sets).collect()] == [(1, 2)]
+    assert [tuple(r) for r in near_dup.remaining(members, sets).collect()] == [(1, 2)]
+
+
+def test_near_duplicates_that_differ_in_repeats(spark):
+    """Copies of which one repeats a passage 1, 20 or 1,000 times: their sets are alike, their weights are not."""
+    rows = []
+    for k, n in enumerate((1, 20, 1000) * 4):
+        plain, passage = ([f"{c}{k}x{j}" for j in range(m)] for c, m in (("p", 74), ("r", 30)))
+        for c in "ab":
+            end = [f"{c}{k}x{j}" for j in range(3)]
+            rows.append((len(rows), " ".join(plain + passage * (n if c == "a" else 1) + end)))
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: k // 2 * 2 for k, _ in rows} == classes(rows)
+
+
+def test_the_last_comparison_equals_all_pairs(spark, monkeypatch):
+    """One bucket of nodes that are their own components, in blocks of a few."""
+    monkeypatch.setattr(near_dup, "BLOCK", 5)
+    rng = random.Random(8)
+    sets = {k: set(rng.sample(range(1000 * (k % 3), 1000 * (k % 3) + 24), rng.randint(18, 24))) | ({9000 + k} if k % 2 else set()) for k in range(40)}
+    want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    members = spark.createDataFrame([(77, k, k, 1) for k in sets], "bucket long, node long, component long, weight long")
+    given = spark.createDataFrame([(k, np.array(sorted(x), np.uint32).tobytes()) for k, x in sets.items()], "node long, shingles binary")
+    assert want and {tuple(r) for r in near_dup.remaining(members, given).collect()} == want
 
 
 def test_ids_too_many_to_send(spark, monkeypatch):
