@@ -309,6 +309,16 @@ def test_near_duplicates_that_differ_in_repeats(spark):
     assert got == {k: k // 2 * 2 for k, _ in rows} == classes(rows)
 
 
+def test_near_duplicates_of_texts_with_one_set(spark):
+    """Texts of one set in which one of two passages repeats 2 and the other 300 times, and near copies of one of them."""
+    rows = []
+    for k in range(8):
+        p, q = ([f"{c}{k}x{j}" for j in range(50)] for c in "pq")
+        rows += [(len(rows) + x, " ".join(p * n + q * m + [f"{c}{k}x{j}" for j in range(3)])) for x, (n, m, c) in enumerate(((2, 300, "a"), (300, 2, "a"), (2, 300, "b")))]
+    got = {r.doc_id: r.class_id for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: k // 3 * 3 for k, _ in rows} == classes(rows)
+
+
 def test_the_last_comparison_equals_all_pairs(spark, monkeypatch):
     """One bucket of nodes that are their own components, in blocks of a few."""
     monkeypatch.setattr(near_dup, "BLOCK", 5)
