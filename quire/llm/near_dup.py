@@ -43,7 +43,7 @@ HASH_BITS = np.uint64(51)
 SHORT = HASH_BITS - np.uint64(32)
 #: Nodes in a block of the exhaustive comparison.
 BLOCK = 1024
-#: Ids up to which they are sent to all tasks: 16 bytes each.
+#: Ids up to which they are sent to all tasks: 24 bytes each.
 MOST_SENT = 500_000
 
 _odd = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -163,7 +163,7 @@ def sign(docs: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, shingles) of the wanted (doc_id, node): the sorted hashes of their sets."""
+    """(node, shingles) of the wanted (doc_id, tie, node): the sorted hashes of their sets. Null ids are equal here."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, 0):
@@ -174,10 +174,12 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             right = np.flatnonzero(keys == batch.column(1).to_numpy())
             yield pa.RecordBatch.from_arrays([pa.array(keys[right]), pa.array([np.unique((h[cuts[k] : cuts[k + 1]] >> SHORT).astype(np.uint32)).tobytes() for k in right], pa.binary())], names=["node", "shingles"])
 
+    wanted = wanted.toDF("_doc_id", "_tie", "node")
     if wanted.count() <= MOST_SENT:
         wanted = F.broadcast(wanted)
     small_batches(docs.sparkSession)
-    given = docs.select("doc_id", text_of("text").alias("text")).join(wanted, "doc_id").select("text", "node")
+    rows = docs.select("doc_id", text_of("text").alias("text"), F.xxhash64(text_of("text")).alias("tie"))
+    given = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("tie") == F.col("_tie"))).select("text", "node")
     return write_table(given.mapInArrow(tidied(run), "node bigint, shingles binary").dropDuplicates(["node"]), "sets")
 
 
@@ -316,8 +318,8 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = write_table(buckets.join(shared, "bucket").select("bucket", "node", "n"), "members")
     weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
     members = write_table(members.join(weights, "node").select("bucket", "node", "weight"), "members")
-    met = write_table(nodes.select("node", "doc_id").join(weights.select("node"), "node", "left_semi"), "met")
-    sets = sets_of(docs, met.select("doc_id", "node"))
+    met = write_table(nodes.select("node", "doc_id", "tie").join(weights.select("node"), "node", "left_semi"), "met")
+    sets = sets_of(docs, met.select("doc_id", "tie", "node"))
 
     hubs = members.groupBy("bucket").agg(F.max_by("node", F.struct("weight", "node")).alias("b"))
     links = verified(members.join(hubs, "bucket").filter("node <> b").select(F.col("node").alias("a"), "b").distinct(), sets)

@@ -319,6 +319,18 @@ def test_near_duplicates_of_texts_with_one_set(spark):
     assert got == {k: k // 3 * 3 for k, _ in rows} == classes(rows)
 
 
+def test_near_copies_without_ids(spark):
+    rng = random.Random(13)
+    base = prose(rng, 200)
+    groups = [[f"{base} {k}{c}" for c in "abc"] if k < 1 else [f"{prose(rng, 200)} x{k}"] * 2 for k in range(3)]
+    rows = [(None, t) for g in groups for t in g] + [(7, f"{groups[1][0]} end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(r.class_id for r in near_dup.near_duplicates(docs).collect())
+    assert got == {None: 5, 7: 3}
+    kept = sorted(r.text for r in near_dup.keep_one(docs).collect())
+    assert len(kept) == 3 and kept.count(f"{groups[1][0]} end") == 1 and kept.count(groups[2][0]) == 1
+
+
 def test_the_last_comparison_equals_all_pairs(spark, monkeypatch):
     """One bucket of nodes that are their own components, in blocks of a few."""
     monkeypatch.setattr(near_dup, "BLOCK", 5)
