@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bytes of an Arrow batch that is sent to a Python worker, about; a row may be larger.
+BATCH_BYTES = 4 << 20
+
 _fallback: dict[str, str] = {}
 _made: list[str] = []
 
@@ -59,6 +62,20 @@ def write_table(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def mark() -> int:
+    """Where the tables and files stand that this process has made so far, for drop_since()."""
+    return len(_made)
+
+
+def drop_since(spark: SparkSession, start: int, *kept: DataFrame) -> None:
+    """Removes what was made since mark() gave ``start``, but for tables of write_table that later plans read."""
+    keep = {df._quire_path for df in kept}
+    gone = [path for path in _made[start:] if path not in keep]
+    _made[start:] = [path for path in _made[start:] if path in keep]
+    for path in gone:
+        remove(spark, path)
+
+
 def drop_table(df: DataFrame) -> None:
     """Removes a table of write_table that no later plan reads."""
     remove(df.sparkSession, df._quire_path)
@@ -69,9 +86,12 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Arrow batches of few rows: texts can be long, and a Python worker holds a whole batch."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of few rows and bytes: texts can be long, and a Python worker holds a whole batch.
+
+    These are settings of the session that hold when a result is computed, so all operators set the same."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def tidied(run):

@@ -231,7 +231,7 @@ def neighbours(docs: DataFrame, shared) -> DataFrame:
         if held is not None:
             yield done()
 
-    small_batches(docs.sparkSession, 64)
+    small_batches(docs.sparkSession)
     parts = docs.select("text").mapInArrow(tidied(gather), "slice int, side tinyint, keys binary, counts binary")
     # rows are few and large: their tasks must not be merged
     placed = parts.repartition(min(SLICES, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "slice").sortWithinPartitions("slice")
@@ -253,7 +253,7 @@ def profiles(keys, counts, k: int, n_units: int, classes: np.ndarray) -> np.ndar
 
 def exchange(slices: DataFrame, n_units: int) -> tuple[np.ndarray, np.ndarray]:
     """(class of each unit, counts of class bigrams) after the exchange."""
-    small_batches(slices.sparkSession, 1)  # rows are large
+    small_batches(slices.sparkSession)
     every = n_units + len(LENGTHS) + 2
     classes = np.concatenate((np.arange(n_units) % CLASSES, CLASSES + np.arange(len(LENGTHS) + 2))).astype(np.int64)
 

@@ -9,8 +9,8 @@ alone. What meets in a bucket is verified: two texts are linked if their sets of
 0.8.
 
 Texts with the same set of shingles are one node. In each bucket all nodes are compared with the one that meets most
-others, then, where a bucket still has several components, with one of another component. What is left there is
-compared node by node in blocks within tasks, by sets, and tasks emit links alone. So a bucket of thousands of copies
+others, then, where a bucket still has several components, with one of another component, in several rounds while many
+pairs are left. What is left then is compared node by node in blocks within tasks, by sets, and tasks emit links alone. So a bucket of thousands of copies
 costs as many comparisons as it has members, and no link between different texts that meet in a bucket is lost. A
 class is a connected component.
 
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import small_batches, text_of, tidied, write_table
+from ._common import drop_since, mark, small_batches, text_of, tidied, write_table
 from ._text import mix, raw, words
 
 SHINGLE = 5
@@ -43,6 +43,9 @@ HASH_BITS = np.uint64(51)
 SHORT = HASH_BITS - np.uint64(32)
 #: Nodes in a block of the exhaustive comparison.
 BLOCK = 1024
+#: Rounds of stars before the exhaustive comparison, at most, and the pairs left for each place in a bucket at which it
+#: comes at once. Both move work only: what stars do not link is compared node by node.
+MOST_STARS, FEW_PAIRS = 4, 256
 #: Ids up to which they are sent to all tasks: 24 bytes each.
 MOST_SENT = 500_000
 
@@ -228,15 +231,23 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
-def starred(members: DataFrame) -> DataFrame:
-    """(a, b): in each bucket of ``members`` (bucket, node, component, weight), the node of the highest weight that is
-    not of the bucket's first component, if there are two, with all nodes of other components."""
+def starred(members: DataFrame, turn: int) -> DataFrame:
+    """(a, b): in each bucket of ``members`` (bucket, node, component, weight), a node that is not of the component of
+    the bucket's heaviest node, if there are two, with all nodes of other components. The first turn takes the heaviest
+    such node, later ones others by hash."""
     first = members.groupBy("bucket").agg(F.max_by("component", F.struct("weight", "node")).alias("main"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
     others = members.join(first.select("bucket", "main"), "bucket")
-    picked = others.filter("component <> main").groupBy("bucket").agg(F.max_by(F.struct("node", "component"), F.struct("weight", "node")).alias("s")).select("bucket", F.col("s.node").alias("b"), F.col("s.component").alias("of"))
+    rank = F.struct("weight", "node") if turn == 0 else F.struct(F.xxhash64("node", F.lit(turn)), "node")
+    picked = others.filter("component <> main").groupBy("bucket").agg(F.max_by(F.struct("node", "component"), rank).alias("s")).select("bucket", F.col("s.node").alias("b"), F.col("s.component").alias("of"))
     return members.join(picked, "bucket").filter("component <> of").select(F.col("node").alias("a"), "b").distinct()
 
 
+def pairs_left(members: DataFrame) -> float:
+    """The pairs of nodes in buckets that still hold several components."""
+    mixed = members.groupBy("bucket").agg(F.count("*").cast("double").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+    return mixed.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0.0
+
+
 def remaining(members: DataFrame, sets: DataFrame) -> DataFrame:
     """The links (a, b) between different components that share a bucket.
 
@@ -311,6 +322,7 @@ def head_of() -> Column:
 def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(signed, classes): each row's (doc_id, tie, node), and (node, class_id, class_tie) of every node; a class's id is
     its smallest doc_id, and its tie the smallest hash of a text of that id."""
+    start = mark()
     signed = write_table(sign(docs), "signed")
     nodes = write_table(signed.groupBy("node").agg(F.min(head_of()).alias("head"), F.min("bands").alias("bands")).select("node", F.col("head.doc_id").alias("doc_id"), F.col("head.tie").alias("tie"), "bands"), "nodes")
     buckets = nodes.select("node", F.explode("bands").alias("bucket")).union(signed.select("node", F.explode("more").alias("bucket")).distinct())
@@ -323,17 +335,21 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     hubs = members.groupBy("bucket").agg(F.max_by("node", F.struct("weight", "node")).alias("b"))
     links = verified(members.join(hubs, "bucket").filter("node <> b").select(F.col("node").alias("a"), "b").distinct(), sets)
-    for last in (False, True):
+    turn, last = 0, False
+    while not last:
         labels = components(links)
         known = write_table(members.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"), "weight"), "members")
-        more = remaining(known, sets) if last else verified(starred(known), sets)
+        last = turn > 0 and (turn == MOST_STARS or pairs_left(known) <= FEW_PAIRS * max(1, known.count()))
+        more = remaining(known, sets) if last else verified(starred(known, turn), sets)
         # a component found is a star from now on
-        links = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
+        links, turn = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), turn + 1
     labels = components(links)
     placed = nodes.select("node", "doc_id", "tie").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     heads = placed.groupBy("component").agg(F.min(head_of()).alias("head"))
     classes = placed.join(heads, "component").select("node", F.col("head.doc_id").alias("class_id"), F.col("head.tie").alias("class_tie"))
-    return signed.select("doc_id", "tie", "node"), write_table(classes, "classes")
+    classes = write_table(classes, "classes")
+    drop_since(docs.sparkSession, start, signed, classes)
+    return signed.select("doc_id", "tie", "node"), classes
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -350,14 +366,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each class of near-duplicates, that of the smallest doc_id (nulls last) and text hash, with all
     columns of ``docs``. Of repeated rows one stays."""
-    names, at = docs.columns, [f"{c}_{uuid.uuid4().hex[:8]}" for c in ("id", "tie")]
+    names, at = docs.columns, [f"{c}_{uuid.uuid4().hex[:8]}" for c in ("id", "tie", "of", "n")]
     signed, classes = link(docs)
     judged = write_table(signed.join(classes, "node").select("doc_id", "tie", (F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("tie") == F.col("class_tie"))).alias("stays")), "judged")
     gone = judged.filter("not stays").select(F.col("doc_id").alias(at[0]), F.col("tie").alias(at[1])).distinct()
     if gone.count() <= MOST_SENT:
         gone = F.broadcast(gone)
-    rows = docs.withColumn("__tie", F.xxhash64(text_of("text"))).join(gone, F.col("doc_id").eqNullSafe(F.col(at[0])) & (F.col("__tie") == F.col(at[1])), "left_anti")
+    rows = docs.withColumn(at[2], F.xxhash64(text_of("text"))).join(gone, F.col("doc_id").eqNullSafe(F.col(at[0])) & (F.col(at[2]) == F.col(at[1])), "left_anti")
     repeated = judged.filter("stays").groupBy("doc_id", "tie").count().filter("count > 1").limit(1).count()
     if repeated:
-        rows = rows.withColumn("__n", F.row_number().over(W.partitionBy("doc_id", "__tie").orderBy("__tie"))).filter("__n = 1")
+        rows = rows.withColumn(at[3], F.row_number().over(W.partitionBy("doc_id", at[2]).orderBy(at[2]))).filter(F.col(at[3]) == 1)
     return rows.select(*[F.col(f"`{c}`") for c in names])

@@ -349,3 +349,52 @@ def test_ids_too_many_to_send(spark, monkeypatch):
     want = sorted(map(tuple, near_dup.keep_one(docs).collect()))
     monkeypatch.setattr(near_dup, "MOST_SENT", 0)
     assert sorted(map(tuple, near_dup.keep_one(docs).collect())) == want
+
+
+def test_columns_of_the_same_names_as_those_at_work(spark):
+    rows = [(1, "a b c d e f", 7, 8), (2, "a b c d e f", 9, 10), (1, "a b c d e f", 7, 8), (3, "other words are in this text", 1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __tie long, __n long")
+    kept = near_dup.keep_one(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [rows[0], rows[3]]
+
+
+def links(texts):
+    """All pairs of different sets with a Jaccard of 0.8 or more, through an index of the shingles."""
+    sets = {}
+    for t in texts:
+        sets.setdefault(shingles(t), len(sets))
+    index = defaultdict(list)
+    for s, k in sets.items():
+        for x in s:
+            index[x].append(k)
+    of = {k: s for s, k in sets.items()}
+    found = set()
+    for k, s in of.items():
+        for j, n in Counter(j for x in s for j in index[x] if j < k).items():
+            if n >= 0.8 * (len(s) + len(of[j]) - n):
+                found.add((j, k))
+    return sets, found
+
+
+def test_every_link_of_a_table(spark, monkeypatch):
+    """All near copies of the documents at sf0.01, with a further round of stars."""
+    monkeypatch.setattr(near_dup, "MOST_STARS", 2)
+    monkeypatch.setattr(near_dup, "FEW_PAIRS", 0)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = sorted(map(tuple, docs.collect()))
+    of = {r.doc_id: r.class_id for r in near_dup.near_duplicates(docs).collect()}
+    sets, found = links([t for _, t in rows])
+    first = {}
+    for k, t in rows:
+        first.setdefault(sets[shingles(t)], k)
+    assert found and all(of[first[a]] == of[first[b]] for a, b in found)
+    parent = {k: k for k in of}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in [(first[a], first[b]) for a, b in found] + [(first[sets[shingles(t)]], k) for k, t in rows]:
+        parent[max(find(a), find(b))] = min(find(a), find(b))
+    assert of == {k: find(k) for k in of}
