@@ -16,7 +16,7 @@ def op1_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"), mixing.Target(repeats=2.0))
+    return mixing.mix(table(spark, sf_dir, "documents"), mixing.Target(repeats=mixing.QUERY_REPEATS))
 
 
 def op3_brown_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

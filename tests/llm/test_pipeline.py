@@ -47,7 +47,7 @@ def test_near_dedup_stage(stages):
 def test_mixing_stage(stages):
     con = duckdb.connect()
     con.register("documents", stages[2].toArrow())
-    sql = mixing.MIX_SQL.replace("ln(2.0)", f"ln({pipeline.REPEATS})")
+    sql = mixing.MIX_SQL.replace(f"ln({mixing.QUERY_REPEATS})", f"ln({pipeline.REPEATS})")
     want = Counter(r[0] for r in con.execute(f"SELECT doc_id FROM ({sql})").fetchall())
     got = Counter(r.doc_id for r in stages[3].collect())
     assert got == want and max(got.values()) == 2 and set(got) == {r.doc_id for r in stages[2].collect()}
