@@ -1,15 +1,16 @@
 """Exact top-k inner products by norms, rotated partial sums and residual bounds.
 
 Candidates are range-partitioned by descending length and packed into blocks, so that a block's first vector bounds
-all of its others. All vectors are rotated by the singular vectors of the candidates, which gathers most of an inner
-product in the first HEAD coordinates. A query first meets the longest candidates and so gets a lower bound, its
-current k-th score. Then it skips every block whose longest vector times its own length stays below (Cauchy-Schwarz);
-in the others the partial sum over the first coordinates plus the product of the lengths of the rests bounds each
-score, and only what may reach the k-th score is computed in full, from the integers. Ties go to the smaller id, so
-that candidates that only equal the bound are kept.
-
-Queries travel in blocks too. Every pair of a candidate block and a query block is one row of a join on the query
-block's number; no pair of vectors is ever a row, and a task holds one block of each side at a time.
+all of its others. All vectors are rotated once by the singular vectors of the candidates, which gathers most of an
+inner product in the first HEAD coordinates. A query first meets the longest candidates and so gets a lower bound, its
+current k-th score. A block of queries is then sent to those blocks alone whose longest vector, times the length of one
+of its queries, reaches that query's score (Cauchy-Schwarz). There the partial sum over the first coordinates plus the
+product of the lengths of the rests bounds each score, and only what may reach the k-th score is computed in full, from
+the integers. Ties go to the smaller id, so that candidates that only equal the bound are kept.
+
+Queries travel in blocks too. Every pair of a candidate block and a query block that may hold a result is one row of a
+join on the candidate block's number; no pair of vectors is ever a row, and a task holds one block of each side at a
+time.
 """
 
 from __future__ import annotations
@@ -18,11 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import small_batches, tidied, write_table
+from ._common import drop_since, mark, small_batches, tidied, write_table
 
 #: Vectors in a block of candidates and of queries.
 CANDIDATES, QUERIES = 4096, 1024
@@ -70,18 +72,32 @@ def rotation(rows: DataFrame, width: int) -> np.ndarray:
     return np.linalg.eigh(gram)[1][:, ::-1]
 
 
-def packed(rows: DataFrame, width: int, size: int, label: str) -> DataFrame:
-    """(block, n, longest, ids, data) of rows (id, x, norm) in the order that they come in each partition."""
+PACKED = "part int, at int, n int, longest double, ids array<bigint>, data binary, heads binary, rests array<double>, norms array<double>"
+
+
+def packed(rows: DataFrame, width: int, turn: np.ndarray, size: int, label: str) -> DataFrame:
+    """Blocks (PACKED) of rows (id, x), each partition's rows in descending length: where the block stands (part, at),
+    its ids and vectors, the first rotated coordinates, the lengths of the rests and of the whole vectors."""
+    head = max(1, int(np.ceil(HEAD * width)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        n = 0
+        n, at, part = 0, 0, TaskContext.get().partitionId()
 
         def block(ids: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
-            longest = float(np.sqrt((x * x).sum(1).max()))
-            return pa.RecordBatch.from_arrays([pa.array([len(ids)], pa.int32()), pa.array([longest]), pa.array([ids], pa.list_(pa.int64())), pa.array([x.astype("<f8").tobytes()], pa.binary())], names=["n", "longest", "ids", "data"])
+            nonlocal at
+            norms = np.linalg.norm(x, axis=1)
+            order = np.argsort(-norms, kind="stable")
+            ids, x, norms = ids[order], x[order], norms[order]
+            turned = x @ turn
+            at += 1
+            values = [pa.array([k], pa.int32()) for k in (part, at - 1, len(ids))]
+            lists = [pa.array([v], pa.list_(pa.float64())) for v in (np.linalg.norm(turned[:, head:], axis=1), norms)]
+            return pa.RecordBatch.from_arrays([*values, pa.array([norms[0]]), pa.array([ids], pa.list_(pa.int64())), *[pa.array([m.astype("<f8").tobytes()], pa.binary()) for m in (x, turned[:, :head])], *lists], names=[c.split()[0] for c in PACKED.split(", ")])
 
         for batch in batches:
+            if not batch.num_rows:
+                continue
             held.append((batch.column(0).to_numpy(), matrix(batch.column(1), width)))
             n += batch.num_rows
             if n >= size:
@@ -93,30 +109,33 @@ def packed(rows: DataFrame, width: int, size: int, label: str) -> DataFrame:
         if n:
             yield block(np.concatenate([a for a, _ in held]), np.concatenate([b for _, b in held]))
 
-    return write_table(rows.select("id", "x").mapInArrow(tidied(run), "n int, longest double, ids array<bigint>, data binary"), label)
+    return write_table(rows.select("id", "x").mapInArrow(tidied(run), PACKED), label)
+
+
+class Block:
+    """A block's columns as arrays."""
+
+    def __init__(self, ids, data, heads, rests, norms, width: int):
+        self.ids, self.rests, self.norms = (c.values.to_numpy() for c in (ids, rests, norms))
+        self.x = np.frombuffer(data.as_buffer(), "<f8").reshape(-1, width)
+        self.heads = np.frombuffer(heads.as_buffer(), "<f8").reshape(len(self.x), -1)
 
 
-def best_of(queries: np.ndarray, floor: np.ndarray, q_ids: np.ndarray, ids: np.ndarray, x: np.ndarray, turn: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def best_of(q: Block, floor: np.ndarray, c: Block, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(query rows, candidate ids, scores): each query's best k of a block, of those that reach ``floor``."""
-    head = max(1, int(np.ceil(HEAD * x.shape[1])))
-    q_rot, x_rot = queries @ turn, x @ turn
-    q_rest, x_rest = np.linalg.norm(q_rot[:, head:], axis=1), np.linalg.norm(x_rot[:, head:], axis=1)
-    x_norm = np.linalg.norm(x, axis=1)
-    order = np.argsort(-x_norm, kind="stable")
-    ids, x, x_rot, x_rest, x_norm = ids[order], x[order], x_rot[order], x_rest[order], x_norm[order]
-    for r in range(len(queries)):
-        length = float(np.linalg.norm(queries[r]))
+    for r in range(len(q.ids)):
+        length = float(q.norms[r])
         scores_of, ids_of, low, at, step = np.zeros(0), np.zeros(0, np.int64), floor[r], 0, 4 * k
-        while at < len(ids):
-            slack = SLACK * (1 + length * x_norm[at])
-            if length * x_norm[at] + slack < low:
+        while at < len(c.ids):
+            slack = SLACK * (1 + length * c.norms[at])
+            if length * c.norms[at] + slack < low:
                 break  # all later ones are no longer
             part = slice(at, at + step)
-            bound = x_rot[part, :head] @ q_rot[r, :head] + q_rest[r] * x_rest[part]
+            bound = c.heads[part] @ q.heads[r] + q.rests[r] * c.rests[part]
             may = at + np.flatnonzero(bound + slack >= low)
-            may = may[ids[may] != q_ids[r]]
+            may = may[c.ids[may] != q.ids[r]]
             if len(may):
-                scores_of, ids_of = np.concatenate((scores_of, x[may] @ queries[r])), np.concatenate((ids_of, ids[may]))
+                scores_of, ids_of = np.concatenate((scores_of, c.x[may] @ q.x[r])), np.concatenate((ids_of, c.ids[may]))
                 if len(ids_of) > k:
                     top = np.lexsort((ids_of, -scores_of))[:k]
                     scores_of, ids_of = scores_of[top], ids_of[top]
@@ -127,21 +146,23 @@ def best_of(queries: np.ndarray, floor: np.ndarray, q_ids: np.ndarray, ids: np.n
             yield np.full(len(ids_of), r), ids_of, scores_of
 
 
-def compared(pairs: DataFrame, width: int, turn: np.ndarray, k: int) -> DataFrame:
-    """(query_id, vec_id, score) of pairs of blocks (n, ids, data, q_ids, q_data, floors)."""
+SIDE = ("ids", "data", "heads", "rests", "norms")
+
+
+def compared(pairs: DataFrame, width: int, k: int) -> DataFrame:
+    """(query_id, vec_id, score) of pairs of blocks: SIDE of the candidates, SIDE of the queries with q_, floors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, data, q_ids, q_data, floors in zip(*batch.columns, strict=True):
-                ids, q_ids = ids.values.to_numpy(), q_ids.values.to_numpy()
-                x, q = np.frombuffer(data.as_buffer(), "<f8").reshape(-1, width), np.frombuffer(q_data.as_buffer(), "<f8").reshape(-1, width)
-                floor = floors.values.to_numpy() if floors.is_valid else np.full(len(q_ids), -np.inf)
-                found = list(best_of(q, floor, q_ids, ids, x, turn, k))
+            for row in zip(*batch.columns, strict=True):
+                c, q, floors = Block(*row[:5], width), Block(*row[5:10], width), row[10]
+                floor = floors.values.to_numpy() if floors.is_valid else np.full(len(q.ids), -np.inf)
+                found = list(best_of(q, floor, c, k))
                 if found:
-                    rows, vecs, scores = (np.concatenate(c) for c in zip(*found, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array(q_ids[rows]), pa.array(vecs), pa.array(scores.astype(np.int64))], names=["query_id", "vec_id", "score"])
+                    rows, vecs, scores = (np.concatenate(x) for x in zip(*found, strict=True))
+                    yield pa.RecordBatch.from_arrays([pa.array(q.ids[rows]), pa.array(vecs), pa.array(scores.astype(np.int64))], names=["query_id", "vec_id", "score"])
 
-    return pairs.select("ids", "data", "q_ids", "q_data", "floors").mapInArrow(tidied(run), "query_id bigint, vec_id bigint, score bigint")
+    return pairs.select(*SIDE, *[f"q_{c}" for c in SIDE], "floors").mapInArrow(tidied(run), "query_id bigint, vec_id bigint, score bigint")
 
 
 def ranked(found: DataFrame, k: int) -> DataFrame:
@@ -154,11 +175,11 @@ def top_k(table: DataFrame, id_col: str, vector_col: str, every: int = 50, k: in
     """query_id, rank, vec_id, score: for each row whose id is divisible by ``every`` the k other rows of the highest
     inner product of integer vectors, ties to the smaller id; fewer if there are fewer.
 
-    Rows of the query's own id are no candidates; of a repeated candidate id each row counts, and a repeated query
-    row is one query. Vectors of fewer components end in zeros. An empty table gives no rows. Products must stay
+    Rows of the query's own id are no candidates; of a repeated candidate id each row counts; a repeated query id is
+    one query, with its longest vector (of equally long ones the least). Vectors of fewer components end in zeros. An empty table gives no rows. Products must stay
     below 2 ** 53. Other columns are not read.
     """
-    spark = table.sparkSession
+    spark, made = table.sparkSession, mark()
     small_batches(spark)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = write_table(vectors(table, id_col, vector_col, scale).withColumn("norm", F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, c: s + c * c))), "vectors")
@@ -166,40 +187,47 @@ def top_k(table: DataFrame, id_col: str, vector_col: str, every: int = 50, k: in
     width = max(1, facts.width or 1)
     turn = rotation(rows, width)
     parts = max(1, min(tasks, -(-facts.n // CANDIDATES)))
-    own = packed(rows.repartitionByRange(parts, F.desc("norm"), "id").sortWithinPartitions(F.desc("norm"), "id"), width, CANDIDATES, "candidates")
-    asked = rows.filter(F.col("id") % every == 0).dropDuplicates(["id"])
-    q = packed(asked.repartition(max(1, min(tasks, -(-facts.n // every // QUERIES))), "id"), width, QUERIES, "queries")
-    q = q.select(F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.xxhash64("ids").alias("name"))
-    # a row for each QUERIES queries
-    numbers = q.select("name").distinct().withColumn("q", F.row_number().over(W.orderBy("name")) - 1)
-    q = write_table(q.join(numbers, "name").select("q", "q_ids", "q_data"), "queries")
-    n_blocks = q.count()
+    own = packed(rows.repartitionByRange(parts, F.desc("norm"), "id").sortWithinPartitions(F.desc("norm"), "id"), width, turn, CANDIDATES, "candidates")
+    # queries of near lengths share a block, so that a block's bound is near that of each
+    asked = rows.filter(F.col("id") % every == 0).groupBy("id").agg(F.min_by("x", F.struct(-F.col("norm"), "x")).alias("x"), F.max("norm").alias("norm"))
+    asked = packed(asked.repartitionByRange(max(1, min(tasks, -(-facts.n // every // QUERIES))), F.desc("norm"), "id").sortWithinPartitions(F.desc("norm"), "id"), width, turn, QUERIES, "queries")
+    q = asked.select(F.struct("part", "at").alias("q"), *[F.col(c).alias(f"q_{c}") for c in SIDE])
 
     # the longest block alone gives every query a k-th score to beat
-    own = own.withColumn("name", F.xxhash64("ids"))
-    top = own.agg(F.max(F.struct("longest", "name")).alias("t")).first().t
-    if top is None:
+    sizes = own.groupBy("part").agg(F.count("*").alias("blocks"), F.max("longest").alias("longest")).orderBy("part").collect()  # a row for each of the parts
+    if not sizes:
         return rows.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("score")).limit(0)
-    first, rest = own.filter(F.col("name") == top.name), own.filter(F.col("name") != top.name)
-    start = write_table(compared(joined(first, q.withColumn("floors", F.lit(None).cast("array<double>")), n_blocks), width, turn, k), "start")
+    first = max(sizes, key=lambda r: r.longest).part
+    start = write_table(compared(meeting(own.filter((F.col("part") == first) & (F.col("at") == 0)), q.withColumn("floors", F.lit(None).cast("array<double>")), [(first, 1, None)]), width, k), "start")
     kth = ranked(start, k).filter(F.col("rank") == k).select("query_id", "score")
-    floors = with_floors(q, kth)
-    found = write_table(start.unionByName(compared(joined(rest, floors, n_blocks), width, turn, k)), "found")
+    rest = own.filter((F.col("part") != first) | (F.col("at") != 0))
+    found = write_table(start.unionByName(compared(meeting(rest, with_floors(q, kth), [(r.part, r.blocks, r.longest) for r in sizes]), width, k)), "found")
+    drop_since(spark, made, found)
     return ranked(found, k)
 
 
-def joined(blocks: DataFrame, asked: DataFrame, n: int) -> DataFrame:
-    """Every block of candidates with every one of n blocks of queries, by an equi-join on the latter's number."""
-    return blocks.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(n - 1)) if n else F.array().cast("array<int>"))).join(asked, "q")
+def meeting(blocks: DataFrame, asked: DataFrame, parts: list[tuple[int, int, float | None]]) -> DataFrame:
+    """The blocks of candidates and of queries that may have a score to be found, side by side.
+
+    ``parts`` has the number of blocks and the longest vector of each part of the candidates. A block of queries goes to
+    the parts whose longest vector reaches it (``reach``: the least length with which one of its queries gets to its
+    score to beat), and meets the blocks there that reach it too. Blocks that can't win are not sent.
+    """
+    one = lambda p, n, x: F.when(F.lit(True) if x is None else F.lit(x * (1 + SLACK) + SLACK) >= F.col("reach"), F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.struct(F.lit(p).alias("part"), k.alias("at")))).otherwise(F.array().cast("array<struct<part:int,at:int>>"))
+    if "reach" not in asked.columns:
+        asked = asked.withColumn("reach", F.lit(float("-inf")))
+    sent = asked.withColumn("to", F.explode(F.flatten(F.array(*[one(*p) for p in parts])))).select("*", "to.part", "to.at").drop("to")
+    return blocks.join(sent, ["part", "at"]).filter(F.col("longest") * (1 + SLACK) + SLACK >= F.col("reach"))
 
 
 def with_floors(q: DataFrame, kth: DataFrame) -> DataFrame:
-    """Query blocks with the scores to beat, in the order of their ids; -inf where there is none yet."""
-    member = q.select("q", F.posexplode("q_ids").alias("at", "query_id"))
-    score = F.coalesce(F.col("score").cast("double"), F.lit(float("-inf")))
+    """Query blocks with the scores to beat, in the order of their ids; -inf where there is none yet; and ``reach``."""
+    member = q.select("q", F.posexplode(F.arrays_zip(F.col("q_ids").alias("query_id"), F.col("q_norms").alias("norm"))).alias("at", "m")).select("q", "at", F.col("m.query_id").alias("query_id"), F.col("m.norm").alias("norm"))
+    low = F.coalesce(F.col("score").cast("double"), F.lit(float("-inf")))
+    reach = F.when(F.col("norm") > 0, F.col("low") / F.col("norm")).when(F.col("low") <= 0, F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
     # a block's queries are a bounded group
-    lists = member.join(kth, "query_id", "left").groupBy("q").agg(F.sort_array(F.collect_list(F.struct("at", score.alias("low")))).alias("lows"))
-    return q.join(lists.select("q", F.col("lows.low").alias("floors")), "q")
+    lists = member.join(kth, "query_id", "left").withColumn("low", low).groupBy("q").agg(F.sort_array(F.collect_list(F.struct("at", "low"))).alias("lows"), F.min(reach).alias("reach"))
+    return q.join(lists.select("q", F.col("lows.low").alias("floors"), "reach"), "q")
 
 
 #: The same for DuckDB.

@@ -35,6 +35,25 @@ def test_top_k_equals_brute_force(spark, monkeypatch, small):
     assert sorted(map(tuple, topk.top_k(df, "vec_id", "embedding").collect())) == brute(rows)
 
 
+def test_blocks_that_cannot_win_are_not_sent(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", 32)
+    monkeypatch.setattr(topk, "QUERIES", 8)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1200, 6)) * np.exp(rng.normal(size=(1200, 1)))
+    rows = [(k, v.tolist()) for k, v in enumerate(x)]
+    sent = []
+    meeting = topk.meeting
+
+    def counted(blocks, asked, parts):
+        out = meeting(blocks, asked, parts)
+        sent.append((out.count(), blocks.count() * asked.count()))
+        return out
+
+    monkeypatch.setattr(topk, "meeting", counted)
+    assert sorted(map(tuple, topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding").collect())) == brute(rows)
+    assert sent[0][0] == sent[0][1] and 0 < sent[1][0] < sent[1][1] / 2
+
+
 def test_top_k_of_few_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0], "q"), (0, [1.0, 2.0], "q"), (7, [0.5, 0.5], "x"), (7, [0.5, 0.5], "x"), (9, [-1.0, 0.0], "n")], "vec_id long, embedding array<double>, score string")
     assert [tuple(r) for r in topk.top_k(df, "vec_id", "embedding").orderBy("rank").collect()] == [(0, 1, 7, 98304), (0, 2, 7, 98304), (0, 3, 9, -65536)]
