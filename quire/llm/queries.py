@@ -54,7 +54,8 @@ def op9_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.read_back(warc.write_archive(table(spark, sf_dir, "pages"), least=100))
+    pages = table(spark, sf_dir, "pages")
+    return warc.read_back(warc.write_archive(pages, least=100), pages)
 
 
 QUERIES = {
@@ -73,4 +74,5 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op2_temperature_mixing": mixing.MIX_SQL,
     "op6_exact_top_k": topk.TOP_SQL,
+    "op10_warc_index": warc.WARC_SQL,
 }

@@ -1,8 +1,9 @@
 """WARC archives with a two-level capture index.
 
-Every page becomes one record, a gzip member of its own. Captures are sorted by reversed-host URL key and stored in
-compressed blocks of LINES lines; a sparse directory keeps the first key of each block with its file, offset and
-length. A lookup bisects the directory, range-reads one block, bisects its lines and range-reads one record.
+Every page becomes one record, a gzip member of its own. Captures are sorted by reversed-host URL key and page_id and
+stored in compressed blocks of LINES lines, in one index file for each range of keys. Beside each stands its sparse
+directory: an entry of ENTRY bytes for each block, and the first keys that they point to. A lookup bisects the files'
+first keys, then the entries of one directory by range reads, then the lines of one block, and range-reads one record.
 
 Of pages with equal payloads of at least ``least`` bytes the one with the smallest page_id is written as a response,
 the others as revisits that name it and hold no payload.
@@ -13,6 +14,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 import json
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import make_dir, new_path, open_fs, put_file, small_batches, text_of, tidied, write_table
+from ._common import drop_table, make_dir, new_path, open_fs, put_file, small_batches, text_of, tidied, write_table
 
 #: Lines in a block of the index.
 LINES = 3000
@@ -105,48 +107,97 @@ def gunzip(data: bytes) -> bytes:
 
 @dataclass
 class Archive:
-    """An archive's folder with its block directory (a table: first_key, first_page, file, offset, length, n)."""
+    """An archive's folder with the table of its index files: first_key, first_page, file, blocks, lines."""
 
     spark: SparkSession
     folder: str
-    directory: DataFrame
+    files: DataFrame
 
-    def captures(self) -> DataFrame:
-        """All lines of the index, read from its blocks."""
+    def index(self) -> Index:
+        """The index, to be searched; the driver sees a row for each index file, at most one for each writing task."""
+        rows = self.files.collect()
+        return Index(sorted((sort_key(r.first_key, r.first_page), r.file, r.blocks) for r in rows))
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for name, offset, length in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                    yield pa.RecordBatch.from_pylist(read_block(name, offset, length), schema=pa.schema([("urlkey", pa.string()), ("page_id", pa.int64()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]))
-
-        blocks = self.directory.select("file", "offset", "length")
-        return blocks.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(tidied(run), INDEX)
-
-    def lookup(self, url: str) -> list[tuple[dict[str, str], bytes]]:
-        """(headers, payload) of every capture of a URL, by two bisections and range reads; the directory is read in
-        key order and only its rows around the key come to the driver."""
+    def lookup(self, url: str) -> Iterator[tuple[dict[str, str], bytes]]:
+        """(headers, payload) of every capture of a URL, one after the other, by bisection and range reads."""
         key = url_key(url)
-        before = self.directory.filter(F.col("first_key") < key).orderBy(F.desc("first_key"), F.desc("first_page")).limit(1)
-        rows = before.collect() + self.directory.filter(F.col("first_key") == key).orderBy("first_page").collect()
-        found = []
-        for row in rows:
-            lines = read_block(row.file, row.offset, row.length)
-            at = bisect.bisect_left(lines, key, key=lambda x: x["urlkey"])
-            while at < len(lines) and lines[at]["urlkey"] == key:
-                x = lines[at]
-                system, path = open_fs(x["file"])
-                with system.open_input_file(path) as file:
-                    headers, _, payload = parse(gunzip(file.read_at(x["length"], x["offset"])))
-                found.append((headers, payload))
-                at += 1
-        return found
-
-
-def read_block(name: str, offset: int, length: int) -> list[dict]:
-    system, path = open_fs(name)
-    with system.open_input_file(path) as file:
-        text = gunzip(file.read_at(length, offset)).decode()
-    return [dict(zip(("urlkey", "page_id", "file", "offset", "length"), json.loads(line), strict=True)) for line in text.split("\n")]
+        for line in self.index().since((key, False, 0)):
+            if line["urlkey"] != key:
+                return
+            system, path = open_fs(line["file"])
+            with system.open_input_file(path) as file:
+                headers, _, payload = parse(gunzip(file.read_at(line["length"], line["offset"])))
+            yield headers, payload
+
+
+def sort_key(key: str, page_id: int | None) -> tuple[str, bool, int]:
+    """Lines are in this order: by key, then page_id, null first."""
+    return key, page_id is not None, page_id or 0
+
+
+#: An entry of a directory: offset and length of the block; offset and length of its first key in the keys; its page_id,
+#: and whether it has one.
+ENTRY = struct.Struct("<qqqqq?")
+
+
+def write_directory(out, entries: list[tuple[int, int, str, int | None]]) -> None:
+    """The entries of blocks (offset, length, first key, first page_id)."""
+    at = 0
+    for offset, length, key, page in entries:
+        size = len(key.encode("utf-8", "surrogatepass"))
+        out.write(ENTRY.pack(offset, length, at, size, page or 0, page is not None))
+        at += size
+
+
+class Index:
+    """Searches index files with range reads; keeps the files open, and the last block."""
+
+    def __init__(self, files: list[tuple[tuple, str, int]]):
+        self.files = files
+        self.open: dict[str, object] = {}
+        self.block: tuple[str, int, list[dict], list[tuple]] | None = None
+        self.reads = 0
+
+    def read(self, name: str, length: int, offset: int) -> bytes:
+        if name not in self.open:
+            if len(self.open) > 16:
+                self.open.clear()
+            system, path = open_fs(name)
+            self.open[name] = system.open_input_file(path)
+        self.reads += 1
+        return self.open[name].read_at(length, offset)
+
+    def first_of(self, name: str, k: int) -> tuple[tuple, int, int]:
+        """(first line's order, offset, length) of block k of a file."""
+        offset, length, at, n, page, known = ENTRY.unpack(self.read(f"{name}.dir", ENTRY.size, k * ENTRY.size))
+        return sort_key(self.read(f"{name}.keys", n, at).decode("utf-8", "surrogatepass"), page if known else None), offset, length
+
+    def lines(self, name: str, k: int, offset: int, length: int) -> tuple[list[dict], list[tuple]]:
+        if self.block is None or self.block[:2] != (name, k):
+            text = gunzip(self.read(name, length, offset)).decode("utf-8", "surrogatepass")
+            lines = [dict(zip(("urlkey", "page_id", "file", "offset", "length"), json.loads(x), strict=True)) for x in text.split("\n")]
+            self.block = name, k, lines, [sort_key(x["urlkey"], x["page_id"]) for x in lines]
+        return self.block[2:]
+
+    def since(self, wanted: tuple) -> Iterator[dict]:
+        """The lines from the first one on that is not before ``wanted``."""
+        if self.block and self.block[3][0] < wanted <= self.block[3][-1]:
+            f, low = next(f for f, x in enumerate(self.files) if x[1] == self.block[0]), self.block[1]
+        else:
+            f = max(0, bisect.bisect_left(self.files, wanted, key=lambda x: x[0]) - 1)
+            # the last block that starts before, as equal lines may go back into it
+            low, high = 0, self.files[f][2] if self.files else 0
+            while high - low > 1:
+                mid = (low + high) // 2
+                low, high = (mid, high) if self.first_of(self.files[f][1], mid)[0] < wanted else (low, mid)
+        for f in range(f, len(self.files)):
+            _, name, blocks = self.files[f]
+            for k in range(low, blocks):
+                known = self.block if self.block and self.block[:2] == (name, k) else None
+                lines, order = known[2:] if known else self.lines(name, k, *self.first_of(name, k)[1:])
+                for at in range(bisect.bisect_left(order, wanted), len(lines)):
+                    yield lines[at]
+            low = 0
 
 
 def revisits(pages: DataFrame, least: int) -> DataFrame:
@@ -199,21 +250,24 @@ def write_archive(pages: DataFrame, least: int = 100) -> Archive:
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = f"{folder}/{uuid.uuid4().hex}.cdx.gz"
-        entries: list[dict] = []
+        entries: list[tuple[int, int, str, int | None]] = []
+        n = 0
 
         def write(out) -> None:
+            nonlocal n
             at, held = 0, []
 
             def block() -> None:
                 nonlocal at
                 data = gzip("\n".join(json.dumps(x, ensure_ascii=False) for x in held).encode("utf-8", "surrogatepass"))
                 out.write(data)
-                entries.append({"first_key": held[0][0], "first_page": held[0][1], "file": name, "offset": at, "length": len(data), "n": len(held)})
+                entries.append((at, len(data), *held[0][:2]))
                 at += len(data)
 
             for batch in batches:
                 for x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     held.append(x)
+                    n += 1
                     if len(held) == LINES:
                         block()
                         held = []
@@ -226,16 +280,52 @@ def write_archive(pages: DataFrame, least: int = 100) -> Archive:
         rest = batches
         batches = (b for part in ((first,), rest) for b in part)
         put_file(name, write)
-        yield pa.RecordBatch.from_pylist(entries, schema=pa.schema([("first_key", pa.string()), ("first_page", pa.int64()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("n", pa.int64())]))
+        if not entries:
+            return
+        put_file(f"{name}.dir", lambda out: write_directory(out, entries))
+        put_file(f"{name}.keys", lambda out: [out.write(x[2].encode("utf-8", "surrogatepass")) for x in entries])
+        yield pa.RecordBatch.from_arrays([pa.array([entries[0][2]]), pa.array([entries[0][3]], pa.int64()), pa.array([name]), pa.array([len(entries)], pa.int64()), pa.array([n], pa.int64())], names=["first_key", "first_page", "file", "blocks", "lines"])
 
     placed = lines.repartitionByRange("urlkey", "page_id").sortWithinPartitions("urlkey", "page_id", "file", "offset")
-    directory = write_table(placed.mapInArrow(tidied(index), "first_key string, first_page bigint, file string, offset bigint, length bigint, n bigint"), "directory")
-    return Archive(spark, folder, directory)
+    files = write_table(placed.mapInArrow(tidied(index), "first_key string, first_page bigint, file string, blocks bigint, lines bigint"), "directory")
+    drop_table(lines)
+    return Archive(spark, folder, files)
+
+
+def found(archive: Archive, pages: DataFrame) -> DataFrame:
+    """The index lines (page_id, file, offset, length) of the captures that ``pages`` (page_id, url) name, each once.
+
+    The wanted keys are sorted in ranges, so that a task bisects once for a block and goes through its lines in order.
+    """
+    files = archive.index().files  # a row for each index file
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([url_key(u) for u in batch.column(1).to_pylist()], pa.string()), batch.column(0)], names=["urlkey", "page_id"])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = Index(files)
+        for batch in batches:
+            out = []
+            for key, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                wanted = sort_key(key, page)
+                for x in index.since(wanted):
+                    if sort_key(x["urlkey"], x["page_id"]) != wanted:
+                        break
+                    out.append((x["page_id"], x["file"], x["offset"], x["length"]))
+            if out:
+                ids, names, offsets, lengths = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(names), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())], names=["page_id", "file", "offset", "length"])
 
+    small_batches(archive.spark)
+    given = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"))
+    wanted = given.mapInArrow(tidied(keys), "urlkey string, page_id bigint").distinct()
+    return wanted.repartitionByRange("urlkey", "page_id").sortWithinPartitions("urlkey", "page_id").mapInArrow(tidied(search), "page_id bigint, file string, offset bigint, length bigint")
 
-def read_back(archive: Archive) -> DataFrame:
-    """One row per record, found through the index and read by range from the archives: page_id, payload_bytes,
-    payload_digest, record_type, refers_to. Length and digest of a response are taken from the payload read, and a
+
+def read_back(archive: Archive, pages: DataFrame) -> DataFrame:
+    """One row per record of ``pages`` (page_id, url), looked up in the index and read by range from the archives: page_id,
+    payload_bytes, payload_digest, record_type, refers_to. Length and digest of a response are taken from the payload read, and a
     digest that differs from the header's is an error; those of a revisit are its headers'."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,5 +352,16 @@ def read_back(archive: Archive) -> DataFrame:
     stretch = F.floor(F.col("offset") / STRETCH)
     # index lines are small and what they lead to is not: their tasks must not be merged by size
     tasks = int(archive.spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = archive.captures().repartition(tasks, "file", stretch).sortWithinPartitions("file", "offset")
+    placed = found(archive, pages).repartition(tasks, "file", stretch).sortWithinPartitions("file", "offset")
     return placed.select("page_id", "file", "offset", "length").mapInArrow(tidied(run), "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
+
+
+#: The same for DuckDB.
+WARC_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+h AS (SELECT digest, min(page_id) AS head FROM p WHERE n >= 100 AND page_id IS NOT NULL GROUP BY digest)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.digest AS payload_digest,
+  CASE WHEN n >= 100 AND page_id > head THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND page_id > head THEN head END AS refers_to
+FROM p LEFT JOIN h ON p.digest = h.digest
+"""

@@ -1,6 +1,8 @@
 import hashlib
+import itertools
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -72,7 +74,7 @@ def test_archive(spark, monkeypatch):
     monkeypatch.setattr(warc, "LINES", 3)
     pages = spark.createDataFrame([(*p, 1) for p in PAGES], "page_id long, url string, html string, digest int")
     archive = warc.write_archive(pages)
-    got = sorted((r.page_id is None, r.page_id or 0, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.read_back(archive).collect())
+    got = sorted((r.page_id is None, r.page_id or 0, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.read_back(archive, pages).collect())
     want = []
     for i, _, html in PAGES:
         data = (html or "").encode()
@@ -80,13 +82,29 @@ def test_archive(spark, monkeypatch):
         again = len(data) >= 100 and i is not None and i > min(same)
         want.append((i is None, i or 0, len(data), hashlib.sha256(data).hexdigest(), "revisit" if again else "response", min(same) if again else None))
     assert got == sorted(want)
-    blocks = archive.directory.collect()
-    assert sum(r.n for r in blocks) == len(PAGES) and all(r.n <= 3 for r in blocks)
-    found = archive.lookup("https://www.b.example.com/")
+    files = archive.files.collect()
+    assert sum(r.lines for r in files) == len(PAGES) and all(r.blocks == -(-r.lines // 3) for r in files)
+    found = list(archive.lookup("https://www.b.example.com/"))
     assert sorted((h["X-Page-ID"], h["WARC-Type"], len(p)) for h, p in found) == [("3", "response", 200), ("3", "response", 200), ("9", "revisit", 0)]
-    assert len(archive.lookup("http://c.org/")) == 2 and archive.lookup("http://nowhere.example/") == []
+    assert len(list(archive.lookup("http://c.org/"))) == 2 and list(archive.lookup("http://nowhere.example/")) == []
     empty = warc.write_archive(pages.limit(0))
-    assert warc.read_back(empty).collect() == [] and empty.lookup("http://c.org/") == []
+    assert warc.read_back(empty, pages).collect() == [] and list(empty.lookup("http://c.org/")) == []
+
+
+def test_a_lookup_bisects(spark, monkeypatch):
+    """Blocks of two lines; captures of one URL fill several of them. A search reads as many entries as it halves."""
+    monkeypatch.setattr(warc, "LINES", 2)
+    rows = [(k, f"http://h{k % 97:02d}.org/{k % 5}", f"page {k}") for k in range(900)] + [(1000 + k, "http://same.org/", "x" * 120) for k in range(41)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    archive = warc.write_archive(pages)
+    assert sorted(r.page_id for r in warc.read_back(archive, pages).collect()) == sorted(r[0] for r in rows)
+    assert [int(h["X-Page-ID"]) for h, _ in archive.lookup("http://same.org/")] == list(range(1000, 1041))
+    want = Counter(warc.url_key(u) for _, u, _ in rows)
+    blocks = max(r.blocks for r in archive.files.collect())
+    for key, n in list(want.items())[::40]:
+        index = archive.index()
+        lines = list(itertools.takewhile(lambda x, key=key: x["urlkey"] == key, index.since((key, False, 0))))
+        assert len(lines) == n and index.reads <= 2 * math.ceil(math.log2(blocks)) + 3 * (n // 2 + 3)
 
 
 def test_url_keys():
