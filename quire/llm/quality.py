@@ -2,9 +2,10 @@
 
 Every line is good or bad. A line's own features and those of the lines before and after it give its state's score, and
 neighbouring states have a score of their own. Forward and backward sums give each line's marginal probability of being
-good; their mean, weighted by the lines' bytes, is the document's quality. The weights maximise the likelihood of
-labelled documents, all of whose lines have the document's label, on a bounded sample (SAMPLE documents of at most
-SAMPLE_LINES lines, those with the smallest hashes of their ids); scoring covers every line of every text.
+good; their mean, weighted by the lines' bytes, is the document's quality. The weights maximise the penalised likelihood
+of labelled documents, all of whose lines have the document's label, each document's log likelihood divided by the root
+of its lines. They are fitted on a bounded sample: SAMPLE documents, those with the smallest hashes of their ids, and of
+each at most SAMPLE_LINES neighbouring lines, from a place by the text's hash. Scoring covers every line of every text.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from ._text import raw, words
 
 #: Labelled documents that the weights are fitted on, at most.
 SAMPLE = 4000
-#: Lines of a document in that sample, at most; longer documents are only scored.
-SAMPLE_LINES = 200
+#: Neighbouring lines of a document in that sample, at most; of longer documents it has so many from a place by hash.
+SAMPLE_LINES = 100
 STEPS = 80
 RATE = 0.12
 DECAY = 1e-4
@@ -102,8 +103,9 @@ def columns_of(lines: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         k += 1
 
 
-def marginals(scores: np.ndarray, lines: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """(marginals by line and state, expected transitions, log partition) for line scores and transition scores."""
+def marginals(scores: np.ndarray, lines: np.ndarray, move: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, float]:
+    """(marginals by line and state, expected transitions, log partition) for line scores and transition scores; the last
+    two are sums over texts, each times its ``weight``."""
     steps = list(columns_of(lines))
     forward, backward = np.empty_like(scores), np.zeros_like(scores)
     for k, (rows, _) in enumerate(steps):
@@ -121,10 +123,12 @@ def marginals(scores: np.ndarray, lines: np.ndarray, move: np.ndarray) -> tuple[
     later = np.ones(len(scores), bool)
     later[last - lines + 1] = False
     at = np.flatnonzero(later)
+    weight = np.ones(len(lines)) if weight is None else weight
+    of_text = np.repeat(weight, lines)[at]
     for i in range(2):
         for j in range(2):
-            expected[i, j] = np.exp(forward[at - 1, i] + move[i, j] + scores[at, j] + backward[at, j] - of_line[at]).sum()
-    return np.exp(forward + backward - of_line[:, None]), expected, float(total.sum())
+            expected[i, j] = np.exp(forward[at - 1, i] + move[i, j] + scores[at, j] + backward[at, j] - of_line[at]) @ of_text
+    return np.exp(forward + backward - of_line[:, None]), expected, float(total @ weight)
 
 
 class Model:
@@ -148,24 +152,30 @@ class Model:
         return np.clip(np.add.reduceat(good * weight, first) / np.add.reduceat(weight, first), 0.0, 1.0)
 
 
+def objective(theta: np.ndarray, x: np.ndarray, lines: np.ndarray, labels: np.ndarray) -> tuple[float, np.ndarray]:
+    """(value, slope) of what the fit maximises: the mean over documents of a document's log likelihood divided by the
+    root of its lines, less DECAY / 2 times the weights' squares. ``theta``: the weights, then the transition scores."""
+    weight = 1 / np.sqrt(lines) / len(lines)
+    y, move = np.repeat(labels, lines).astype(float), theta[-4:].reshape(2, 2)
+    good = x @ theta[:-4]
+    p, expected, partition = marginals(np.stack((np.zeros(len(good)), good), 1), lines, move, weight)
+    by_line = np.repeat(weight, lines)
+    seen = np.diag(np.bincount(labels.astype(np.int64), weight * (lines - 1), minlength=2))
+    value = (y * good) @ by_line + (seen * move).sum() - partition - DECAY / 2 * (theta @ theta)
+    slope = np.concatenate((((y - p[:, 1]) * by_line) @ x, (seen - expected).reshape(-1))) - DECAY * theta
+    return float(value), slope
+
+
 def fit(own: np.ndarray, lines: np.ndarray, labels: np.ndarray) -> Model:
-    """Maximum likelihood with a small penalty, by Adam over the whole sample."""
+    """The maximum of the objective, by Adam over the whole sample."""
     if not len(lines):
         return Model(np.zeros(3 * OWN + 3), np.zeros((2, 2)), np.zeros(OWN), np.ones(OWN))
     centre, scale = own.mean(0), own.std(0) + 1e-3
-    x = with_neighbours((own - centre) / scale, lines)
-    y = np.repeat(labels, lines).astype(float)
-    # every document counts alike, whatever its lines
-    by_line = np.repeat(1 / np.sqrt(lines), lines)
+    x = with_neighbours((own - centre) / scale, lines).astype(np.float32)  # at most 91 MB
     theta = np.zeros(x.shape[1] + 4)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    seen = np.zeros((2, 2))
-    for label, n in zip(labels, lines, strict=True):
-        seen[int(label), int(label)] += n - 1
     for t in range(1, STEPS + 1):
-        good = x @ theta[:-4]
-        p, expected, _ = marginals(np.stack((np.zeros(len(good)), good), 1), lines, theta[-4:].reshape(2, 2))
-        slope = np.concatenate((x.T @ ((y - p[:, 1]) * by_line) / len(lines), ((seen - expected) / max(1, seen.sum())).reshape(-1))) - DECAY * theta
+        slope = objective(theta, x, lines, labels)[1]
         m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
         theta = theta + RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
     return Model(theta[:-4], theta[-4:].reshape(2, 2), centre, scale)
@@ -184,13 +194,13 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
             if not batch.num_rows:
                 continue
             own, _, lines = lines_of(batch.column(1))
-            first = np.cumsum(lines) - lines
-            short = np.flatnonzero(lines <= SAMPLE_LINES)
-            data = [own[first[k] : first[k] + lines[k]].astype("<f4").tobytes() for k in short]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(short)), pa.array(data, pa.binary()), batch.column(2).take(pa.array(short))], names=["doc_id", "features", "quality"])
+            first = np.cumsum(lines) - lines + batch.column(3).to_numpy() % np.maximum(1, lines - SAMPLE_LINES + 1)
+            data = [own[a : a + min(n, SAMPLE_LINES)].astype("<f4").tobytes() for a, n in zip(first, lines, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary()), batch.column(2)], names=["doc_id", "features", "quality"])
 
     kind = sample.schema["doc_id"].dataType.simpleString()
-    placed = texts.select("doc_id", "text", "quality").mapInArrow(tidied(features), f"doc_id {kind}, features binary, quality int")
+    turn = F.xxhash64("text").bitwiseAND(F.lit((1 << 31) - 1))
+    placed = texts.select("doc_id", "text", "quality", turn.alias("turn")).mapInArrow(tidied(features), f"doc_id {kind}, features binary, quality int")
     # ids may repeat in the documents: the sample stays bounded
     rows = placed.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "features").limit(SAMPLE).collect()
     own = [np.frombuffer(r.features, "<f4").reshape(-1, OWN).astype(float) for r in rows]

@@ -93,6 +93,26 @@ def test_forward_backward_equals_enumeration():
     assert np.allclose(got, want)
 
 
+def test_slope_of_the_objective():
+    """Against differences of its value, with documents of many and of few lines."""
+    rng = np.random.default_rng(2)
+    lines, labels = np.array([1, 4, 2, 6]), np.array([1, 0, 1, 1])
+    x, theta = rng.normal(size=(lines.sum(), 3)), rng.normal(size=7)
+    slope = quality.objective(theta, x, lines, labels)[1]
+    for k in range(7):
+        step = np.eye(7)[k] * 1e-6
+        assert abs((quality.objective(theta + step, x, lines, labels)[0] - quality.objective(theta - step, x, lines, labels)[0]) / 2e-6 - slope[k]) < 1e-6
+
+
+def test_long_documents_are_learnt_from(spark, monkeypatch):
+    """No document is shorter than a sample's lines."""
+    monkeypatch.setattr(quality, "SAMPLE_LINES", 5)
+    rng = random.Random(3)
+    rows = [(k, "\n".join(prose(rng, 8) if k % 2 else "BUY!!! | NOW $$$" for _ in range(rng.randint(6, 40)))) for k in range(200)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, quality int")
+    assert all(r.predicted == r.doc_id % 2 for r in quality.score_documents(docs, labels).collect())
+
+
 def test_line_features():
     own, sizes, lines = quality.lines_of(pa.array(["ab AB\n\n12 | x", "", "\n", "q q q"]))
     assert lines.tolist() == [3, 1, 2, 1] and sizes.tolist() == [5, 0, 6, 0, 0, 0, 5]
