@@ -1,17 +1,16 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraphs.
 
-A text is cut into paragraphs: its lines, and of lines over PIECE characters (in texts under SHORT characters over
-SHORT_PIECE) pieces of that length, each taken to the end of its word. When two texts are compared, the second is cut
-as the first is. Every distinct paragraph's 64-bit digest is added to three cells, one in each of three subtables; a
-cell holds a count, the xor of its digests and the xor of their checks. The cells of two versions subtract: what both
-hold cancels out. Peeling takes a cell with a single digest, notes it and removes it from its other cells, until all
-are empty. When cells remain, larger sketches are built and subtracted: digests are dealt by their bits into groups
-of about GROUP, so that the work stays near linear in the paragraphs, and a group that still does not peel is tried
-again with twice and four times the cells. A group that resists all of these (three digests with equal places at
-every size) is compared exactly.
-
-The likeness of two texts with paragraph sets A and B is 1 - |A xor B| / (|A| + |B|), with |A xor B| the number of
-digests recovered; two empty texts are alike.
+A text is cut into paragraphs where its content says so: at line ends, and after words (between spaces) whose hash ends
+in zero bits, one in CUT. So a change moves no cut but those near it, and all texts are cut alike, whatever their length.
+Every distinct paragraph's 64-bit digest is added to three cells, one in each of three subtables; a cell holds a count,
+the xor of its digests and the xor of their checks. The cells of two versions subtract: what both hold cancels out.
+Peeling takes a cell with a single digest, notes it and removes it from its other cells, until all are empty. When cells
+remain, larger sketches are built and subtracted: digests are dealt by their bits into groups of about GROUP, so that
+the work stays near linear in the paragraphs, and a group that does not peel is tried again with more cells. A group that
+resists all of these (three digests with equal places at every size) is compared exactly.
+
+The likeness of two texts with paragraph sets A and B is 1 - |A xor B| / (|A| + |B|), with A xor B the digests recovered;
+two empty texts are alike.
 
 Only built-in functions are used.
 """
@@ -26,28 +25,28 @@ from pyspark.sql import functions as F
 
 from ._common import text_of
 
-#: Characters after which a long line is cut, at the end of a word.
-PIECE = 200
-#: Texts of fewer characters are cut finer.
-SHORT, SHORT_PIECE = 800, 50
+#: Words of a paragraph, about; a power of two.
+CUT = 8
 #: Cells in a subtable of the fingerprint itself.
 SMALL = 4
 #: Cells in a subtable of a group's sketch, in its attempts.
-LARGER = (16, 32, 64)
+LARGER = (4, 16, 64)
 #: Digests of both versions that a group holds, about.
-GROUP = 12
+GROUP = 4
 #: Rounds of peeling; each takes all cells that hold one digest.
 ROUNDS = 16
-#: Characters in a bucket of neighbouring documents, about.
-BUCKET_CHARS = 16 << 20
+#: Characters in a bucket of neighbouring documents, about, and buckets at most.
+BUCKET_CHARS, MOST_BUCKETS = 8 << 20, 1 << 16
 #: Quantiles of the ids that buckets are cut by.
 QUANTILES = 256
 
 
-def paragraphs(text: Column, short: Column) -> Column:
-    """Distinct digests of a text's paragraphs, cut as those of a short text or not."""
-    pieces = lambda n: F.regexp_extract_all(text, F.lit(rf"[^\n]{{1,{n}}}[^\s]*"), F.lit(0))
-    return F.array_distinct(F.transform(F.when(short, pieces(SHORT_PIECE)).otherwise(pieces(PIECE)), lambda p: F.xxhash64(p)))
+def paragraphs(text: Column) -> Column:
+    """Distinct digests of a text's paragraphs."""
+    ends = lambda w: F.xxhash64(w).bitwiseAND(F.lit(CUT - 1)) == 0
+    marked = F.array_join(F.transform(F.split(text, " "), lambda w: F.when(ends(w), F.concat(w, F.lit("\n"))).otherwise(w)), " ")
+    pieces = F.filter(F.transform(F.split(marked, "\n"), lambda p: F.trim(p)), lambda p: p != "")
+    return F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p)))
 
 
 def check_of(digest: Column) -> Column:
@@ -88,7 +87,7 @@ def subtract(left: Column, right: Column) -> Column:
 
 
 def peeled(cells: Column, size: int) -> Column:
-    """The number of digests that peeling recovers from subtracted cells; null if cells remain."""
+    """The digests that peeling recovers from subtracted cells; null if cells remain."""
 
     def without(c: Column, i: Column, found: Column) -> Column:
         there = lambda p: F.when(i < size, place(p["d"], 0, size) == i).when(i < 2 * size, place(p["d"], 1, size) == i - size).otherwise(place(p["d"], 2, size) == i - 2 * size)
@@ -97,16 +96,16 @@ def peeled(cells: Column, size: int) -> Column:
     def turn(state: Column, _: Column) -> Column:
         found = F.array_distinct(F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["c"] == check_of(c["d"]))))
         # the array of one struct lets the found digests be named once
-        after = F.transform(F.array(F.struct(found.alias("f"))), lambda x: F.when(F.size(x["f"]) == 0, F.struct(state["cells"].alias("cells"), state["total"].alias("total"), F.lit(True).alias("over"))).otherwise(F.struct(F.transform(state["cells"], lambda c, i: without(c, i, x["f"])).alias("cells"), (state["total"] + F.size(x["f"])).alias("total"), F.lit(False).alias("over"))))
+        after = F.transform(F.array(F.struct(found.alias("f"))), lambda x: F.when(F.size(x["f"]) == 0, F.struct(state["cells"].alias("cells"), state["all"].alias("all"), F.lit(True).alias("over"))).otherwise(F.struct(F.transform(state["cells"], lambda c, i: without(c, i, x["f"])).alias("cells"), F.concat(state["all"], F.transform(x["f"], lambda c: c["d"])).alias("all"), F.lit(False).alias("over"))))
         return F.when(state["over"], state).otherwise(after[0])
 
-    start = F.struct(cells.alias("cells"), F.lit(0).alias("total"), F.lit(False).alias("over"))
+    start = F.struct(cells.alias("cells"), F.array().cast("array<bigint>").alias("all"), F.lit(False).alias("over"))
     empty = lambda s: F.forall(s["cells"], lambda c: (c["n"] == 0) & (c["d"] == 0) & (c["c"] == 0))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn, lambda s: F.when(empty(s), s["total"]))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn, lambda s: F.when(empty(s), s["all"]))
 
 
 def differing(a: Column, b: Column) -> Column:
-    """The number of digests in one of two sets only, by grouped sketches that grow until they peel."""
+    """The digests in one of two sets only, by grouped sketches that grow until they peel."""
     groups = F.greatest(F.lit(1), F.ceil((F.size(a) + F.size(b)) / GROUP))
     way = F.pow(F.lit(2.0), F.ceil(F.log2(groups.cast("double")) / 2)).cast("long")
     split = lambda of, shift, n: F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda g: F.struct(F.filter(of["a"], lambda d: bits(d, shift, n) == g).alias("a"), F.filter(of["b"], lambda d: bits(d, shift, n) == g).alias("b")))
@@ -114,18 +113,22 @@ def differing(a: Column, b: Column) -> Column:
     fine = F.flatten(F.transform(rough, lambda x: split(x, 43, way)))
 
     def of_group(g: Column) -> Column:
-        exact = F.size(F.array_except(g["a"], g["b"])) + F.size(F.array_except(g["b"], g["a"]))
+        exact = F.concat(F.array_except(g["a"], g["b"]), F.array_except(g["b"], g["a"]))
         tries = [peeled(subtract(sketch(g["a"], n), sketch(g["b"], n)), n) for n in LARGER]
-        return F.when((F.size(g["a"]) == 0) & (F.size(g["b"]) == 0), F.lit(0)).otherwise(F.coalesce(*tries, exact))
+        return F.when((F.size(g["a"]) == 0) & (F.size(g["b"]) == 0), F.array().cast("array<bigint>")).otherwise(F.coalesce(*tries, exact))
 
-    return F.aggregate(fine, F.lit(0), lambda total, g: total + of_group(g))
+    return F.flatten(F.transform(fine, of_group))
+
+
+def recovered(a: Column, b: Column, cells_a: Column, cells_b: Column) -> Column:
+    """The digests of the paragraphs in one of two texts only: subtracts the fingerprints and peels them; where that fails,
+    larger sketches of the paragraphs ``a`` and ``b``."""
+    return F.coalesce(peeled(subtract(cells_a, cells_b), SMALL), differing(a, b))
 
 
 def likeness(a: Column, b: Column, cells_a: Column, cells_b: Column) -> Column:
-    """Subtracts the fingerprints and peels them; where that fails, larger sketches of the paragraphs ``a`` and ``b``."""
-    apart = F.coalesce(peeled(subtract(cells_a, cells_b), SMALL), differing(a, b))
     total = F.size(a) + F.size(b)
-    return F.when(total == 0, F.lit(1.0)).otherwise(1.0 - apart / total)
+    return F.when(total == 0, F.lit(1.0)).otherwise(1.0 - F.size(recovered(a, b, cells_a, cells_b)) / total)
 
 
 def as_text(cells: Column) -> Column:
@@ -137,29 +140,40 @@ def as_text(cells: Column) -> Column:
 def with_next(docs: DataFrame, names: list[str]) -> DataFrame:
     """Adds ``next``, a struct of ``names`` of the next row in ascending doc_id order (after the last, the first).
 
-    Rows are dealt into buckets of neighbouring ids, cut at quantiles and evenly between them, and each bucket also
-    gets the first row of the one after it; so one shuffle, and no window over the whole table. Null ids come first,
-    rows of equal id in the order of ``tie``.
+    Rows are dealt into buckets of neighbouring ids of about equal characters, and each bucket also gets the first row
+    of the one after it; so one shuffle, and no window over the whole table. Ids are cut at quantiles; neighbouring cuts
+    with few characters share a bucket, and those with many are cut evenly. Null ids come first, in buckets by ``tie``,
+    and rows of equal id in the order of ``tie``.
     """
     spark = docs.sparkSession
-    facts = docs.agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.percentile_approx("doc_id", [k / QUANTILES for k in range(1, QUANTILES)], 100_000).alias("cuts")).first()
+    cuts_of = F.percentile_approx("doc_id", [k / QUANTILES for k in range(1, QUANTILES)], 100_000)
+    facts = docs.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), cuts_of.alias("cuts")).first()
     low, high = facts.low or 0, facts.high or 0
     cuts = sorted({low, *(facts.cuts or [])})
-    parts = max(1, -(-(facts.chars or 0) // BUCKET_CHARS))
-    each = max(1, -(-parts // len(cuts))) if parts > len(cuts) else 1
-    step = max(1, len(cuts) // parts)
-    cuts = cuts[::step]
-    starts, ends = F.lit(cuts), F.lit([*cuts[1:], high + 1])
-    k = F.size(F.filter(starts, lambda c: c <= F.col("doc_id")))
-    first = F.element_at(starts, k)
-    width = (F.element_at(ends, k) - first) / F.lit(each)
-    bucket = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise((k - 1) * each + F.least(F.lit(each - 1), F.floor((F.col("doc_id") - first) / width)))
-    rows = docs.withColumn("bucket", bucket.cast("long"))
-    # a row for each bucket
-    heads = [(r.bucket, r.head) for r in rows.groupBy("bucket").agg(F.min("doc_id").alias("head")).orderBy("bucket").collect()]
-    guests = [(head, heads[i - 1][0]) for i, (_, head) in enumerate(heads)]
-    table = F.broadcast(spark.createDataFrame(guests, "head bigint, to bigint"))  # a row for each bucket
-    again = docs.join(table, F.col("doc_id").eqNullSafe(F.col("head"))).drop("head").withColumnRenamed("to", "bucket").withColumn("guest", F.lit(1))
+    starts = F.lit(cuts)
+    k = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.size(F.filter(starts, lambda c: c <= F.col("doc_id"))))
+    held = {r.k: r.chars for r in docs.groupBy(k.alias("k")).agg(F.sum(F.col("n_chars") + 1).alias("chars")).collect()}  # a row for each cut
+    each = max(BUCKET_CHARS, -(-sum(held.values()) // MOST_BUCKETS))
+    parts = {c: max(1, -(-n // each)) for c, n in held.items()}
+    first, at, room = {}, 0, 0
+    for c in sorted(held):  # a cut of one part shares a bucket while there is room
+        if parts[c] > 1 or held[c] > room:
+            first[c], at, room = at, at + parts[c], each - held[c] if parts[c] == 1 else 0
+        else:
+            first[c], room = at - 1, room - held[c]
+    places = range(len(cuts) + 1)
+    of = lambda d, none: F.element_at(F.array(*[F.lit(d.get(c, none)) for c in places]), k + 1)
+    n, begin = of(parts, 1), F.element_at(F.lit([low, *cuts]), k + 1)
+    wide = F.element_at(F.lit([high + 1, *cuts[1:], high + 1]), k + 1) - begin
+    share = F.when(F.col("doc_id").isNull(), F.col("tie") / F.lit(2.0**64) + 0.5).otherwise((F.col("doc_id") - begin) / wide)
+    rows = docs.withColumn("bucket", of(first, 0) + F.least(n - 1, F.floor(share * n)))
+    rows = rows.withColumn("bucket", F.col("bucket").cast("long"))
+    # a row for each bucket, MOST_BUCKETS + QUANTILES at most
+    order = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", "tie")
+    heads = [(r.bucket, r.head.doc_id, r.head.tie) for r in rows.groupBy("bucket").agg(F.min(order).alias("head")).orderBy("bucket").collect()]
+    guests = [(doc_id, tie, heads[i - 1][0]) for i, (_, doc_id, tie) in enumerate(heads)]
+    table = F.broadcast(spark.createDataFrame(guests, "head bigint, head_tie bigint, to bigint"))
+    again = docs.join(table, F.col("doc_id").eqNullSafe(F.col("head")) & (F.col("tie") == F.col("head_tie"))).drop("head", "head_tie").withColumnRenamed("to", "bucket").withColumn("guest", F.lit(1))
     both = rows.withColumn("guest", F.lit(0)).unionByName(again)
     w = W.partitionBy("bucket").orderBy("guest", F.col("doc_id").asc_nulls_first(), "tie")
     return both.withColumn("next", F.lead(F.struct(*names)).over(w)).filter("guest = 0").drop("bucket", "guest")
@@ -173,16 +187,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     document's. A null text is the empty text, whose fingerprint has empty cells only. A single document is its own
     next. Other columns are not read. Equal texts have equal fingerprints.
     """
-    text, short = F.col("text"), F.col("short")
+    text = F.col("text")
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text")).withColumn("n_chars", F.length(text).cast("long"))
-    base = base.withColumn("tie", F.xxhash64(text)).withColumn("short", F.col("n_chars") < SHORT).withColumn("own", paragraphs(text, short))
+    base = base.withColumn("tie", F.xxhash64(text))
     half = F.floor(F.col("n_chars") / 2).cast("int")
-    both = with_next(base, ["text", "short", "own"])
+    both = with_next(base.withColumn("own", paragraphs(text)), ["text", "own"])
     edited = F.concat(text.substr(F.lit(1), F.col("n_chars").cast("int") - half), F.col("next.text").substr(F.lit(1), half))
-    rows = both.withColumn("edited_text", edited).withColumn("edited_short", F.length("edited_text") < SHORT)
-    alike = F.when(F.col("next.short") == short, F.col("next.own")).otherwise(paragraphs(F.col("next.text"), short))
-    rows = rows.select("doc_id", "n_chars", "short", "edited_short", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"), "own", paragraphs(F.col("edited_text"), F.col("edited_short")).alias("edited"), F.when(F.col("edited_short") != short, paragraphs(F.col("edited_text"), short)).alias("recut"), alike.alias("other"))
+    rows = both.withColumn("edited_text", edited)
+    rows = rows.select("doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"), "own", paragraphs(F.col("edited_text")).alias("edited"), F.col("next.own").alias("other"))
     cells = rows.select("*", *[sketch(F.col(c), SMALL).alias(f"{c}_cells") for c in ("own", "edited", "other")])
-    cells = cells.withColumn("near_cells", F.when(F.col("recut").isNull(), F.col("edited_cells")).otherwise(sketch(F.col("recut"), SMALL))).withColumn("near", F.coalesce("recut", "edited"))
-    near = lambda c, cs: likeness(F.col("own"), F.col(c), F.col("own_cells"), F.col(cs))
-    return cells.select("doc_id", "n_chars", "edited_sha256", as_text(F.col("own_cells")).alias("fingerprint"), as_text(F.col("edited_cells")).alias("edited_fingerprint"), near("near", "near_cells").alias("near_edited"), near("other", "other_cells").alias("near_next"))
+    near = lambda c: likeness(F.col("own"), F.col(c), F.col("own_cells"), F.col(f"{c}_cells"))
+    return cells.select("doc_id", "n_chars", "edited_sha256", as_text(F.col("own_cells")).alias("fingerprint"), as_text(F.col("edited_cells")).alias("edited_fingerprint"), near("edited").alias("near_edited"), near("other").alias("near_next"))

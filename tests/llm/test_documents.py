@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from quire.llm import fingerprint, mixing, near_dup, sharding
@@ -168,11 +169,12 @@ def test_fingerprints(spark, monkeypatch):
     edited, texts = edited_model(rows), dict(rows)
     order = sorted(texts)
 
-    def pieces(t, short):
-        return set(re.findall(rf"[^\n]{{1,{50 if short else 200}}}[^\s]*", t))
+    def pieces(t):
+        marked = " ".join(w + "\n" * (xxhash.xxh64(w.encode(), seed=42).intdigest() % 8 == 0) for w in t.split(" "))
+        return {p.strip(" ") for p in marked.split("\n")} - {""}
 
     def like(a, b):
-        a, b = pieces(a, len(a) < 800), pieces(b, len(a) < 800)
+        a, b = pieces(a), pieces(b)
         return 1.0 if not a | b else 1 - len(a ^ b) / (len(a) + len(b))
 
     for i, k in enumerate(order):
@@ -187,12 +189,33 @@ def test_peeling_recovers_small_differences(spark):
     both = spark.createDataFrame([(list(range(500, 500 + n)), list(range(500 + d, 500 + n))) for n, d in ((20, 0), (20, 2), (300, 4), (3, 3))], "a array<long>, b array<long>")
     mixed = both.select(F.transform("a", lambda x: F.xxhash64(x)).alias("a"), F.transform("b", lambda x: F.xxhash64(x)).alias("b"))
     small = fingerprint.peeled(fingerprint.subtract(fingerprint.sketch(F.col("a"), 4), fingerprint.sketch(F.col("b"), 4)), 4)
-    assert [r[0] for r in mixed.select(small).collect()] == [0, 2, 4, 3]
-    assert [r[0] for r in mixed.select(fingerprint.differing(F.col("a"), F.col("b"))).collect()] == [0, 2, 4, 3]
+    want = [set(r.a) ^ set(r.b) for r in mixed.collect()]
+    assert [len(x) for x in want] == [0, 2, 4, 3] and [set(r[0]) for r in mixed.select(small).collect()] == want
+    found = [r[0] for r in mixed.select(fingerprint.differing(F.col("a"), F.col("b"))).collect()]
+    assert [set(x) for x in found] == want and all(len(set(x)) == len(x) for x in found)
     apart = fingerprint.peeled(fingerprint.subtract(fingerprint.sketch(F.col("a"), 4), fingerprint.sketch(F.transform("a", lambda x: x + 1), 4)), 4)
     assert [r[0] for r in mixed.select(apart).collect()][2] is None  # too many for a small sketch
 
 
+def test_a_word_put_in_moves_no_other_cut(spark):
+    rng = random.Random(15)
+    words = [f"w{rng.randrange(10**5)}" for _ in range(400)]
+    rows = [(" ".join(words), " ".join([*words[:k], "inserted", *words[k:]])) for k in (0, 1, 200, 399, 400)]
+    both = spark.createDataFrame(rows, "a string, b string").select(*[fingerprint.paragraphs(F.col(c)).alias(c) for c in "ab"])
+    near = fingerprint.likeness(F.col("a"), F.col("b"), fingerprint.sketch(F.col("a"), 4), fingerprint.sketch(F.col("b"), 4))
+    assert all(0.9 < r[0] < 1 for r in both.select(near).collect())
+
+
+def test_null_ids_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "BUCKET_CHARS", 500)
+    rows = [(None, f"text {k} " * 9) for k in range(40)] + [(k, f"other {k} " * (k % 7 * 30)) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    base = docs.withColumn("n_chars", F.length("text").cast("long")).withColumn("tie", F.xxhash64("text"))
+    out = fingerprint.with_next(base, ["doc_id", "text"]).collect()
+    order = sorted(out, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.tie))
+    assert len(out) == 100 and all(a.next.text == b.text and a.next.doc_id == b.doc_id for a, b in zip(order, order[1:] + order[:1], strict=True))
+
+
 def test_fingerprints_of_odd_rows(spark, odd_docs, no_docs):
     rows = fingerprint.fingerprints(odd_docs).collect()
     assert len(rows) == odd_docs.count() and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in rows)
