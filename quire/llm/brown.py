@@ -1,14 +1,17 @@
 """Language-model scores by Brown's class-based bigrams.
 
-A word's probability is that of its class after the class before it, times that of the word in its class, smoothed by
-adding to the counts and by mixing with the unigram model. Frequent words (the most frequent count levels that hold at
-most CLUSTERED words) get their classes by exchange: from counts of neighbouring words, every word's gain in likelihood
-of moving to each class is found at once, the moves that gain are made for a half of the words in turn, and a round
-that does not raise the likelihood is undone. All other words have a class by their length. Counts cover every word of
-every training text. Words are known by 64-bit hashes.
-
-Only what is bounded is sent around: the classes and counts of frequent words and the classes' bigrams. The counts of
-all other words are joined to the documents' words.
+A word's probability is that of its class after the word before it, times that of the word in its class, smoothed by
+adding to the counts and by mixing with the unigram model. Every word of the training texts gets one of CLASSES classes.
+The CLUSTERED most frequent ones (whole levels of counts) get theirs by exchange: from counts of neighbouring words,
+every word's gain in likelihood of moving to each class is found at once, the moves that gain are made for a half of the
+words in turn, by fewer and fewer of them if they do not raise the likelihood together, until QUIET turns in a row
+each raise it by less than LEAST_GAIN a token. Then every other word goes to the class that makes its occurrences most likely. As the word
+before, such a rare word stands for its length; so does a word that training lacks, which is predicted by a class of its
+own: its counts are those of the words seen once, dealt out evenly over as many new words as there are known ones.
+Counts cover every word of every training text. Words are known by 64-bit hashes.
+
+Only what is bounded is sent around: the classes and counts of frequent words and the classes' bigrams. The counts and
+classes of all other words are joined to the documents' words.
 """
 
 from __future__ import annotations
@@ -23,26 +26,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import drop_table, id_hash_mod, small_batches, text_of, tidied, write_table
-from ._text import raw, sized_words
+from ._text import mix, raw, sized_words
 
-#: Words that the exchange gives classes to, at most.
+#: Words that the exchange itself gives classes to, at most.
 CLUSTERED = 1 << 16
-#: Words whose counts are sent to all tasks, at most: 9 bytes each.
+#: Words whose counts and classes are sent to all tasks, at most: 17 bytes each.
 COUNTED = 1 << 19
 CLASSES = 64
-#: Longest bytes of the classes of other words; one more class has longer ones.
+#: Longest bytes of the lengths that rare words before others are known by; one more has longer ones.
 LENGTHS = np.array([2, 4, 6, 8, 10, 13, 17])
-ROUNDS = 6
+#: The exchange ends when so many turns in a row each raise the log likelihood of a token by less than LEAST_GAIN.
+QUIET, LEAST_GAIN = 4, 0.01
 #: Slices of the words that neighbours' counts are gathered by.
 SLICES = 256
 #: Added to the counts of class bigrams.
 ADDED = 0.5
 #: Share of the class model in the mixture.
 SHARE = 0.8
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 #: The hash that stands for the end of a text.
 END = np.uint64(0x5851F42D4C957F2D)
-N_ALL = CLASSES + len(LENGTHS) + 2  # clustered, by length, start of a text
+N_ALL = CLASSES + len(LENGTHS) + 2  # what comes before: a class, a length, the start of a text
 START = N_ALL - 1
+NEW = CLASSES  # the class of new words, after all others
 
 
 #: Keys that a task counts before it passes them on, and new ones that it gathers before it sorts them in.
@@ -135,6 +141,7 @@ class Vocabulary:
     n_units: int
     total: int
     distinct: int
+    low: int
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Places of keys in ``words``, -1 for others."""
@@ -169,21 +176,57 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     unit = np.full(len(words), -1, np.int32)
     picked = np.flatnonzero(own_words)
     unit[picked[np.lexsort((words[picked], -n[picked]))]] = np.arange(len(picked), dtype=np.int32)
-    return Vocabulary(words, n, unit, len(picked), total, distinct)
+    return Vocabulary(words, n, unit, len(picked), total, distinct, low)
 
 
-def units(v: Vocabulary, hashes: np.ndarray, shapes: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(units before, units) of tokens: clustered words, then classes by length, then the start of a text."""
-    at = v.find(key_of(hashes, shapes))
-    unit = np.where(at >= 0, v.unit[at] if len(v.unit) else -1, -1)
-    unit = np.where(unit >= 0, unit, v.n_units + shapes).astype(np.int64)
+def before_of(unit: np.ndarray, texts: np.ndarray, start: int) -> np.ndarray:
+    """The units before units; ``start`` at the start of a text."""
     before = np.empty_like(unit)
     before[1:] = unit[:-1]
-    before[np.concatenate(([True], texts[1:] != texts[:-1]))] = v.n_units + len(LENGTHS) + 1
-    return before, unit
+    before[np.concatenate(([True], texts[1:] != texts[:-1]))[: len(unit)]] = start
+    return before
 
 
-def neighbours(docs: DataFrame, shared) -> DataFrame:
+CODED = "row bigint, doc_id {}, learnt boolean, n_tokens bigint, known bigint, seen double, units binary, rare binary"
+
+
+def coded(docs: DataFrame, shared) -> DataFrame:
+    """A row for each of ``docs`` (doc_id, text, learnt): its tokens as units (clustered words, then lengths) and the words
+    of those that are lengths, in order; known and seen count the words that are sent to all tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v, row = shared.value, TaskContext.get().partitionId() << 40
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            hashes, shapes, of = tokens(batch.column(1))
+            keys = key_of(hashes, shapes)
+            at = v.find(keys)
+            here = at >= 0
+            unit = np.where(here, v.unit[at], -1) if len(v.unit) else np.full(len(at), -1)
+            rare = unit < 0
+            unit = np.where(rare, v.n_units + shapes, unit).astype(np.int32)
+            logs = np.where(here, np.log10(v.counts[at] + 1.0), 0.0) if len(v.counts) else np.zeros(len(at))
+            sizes = np.bincount(of, minlength=n)
+            cuts = np.concatenate(([0], np.cumsum(sizes)))
+            rare_cuts = np.concatenate(([0], np.cumsum(np.bincount(of[rare], minlength=n))))
+            held = keys[rare]
+            blobs = [pa.array([x[c[k] : c[k + 1]].tobytes() for k in range(n)], pa.binary()) for x, c in ((unit, cuts), (held, rare_cuts))]
+            yield pa.RecordBatch.from_arrays([pa.array(row + np.arange(n)), batch.column(0), batch.column(2), pa.array(sizes), pa.array(np.bincount(of, here, minlength=n).astype(np.int64)), pa.array(np.bincount(of, logs, minlength=n)), *blobs], names=["row", "doc_id", "learnt", "n_tokens", "known", "seen", "units", "rare"])
+            row += n
+
+    small_batches(docs.sparkSession)
+    return write_table(docs.select("doc_id", "text", "learnt").mapInArrow(tidied(run), CODED.format(docs.schema["doc_id"].dataType.simpleString())), "coded")
+
+
+def unpacked(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """(values, texts) of a batch's binary column."""
+    parts = [np.frombuffer(x.as_buffer(), kind) for x in column]
+    return np.concatenate(parts) if parts else np.zeros(0, kind), np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+
+
+def neighbours(rows: DataFrame, n_units: int) -> DataFrame:
     """A row for each slice of units: the counts of (unit, unit after) and of (unit, unit before), as sorted arrays."""
 
     def emit(pairs: Tally) -> Iterator[pa.RecordBatch]:
@@ -200,11 +243,12 @@ def neighbours(docs: DataFrame, shared) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int32()), pa.array([side] * len(ks), pa.int8()), pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["slice", "side", "keys", "counts"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, pairs = shared.value, Tally()
+        pairs = Tally()
         for batch in batches:
             if batch.num_rows:
-                before, unit = units(v, *tokens(batch.column(0)))
-                pairs.add(before << 32 | unit)
+                unit, of = unpacked(batch.column(0), "<i4")
+                unit = unit.astype(np.int64)
+                pairs.add(before_of(unit, of, n_units + len(LENGTHS) + 1) << 32 | unit)
                 if len(pairs.keys) > FULL:
                     yield from emit(pairs)
                     pairs = Tally()
@@ -231,10 +275,9 @@ def neighbours(docs: DataFrame, shared) -> DataFrame:
         if held is not None:
             yield done()
 
-    small_batches(docs.sparkSession)
-    parts = docs.select("text").mapInArrow(tidied(gather), "slice int, side tinyint, keys binary, counts binary")
+    parts = rows.filter("learnt").select("units").mapInArrow(tidied(gather), "slice int, side tinyint, keys binary, counts binary")
     # rows are few and large: their tasks must not be merged
-    placed = parts.repartition(min(SLICES, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "slice").sortWithinPartitions("slice")
+    placed = parts.repartition(min(SLICES, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "slice").sortWithinPartitions("slice")
     return write_table(placed.mapInArrow(tidied(join), "slice int, after binary, n_after binary, before binary, n_before binary"), "neighbours")
 
 
@@ -251,9 +294,8 @@ def profiles(keys, counts, k: int, n_units: int, classes: np.ndarray) -> np.ndar
     return np.bincount(at, n, minlength=rows * N_ALL).reshape(-1, N_ALL)[:rows]
 
 
-def exchange(slices: DataFrame, n_units: int) -> tuple[np.ndarray, np.ndarray]:
-    """(class of each unit, counts of class bigrams) after the exchange."""
-    small_batches(slices.sparkSession)
+def exchange(slices: DataFrame, n_units: int) -> tuple[np.ndarray, np.ndarray, list[float]]:
+    """(class of each unit, counts of class bigrams, likelihood at the start and after each turn)."""
     every = n_units + len(LENGTHS) + 2
     classes = np.concatenate((np.arange(n_units) % CLASSES, CLASSES + np.arange(len(LENGTHS) + 2))).astype(np.int64)
 
@@ -304,88 +346,164 @@ def exchange(slices: DataFrame, n_units: int) -> tuple[np.ndarray, np.ndarray]:
 
     n = bigrams(classes)
     now = likelihood(n)
-    part = np.arange(n_units) * 0x9E3779B1 >> 7 & 1
-    for k in range(ROUNDS if n_units > 1 else 0):
+    ids = np.arange(n_units, dtype=np.uint64)
+    reached, quiet = [now], 0
+    while quiet < QUIET and n_units > 1:
         best, gain = gains(classes, n)
-        moved = classes.copy()
-        go = (gain > 1e-9) & (part == k % 2)
-        moved[:n_units][go] = best[go]
-        fresh = bigrams(moved)
-        if likelihood(fresh) > now:
-            classes, n, now = moved, fresh, likelihood(fresh)
-    return classes, n
+        turn = len(reached)
+        go = (gain > 1e-9) & (mix(ids) >> np.uint64(7) & np.uint64(1) == turn % 2)
+        draw = mix(ids + np.full(n_units, turn, np.uint64) * _ODD)
+        while go.any():
+            moved = classes.copy()
+            moved[:n_units][go] = best[go]
+            fresh = bigrams(moved)
+            if likelihood(fresh) > now:
+                classes, n, now = moved, fresh, likelihood(fresh)
+                break
+            # a half of those that were to move
+            go &= draw & np.uint64(1) == 0
+            draw = draw >> np.uint64(1)
+        quiet = quiet + 1 if now - reached[-1] < LEAST_GAIN * n.sum() else 0
+        reached.append(now)
+    return classes, n, reached
+
+
+CLASSED = "word bigint, before tinyint, class tinyint, n bigint"
+
+
+def rare_classes(rows: DataFrame, classes: np.ndarray, n_units: int, n: np.ndarray) -> DataFrame:
+    """The class of every word that the exchange left out, as rows (word, null, class, n); and, as rows (null, before,
+    class, n), how often such words of a class come after what is before them. In every task words are sorted."""
+    table = np.log(n[:, :CLASSES] + ADDED) - np.log(n[:, :CLASSES].sum(0) + ADDED * N_ALL)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            unit, of = unpacked(batch.column(0), "<i4")
+            words, _ = unpacked(batch.column(1), "<i8")
+            before = classes[before_of(unit, of, n_units + len(LENGTHS) + 1)][unit >= n_units]
+            order = np.lexsort((before, words))
+            words, before = words[order], before[order]
+            first = np.flatnonzero(np.concatenate(([True], (words[1:] != words[:-1]) | (before[1:] != before[:-1])))[: len(words)])
+            yield pa.RecordBatch.from_arrays([pa.array(words[first]), pa.array(before[first], pa.int8()), pa.array(np.diff(first, append=len(words)).astype(np.int32))], names=["word", "before", "n"])
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        after, held = np.zeros((N_ALL, CLASSES), np.int64), np.zeros((3, 0), np.int64)
+
+        def out(of: np.ndarray) -> pa.RecordBatch:
+            words, before, times = of
+            first = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1]))[: len(words)])
+            best = np.add.reduceat(table[before] * times[:, None], first).argmax(1) if len(first) else first
+            np.add.at(after, (before, np.repeat(best, np.diff(first, append=len(words)))), times)
+            total = np.add.reduceat(times, first) if len(first) else first
+            return pa.RecordBatch.from_arrays([pa.array(words[first]), pa.nulls(len(first), pa.int8()), pa.array(best, pa.int8()), pa.array(total)], names=["word", "before", "class", "n"])
+
+        for batch in batches:
+            held = np.concatenate((held, np.stack([c.to_numpy().astype(np.int64) for c in batch.columns])), 1)
+            if held.shape[1] > 1 << 15:
+                cut = int(np.searchsorted(held[0], held[0, -1]))  # the last word may go on
+                if cut:
+                    yield out(held[:, :cut])
+                    held = held[:, cut:]
+        yield out(held)
+        b, c = np.nonzero(after)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(b), pa.int64()), pa.array(b, pa.int8()), pa.array(c, pa.int8()), pa.array(after[b, c])], names=["word", "before", "class", "n"])
+
+    seen = rows.filter("learnt").select("units", "rare").mapInArrow(tidied(gather), "word bigint, before tinyint, n int")
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return write_table(seen.repartition(tasks, "word").sortWithinPartitions("word").mapInArrow(tidied(assign), CLASSED), "classes")
 
 
 @dataclass
 class Model:
     words: Vocabulary
+    #: classes of units, lengths and the start; classes of the vocabulary's words
     classes: np.ndarray
-    #: log10 of the probability of a word after a class, less log10(count + 1): by class before and class
+    word_classes: np.ndarray
+    #: log10 of the probability of a word, less log10(count + 1): by what is before and the word's class, NEW last
     log_after: np.ndarray
     log_base: float
+    #: log likelihood of the exchange's classes at the start and after each turn
+    reached: list[float]
 
 
-def train(counts: DataFrame, docs: DataFrame) -> Model:
-    spark = docs.sparkSession
-    v = vocabulary(counts)
-    shared = spark.sparkContext.broadcast(v)  # at most COUNTED words
-    slices = neighbours(docs, shared)
-    classes, n = exchange(slices, v.n_units)
+def train(rows: DataFrame, v: Vocabulary) -> tuple[Model, DataFrame]:
+    """The model of the rows that are learnt, and the classes of the words that the exchange left out."""
+    slices = neighbours(rows, v.n_units)
+    classes, n, reached = exchange(slices, v.n_units)
     drop_table(slices)
-    # mass of each class: counts plus one for each word, and one more for new words where there can be any
-    mass = np.zeros(N_ALL)
-    own = v.unit >= 0
-    np.add.at(mass, classes[v.unit[own]], v.counts[own] + 1)
-    shape = (v.words & 7)[own]
-    by_shape = np.zeros(len(LENGTHS) + 1)
-    for r in counts.groupBy("shape").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():  # eight rows
-        by_shape[r["shape"]] = r.n + r.words
-    np.subtract.at(by_shape, shape, v.counts[own] + 1)
-    mass[CLASSES : CLASSES + len(by_shape)] += by_shape + 1
-    after = (n + ADDED) / (n.sum(1, keepdims=True) + ADDED * N_ALL)
+    rare = rare_classes(rows, classes, v.n_units, n)
+    after = np.zeros((N_ALL, CLASSES + 1))
+    after[:, :CLASSES] = n[:, :CLASSES]
+    for r in rare.filter("word is null").groupBy("before", "class").agg(F.sum("n").alias("n")).collect():  # a small matrix
+        after[r.before, r["class"]] += r.n
+    # each class's counts plus one for each word
+    mass = np.zeros(CLASSES + 1)
+    own = np.flatnonzero(v.unit >= 0)
+    word_classes = np.full(len(v.words), NEW)
+    word_classes[own] = classes[v.unit[own]]
+    np.add.at(mass, word_classes[own], v.counts[own] + 1)
+    once = int((v.counts[own] == 1).sum())
+    words = rare.filter("word is not null")
+    for r in words.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("words"), F.count_if(F.col("n") == 1).alias("once")).collect():  # a row for each class
+        mass[r["class"]] += r.n + r.words
+        once += r.once
+    sent = words.filter(level("n") >= v.low).select("word", "class").toArrow()  # at most COUNTED rows
+    at = v.find(sent.column("word").to_numpy())
+    word_classes[at[at >= 0]] = sent.column("class").to_numpy()[at >= 0]
+    # new words: as often as words are seen once, and as many as there are known ones
+    after[:, NEW] = after[:, :CLASSES].sum(1) * (once / max(1, v.total))
+    mass[NEW] = v.distinct + 1
+    shares = (after + ADDED) / (after.sum(1, keepdims=True) + ADDED * (CLASSES + 1))
     base = 1.0 / (v.total + v.distinct + 1)
     with np.errstate(divide="ignore"):
         per_class = np.where(mass > 0, 1.0 / np.maximum(mass, 1), 0.0)
-    return Model(v, classes, np.log10(SHARE * after * per_class + (1 - SHARE) * base), float(np.log10(base)))
+    return Model(v, classes, word_classes, np.log10(SHARE * shares * per_class + (1 - SHARE) * base), float(np.log10(base)), reached), words
 
 
-def score(docs: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score, score of every row; ``docs`` has doc_id and text."""
-    spark = docs.sparkSession
+def score(rows: DataFrame, words: DataFrame, model: Model) -> DataFrame:
+    """doc_id, learnt, n_tokens, n_known, base_score, score of every row that coded() gave."""
+    spark = rows.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # bounded as its vocabulary is
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, row = shared.value, TaskContext.get().partitionId() << 40
+        m = shared.value
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            h, s, of = tokens(batch.column(1))
-            keys = key_of(h, s)
+            unit, of = unpacked(batch.column(6), "<i4")
+            keys, _ = unpacked(batch.column(7), "<i8")
+            before = m.classes[before_of(unit, of, m.words.n_units + len(LENGTHS) + 1)]
+            own = m.classes[unit]
+            rare = np.flatnonzero(unit >= m.words.n_units)
             at = m.words.find(keys)
-            before, unit = units(m.words, h, s, of)
-            here = at >= 0
-            logs = np.where(here, np.log10(m.words.counts[at] + 1.0) if len(m.words.counts) else 0.0, 0.0)
-            known = np.bincount(of, here, minlength=n).astype(np.int64)
-            seen = np.bincount(of, logs, minlength=n)
-            after = np.bincount(of, m.log_after[m.classes[before], m.classes[unit]], minlength=n)
-            rest = np.flatnonzero(~here)
-            order = rest[np.lexsort((keys[rest], of[rest]))]
-            first = np.flatnonzero(np.concatenate(([True], (of[order][1:] != of[order][:-1]) | (keys[order][1:] != keys[order][:-1])))) if len(order) else np.zeros(0, np.int64)
-            times = np.diff(first, append=len(order))
-            cuts = np.searchsorted(of[order][first], np.arange(n + 1)).astype(np.int32)
-            rare = pa.ListArray.from_arrays(pa.array(cuts), pa.StructArray.from_arrays([pa.array(keys[order][first]), pa.array(times)], names=["word", "times"]))
-            yield pa.RecordBatch.from_arrays([pa.array(row + np.arange(n)), batch.column(0), pa.array(np.bincount(of, minlength=n)), pa.array(known), pa.array(seen), pa.array(after), rare], names=["row", "doc_id", "n_tokens", "known", "seen", "after", "rare"])
-            row += n
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = write_table(docs.select("doc_id", "text").mapInArrow(tidied(run), f"row bigint, doc_id {kind}, n_tokens bigint, known bigint, seen double, after double, rare array<struct<word:bigint,times:bigint>>"), "scored")
-    rare = rows.select("row", F.explode("rare").alias("r")).select("row", F.col("r.word").alias("word"), F.col("r.times").alias("times"))
-    found = rare.join(counts.select("word", "n"), "word").groupBy("row").agg(F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more_seen"))
-    all_rows = rows.select("row", "doc_id", "n_tokens", "known", "seen", "after").join(found, "row", "left")
-    seen = F.col("seen") + F.coalesce("more_seen", F.lit(0.0))
-    return all_rows.select("doc_id", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), (seen + F.col("n_tokens") * F.lit(model.log_base)).alias("base_score"), (seen + F.col("after")).alias("score"))
+            own[rare] = np.where(at >= 0, m.word_classes[at], -1) if len(m.words.words) else -1
+            known = own >= 0
+            after = np.bincount(of[known], m.log_after[before[known], own[known]], minlength=n)
+            left = rare[~known[rare]]
+            words, b, o = keys[~known[rare]], before[left], of[left]
+            order = np.lexsort((b, words, o))
+            words, b, o = words[order], b[order], o[order]
+            first = np.flatnonzero(np.concatenate(([True], (o[1:] != o[:-1]) | (words[1:] != words[:-1]) | (b[1:] != b[:-1])))[: len(o)])
+            cuts = np.searchsorted(o[first], np.arange(n + 1)).astype(np.int32)
+            found = pa.ListArray.from_arrays(pa.array(cuts), pa.StructArray.from_arrays([pa.array(words[first]), pa.array(b[first], pa.int8()), pa.array(np.diff(first, append=len(o)))], names=["word", "before", "times"]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(after), found], names=["row", "doc_id", "learnt", "n_tokens", "known", "seen", "after", "rare"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    given = rows.select(*[c.split()[0] for c in CODED.split(", ")])
+    found = write_table(given.mapInArrow(tidied(run), f"row bigint, doc_id {kind}, learnt boolean, n_tokens bigint, known bigint, seen double, after double, rare array<struct<word:bigint,before:tinyint,times:bigint>>"), "scored")
+    rare = found.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.before", "r.times")
+    logs = spark.createDataFrame([(b, c, float(x)) for b, line in enumerate(model.log_after) for c, x in enumerate(line)], "before tinyint, class tinyint, log double")  # a small matrix
+    of = rare.join(words.select("word", "class", "n"), "word", "left").withColumn("class", F.coalesce("class", F.lit(NEW).cast("tinyint"))).join(F.broadcast(logs), ["before", "class"])
+    own = F.log10(F.coalesce("n", F.lit(0)) + 1.0)
+    more = of.groupBy("row").agg(F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("more_known"), F.sum(F.col("times") * own).alias("more_seen"), F.sum(F.col("times") * F.col("log")).alias("more_after"))
+    every = found.drop("rare").join(more, "row", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    seen = F.col("seen") + zero("more_seen")
+    return every.select("doc_id", "learnt", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), (seen + F.col("n_tokens") * F.lit(model.log_base)).alias("base_score"), (seen + F.col("after") + zero("more_after")).alias("score"))
 
 
 def score_documents(docs: DataFrame, held_out: int = 2, folds: int = 7) -> DataFrame:
@@ -396,9 +514,16 @@ def score_documents(docs: DataFrame, held_out: int = 2, folds: int = 7) -> DataF
     A null text is the empty text, one end; a null id counts as the empty id. Repeated rows count each. If nothing is
     learnt from, all words are new.
     """
-    base = docs.select("doc_id", text_of("text").alias("text"))
-    learnt = base.filter(id_hash_mod("doc_id", folds) != held_out)
-    counts = write_table(count_words(learnt), "words")
-    model = train(counts, learnt)
-    scored = score(base, counts, model)
-    return scored.select("doc_id", (id_hash_mod("doc_id", folds) == held_out).alias("held_out"), "n_tokens", "n_known", F.lit(model.words.total).cast("long").alias("train_tokens"), "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
+    base = docs.select("doc_id", text_of("text").alias("text"), (id_hash_mod("doc_id", folds) != held_out).alias("learnt"))
+    scored, total = learnt_and_scored(base)[:2]
+    return scored.select("doc_id", (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
+
+
+def learnt_and_scored(base: DataFrame) -> tuple[DataFrame, int, Model, DataFrame]:
+    """(scores, training tokens, model, classes of rare words) of rows (doc_id, text, learnt)."""
+    counts = write_table(count_words(base.filter("learnt")), "words")
+    v = vocabulary(counts)
+    drop_table(counts)
+    rows = coded(base, base.sparkSession.sparkContext.broadcast(v))  # at most COUNTED words
+    model, words = train(rows, v)
+    return score(rows, words, model), v.total, model, words

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from quire.llm import brown, quality
 from quire.llm._text import raw, words
@@ -62,17 +63,71 @@ def test_brown_learns_classes(spark, monkeypatch):
     assert all(abs(r.base_score - sum(math.log10((counts[t] + 1) / (n + v + 1)) for t in tokens(texts[r.doc_id]))) < 1e-6 for r in rows)
 
 
-def test_brown_probabilities_sum_to_one(spark):
-    docs = spark.createDataFrame([(k, prose(random.Random(k), 50)) for k in range(20)], "doc_id long, text string")
-    counts = brown.count_words(docs).persist()
-    model = brown.train(counts, docs)
-    v = model.words
-    unit = v.unit
-    own = model.classes[unit]
-    for before in range(brown.N_ALL):
-        known = np.sum((v.counts + 1) * 10.0 ** model.log_after[before, own])
-        assert known <= 1 + 1e-9
-    counts.unpersist()
+def model_of(rare, m):
+    """{word's key: (count, class)} of all training words."""
+    out = {int(w): (int(n), int(c)) for w, n, c, u in zip(m.words.words, m.words.counts, m.word_classes, m.words.unit, strict=True) if u >= 0}
+    return out | {r.word: (r.n, r["class"]) for r in rare.collect()}
+
+
+@pytest.mark.parametrize("counted", [40, 10**6])
+def test_brown_scores_equal_brute_force(spark, monkeypatch, counted):
+    """Every term from counts in dictionaries, for words that the exchange has, words that are sent, and others."""
+    monkeypatch.setattr(brown, "CLUSTERED", 20)
+    monkeypatch.setattr(brown, "COUNTED", counted)
+    rng = random.Random(5)
+    texts = {k: prose(rng, rng.randint(0, 60)) + f" once{k} " + ("newword" if k == 4 else "") for k in range(60)}
+    docs = spark.createDataFrame([(k, t, k % 6 != 4) for k, t in texts.items()], "doc_id long, text string, learnt boolean")
+    scored, total, m, rare = brown.learnt_and_scored(docs)
+    of = model_of(rare, m)
+
+    def keys(t):
+        h, s, _ = brown.tokens(pa.array([t]))
+        return [(int(k), int(x)) for k, x in zip(brown.key_of(h, s), s, strict=True)]
+
+    units = {int(w): int(u) for w, u in zip(m.words.words, m.words.unit, strict=True) if u >= 0}
+    history = lambda k, s: int(m.classes[units[k]]) if k in units else brown.CLASSES + s
+    counts = Counter(k for i, t in texts.items() if i % 6 != 4 for k, _ in keys(t))
+    assert total == sum(counts.values()) and {k: n for k, (n, _) in of.items()} == counts and len(units) <= 20 < len(of)
+    after, mass = Counter(), Counter()
+    for i, t in texts.items():
+        if i % 6 != 4:
+            h = brown.START
+            for k, s in keys(t):
+                after[h, of[k][1]] += 1
+                h = history(k, s)
+    for n, c in of.values():
+        mass[c] += n + 1
+    v, once = len(counts), sum(n == 1 for n in counts.values())
+    base = 1 / (total + v + 1)
+
+    def share(h, c):
+        row = {x: after[h, x] for x in range(brown.CLASSES)}
+        row[brown.NEW] = sum(row.values()) * once / total
+        return (row[c] + 0.5) / (sum(row.values()) + 0.5 * (brown.CLASSES + 1))
+
+    def probability(h, n, c):
+        return (n + 1) * (0.8 * share(h, c) / (mass[c] if c != brown.NEW else v + 1) + 0.2 * base)
+
+    for r in scored.collect():
+        h, want = brown.START, 0.0
+        for k, s in keys(texts[r.doc_id]):
+            want += math.log10(probability(h, *of.get(k, (0, brown.NEW))))
+            h = history(k, s)
+        assert abs(r.score - want) < 1e-6 and r.n_known == sum(k in counts for k, _ in keys(texts[r.doc_id]))
+    for h in range(brown.N_ALL):  # known words, as many new ones, and the unigram model's share of one new word
+        known = sum(probability(h, n, c) for n, c in of.values())
+        empty = sum(share(h, c) for c in range(brown.CLASSES) if not mass[c])
+        new = 0.8 * share(h, brown.NEW) + 0.2 * base
+        assert abs(known + new + 0.8 * empty - 1) < 1e-9
+
+
+def test_the_exchange_ends_where_no_turn_gains(spark):
+    rng = random.Random(6)
+    kinds = [[f"{c}{k}" for k in range(40)] for c in "abc"]
+    docs = spark.createDataFrame([(k, " ".join(rng.choice(kinds[j % 3]) for j in range(90)), True) for k in range(60)], "doc_id long, text string, learnt boolean")
+    _, total, m, _ = brown.learnt_and_scored(docs)
+    assert all(b >= a for a, b in zip(m.reached, m.reached[1:], strict=False)) and len(m.reached) > 4
+    assert all(b - a < brown.LEAST_GAIN * total for a, b in zip(m.reached[-5:], m.reached[-4:], strict=False))
 
 
 def brute_marginals(scores, move):
