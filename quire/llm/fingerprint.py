@@ -26,13 +26,13 @@ from pyspark.sql import functions as F
 from ._common import text_of
 
 #: Words of a paragraph, about; a power of two.
-CUT = 8
+CUT = 16
 #: Cells in a subtable of the fingerprint itself.
 SMALL = 4
 #: Cells in a subtable of a group's sketch, in its attempts.
-LARGER = (4, 16, 64)
+LARGER = (4, 8, 16, 64)
 #: Digests of both versions that a group holds, about.
-GROUP = 4
+GROUP = 5
 #: Rounds of peeling; each takes all cells that hold one digest.
 ROUNDS = 16
 #: Characters in a bucket of neighbouring documents, about, and buckets at most.
@@ -53,14 +53,9 @@ def check_of(digest: Column) -> Column:
     return F.xxhash64(digest).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
-def bits(digest: Column, shift: int, n: Column | int) -> Column:
-    """Bits of a digest from ``shift`` on, as a number below ``n``, a power of two."""
-    below = F.lit(n - 1) if isinstance(n, int) else n - 1
-    return F.shiftright(digest, shift).bitwiseAND(below)
-
-
 def place(digest: Column, subtable: int, size: int) -> Column:
-    return bits(digest, 2 + 6 * subtable, size).cast("int")
+    """The digest's cell in a subtable of ``size`` cells, a power of two up to 64."""
+    return F.shiftright(digest, 2 + 6 * subtable).bitwiseAND(F.lit(size - 1)).cast("int")
 
 
 def cell(count: Column, digest: Column, check: Column) -> Column:
@@ -107,8 +102,9 @@ def peeled(cells: Column, size: int) -> Column:
 def differing(a: Column, b: Column) -> Column:
     """The digests in one of two sets only, by grouped sketches that grow until they peel."""
     groups = F.greatest(F.lit(1), F.ceil((F.size(a) + F.size(b)) / GROUP))
-    way = F.pow(F.lit(2.0), F.ceil(F.log2(groups.cast("double")) / 2)).cast("long")
-    split = lambda of, shift, n: F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda g: F.struct(F.filter(of["a"], lambda d: bits(d, shift, n) == g).alias("a"), F.filter(of["b"], lambda d: bits(d, shift, n) == g).alias("b")))
+    way = F.ceil(F.sqrt(groups.cast("double"))).cast("long")
+    in_group = lambda shift, n, g: lambda d: F.pmod(F.shiftright(d, shift), n) == g
+    split = lambda of, shift, n: F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda g: F.struct(F.filter(of["a"], in_group(shift, n, g)).alias("a"), F.filter(of["b"], in_group(shift, n, g)).alias("b")))
     rough = split(F.struct(a.alias("a"), b.alias("b")), 24, way)
     fine = F.flatten(F.transform(rough, lambda x: split(x, 43, way)))
 

@@ -170,7 +170,7 @@ def test_fingerprints(spark, monkeypatch):
     order = sorted(texts)
 
     def pieces(t):
-        marked = " ".join(w + "\n" * (xxhash.xxh64(w.encode(), seed=42).intdigest() % 8 == 0) for w in t.split(" "))
+        marked = " ".join(w + "\n" * (xxhash.xxh64(w.encode(), seed=42).intdigest() % fingerprint.CUT == 0) for w in t.split(" "))
         return {p.strip(" ") for p in marked.split("\n")} - {""}
 
     def like(a, b):
