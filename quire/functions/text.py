@@ -2,11 +2,14 @@
 
 Every function takes and gives columns, stays in generated code and treats null as its docstring says. The normal forms
 differ on purpose (what becomes of a hamza, of spaces, of the letters that carry a hamza), so none is built on another.
-``nfd`` and ``nfkc`` (quire.functions.unicode) come first where texts hold composed characters outside the Arabic block.
+Canonical decomposition and, for editions, compatibility composition are part of them: their tables are built from the
+Unicode data of the standard library, as far as marks are dropped anyway. Hangul syllables stay composed.
 """
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,8 +23,33 @@ DIGITS_TO = "01234567890123456789"
 DIGIT_CLASS = "[٠-٩۰-۹0-9]"
 META_PHRASES = (("مصحف", "رواية", "قالون", "عن", "نافع"), ("بوجه", "صلة", "ميم", "الجمع", "وتوسط", "المنفصل"))
 META_CHUNKS = ("مصحف رواية قالون عن نافع", "بوجه", "صلة", "ميم الجمع وتوسط المنفصل")
-# what canonical decomposition makes of the composed letters of the Arabic block, marks aside
-COMPOSED = ("آأإؤئۀۂۓ", "اااويەہے")
+# letters of editions and the basic ones that they are folded to
+FOLDED = ("ٱأإآٲٳٵىئؤءٶٸ", "اااااااييواوي")
+
+
+def _unmarked() -> dict[str, str]:
+    """What canonical decomposition makes of composed characters, marks aside; those of Hangul are left out."""
+    out = {}
+    for c in map(chr, [*range(0xA0, 0xAC00), *range(0xF900, 0xFFFE)]):
+        plain = "".join(x for x in unicodedata.normalize("NFD", c) if unicodedata.category(x) != "Mn")
+        if plain not in ("", c):
+            out[c] = plain
+    return out
+
+
+def _folded_letters() -> dict[str, str]:
+    """Presentation forms and other compatibility characters as the basic Arabic letters that they stand for."""
+    out = {}
+    for c in map(chr, [*range(0x0600, 0x0900), *range(0xFB50, 0xFE00), *range(0xFE70, 0xFF00)]):
+        whole = unicodedata.normalize("NFKC", c)
+        if whole != c and any("\u0621" <= x <= "\u064a" or x in FOLDED[0] for x in whole):
+            out[c] = whole
+    return out
+
+
+_ONE = {c: x for c, x in _unmarked().items() if len(x) == 1}
+COMPOSED = ("".join(_ONE), "".join(_ONE.values()))
+FORMS = _folded_letters()
 
 #: Marks, format characters, tatweel and annotation signs; the ranges are marks that older Unicode tables do not know.
 DROPPED = rf"[\p{{Mn}}\p{{Cf}}{TATWEEL}\u06DD\u06DE\u06E5\u06E6\u06E9\u0898-\u089F\u08CA-\u08D2]"
@@ -56,9 +84,17 @@ def fuzzy_canonical(c: Column) -> Column:
     return F.translate(canonical(F.translate(_text(c), "ئؤ\u0670", "ءءا")), " ", "")
 
 
+def compatible(c: Column) -> Column:
+    """Presentation forms as the letters that they stand for; texts without any are left as they are."""
+    table = F.str_to_map(F.lit("\n".join(f"{c}\t{x}" for c, x in FORMS.items())), F.lit("\n"), F.lit("\t"))  # a constant
+    forms = "[" + "".join(FORMS) + "]"
+    letters = F.transform(F.split(c, ""), lambda x: F.when(x.rlike(forms), F.element_at(table, x)).otherwise(x))
+    return F.when(c.rlike(forms), F.array_join(letters, "")).otherwise(c)
+
+
 def mapping_normal(c: Column) -> Column:
     """For alignment of editions: folded letters, nothing but basic letters stays, the lone hamza is an alef."""
-    folded = F.translate(_text(c), "ٱأإآٲٳٵىئؤءٶٸ", "اااااااييواوي")
+    folded = F.translate(compatible(_text(c)), *FOLDED)
     return F.regexp_replace(folded, r"[^\u0621-\u063A\u0641-\u064A]", "")
 
 

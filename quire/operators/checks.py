@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
+from quire.operators.streams import previous
 from quire.spec import ANCHORS, EDITIONS, LayoutSpec
 
 
@@ -135,11 +136,10 @@ def continuity(lines: DataFrame, words: DataFrame) -> DataFrame:
     """Each line starts right after the one before, over pages too; it does not end before it starts; the first line
     starts with the first word and the last ends with the last."""
     at = endpoint_positions(lines, words).groupBy("edition_id", "page", "line").agg(F.max(F.when(F.col("which") == "first", F.col("at"))).alias("first"), F.max(F.when(F.col("which") == "end", F.col("at"))).alias("stop"))
-    order = W.partitionBy("edition_id").orderBy("page", "line")
-    rows = at.withColumn("_before", F.coalesce(F.lag("stop").over(order), F.lit(-1))).withColumn("_next", F.lead("page").over(order))
+    rows = previous(at, F.coalesce("stop", F.lit(-2).cast("long")), ["edition_id"], "page", ["line"], "_before").withColumn("_before", F.coalesce("_before", F.lit(-1)))
     place = T.key("edition_id", "page", "line")
     last = words.groupBy("edition_id").agg(F.max("pos").alias("_last"))
-    ends = rows.filter("_next is null").join(last, "edition_id")
+    ends = at.groupBy("edition_id").agg(F.max(F.struct("page", "line", "stop")).alias("_e")).select("edition_id", "_e.*").join(last, "edition_id")
     return union([
         violation(rows.filter(F.col("first") != F.col("_before") + 1), "continuity", place, F.concat_ws(">", "_before", "first")),
         violation(rows.filter("stop < first"), "line_backwards", place),
@@ -150,8 +150,7 @@ def continuity(lines: DataFrame, words: DataFrame) -> DataFrame:
 def present_continuity(lines: DataFrame, ayah_sizes: DataFrame | None = None) -> DataFrame:
     """Without the words: neighbouring lines (also of neighbouring pages) go on in the same verse at the next word, or
     with the first word of a later verse or chapter. For samples of a layout."""
-    order = W.partitionBy("edition_id").orderBy("page", "line")
-    rows = lines.withColumn("_e", F.lag("end_word").over(order)).withColumn("_p", F.lag("page").over(order)).filter((F.col("page") - F.col("_p")) <= 1)
+    rows = previous(lines, F.struct("end_word", "page"), ["edition_id"], "page", ["line"], "_b").withColumn("_e", F.col("_b.end_word")).filter((F.col("page") - F.col("_b.page")) <= 1)
     s, e = "first_word", "_e"
     same = (F.col(f"{s}.surah") == F.col(f"{e}.surah")) & (F.col(f"{s}.ayah") == F.col(f"{e}.ayah"))
     next_word = same & (F.col(f"{e}.type") == "word") & (F.col(f"{s}.wordIndex") == F.col(f"{e}.wordIndex") + 1)

@@ -7,6 +7,8 @@ carried span overlaps.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,14 +26,20 @@ def verse_spans(ayat: DataFrame, normal: Column | None = None) -> DataFrame:
 
 
 def chapter_opcodes(source: DataFrame, target: DataFrame) -> DataFrame:
-    """edition_id, surah, ops: the edit script from each chapter's string to the reference's. One group a chapter."""
+    """edition_id, surah, ops: the edit script from each edition's chapter to the reference's. A row for each, so that
+    editions and chapters are independent tasks."""
 
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        other = right.text.iloc[0] if len(right) else ""
-        return pd.DataFrame({"edition_id": left.edition_id, "surah": left.surah, "ops": [[dict(zip(("tag", "src_start", "src_end", "dest_start", "dest_end"), op, strict=True)) for op in opcodes(t, other)] for t in left.text]})
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            ops = [[dict(zip(("tag", "src_start", "src_end", "dest_start", "dest_end"), op, strict=True)) for op in opcodes(a, b)] for a, b in zip(pdf.text, pdf.other, strict=True)]
+            yield pd.DataFrame({"edition_id": pdf.edition_id, "surah": pdf.surah, "ops": ops})
 
     whole = lambda df, *keys: df.groupBy(*keys).agg(joined_text("norm", "ayah").alias("text"))
-    return whole(source, "edition_id", "surah").groupBy("surah").cogroup(whole(target, "surah").groupBy("surah")).applyInPandas(run, "edition_id int, surah int, ops array<struct<tag:string,src_start:int,src_end:int,dest_start:int,dest_end:int>>")
+    both = whole(source, "edition_id", "surah").join(whole(target, "surah").withColumnRenamed("text", "other"), "surah", "left")
+    # rows are few and their work is not: they are dealt out whatever their size
+    tasks = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = both.select("edition_id", "surah", "text", F.coalesce("other", F.lit("")).alias("other")).repartition(tasks, "edition_id", "surah")
+    return rows.mapInPandas(run, "edition_id int, surah int, ops array<struct<tag:string,src_start:int,src_end:int,dest_start:int,dest_end:int>>")
 
 
 def carried(pos: Column, ops: Column, end: bool) -> Column:

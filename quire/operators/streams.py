@@ -34,6 +34,17 @@ def prefix_sum(df: DataFrame, value: Column, keys: list[str], part: str, order:
     return joined.withColumn(out, F.col("_ahead") + own).drop("_value", "_of_part", "_ahead", *[f"_k{i}" for i in range(len(keys))])
 
 
+def previous(df: DataFrame, value: Column, keys: list[str], part: str, order: list[str], out: str) -> DataFrame:
+    """Adds the ``value`` of the row before in the stream of ``keys``, which is ordered by ``part`` and within it by
+    ``order``; null for the first row. A window runs over a part, and one over the parts' last values."""
+    rows = df.withColumn("_value", value)
+    lasts = rows.groupBy(*keys, part).agg(F.max_by(F.struct("_value"), F.struct(*order)).alias("_last"))
+    carry = lasts.withColumn("_carry", F.lag("_last").over(W.partitionBy(*keys).orderBy(part))).select(*keys, part, "_carry")
+    own = W.partitionBy(*keys, part).orderBy(*order)
+    both = rows.withColumn("_own", F.lag(F.struct("_value")).over(own)).join(carry, [*keys, part])
+    return both.withColumn(out, F.coalesce("_own", "_carry")["_value"]).drop("_value", "_own", "_carry")
+
+
 def assign_by_offset(points: DataFrame, starts: DataFrame, keys: list[str], at: str, start: str, payload: list[str], width: int = 65_536) -> DataFrame:
     """Adds to each point the ``payload`` of the last start at or before its offset ``at`` (an as-of join).
 

@@ -16,6 +16,12 @@ def explode_parts(df: DataFrame, text: str, leading: bool = True) -> DataFrame:
     return parts.select("*", F.col("_part.token").alias("token"), F.col("_part.marker").alias("marker")).drop("_raw", "_part")
 
 
+def numbered_tokens(df: DataFrame, text: str, *keep: str) -> DataFrame:
+    """The columns ``keep`` with a row for each token of a text: word_no (from 1) and word. A row's tokens are numbered
+    where they are, without a shuffle."""
+    return df.select(*keep, F.posexplode(T.tokens(F.col(text))).alias("_k", "word")).select(*keep, (F.col("_k") + 1).cast("long").alias("word_no"), "word")
+
+
 def words(ayat: DataFrame) -> DataFrame:
     """edition_id, surah, ayah, page, wordIndex (from 1 in a verse, numbers and signs not counted), word, pos (from 0
     in the edition), canonical, loose, f (the form for distances). Null texts have no words."""

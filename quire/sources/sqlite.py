@@ -1,7 +1,8 @@
 """Tables of SQLite files as a Spark data source: format ``sqlite`` with options path, table and partitions.
 
-Partitions are ranges of rowid; columns are typed by the declared schema. Column and filter pruning stay with Spark, as
-the files are small. ``export`` writes bounded tables to one file on the driver.
+Partitions are ranges of rowid; columns are typed by the declared schema. ``read`` takes the columns that are wanted, and
+comparisons with constants go into the file's own query, for which the session must let data sources in Python take
+filters (``read`` sets that). ``export`` writes bounded tables to one file on the driver.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ import sqlite3
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, IsNull, LessThan, LessThanOrEqual
 
 #: Rows that an export takes, at most.
 MOST_EXPORTED = 2_000_000
@@ -25,6 +26,23 @@ def quoted(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
+COMPARED = {EqualTo: "=", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
+
+
+def condition(f: Filter, typed: dict[str, str]) -> tuple[str, list] | None:
+    """A filter as SQL with its values; None if the file can't judge it as Spark does (texts by code points, numbers)."""
+    if len(f.attribute) != 1:
+        return None
+    name = f.attribute[0]
+    if isinstance(f, IsNull | IsNotNull):
+        return f"{quoted(name)} IS {'NOT ' * isinstance(f, IsNotNull)}NULL", []
+    if typed.get(name) not in ("bigint", "int", "string"):
+        return None
+    if isinstance(f, In):
+        return f"{quoted(name)} IN ({', '.join('?' * len(f.value))})", list(f.value)
+    return (f"{quoted(name)} {COMPARED[type(f)]} ?", [f.value]) if type(f) in COMPARED else None
+
+
 class SqliteSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -33,7 +51,8 @@ class SqliteSource(DataSource):
     def schema(self) -> str:
         with connect(self.options["path"]) as con:
             columns = con.execute(f"PRAGMA table_info({quoted(self.options['table'])})").fetchall()
-        return ", ".join(f"`{c[1]}` {TYPES.get(c[2].upper(), 'string')}" for c in columns)
+        wanted = [c for c in self.options.get("columns", "").split("\n") if c]
+        return ", ".join(f"`{c[1]}` {TYPES.get(c[2].upper(), 'string')}" for c in columns if not wanted or c[1] in wanted)
 
     def reader(self, schema) -> SqliteReader:
         return SqliteReader(self.options, schema)
@@ -42,6 +61,18 @@ class SqliteSource(DataSource):
 class SqliteReader(DataSourceReader):
     def __init__(self, options, schema):
         self.path, self.table, self.parts, self.names = options["path"], options["table"], int(options.get("partitions", 1)), schema.names
+        self.typed = {f.name: f.dataType.simpleString() for f in schema.fields}
+        self.where: list[str] = []
+        self.values: list = []
+
+    def pushFilters(self, filters: list[Filter]):
+        for f in filters:
+            found = condition(f, self.typed)
+            if found is None:
+                yield f
+            else:
+                self.where.append(found[0])
+                self.values += found[1]
 
     def partitions(self) -> list[InputPartition]:
         if self.parts <= 1:
@@ -54,15 +85,18 @@ class SqliteReader(DataSourceReader):
         return [InputPartition((k, min(high, k + step - 1))) for k in range(low, high + 1, step)]
 
     def read(self, partition):
-        what = f"SELECT {', '.join(map(quoted, self.names))} FROM {quoted(self.table)}"
+        part = [] if partition.value is None else ["rowid BETWEEN ? AND ?"]
+        where = " AND ".join([*part, *self.where])
+        what = f"SELECT {', '.join(map(quoted, self.names))} FROM {quoted(self.table)}" + (f" WHERE {where}" if where else "")
         with connect(self.path) as con:
-            rows = con.execute(what) if partition.value is None else con.execute(f"{what} WHERE rowid BETWEEN ? AND ?", partition.value)
-            yield from rows
+            yield from con.execute(what, [*(partition.value or ()), *self.values])
 
 
-def read(spark: SparkSession, path: str, table: str, schema: str | None = None, partitions: int = 1) -> DataFrame:
+def read(spark: SparkSession, path: str, table: str, schema: str | None = None, partitions: int = 1, columns: list[str] | None = None) -> DataFrame:
+    """A table, or those of its ``columns`` that are wanted, in the file's order."""
     spark.dataSource.register(SqliteSource)
-    reader = spark.read.format("sqlite").option("path", path).option("table", table).option("partitions", str(partitions))
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    reader = spark.read.format("sqlite").option("path", path).option("table", table).option("partitions", str(partitions)).option("columns", "\n".join(columns or []))
     return (reader.schema(schema) if schema else reader).load()
 
 
@@ -76,6 +110,7 @@ def intact(path: str) -> bool:
         return con.execute("PRAGMA integrity_check").fetchone()[0] == "ok"
 
 
+# The tables, columns and keys of the mapping's relational form.
 DDL = {
     "metadata": "CREATE TABLE metadata (key TEXT PRIMARY KEY, value TEXT NOT NULL) WITHOUT ROWID",
     "editions": "CREATE TABLE editions (edition_id INTEGER PRIMARY KEY, edition_key TEXT NOT NULL UNIQUE, rawi TEXT NOT NULL, ayah_count INTEGER NOT NULL, reference TEXT NOT NULL) WITHOUT ROWID",
@@ -88,8 +123,6 @@ def export(path: str, data: dict[str, DataFrame]) -> int:
     Path(path).unlink(missing_ok=True)
     con, n = sqlite3.connect(path), 0
     try:
-        con.execute("PRAGMA page_size=1024")
-        con.execute("PRAGMA auto_vacuum=NONE")
         for name, ddl in DDL.items():
             con.execute(ddl)
             df = data[name]

@@ -119,3 +119,20 @@ def test_sqlite_partitions(spark, tmp_path):
     con.close()
     rows = sqlite.read(spark, path, "ayat", partitions=7)
     assert rows.rdd.getNumPartitions() == 7 and rows.count() == 100 and rows.select("text").distinct().count() == 100
+
+
+def test_columns_and_filters_reach_the_file(spark, tmp_path):
+    import sqlite3
+
+    path = str(tmp_path / "t.sqlite")
+    with sqlite3.connect(path) as con:
+        con.execute("CREATE TABLE t (a INTEGER, b TEXT, c REAL)")
+        con.executemany("INSERT INTO t VALUES (?, ?, ?)", [(k, f"x{k % 3}", k / 2) for k in range(50)] + [(None, None, None)])
+    rows = sqlite.read(spark, path, "t", columns=["a", "b"], partitions=3)
+    assert rows.columns == ["a", "b"]
+    picked = rows.filter("a >= 10 and b = 'x1' and a in (10, 13, 14, 40)")
+    assert sorted(map(tuple, picked.collect())) == [(10, "x1"), (13, "x1"), (40, "x1")]
+    assert rows.filter("a is null").count() == 1 and rows.filter("b is not null and a < 5").count() == 5
+    reader = sqlite.SqliteReader({"path": path, "table": "t"}, rows.schema)
+    assert list(reader.pushFilters([sqlite.EqualTo(("b",), "x1"), sqlite.GreaterThan(("a",), 40)])) == []
+    assert sorted(reader.read(sqlite.InputPartition(None))) == [(43, "x1"), (46, "x1"), (49, "x1")]

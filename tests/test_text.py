@@ -1,3 +1,5 @@
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,6 +23,20 @@ def test_canonical_equals_the_model(spark):
     assert one(spark, lambda c: T.canonical(nfd(c)), texts) == [model.canonical(t) for t in texts]
 
 
+def test_composed_characters_and_presentation_forms(spark):
+    """All of the first plane, but for Hangul, against the standard library's normal forms."""
+    chars = [chr(c) for c in range(0x20, 0x10000) if not (0xAC00 <= c < 0xE000 or 0x1100 <= c < 0x1200 or unicodedata.category(chr(c)) in ("Cn", "Co"))]
+    dropped = lambda x: unicodedata.category(x) in ("Mn", "Cf") or x in model.SIGNS or "\u0898" <= x <= "\u089f" or "\u08ca" <= x <= "\u08d2"
+    want = ["".join({"ٱ": "ا", "ى": "ي"}.get(x, x) for x in unicodedata.normalize("NFD", c) if not dropped(x)) for c in chars]
+    got = one(spark, T.canonical, chars)
+    assert [(c, g, w) for c, g, w in zip(chars, got, want, strict=True) if g != w and len(w) == 1 and unicodedata.normalize("NFD", c) != c] == []
+    arabic = [c for c in chars if "\u0600" <= c < "\u0900" or "\ufb50" <= c < "\ufe00" or "\ufe70" <= c < "\uff00"]
+    folded = str.maketrans("ٱأإآٲٳٵىئؤءٶٸ", "اااااااييواوي")
+    plain = ["".join(x for x in unicodedata.normalize("NFKC", c).translate(folded) if "\u0621" <= x <= "\u063a" or "\u0641" <= x <= "\u064a") for c in arabic]
+    assert one(spark, T.mapping_normal, arabic) == plain
+    assert one(spark, T.mapping_normal, ["\ufefbك", "ﷲ"]) == ["لاك", "الله"] and one(spark, T.canonical, ["café Ångström"]) == ["cafe Angstrom"]
+
+
 def test_forms_differ(spark):
     hamza = ["ء", "ئ", "ؤ", "مَـٰ", "ٱلۡ أ"]
     assert one(spark, T.canonical, hamza) == ["ء", "ي", "و", "م", "ال ا"]
