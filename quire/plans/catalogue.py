@@ -1,6 +1,7 @@
 """The engine's operators over the driver's tables, by name, with the SQL that gives the same rows.
 
-Each query runs an operator of quire.operators or quire.functions over whole tables; numbers are BIGINT on both sides.
+Most queries run an operator of quire.operators or quire.functions over whole tables; those under "plain aggregates" show
+what the engine leaves to Spark's own operators. Numbers are BIGINT on both sides.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.functions.edits import opcodes
-from quire.operators import align_fuzzy, checks, rollup, spans
+from quire.operators import align_exact, align_fuzzy, checks, rollup, spans
+from quire.operators import lines as lines_of
 from quire.operators import streams as S
 from quire.operators import words as words_of
 from quire.spec import LayoutSpec
@@ -44,7 +46,6 @@ def big(c: Column | str) -> Column:
 
 
 TOKENS = r"regexp_split_to_array({}, '[ \t\n\v\f\r]+')"
-ACCENTS = ("áàâäãéèêëíìîïóòôöõúùûüñç", "aaaaaeeeeiiiiooooouuuunc")
 
 # tokens and normal forms
 
@@ -54,14 +55,49 @@ WITH t AS (SELECT doc_id, unnest({TOKENS.format('text')}) AS word, generate_subs
 SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS word_no, word FROM t WHERE word <> ''
 """)
 def doc_tokens_numbered(spark, sf):
-    raw = table(spark, sf, "documents").select("doc_id", F.posexplode(T.tokens(F.col("text"))).alias("k", "word"))
-    return S.ordinal(raw, ["doc_id"], ["k"], "n").select("doc_id", big("n").alias("word_no"), "word")
+    return words_of.numbered_tokens(table(spark, sf, "documents"), "text", "doc_id")
 
 
-@query("SELECT doc_id, sha256(regexp_replace(translate(lower(text), 'áàâäãéèêëíìîïóòôöõúùûüñç', 'aaaaaeeeeiiiiooooouuuunc'), '[^a-zß ]', '', 'g')) AS canonical FROM documents")
+@query("SELECT doc_id, sha256(strip_accents(coalesce(text, ''))) AS canonical FROM documents")
 def doc_canonical_text(spark, sf):
-    plain = F.regexp_replace(F.translate(F.lower("text"), *ACCENTS), "[^a-zß ]", "")
-    return table(spark, sf, "documents").select("doc_id", T.sha256(plain).alias("canonical"))
+    return table(spark, sf, "documents").select("doc_id", T.sha256(T.canonical(F.col("text"))).alias("canonical"))
+
+
+# every basic letter and sign in turn, by the line's number
+LETTERS = "".join(map(chr, [*range(0x621, 0x63B), *range(0x641, 0x64B), 0x671, 0x6C0, 0x6D3, 0x670, 0x64E, 0x651, 0x640, 0x6DE]))
+
+
+@query(f"""
+WITH t AS (SELECT p_partkey, substr('{LETTERS}', CAST(p_partkey % {len(LETTERS)} AS INTEGER) + 1, 1) || ' ' || substr('{LETTERS}', CAST(p_partkey // {len(LETTERS)} % {len(LETTERS)} AS INTEGER) + 1, 1) || p_name AS x FROM part),
+c AS (SELECT *, regexp_replace(translate(x, 'آأإؤئۀۓٱى', 'اااويەےاي'), '[\u064b-\u0655\u0670\u0640\u06de]', '', 'g') AS exact,
+  regexp_replace(translate(translate(x, 'ئؤ\u0670', 'ءءا'), 'آأإۀۓٱى', 'اااەےاي'), '[\u064b-\u0655\u0670\u0640\u06de ]', '', 'g') AS fuzzy,
+  regexp_replace(translate(x, 'ٱأإآىئؤء', 'ااااييوا'), '[^\u0621-\u063a\u0641-\u064a]', '', 'g') AS mapping,
+  trim(regexp_replace(regexp_replace(translate(x, 'آأإؤئۀۓٱ', 'اااويەےا'), '[\u064b-\u0655\u0670\u0640]', '', 'g'), ' +', ' ', 'g')) AS plain FROM t)
+SELECT p_partkey, exact, replace(exact, 'ء', '') AS loose, fuzzy, mapping, plain FROM c
+""")
+def normal_forms(spark, sf):
+    """All five normal forms of part names behind two letters or signs."""
+    at = lambda k: F.substring(F.lit(LETTERS), (k % len(LETTERS)).cast("int") + 1, 1)
+    key = F.col("p_partkey")
+    x = F.concat(at(key), F.lit(" "), at(F.floor(key / len(LETTERS))), F.col("p_name"))
+    forms = {"exact": T.canonical, "loose": T.canonical_loose, "fuzzy": T.fuzzy_canonical, "mapping": T.mapping_normal, "plain": T.structural}
+    return table(spark, sf, "part").select("p_partkey", *[f(x).alias(n) for n, f in forms.items()])
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_partkey < 1000 THEN right('00' || l_partkey, 3) ELSE CAST(l_partkey AS VARCHAR) END AS padded,
+  greatest(1, CAST(l_quantity AS BIGINT) - 25) AS one, CASE WHEN l_linenumber > 2 THEN l_partkey END AS number, l_suppkey AS eastern, regexp_matches(l_returnflag, '^[0-9]+$') AS digits, l_returnflag NOT IN ('A', 'off') AS flag
+FROM lineitem
+""")
+def small_functions(spark, sf):
+    part = F.col("l_partkey").cast("string")
+    eastern = F.translate(F.col("l_suppkey").cast("string"), "0123456789", T.DIGITS_FROM[:10])
+    flag = F.when(F.col("l_returnflag") == "A", F.lit("off")).otherwise(F.col("l_returnflag"))
+    attribute = F.when(F.col("l_linenumber") > 2, part).otherwise(F.concat(part, F.lit("x")))
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", T.padded(F.col("l_partkey")).alias("padded"), big(T.at_least_one(big("l_quantity") - 25)).alias("one"),
+        big(T.int_or_null(attribute)).alias("number"), big(T.digits_to_int(eastern)).alias("eastern"), T.is_digits(F.col("l_returnflag")).alias("digits"), T.on_off(flag, F.lit(True)).alias("flag"),
+    )
 
 
 @query("SELECT page_id, length(regexp_replace(html, '<[^>]+>', '', 'g')) AS text_chars, length(regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '[ \\t\\n\\v\\f\\r]', '', 'g')) AS plain_chars FROM pages")
@@ -93,7 +129,13 @@ def sha256_text(spark, sf):
     return table(spark, sf, "documents").select("doc_id", T.sha256(F.col("text")).alias("digest"))
 
 
-# counts and roll-ups
+# plain aggregates and roll-ups
+
+
+@query("SELECT 1 AS edition_id, n_regionkey AS surah, count(*) AS n FROM nation GROUP BY n_regionkey")
+def chapter_counts(spark, sf):
+    """Regions as chapters, nations as verses."""
+    return words_of.chapter_counts(table(spark, sf, "nation").select(F.lit(1).alias("edition_id"), F.col("n_regionkey").alias("surah")))
 
 
 @query("SELECT r_name, count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name")
@@ -426,3 +468,189 @@ def least_state(spark, sf):
 @query("SELECT event_id, CAST(dense_rank() OVER (PARTITION BY user_id ORDER BY event_type) AS BIGINT) AS page FROM events")
 def dense_pages(spark, sf):
     return table(spark, sf, "events").select("event_id", big(F.dense_rank().over(W.partitionBy("user_id").orderBy("event_type"))).alias("page"))
+
+
+# an edition made of conversations: chapters, verses of turns, lines of eight words
+
+
+def _verses(spark, sf) -> DataFrame:
+    return table(spark, sf, "conversations").filter(F.length("text") > 0).select(F.lit(1).alias("edition_id"), (F.col("conv_id") + 1).cast("int").alias("surah"), (F.col("turn") + 1).cast("int").alias("ayah"), "text", (F.col("conv_id") + 1).cast("int").alias("page"))
+
+
+#: Words of the made-up edition with their places, and its lines of eight words, numbered in each page.
+EDITION_SQL = """
+WITH t AS (SELECT CAST(conv_id AS INTEGER) + 1 AS surah, CAST(turn AS INTEGER) + 1 AS ayah, list_filter(regexp_split_to_array(text, '[ \\t\\n\\v\\f\\r]+'), lambda x: x <> '') AS ws FROM conversations),
+u AS (SELECT surah, ayah, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM t),
+w AS (SELECT *, row_number() OVER (ORDER BY surah, ayah, i) - 1 AS pos FROM u),
+l AS (SELECT surah, ayah, (i - 1) // 8 AS part, min(pos) AS a, max(pos) AS b, min(i) AS i, max(i) AS j, arg_min(word, i) AS first_word, arg_max(word, i) AS last_word FROM w GROUP BY ALL),
+n AS (SELECT *, row_number() OVER (PARTITION BY surah ORDER BY ayah, part) AS line FROM l)
+"""
+
+
+def _printed(spark, sf) -> DataFrame:
+    """The edition's lines, numbered within pages; no digits, as these would be verse markers."""
+    word = words_of.numbered_tokens(_verses(spark, sf), "text", "edition_id", "surah", "ayah", "page")
+    line = word.withColumn("part", F.floor((F.col("word_no") - 1) / 8)).groupBy("edition_id", "page", "surah", "ayah", "part").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("word_no", "word"))), lambda x: x["word"]), " ").alias("text"))
+    return S.ordinal(line, ["edition_id", "page"], ["ayah", "part"], "line")
+
+
+def _edition_lines(spark, sf) -> DataFrame:
+    """The edition's lines with their first and last words as ends."""
+    own = words_of.numbered_tokens(_verses(spark, sf), "text", "edition_id", "surah", "ayah", "page").withColumn("part", F.floor((F.col("word_no") - 1) / 8))
+    w = F.struct("surah", "ayah", "word", F.col("word_no").alias("wordIndex"))
+    ends = own.withColumn("w", w).groupBy("edition_id", "page", "surah", "ayah", "part").agg(F.min_by("w", "word_no").alias("f"), F.max_by("w", "word_no").alias("e"))
+    rows = S.ordinal(ends, ["edition_id", "page"], ["ayah", "part"], "line")
+    return rows.select("edition_id", "page", "surah", "line", align_exact.word_endpoint("f").alias("first_word"), align_exact.word_endpoint("e").alias("end_word"))
+
+
+@query(EDITION_SQL + "SELECT CAST(surah AS BIGINT) AS page, line, CAST(ayah AS BIGINT) AS ayah, first_word, CAST(i AS BIGINT) AS first_index, last_word, CAST(j AS BIGINT) AS last_index FROM n WHERE regexp_matches(first_word, '.')")
+def exact_alignment(spark, sf):
+    """The lines as printed text, aligned with the word stream of the verses."""
+    plain = lambda df: df.withColumn("text", F.translate("text", "0123456789", "abcdefghij"))
+    segs, ends = lines_of.segments(plain(_printed(spark, sf)))
+    lines, _ = align_exact.align(segs, ends, words_of.words(plain(_verses(spark, sf))), LayoutSpec())
+    back = _edition_lines(spark, sf).select("page", "line", F.col("first_word.word").alias("f"), F.col("end_word.word").alias("e"))
+    out = lines.join(back, ["page", "line"])
+    same = (T.canonical_loose(F.translate("f", "0123456789", "abcdefghij")) == T.canonical_loose(F.col("first_word.word"))) & (T.canonical_loose(F.translate("e", "0123456789", "abcdefghij")) == T.canonical_loose(F.col("end_word.word")))
+    return out.filter(same).select(big("page").alias("page"), big("line").alias("line"), big("first_word.ayah").alias("ayah"), F.col("f").alias("first_word"), big("first_word.wordIndex").alias("first_index"), F.col("e").alias("last_word"), big("end_word.wordIndex").alias("last_index"))
+
+
+@query(EDITION_SQL + """, k AS (SELECT * FROM n WHERE (surah * 31 + line) % 7 <> 0), b AS (SELECT *, lag(b, 1, -1) OVER (ORDER BY surah, line) AS before, lead(surah) OVER (ORDER BY surah, line) AS next FROM k)
+SELECT 'continuity' AS rule, '1:' || surah || ':' || line AS key, before || '>' || a AS detail FROM b WHERE a <> before + 1
+UNION ALL SELECT 'last_word', '1:' || surah || ':' || line, CAST(b AS VARCHAR) FROM b WHERE next IS NULL AND b <> (SELECT max(pos) FROM w)
+""")
+def layout_continuity(spark, sf):
+    """The edition's lines, of which every seventh is missing."""
+    stream = words_of.numbered_tokens(_verses(spark, sf), "text", "edition_id", "surah", "ayah")
+    stream = S.prefix_sum(stream, F.lit(1), ["edition_id"], "surah", ["ayah", "word_no"], "pos").select("edition_id", "surah", "ayah", F.col("word_no").alias("wordIndex"), "word", T.canonical(F.col("word")).alias("canonical"), "pos")
+    return checks.continuity(_edition_lines(spark, sf).filter("(page * 31 + line) % 7 <> 0"), stream)
+
+
+@query(EDITION_SQL + """, z AS (SELECT surah, ayah, max(i) AS size FROM w GROUP BY ALL)
+SELECT 'word_index' AS rule, '1:' || n.surah || ':' || line || ':end' AS key, last_word AS detail FROM n JOIN z USING (surah, ayah) WHERE line % 5 = 0 AND j + 3 > size
+UNION ALL SELECT 'endpoint_verse', '1:' || surah || ':' || line || ':first', first_word FROM n WHERE line % 5 = 1
+UNION ALL SELECT 'endpoint_fields', '1:' || surah || ':' || line || ':first', '' FROM n WHERE line % 5 = 2
+UNION ALL SELECT 'marker_number', '1:' || surah || ':' || line || ':end', '' FROM n WHERE line % 5 = 3
+UNION ALL SELECT 'endpoint_type', '1:' || surah || ':' || line || ':end', last_word FROM n WHERE line % 5 = 4
+UNION ALL SELECT 'word_text', '1:' || n.surah || ':' || line || ':end', last_word FROM n JOIN z USING (surah, ayah) JOIN w ON w.surah = n.surah AND w.ayah = n.ayah AND w.i = n.j + 3 WHERE line % 5 = 0 AND j + 3 <= size AND strip_accents(word) <> strip_accents(last_word)
+""")
+def layout_endpoints(spark, sf):
+    """The edition's lines with one fault in each, by the line's number."""
+    k = F.col("line") % 5
+    off = lambda e, **over: F.struct(*[over.get(f, F.col(f"{e}.{f}")).alias(f) for f in ("type", "surah", "ayah", "word", "wordIndex", "number")])
+    first = F.when(k == 1, off("first_word", ayah=F.lit(9999))).when(k == 2, off("first_word", word=F.lit(None).cast("string"))).otherwise(F.col("first_word"))
+    last = F.when(k == 0, off("end_word", wordIndex=F.col("end_word.wordIndex") + 3)).when(k == 3, off("end_word", type=F.lit("ayah_marker"), word=F.lit(None).cast("string"), number=F.col("end_word.ayah") + 1)).when(k == 4, off("end_word", type=F.lit("other"))).otherwise(F.col("end_word"))
+    stream = words_of.numbered_tokens(_verses(spark, sf), "text", "edition_id", "surah", "ayah")
+    stream = S.prefix_sum(stream, F.lit(1), ["edition_id"], "surah", ["ayah", "word_no"], "pos").select("edition_id", "surah", "ayah", F.col("word_no").cast("int").alias("wordIndex"), "word", T.canonical(F.col("word")).alias("canonical"), "pos")
+    return checks.endpoints(_edition_lines(spark, sf).withColumn("first_word", first).withColumn("end_word", last), stream)
+
+
+@query(EDITION_SQL + """SELECT page, coalesce(n_lines, 0) AS n_lines, coalesce(chapters, '') AS chapters, coalesce(ends, '') AS ends FROM (SELECT unnest(generate_series(1, (SELECT max(surah) FROM n))) AS page)
+LEFT JOIN (SELECT surah AS page, count(*) AS n_lines, CAST(surah AS VARCHAR) AS chapters, string_agg(first_word || '/' || last_word, ',' ORDER BY line) AS ends FROM n GROUP BY surah) USING (page)
+""")
+def page_records(spark, sf):
+    lines = _edition_lines(spark, sf)
+    out = rollup.page_records(lines, lines.select("edition_id", "page", "surah").distinct(), LayoutSpec())
+    ends = F.array_join(F.transform("lines", lambda x: F.concat_ws("/", x["first_word"]["word"], x["end_word"]["word"])), ",")
+    return out.select(big("page").alias("page"), big(F.size("lines")).alias("n_lines"), F.array_join(F.col("surah_ids").cast("array<string>"), ",").alias("chapters"), ends.alias("ends"))
+
+
+# lines of kinds, by the turn
+
+
+@query(f"""
+WITH t AS (SELECT conv_id + 1 AS page, turn + 1 AS line, CASE WHEN turn = 0 THEN 'heading' WHEN turn = 1 THEN 'opening' ELSE 'text' END AS kind, CASE WHEN turn = 0 THEN 'c' || conv_id END AS name FROM conversations),
+s AS (SELECT *, CAST(count_if(kind = 'heading') OVER (ORDER BY page, line ROWS UNBOUNDED PRECEDING) AS BIGINT) AS surah FROM t)
+SELECT page, line, kind, surah, name, CASE WHEN kind = 'text' THEN CAST(count_if(kind = 'text') OVER (PARTITION BY page ORDER BY line ROWS UNBOUNDED PRECEDING) AS BIGINT) END AS number FROM s
+""")
+def line_kinds(spark, sf):
+    """Conversations as pages whose first line is a heading and whose second the opening formula."""
+    turn = F.col("turn")
+    text = F.when(turn == 0, F.concat(F.lit(f" {T.HEADING} c"), "conv_id")).when(turn == 1, F.lit(T.OPENING)).otherwise(F.concat(F.lit("x"), "text"))
+    printed = table(spark, sf, "conversations").select(F.lit(1).alias("edition_id"), (F.col("conv_id") + 1).cast("int").alias("page"), (turn + 1).cast("int").alias("line_in_page"), text.alias("text"))
+    rows = lines_of.classified(printed, LayoutSpec())
+    names = lines_of.chapters(rows).select("surah", F.col("surahName").alias("name"))
+    numbers = lines_of.numbered(rows).select("page", "line_in_page", F.col("line").alias("number"))
+    named = rows.join(names.withColumn("kind", F.lit("heading")), ["surah", "kind"], "left").join(numbers, ["page", "line_in_page"], "left")
+    return named.select(big("page").alias("page"), big("line_in_page").alias("line"), "kind", big("surah").alias("surah"), "name", big("number").alias("number"))
+
+
+@query("SELECT 'text_before_heading' AS rule, '1:' || conv_id + 1 || ':' || turn + 1 AS key, 'x' || turn AS detail FROM conversations WHERE conv_id < (SELECT min(conv_id) FROM conversations WHERE conv_id % 5 = 3) UNION ALL SELECT 'chapter_count', '1', 'headings: ' || count(*) FROM conversations WHERE turn = 0 AND conv_id % 5 = 3 HAVING count(*) <> 114")
+def line_violations(spark, sf):
+    """Only every fifth conversation starts with a heading."""
+    turn = F.col("turn")
+    text = F.when((turn == 0) & (F.col("conv_id") % 5 == 3), F.concat(F.lit(f"{T.HEADING} c"), "conv_id")).otherwise(F.concat(F.lit("x"), turn))
+    printed = table(spark, sf, "conversations").select(F.lit(1).alias("edition_id"), (F.col("conv_id") + 1).cast("int").alias("page"), (turn + 1).cast("int").alias("line_in_page"), text.alias("text"))
+    spec = LayoutSpec()
+    return lines_of.line_violations(lines_of.classified(printed, spec), spec)
+
+
+@query("""
+WITH t AS (SELECT conv_id + 1 AS page, turn + 1 AS line, turn FROM conversations),
+p AS (SELECT page, line, unnest([0, 1]) AS seg FROM t)
+SELECT page, line, CAST(seg AS BIGINT) AS seg, CASE WHEN seg = 0 THEN 'ab' ELSE 'cd' END AS text, CASE WHEN seg = 0 THEN line * 3 END AS marker FROM p
+""")
+def marker_segments(spark, sf):
+    """A line of two words, a verse number behind one of them, and a word."""
+    lines = table(spark, sf, "conversations").select(F.lit(1).alias("edition_id"), (F.col("conv_id") + 1).cast("int").alias("page"), (F.col("turn") + 1).cast("int").alias("line"), F.lit(1).alias("surah"))
+    segs, _ = lines_of.segments(lines.withColumn("text", F.concat(F.lit("a  b"), F.col("line") * 3, F.lit(f" {T.RUB}cd"))))
+    return segs.select(big("page").alias("page"), big("line").alias("line"), big("seg").alias("seg"), "text", big("marker").alias("marker"))
+
+
+# mappings: customers as verses of an edition whose chapters are nations
+
+
+def _customer_mapping(spark, sf) -> DataFrame:
+    key = F.col("c_custkey").cast("int")
+    own = table(spark, sf, "customer").select(F.lit(2).alias("edition_id"), (F.col("c_nationkey") + 1).cast("int").alias("surah"), key.alias("ayah"), (key % 40 + 1).alias("hafs_ayah"))
+    other = table(spark, sf, "supplier").select(F.lit(1).alias("edition_id"), (F.col("s_nationkey") + 1).cast("int").alias("surah"), F.col("s_suppkey").cast("int").alias("ayah"), F.when(F.col("s_suppkey") % 3 == 0, F.lit(7)).otherwise(F.col("s_suppkey")).cast("int").alias("hafs_ayah"))
+    return own.unionByName(other)
+
+
+MAPPING_SQL = """
+WITH m AS (SELECT 2 AS e, c_nationkey + 1 AS s, c_custkey AS a, c_custkey % 40 + 1 AS r FROM customer
+UNION ALL SELECT 1, s_nationkey + 1, s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 7 ELSE s_suppkey END FROM supplier)
+"""
+
+
+@query(MAPPING_SQL + """, c AS (SELECT n_nationkey + 1 AS s, 20 + n_nationkey AS n FROM nation), x AS (SELECT e, s, unnest(generate_series(1, CAST(n AS BIGINT))) AS r FROM (SELECT DISTINCT e FROM m), c),
+want AS (SELECT * FROM x WHERE NOT (s = 1 AND r = 1 AND e <> 1)), have AS (SELECT DISTINCT e, s, r FROM m)
+SELECT 'missing_reference' AS rule, e || ':' || s || ':' || r AS key, '' AS detail FROM (SELECT * FROM want EXCEPT SELECT * FROM have)
+UNION ALL SELECT 'extra_reference', e || ':' || s || ':' || r, '' FROM (SELECT * FROM have EXCEPT SELECT * FROM want)
+""")
+def mapping_coverage(spark, sf):
+    counts = table(spark, sf, "nation").select((F.col("n_nationkey") + 1).cast("int").alias("surah"), (F.col("n_nationkey") + 20).alias("n"))
+    return checks.mapping_coverage(_customer_mapping(spark, sf), counts)
+
+
+@query(MAPPING_SQL + """
+SELECT 'identity' AS rule, e || ':' || s || ':' || a AS key, CAST(r AS VARCHAR) AS detail FROM m WHERE e = 1 AND a <> r
+UNION ALL SELECT 'mapped_verses', CAST(e AS VARCHAR), coalesce(CAST(n AS VARCHAR), '') FROM (VALUES (1, 100), (2, 99), (3, 5)) w(e, want) LEFT JOIN (SELECT e, count(DISTINCT (s, a)) AS n FROM m GROUP BY e) USING (e) WHERE n IS DISTINCT FROM want
+""")
+def mapping_totals(spark, sf):
+    rows = _customer_mapping(spark, sf)
+    editions = spark.createDataFrame([(1, 100), (2, 99), (3, 5)], "edition_id int, ayah_count bigint")
+    return checks.mapping_identity(rows).unionByName(checks.mapping_complete(rows, editions))
+
+
+@query(MAPPING_SQL + """, w(e, s, a, want) AS (VALUES (1, 1, 1, '1'), (2, 4, 3, '4'), (2, 1, 7, '8'), (9, 9, 9, '9'), (1, 3, 2, '2'))
+SELECT 'anchor' AS rule, e || ':' || s || ':' || a AS key, coalesce(have, '') AS detail FROM w LEFT JOIN (SELECT e, s, a, array_to_string(list_sort(list(DISTINCT r)), ',') AS have FROM m GROUP BY ALL) USING (e, s, a) WHERE have IS DISTINCT FROM want
+""")
+def mapping_anchors(spark, sf):
+    return checks.mapping_anchors(_customer_mapping(spark, sf), ((1, 1, 1, (1,)), (2, 4, 3, (4,)), (2, 1, 7, (8,)), (9, 9, 9, (9,)), (1, 3, 2, (2,))))
+
+
+@query("SELECT 'missing_edition' AS rule, v.k AS key, '' AS detail FROM (VALUES ('1:hafs-6236:hafs:6236:hafs-kufi'), ('2:warsh-6213:warsh:6213:hafs-kufi'), ('3:qalun-6214:qalun:6214:hafs-kufi'), ('4:douri-6217:douri:6217:hafs-kufi')) v(k) UNION ALL SELECT 'extra_edition', r_regionkey || ':' || r_name || ':' || r_name || ':5:' || r_name, '' FROM region")
+def editions_equal(spark, sf):
+    """Regions as editions: none is what it should be."""
+    name = F.col("r_name")
+    return checks.editions_equal(table(spark, sf, "region").select(F.col("r_regionkey").alias("edition_id"), name.alias("edition_key"), name.alias("rawi"), F.lit(5).alias("ayah_count"), name.alias("reference")))
+
+
+@query("SELECT 'digest' AS rule, CAST(doc_id AS VARCHAR) AS key, sha256(text) AS detail FROM documents WHERE doc_id % 4 = 1 UNION ALL SELECT 'missing_source', 'n' || doc_id, '' FROM documents WHERE doc_id % 4 = 2")
+def file_digests(spark, sf):
+    """Documents as files, a fourth of which has another digest and a fourth another name than it should."""
+    docs, k = table(spark, sf, "documents"), F.col("doc_id") % 4
+    have = docs.select(F.col("doc_id").cast("string").alias("name"), T.sha256(F.col("text")).alias("sha256"))
+    want = docs.select(F.when(k == 2, F.concat(F.lit("n"), "doc_id")).otherwise(F.col("doc_id").cast("string")).alias("name"), T.sha256(F.when(k == 1, F.concat("text", F.lit("!"))).otherwise(F.col("text"))).alias("sha256"))
+    return checks.digests(have, want)
