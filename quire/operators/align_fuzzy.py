@@ -5,12 +5,14 @@ edit distance between the segment and the joined words, within a limit that grow
 least total cost win, and of equal ones those whose starts were reached first. A run stays in the segment's chapter,
 and its last word in the verse of the segment's marker, if it has one.
 
-Pages are independent: one group of a cogrouped map each, bounded by a page.
+Pages are independent: a row each, with its segments and words as arrays, bounded by a page.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,29 +25,52 @@ PATH = "edition_id int, page int, line int, seg int, surah int, marker int, star
 
 
 class Runner:
-    """Edit distances between a fixed text and one that grows: a row of the table for each character."""
+    """Edit distances between a fixed text and one that grows.
+
+    A row of the table holds the distances to all heads of the fixed text. Neighbours in it differ by one at most, so it
+    is two whole numbers, whose bits say where it rises and where it falls, and a character costs a few operations on them.
+    """
 
     def __init__(self, target: str):
-        self.target = target
-        self.row = list(range(len(target) + 1))
+        self.size, self.read, self.distance = len(target), 0, len(target)
+        self.places: dict[str, int] = {}
+        for k, t in enumerate(target):
+            self.places[t] = self.places.get(t, 0) | 1 << k
+        self.every = (1 << len(target)) - 1
+        self.rises, self.falls = self.every, 0
 
     def extend(self, more: str) -> None:
+        self.read += len(more)
+        if not self.size:
+            self.distance = self.read
+            return
+        every, last, places = self.every, 1 << self.size - 1, self.places
+        rises, falls, distance = self.rises, self.falls, self.distance
         for c in more:
-            above, left = self.row, self.row[0] + 1
-            row = [left]
-            for k, t in enumerate(self.target):
-                left = min(left + 1, above[k + 1] + 1, above[k] + (t != c))
-                row.append(left)
-            self.row = row
-
-    @property
-    def distance(self) -> int:
-        return self.row[-1]
-
-    @property
-    def least(self) -> int:
-        """No extension comes below this."""
-        return min(self.row)
+            # where a distance equals the one before it in both texts
+            same = places.get(c, 0) | falls
+            same |= (rises & same) + rises ^ rises
+            # where a distance is above or below that of the row before
+            up, down = falls | every & ~(rises | same), rises & same
+            if up & last:
+                distance += 1
+            elif down & last:
+                distance -= 1
+            up, down = up << 1 | 1, down << 1
+            rises, falls = every & (down | ~(up | same)), every & up & same
+        self.rises, self.falls, self.distance = rises, falls, distance
+
+    def over(self, limit: int) -> bool:
+        """Whether every extension lies above the limit, as all distances of the row do."""
+        if self.distance <= limit:
+            return False
+        rises, falls, now = self.rises, self.falls, self.read
+        for _ in range(self.size):
+            if now <= limit:
+                return False
+            now += (rises & 1) - (falls & 1)
+            rises, falls = rises >> 1, falls >> 1
+        return True
 
 
 def limit_of(length: int, spec: LayoutSpec) -> int:
@@ -63,7 +88,7 @@ def reach(segment: dict, starts: dict[int, int], words: list[dict], spec: Layout
             if word["surah"] != segment["surah"]:
                 break
             run.extend(word["f"])
-            if run.least > limit:
+            if run.over(limit):
                 break
             marked = segment["marker"] is None or word["ayah"] == segment["marker"]
             if marked and run.distance <= limit and (end not in found or cost + run.distance < found[end][0]):
@@ -93,23 +118,28 @@ def align_words(segments: list[dict], words: list[dict], spec: LayoutSpec) -> tu
 
 def align_pages(segs: DataFrame, stream: DataFrame, spec: LayoutSpec) -> DataFrame:
     """A row for each segment with the words start .. stop - 1 of its page; pages that fail have one row that says why."""
-
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        left, right = left.sort_values(["line", "seg"]), right.sort_values("page_pos")
-        segments = [{"line": int(r.line), "seg": int(r.seg), "surah": int(r.surah), "text": r.text, "f": r.f, "marker": None if pd.isna(r.marker) else int(r.marker)} for r in left.itertuples()]
-        words = [{"surah": int(r.surah), "ayah": int(r.ayah), "f": r.f} for r in right.itertuples()]
-        path, status, detail = align_words(segments, words, spec)
-        edition, page = int(key[0]), int(key[1])
-        if status != "ok":
-            rows = [(edition, page, None, None, None, None, None, None, None, status, detail)]
-        else:
-            rows = [(edition, page, s["line"], s["seg"], s["surah"], s["marker"], *at, status, detail) for s, at in zip(segments, path, strict=True)]
-        names = [c.split()[0] for c in PATH.split(", ")]
-        return pd.DataFrame(rows, columns=names).astype({c: "Int64" for c in names[:-2]})
-
-    left = segs.withColumn("f", T.fuzzy_canonical(F.col("text"))).select("edition_id", "page", "line", "seg", "surah", "text", "f", "marker")
-    right = page_positions(stream).select("edition_id", "page", "page_pos", "surah", "ayah", "f")
-    return left.groupBy("edition_id", "page").cogroup(right.groupBy("edition_id", "page")).applyInPandas(run, PATH)
+    names = [c.split()[0] for c in PATH.split(", ")]
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}
+    schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in PATH.split(", ")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for edition, page, segments, words in zip(*batch.columns, strict=True):
+                edition, page, segments, words = edition.as_py(), page.as_py(), segments.as_py() or [], words.as_py() or []
+                path, status, detail = align_words(segments, words, spec)
+                if status != "ok":
+                    rows.append((edition, page, None, None, None, None, None, None, None, status, detail))
+                else:
+                    rows += [(edition, page, s["line"], s["seg"], s["surah"], s["marker"], *at, status, detail) for s, at in zip(segments, path, strict=True)]
+            yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema)
+
+    def by_page(rows: DataFrame, name: str, *columns: str) -> DataFrame:
+        return rows.groupBy("edition_id", "page").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias(name))  # a page's rows
+
+    left = by_page(segs.withColumn("f", T.fuzzy_canonical(F.col("text"))), "segments", "line", "seg", "surah", "text", "f", "marker")
+    right = by_page(page_positions(stream), "words", "page_pos", "surah", "ayah", "f")
+    return left.join(right, ["edition_id", "page"], "full").select("edition_id", "page", "segments", "words").mapInArrow(run, PATH)
 
 
 def align(segs: DataFrame, ends: DataFrame, stream: DataFrame, spec: LayoutSpec) -> tuple[DataFrame, DataFrame, DataFrame]:
