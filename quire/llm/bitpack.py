@@ -42,7 +42,9 @@ def bits_for(vocabulary: int) -> int:
 
 
 def pack(ids: np.ndarray, bits: int) -> np.ndarray:
-    """Little-endian 64-bit words; 64 ids fill exactly ``bits`` words."""
+    """Little-endian 64-bit words; 64 ids fill exactly ``bits`` words. An id that needs more bits is an error."""
+    if len(ids) and int(ids.max()) >> bits:
+        raise ValueError(f"id {int(ids.max())} needs more than {bits} bits")
     rows = -(-len(ids) // 64)
     if bits in WHOLE:
         whole = np.zeros(rows * 64, WHOLE[bits])
@@ -73,6 +75,13 @@ def unpack(words: np.ndarray, n: int, bits: int) -> np.ndarray:
     return out.reshape(-1)[:n]
 
 
+def vocabulary_of(tokenizer: str) -> int:
+    """One more than the largest id of a tokenizer's file, added tokens included."""
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(tokenizer).get_vocab(with_added_tokens=True).values(), default=-1) + 1
+
+
 class Writer:
     """Streams ids of documents, in the order given, to one file."""
 

@@ -27,7 +27,8 @@ def op4_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as P
 
     docs = table(spark, sf_dir, "documents")
-    files = bitpack.write_ids(docs, P.path("byte_bpe_50k.json"), P.PATTERN, end_id=2, vocabulary=50_257)
+    tokenizer = P.path("byte_bpe_50k.json")
+    files = bitpack.write_ids(docs, tokenizer, P.PATTERN, end_id=2, vocabulary=bitpack.vocabulary_of(tokenizer))
     return bitpack.read_ids(spark, files)
 
 

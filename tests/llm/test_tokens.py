@@ -60,6 +60,11 @@ def test_packing(bits):
         words = bitpack.pack(ids, bits)
         assert len(words) == -(-n // 64) * bits and (bitpack.unpack(words, n, bits) == ids).all()
     assert [bitpack.bits_for(n) for n in (1, 2, 3, 50_257, 65_536, 65_537)] == [1, 1, 2, 16, 16, 17]
+    assert bitpack.vocabulary_of(JSON) == 50_257
+    for bits in (3, 16):
+        assert (bitpack.unpack(bitpack.pack(np.array([(1 << bits) - 1], np.uint32), bits), 1, bits) == [(1 << bits) - 1]).all()
+        with pytest.raises(ValueError):
+            bitpack.pack(np.array([0, 1 << bits], np.uint32), bits)
 
 
 def test_piece_encoder_equals_the_library():
