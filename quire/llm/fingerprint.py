@@ -30,9 +30,9 @@ CUT = 16
 #: Cells in a subtable of the fingerprint itself.
 SMALL = 4
 #: Cells in a subtable of a group's sketch, in its attempts.
-LARGER = (4, 8, 16, 64)
+LARGER = (8, 16, 64)
 #: Digests of both versions that a group holds, about.
-GROUP = 5
+GROUP = 4
 #: Rounds of peeling; each takes all cells that hold one digest.
 ROUNDS = 16
 #: Characters in a bucket of neighbouring documents, about, and buckets at most.
@@ -53,9 +53,11 @@ def check_of(digest: Column) -> Column:
     return F.xxhash64(digest).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
-def place(digest: Column, subtable: int, size: int) -> Column:
-    """The digest's cell in a subtable of ``size`` cells, a power of two up to 64."""
-    return F.shiftright(digest, 2 + 6 * subtable).bitwiseAND(F.lit(size - 1)).cast("int")
+def places(size: int) -> Column:
+    """The cells of three subtables of ``size`` cells, a power of two up to 64: a digest belongs into the cells whose bits
+    ``at`` it has under ``mask``."""
+    one = lambda shift, i: f"named_struct('mask', {(size - 1) << shift}L, 'at', {i << shift}L)"
+    return F.expr("array(" + ", ".join(one(2 + 6 * j, i) for j in range(3) for i in range(size)) + ")")
 
 
 def cell(count: Column, digest: Column, check: Column) -> Column:
@@ -68,35 +70,48 @@ def none_yet() -> Column:
 
 def sketch(digests: Column, size: int) -> Column:
     """An array of 3 * size cells."""
-
-    def subtable(j: int) -> Column:
-        own = lambda i: F.filter(digests, lambda d: place(d, j, size) == i)
-        add = lambda a, d: cell(a["n"] + 1, a["d"].bitwiseXOR(d), a["c"].bitwiseXOR(check_of(d)))
-        return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.aggregate(own(i), none_yet(), add))
-
-    return F.concat(*[subtable(j) for j in range(3)])
+    add = lambda a, d: cell(a["n"] + 1, a["d"].bitwiseXOR(d), a["c"].bitwiseXOR(check_of(d)))
+    return F.transform(places(size), lambda p: F.aggregate(F.filter(digests, lambda d: d.bitwiseAND(p["mask"]) == p["at"]), none_yet(), add))
 
 
 def subtract(left: Column, right: Column) -> Column:
     return F.zip_with(left, right, lambda x, y: cell(x["n"] - y["n"], x["d"].bitwiseXOR(y["d"]), x["c"].bitwiseXOR(y["c"])))
 
 
+def with_name(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def peeled(cells: Column, size: int) -> Column:
-    """The digests that peeling recovers from subtracted cells; null if cells remain."""
+    """The digests that peeling recovers from subtracted cells; null if cells remain.
+
+    ``left`` is the sum of all digests that are still in the cells; peeling is over when it is empty."""
+    less = lambda c, parts: F.aggregate(parts, c, lambda a, p: cell(a["n"] - p["n"], a["d"].bitwiseXOR(p["d"]), a["c"].bitwiseXOR(p["c"])))
+    plus = lambda a, p: cell(a["n"] + p["n"], a["d"].bitwiseXOR(p["d"]), a["c"].bitwiseXOR(p["c"]))
+    empty = lambda c: (c["n"] == 0) & (c["d"] == 0) & (c["c"] == 0)
 
-    def without(c: Column, i: Column, found: Column) -> Column:
-        there = lambda p: F.when(i < size, place(p["d"], 0, size) == i).when(i < 2 * size, place(p["d"], 1, size) == i - size).otherwise(place(p["d"], 2, size) == i - 2 * size)
-        return F.aggregate(F.filter(found, there), c, lambda a, p: cell(a["n"] - p["n"], a["d"].bitwiseXOR(p["d"]), a["c"].bitwiseXOR(p["c"])))
+    def state(cells: Column, left: Column, all_: Column, over: Column) -> Column:
+        return F.struct(cells.alias("cells"), left.alias("left"), all_.alias("all"), over.alias("over"))
 
-    def turn(state: Column, _: Column) -> Column:
-        found = F.array_distinct(F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["c"] == check_of(c["d"]))))
-        # the array of one struct lets the found digests be named once
-        after = F.transform(F.array(F.struct(found.alias("f"))), lambda x: F.when(F.size(x["f"]) == 0, F.struct(state["cells"].alias("cells"), state["all"].alias("all"), F.lit(True).alias("over"))).otherwise(F.struct(F.transform(state["cells"], lambda c, i: without(c, i, x["f"])).alias("cells"), F.concat(state["all"], F.transform(x["f"], lambda c: c["d"])).alias("all"), F.lit(False).alias("over"))))
-        return F.when(state["over"], state).otherwise(after[0])
+    def begin(c: Column) -> Column:
+        left = F.aggregate(F.slice(c, 1, size), none_yet(), plus)
+        return with_name(left, lambda x: state(c, x, F.array().cast("array<bigint>"), empty(x)))
 
-    start = F.struct(cells.alias("cells"), F.array().cast("array<bigint>").alias("all"), F.lit(False).alias("over"))
-    empty = lambda s: F.forall(s["cells"], lambda c: (c["n"] == 0) & (c["d"] == 0) & (c["c"] == 0))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn, lambda s: F.when(empty(s), s["all"]))
+    def turn(s: Column, _: Column) -> Column:
+        found = F.array_distinct(F.filter(s["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["c"] == check_of(c["d"]))))
+        there = lambda p: lambda f: f["d"].bitwiseAND(p["mask"]) == p["at"]
+        without = lambda f: F.zip_with(s["cells"], places(size), lambda c, p: less(c, F.filter(f, there(p))))
+
+        def take(x: Column) -> Column:
+            over = empty(x["left"]) | (F.size(x["found"]) == 0)
+            rest = F.when(over, s["cells"]).otherwise(without(x["found"]))
+            return state(rest, x["left"], F.concat(s["all"], F.transform(x["found"], lambda f: f["d"])), over)
+
+        step = with_name(found, lambda f: with_name(F.struct(f.alias("found"), less(s["left"], f).alias("left")), take))
+        return F.when(s["over"], s).otherwise(step)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), with_name(cells, begin), turn, lambda s: F.when(empty(s["left"]), s["all"]))
 
 
 def differing(a: Column, b: Column) -> Column:
@@ -105,8 +120,7 @@ def differing(a: Column, b: Column) -> Column:
     way = F.ceil(F.sqrt(groups.cast("double"))).cast("long")
     in_group = lambda shift, n, g: lambda d: F.pmod(F.shiftright(d, shift), n) == g
     split = lambda of, shift, n: F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda g: F.struct(F.filter(of["a"], in_group(shift, n, g)).alias("a"), F.filter(of["b"], in_group(shift, n, g)).alias("b")))
-    rough = split(F.struct(a.alias("a"), b.alias("b")), 24, way)
-    fine = F.flatten(F.transform(rough, lambda x: split(x, 43, way)))
+    fine = with_name(F.struct(a.alias("a"), b.alias("b"), way.alias("way")), lambda x: F.flatten(F.transform(split(x, 24, x["way"]), lambda y: split(y, 43, x["way"]))))
 
     def of_group(g: Column) -> Column:
         exact = F.concat(F.array_except(g["a"], g["b"]), F.array_except(g["b"], g["a"]))
@@ -133,6 +147,11 @@ def as_text(cells: Column) -> Column:
     return F.array_join(F.transform(cells, lambda c: F.concat(wide(c["n"], 4), wide(c["d"], 16), wide(c["c"], 8))), "")
 
 
+def numbers(values: list[int]) -> Column:
+    """A constant array, made in one call to the JVM."""
+    return F.expr("array(" + ", ".join(f"{v}L" for v in values) + ")")
+
+
 def with_next(docs: DataFrame, names: list[str]) -> DataFrame:
     """Adds ``next``, a struct of ``names`` of the next row in ascending doc_id order (after the last, the first).
 
@@ -146,7 +165,7 @@ def with_next(docs: DataFrame, names: list[str]) -> DataFrame:
     facts = docs.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), cuts_of.alias("cuts")).first()
     low, high = facts.low or 0, facts.high or 0
     cuts = sorted({low, *(facts.cuts or [])})
-    starts = F.lit(cuts)
+    starts = numbers(cuts)
     k = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.size(F.filter(starts, lambda c: c <= F.col("doc_id"))))
     held = {r.k: r.chars for r in docs.groupBy(k.alias("k")).agg(F.sum(F.col("n_chars") + 1).alias("chars")).collect()}  # a row for each cut
     each = max(BUCKET_CHARS, -(-sum(held.values()) // MOST_BUCKETS))
@@ -157,10 +176,10 @@ def with_next(docs: DataFrame, names: list[str]) -> DataFrame:
             first[c], at, room = at, at + parts[c], each - held[c] if parts[c] == 1 else 0
         else:
             first[c], room = at - 1, room - held[c]
-    places = range(len(cuts) + 1)
-    of = lambda d, none: F.element_at(F.array(*[F.lit(d.get(c, none)) for c in places]), k + 1)
-    n, begin = of(parts, 1), F.element_at(F.lit([low, *cuts]), k + 1)
-    wide = F.element_at(F.lit([high + 1, *cuts[1:], high + 1]), k + 1) - begin
+    cuts_held = range(len(cuts) + 1)
+    of = lambda d, none: F.element_at(numbers([d.get(c, none) for c in cuts_held]), k + 1)
+    n, begin = of(parts, 1), F.element_at(numbers([low, *cuts]), k + 1)
+    wide = F.element_at(numbers([high + 1, *cuts[1:], high + 1]), k + 1) - begin
     share = F.when(F.col("doc_id").isNull(), F.col("tie") / F.lit(2.0**64) + 0.5).otherwise((F.col("doc_id") - begin) / wide)
     rows = docs.withColumn("bucket", of(first, 0) + F.least(n - 1, F.floor(share * n)))
     rows = rows.withColumn("bucket", F.col("bucket").cast("long"))
