@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bitpack, brown, byte_bpe, divergence, exact_dup, fingerprint, mixing, near_dup, quality, sharding, topk, warc
+from . import bitpack, brown, byte_bpe, conversations, divergence, exact_dup, fingerprint, mixing, near_dup, quality, sharding, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,10 @@ def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_back(warc.write_archive(pages, least=100), pages)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audited(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -78,6 +82,7 @@ QUERIES = {
     "op8_probminhash_near_dup": op8_probminhash_near_dup,
     "op9_crf_quality": op9_crf_quality,
     "op10_warc_index": op10_warc_index,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_source_divergence": op12_source_divergence,
     "op13_perfect_hash_dedup": op13_perfect_hash_dedup,
 }
@@ -86,6 +91,7 @@ ORACLES: dict[str, str] = {
     "op2_temperature_mixing": mixing.MIX_SQL,
     "op6_exact_top_k": topk.TOP_SQL,
     "op10_warc_index": warc.WARC_SQL,
+    "op11_conversation_repair": conversations.REPAIR_SQL,
     "op12_source_divergence": divergence.DIVERGENCE_SQL,
     "op13_perfect_hash_dedup": exact_dup.EXACT_SQL,
 }
