@@ -6,11 +6,14 @@ text's delimiters become spaces, and the automaton's patterns are the kept terms
 match is an occurrence of a whole term. Texts fall into blocks of some megabytes, and the automaton of a block and language
 holds the kept terms that the block's documents have, never the whole vocabulary: its size is bounded by the block's.
 
-Counts are sparse postings (language, source, term, n), with terms by their numbers in UTF-8 order. A share is
+Terms fall into buckets by a hash, as many as the text needs for each to hold some hundred thousand entries. Terms and
+counts of one block and bucket travel as one row, and tasks read a bucket's rows as a stream, holding its distinct terms alone.
+
+Counts are sparse postings (language, bucket, source, terms by number in UTF-8 order, counts). A share is
 p = 1 + floor(10^9 (n + 1) / (N + V)) for N occurrences in the group and V terms in the vocabulary, and the value of a term
 against another share q is floor((p - q)^2 / q). A pair's sum over the whole vocabulary comes from three sparse parts: terms
-of the one source only and of the other only, by histograms of their counts, as their value depends on the count alone;
-terms of neither, all alike; and a correction for each term of both, added up in tasks by matrices of sources.
+of the one source and of the other, by histograms of their shares, as if the other source lacked them; terms of neither, all
+alike; and a correction for each term of both, added up bucket by bucket.
 
 Null text, lang and source are ''. Rows count as documents even if they repeat. A group without terms has all shares alike;
 a language without a kept term gives pairs of value 0. Empty tables give no rows; extra columns are not read.
@@ -18,6 +21,7 @@ a language without a kept term gives pairs of value 0. Empty tables give no rows
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -36,17 +40,26 @@ LEAST = 3
 #: Ranks of the part ``term``.
 TERMS = 200
 #: Rows of a block, 2 to this power, of texts of up to PLAIN bytes; half as many for texts up to twice as long, and so on.
-BLOCK, PLAIN = 10, 16_384
+BLOCK, PLAIN = 11, 16_384
 #: Counts that a task of the first pass holds before it gives them on.
 HELD = 400_000
-#: Sources that meet in a matrix of a task.
-TILE = 1024
+#: Bytes of text for each bucket of terms.
+BUCKET = 16 << 20
+#: Sources whose pairs are added up in a matrix; more are added up by sorting.
+DENSE = 2048
 #: Elements that are worked on at once.
 CHUNK = 1 << 20
 
 #: Bytes of a term: letters and all bytes of characters beyond ASCII; capitals become small, all others a space.
 FOLDED = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
+FOUND = "bucket int, lang string, block bigint, terms binary, df binary"
+KEPT = "bucket int, lang string, terms binary, v bigint"
+ASKED = "bucket int, lang string, block bigint, terms binary, ids binary"
+COUNTED = "bucket int, lang string, sources array<string>, lengths array<int>, ids array<int>, counts array<int>"
+POSTINGS = "bucket int, lang string, source string, ids array<int>, counts array<bigint>, size bigint, terms bigint"
+VALUES = "kind string, lang string, a int, b int, term binary, value bigint, m bigint"
+
 DIVERGENCE_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
@@ -92,16 +105,48 @@ def folded(texts: pa.Array) -> Iterator[bytes]:
     return (plain[low:high] for low, high in zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
 
 
-def document_frequencies(rows: DataFrame) -> DataFrame:
-    """block, lang, term, df: in how many documents of a block each term is; a term may have several rows, to be added up."""
+def packed(terms: list[bytes]) -> bytes:
+    return zlib.compress(b" ".join(terms), 1)
+
+
+def unpacked(terms: bytes) -> list[bytes]:
+    return zlib.decompress(terms).split(b" ")
+
+
+def packed_numbers(numbers: np.ndarray) -> bytes:
+    return zlib.compress(numbers.astype("<u4").tobytes(), 1)
+
+
+def unpacked_numbers(numbers: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(numbers), "<u4").astype(np.int64)
+
+
+def batch_of(ddl: str, rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<string>": pa.list_(pa.string()), "array<int>": pa.list_(pa.int32()), "array<bigint>": pa.list_(pa.int64())}
+    names, types = zip(*(c.split() for c in ddl.split(", ")), strict=True)
+    columns = zip(*rows, strict=True) if rows else [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, t in zip(columns, types, strict=True)], names=list(names))
+
+
+def document_frequencies(rows: DataFrame, buckets: int) -> DataFrame:
+    """bucket, lang, block, terms, df: in how many documents of a block each term of a bucket is. A block's terms may come
+    in several rows, to be added up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, Counter] = defaultdict(Counter)
 
         def given() -> Iterator[pa.RecordBatch]:
             for (block, lang), found in held.items():
-                n = len(found)
-                yield pa.RecordBatch.from_arrays([pa.array([block] * n, pa.int64()), pa.array([lang] * n, pa.string()), pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())], names=["block", "lang", "term", "df"])
+                terms = sorted(found)
+                of = np.fromiter(map(zlib.crc32, terms), np.int64, len(terms)) % buckets
+                order = np.argsort(of, kind="stable")
+                edges = [0, *(np.flatnonzero(np.diff(of[order])) + 1).tolist(), len(order)]
+                out = []
+                for low, high in zip(edges[:-1], edges[1:], strict=True):
+                    own = [terms[k] for k in order[low:high].tolist()]
+                    if own:
+                        out.append((int(of[order[low]]), lang, block, packed(own), packed_numbers(np.array([found[t] for t in own]))))
+                yield batch_of(FOUND, out)
             held.clear()
 
         for b in batches:
@@ -111,149 +156,249 @@ def document_frequencies(rows: DataFrame) -> DataFrame:
                 yield from given()
         yield from given()
 
-    return rows.select("block", "lang", "text").mapInArrow(tidied(run), "block bigint, lang string, term binary, df bigint")
+    return rows.select("block", "lang", "text").mapInArrow(tidied(run), FOUND)
+
+
+def kept_terms(found: DataFrame) -> DataFrame:
+    """bucket, lang, terms, v: the terms of a bucket in at least LEAST documents, in order, and their number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, df = None, {}
+
+        def given() -> Iterator[pa.RecordBatch]:
+            kept = sorted(t for t, n in df.items() if n >= LEAST)
+            if kept:
+                yield batch_of(KEPT, [(*now, packed(kept), len(kept))])
+
+        for b in batches:
+            for bucket, lang, terms, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if now != (bucket, lang):
+                    yield from given()
+                    now, df = (bucket, lang), {}
+                for t, more in zip(unpacked(terms), unpacked_numbers(n).tolist(), strict=True):
+                    df[t] = df.get(t, 0) + more
+        yield from given()
+
+    dealt = found.select("bucket", "lang", "terms", "df").repartition("bucket", "lang").sortWithinPartitions("bucket", "lang")
+    return write_table(dealt.mapInArrow(tidied(run), KEPT), "kept-terms")
+
 
+def vocabularies(found: DataFrame, kept: DataFrame) -> DataFrame:
+    """bucket, lang, block, terms, ids: the kept terms that a block has, by their numbers in the bucket and language."""
 
-def kept_terms(frequencies: DataFrame) -> DataFrame:
-    """lang, term, df, term_id of the terms in at least LEAST documents, numbered in the order of language and term; written."""
-    kept = frequencies.groupBy("lang", "term").agg(F.sum("df").alias("df")).filter(F.col("df") >= LEAST)
-    # ranges by the heads of terms, as a sample of the keys goes to the driver; equal heads stay together
-    ordered = kept.repartitionByRange("lang", F.substring("term", 1, 24)).sortWithinPartitions("lang", "term")
-    return write_table(ordered.withColumn("term_id", F.monotonically_increasing_id()), "kept-terms")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, number = None, {}
+        for b in batches:
+            out = []
+            for bucket, lang, block, terms, held in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if held:
+                    now, number = (bucket, lang), {t: k for k, t in enumerate(unpacked(terms))}
+                elif now == (bucket, lang):
+                    own = [t for t in unpacked(terms) if t in number]
+                    if own:
+                        out.append((bucket, lang, block, packed(own), packed_numbers(np.array([number[t] for t in own]))))
+            yield batch_of(ASKED, out)
+
+    known = kept.select("bucket", "lang", F.lit(None).cast("long").alias("block"), "terms", F.lit(True).alias("held"))
+    both = known.unionByName(found.select("bucket", "lang", "block", "terms", F.lit(False).alias("held")))
+    dealt = both.repartition("bucket", "lang").sortWithinPartitions("bucket", "lang", F.desc("held"))
+    return dealt.mapInArrow(tidied(run), ASKED)
 
 
 def occurrences(rows: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """lang, source, term_id, n: how often the terms of the ``vocabulary`` (block, lang, term, term_id) occur in the ``rows``
-    of their block."""
+    """bucket, lang, and for each source of a block how often the terms of its ``vocabulary`` occur in the block's rows."""
     import ahocorasick
 
     def count(docs: pa.Table, terms: pa.Table) -> pa.Table:
-        at, langs, sources, ids, counts = defaultdict(lambda: defaultdict(list)), [], [], [], []
+        places, mine, out = defaultdict(lambda: defaultdict(list)), defaultdict(list), []
         for k, (lang, source) in enumerate(zip(docs.column("lang").to_pylist(), docs.column("source").to_pylist(), strict=True)):
-            at[lang][source].append(k)
+            places[lang][source].append(k)
         texts = list(folded(docs.column("text").combine_chunks())) if docs.num_rows else []
-        of_lang, words, numbers = terms.column("lang").to_pylist(), terms.column("term").to_pylist(), terms.column("term_id").to_numpy()
-        mine = defaultdict(list)
-        for k, lang in enumerate(of_lang):
-            mine[lang].append(k)
-        for lang in at.keys() & mine.keys():
-            automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-            for k in mine[lang]:
-                automaton.add_word(f" {words[k].decode('latin-1')} ", k)
+        for row in zip(*(terms.column(c).to_pylist() for c in ("lang", "bucket", "terms", "ids")), strict=True):
+            mine[row[0]].append(row[1:])
+        for lang in places.keys() & mine.keys():
+            mine[lang].sort()
+            automaton, size, buckets, ids = ahocorasick.Automaton(ahocorasick.STORE_INTS), 0, [], []
+            for bucket, own, numbers in mine[lang]:
+                for word in zlib.decompress(own).decode("latin-1").split(" "):
+                    automaton.add_word(f" {word} ", size)
+                    size += 1
+                ids.append(unpacked_numbers(numbers))
+                buckets.append(np.full(len(ids[-1]), bucket))
             automaton.make_automaton()
-            for source, places in at[lang].items():
-                found = np.concatenate([np.fromiter((k for _, k in automaton.iter(f" {texts[p].decode('latin-1')} ")), np.int64) for p in places])
-                own, n = np.unique(found, return_counts=True)
-                langs += [lang] * len(own)
-                sources += [source] * len(own)
-                ids.append(numbers[own])
-                counts.append(n)
-        whole = lambda parts: pa.array(np.concatenate(parts) if parts else [], pa.int64())
-        return pa.Table.from_arrays([pa.array(langs, pa.string()), pa.array(sources, pa.string()), whole(ids), whole(counts)], names=["lang", "source", "term_id", "n"])
-
-    return rows.groupBy("block").cogroup(vocabulary.groupBy("block")).applyInArrow(count, "lang string, source string, term_id bigint, n bigint")
-
+            ids, buckets = np.concatenate(ids), np.concatenate(buckets)
+            parts = []
+            for source, at in places[lang].items():
+                matches = np.concatenate([np.fromiter((k for _, k in automaton.iter(f" {texts[p].decode('latin-1')} ")), np.int64) for p in at])
+                parts.append((source, *np.unique(matches, return_counts=True)))
+            del automaton
+            of = np.concatenate([buckets[own] for _, own, _ in parts])
+            source = np.repeat(np.arange(len(parts)), [len(own) for _, own, _ in parts])
+            own, n = (np.concatenate([part[k] for part in parts]) for k in (1, 2))
+            order = np.lexsort((source, of))
+            edges = [0, *(np.flatnonzero(np.diff(of[order])) + 1).tolist(), len(order)]
+            for low, high in zip(edges[:-1], edges[1:], strict=True):
+                if low < high:
+                    rows = order[low:high]
+                    names, lengths = np.unique(source[rows], return_counts=True)
+                    out.append((int(of[rows[0]]), lang, [parts[k][0] for k in names], lengths, ids[own[rows]], n[rows]))
+        return pa.Table.from_batches([batch_of(COUNTED, out)])
 
-def share(n: str, of: str = "size") -> Column:
-    """1 + floor(10^9 (n + 1) / (size + v)) in whole numbers, which may pass 64 bits on the way."""
-    return F.expr(f"1 + CAST(1000000000 AS DECIMAL(19,0)) * CAST({n} + 1 AS DECIMAL(19,0)) div CAST(greatest({of} + v, 1) AS DECIMAL(19,0))")
+    return rows.groupBy("block").cogroup(vocabulary.groupBy("block")).applyInArrow(count, COUNTED)
 
 
-def value(p: str, q: str) -> Column:
-    """floor((p - q)^2 / q); shares are 10^9 + 1 at most, so that squares stay in 64 bits."""
-    return F.expr(f"({p} - {q}) * ({p} - {q}) div {q}")
+def added(pieces: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, counts) of pieces, each id once."""
+    ids, at = np.unique(np.concatenate([i for i, _ in pieces]), return_inverse=True)
+    counts = np.zeros(len(ids), np.int64)
+    np.add.at(counts, at, np.concatenate([n for _, n in pieces]))
+    return ids, counts
 
 
-def corrections(postings: DataFrame) -> DataFrame:
-    """lang, a, b, extra: for each two sources (by number) the sum over the terms of both of the true value less what the
-    histograms give. ``postings``: lang, number, term_id, p, p0 (share of a term that the source lacks), last (greatest number)."""
-    tile = F.floor(F.col("number") / TILE).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.floor(F.col("last") / TILE).cast("int")))
-    dealt = postings.select("*", tile.alias("_own"), other.alias("_other")).select("lang", F.least("_own", "_other").alias("low"), F.greatest("_own", "_other").alias("high"), "term_id", "number", "p", "p0")
-    keys = ["lang", "low", "high", "term_id"]
+def postings_of(counted: DataFrame) -> DataFrame:
+    """bucket, lang, source, ids, counts, size (all occurrences), terms (how many there are); written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, sums, rest = None, np.zeros((0, 0), np.int64), None
+        now, held = None, defaultdict(list)
 
         def given() -> Iterator[pa.RecordBatch]:
-            if now is None:
-                return
-            lang, low, high = now
-            a, b = np.nonzero(sums)
-            name = lambda k: np.where(k < TILE, low * TILE + k, high * TILE + k - TILE)
-            # of two tiles, pairs within one are another task's
-            own = (a != b) & ((low == high) | ((a < TILE) != (b < TILE)))
-            a, b = a[own], b[own]
-            for k in range(0, len(a), 100_000):
-                x, y = a[k : k + 100_000], b[k : k + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(x), pa.string()), pa.array(name(x), pa.int32()), pa.array(name(y), pa.int32()), pa.array(sums[x, y])], names=["lang", "a", "b", "extra"])
-
-        def pieces() -> Iterator[tuple]:
-            """(key, term ids, numbers, shares, shares without) of whole terms of one key."""
-            nonlocal rest
-            for b in batches:
-                table = pa.Table.from_batches([b])
-                table = pa.concat_tables([rest, table]).combine_chunks() if rest is not None else table
-                ids = table.column("term_id").to_numpy()
-                change = np.flatnonzero(ids[1:] != ids[:-1])
-                cut = int(change[-1]) + 1 if len(change) else 0
-                yield from split(table.slice(0, cut))
-                rest = table.slice(cut)
-            if rest is not None:
-                yield from split(rest)
-
-        def split(table: pa.Table) -> Iterator[tuple]:
-            if not table.num_rows:
-                return
-            key = list(zip(*(table.column(c).to_pylist() for c in keys[:3]), strict=True))
-            edges = [0, *(k for k in range(1, len(key)) if key[k] != key[k - 1]), len(key)]
-            columns = [table.column(c).to_numpy() for c in ("term_id", "number", "p", "p0")]
-            for low, high in zip(edges[:-1], edges[1:], strict=True):
-                yield key[low], *(c[low:high] for c in columns)
+            rows = []
+            for source, pieces in held.items():
+                ids, n = added(pieces)
+                rows.append((*now, source, ids, n, int(n.sum()), len(ids)))
+            for k in range(0, len(rows), 256):
+                yield batch_of(POSTINGS, rows[k : k + 256])
+            held.clear()
 
-        for key, ids, number, p, p0 in pieces():
-            if key != now:
-                yield from given()
-                now, side = key, TILE if key[1] == key[2] else 2 * TILE
-                sums = np.zeros((side, side), np.int64)
-            place = number - np.where(number < (key[1] + 1) * TILE, key[1] * TILE, key[2] * TILE - TILE)
-            starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-            lengths = np.diff(np.append(starts, len(ids)))
-            for length in np.unique(lengths[lengths > 1]).tolist():
-                firsts = starts[lengths == length]
-                step = max(1, CHUNK // length**2)
-                for k in range(0, len(firsts), step):
-                    rows = firsts[k : k + step, None] + np.arange(length)
-                    pa_, pb, za, zb = p[rows][:, :, None], p[rows][:, None, :], p0[rows][:, :, None], p0[rows][:, None, :]
-                    extra = against(pa_, pb) - against(pa_, zb) - against(za, pb) + against(za, zb)
-                    np.add.at(sums, (np.broadcast_to(place[rows][:, :, None], extra.shape), np.broadcast_to(place[rows][:, None, :], extra.shape)), extra)
+        for b in batches:
+            bucket, lang, sources, lengths = (b.column(k).to_pylist() for k in range(4))
+            for k in range(b.num_rows):
+                if now != (bucket[k], lang[k]):
+                    yield from given()
+                    now = bucket[k], lang[k]
+                ids, counts = (b.column(c)[k].values.to_numpy() for c in (4, 5))
+                ends = np.cumsum(lengths[k])[:-1]
+                for source, i, n in zip(sources[k], np.split(ids, ends), np.split(counts, ends), strict=True):
+                    held[source].append((i, n))
+                    if len(held[source]) > 64:
+                        held[source] = [added(held[source])]
         yield from given()
 
-    # a term's postings in a pair of tiles are 2 * TILE rows at most
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tidied(run), "lang string, a int, b int, extra bigint").groupBy("lang", "a", "b").agg(F.sum("extra").alias("extra"))
+    dealt = counted.repartition("bucket", "lang").sortWithinPartitions("bucket", "lang")
+    return write_table(dealt.mapInArrow(tidied(run), POSTINGS), "term-postings")
+
+
+def shares(n: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """1 + floor(10^9 (n + 1) / total), whatever the numbers' sizes."""
+    if len(n) and int(n.max()) > 9_000_000_000:
+        return (1 + 10**9 * (n.astype(object) + 1) // total.astype(object)).astype(np.int64)
+    return 1 + 10**9 * (n + 1) // total
 
 
 def against(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) ** 2 // q
 
 
+def corrections(ids: np.ndarray, number: np.ndarray, p: np.ndarray, p0: np.ndarray, sources: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(a, b, sums over the terms of both of the true value less what the histograms give). Rows are in the order of ids."""
+    sums = np.zeros((sources, sources), np.int64) if sources <= DENSE else None
+    starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else np.zeros(0, np.int64)
+    lengths = np.diff(np.append(starts, len(ids)))
+    for length in np.unique(lengths[lengths > 1]).tolist():
+        firsts = starts[lengths == length]
+        # the sources of a term by themselves, or in slices where they are very many
+        step, slice_ = max(1, CHUNK // length**2), max(1, min(length, CHUNK // length))
+        for k in range(0, len(firsts), step):
+            all_ = firsts[k : k + step, None] + np.arange(length)
+            for low in range(0, length, slice_):
+                one, two = all_[:, low : low + slice_, None], all_[:, None, :]
+                extra = against(p[one], p[two]) - against(p[one], p0[two]) - against(p0[one], p[two]) + against(p0[one], p0[two])
+                a, b = (np.broadcast_to(number[x], extra.shape).ravel() for x in (one, two))
+                if sums is not None:
+                    np.add.at(sums, (a, b), extra.ravel())
+                    continue
+                pairs, at = np.unique(a.astype(np.int64) * sources + b, return_inverse=True)
+                own = np.zeros(len(pairs), np.int64)
+                np.add.at(own, at.ravel(), extra.ravel())
+                yield pairs // sources, pairs % sources, own
+    if sums is not None:
+        a, b = np.nonzero(sums)
+        yield a, b, sums[a, b]
+
+
+def values_of(postings: DataFrame, kept: DataFrame) -> DataFrame:
+    """What a bucket gives, by kind: ``term`` (a, term, value: the best of each source), ``pair`` (a, b, value: corrections)
+    and ``count`` (a, value: a share, m: how many of a's terms have it). ``postings`` have number, last, size, lang_size, v
+    and p0 of their source."""
+
+    def run(rows: pa.Table, terms: pa.Table) -> pa.Table:
+        batches: list[pa.RecordBatch] = []
+        if not rows.num_rows:
+            return pa.Table.from_batches([batch_of(VALUES, [])])
+        lang, words = rows.column("lang")[0].as_py(), unpacked(terms.column("terms")[0].as_py())
+        lists = [x.values.to_numpy() for x in rows.column("ids")]
+        lengths = [len(x) for x in lists]
+        each = lambda c: np.repeat(rows.column(c).to_numpy(), lengths)
+        ids, n = np.concatenate(lists).astype(np.int64), np.concatenate([x.values.to_numpy() for x in rows.column("counts")])
+        order = np.argsort(ids, kind="stable")
+        ids, n = ids[order], n[order]
+        number, p0, v = each("number")[order], each("p0")[order], each("v")[order]
+        p = shares(n, each("size")[order] + v)
+        total = np.zeros(len(words), np.int64)
+        np.add.at(total, ids, n)
+        q = shares(total[ids], each("lang_size")[order] + v)
+
+        def give(kind: str, a, b=None, term=None, value=None, m=None) -> None:
+            k = len(a)
+            none = lambda x, t: pa.nulls(k, t) if x is None else pa.array(x, t)
+            columns = [pa.array([kind] * k, pa.string()), pa.array([lang] * k, pa.string()), none(a, pa.int32()), none(b, pa.int32()), none(term, pa.binary()), none(value, pa.int64()), none(m, pa.int64())]
+            batches.append(pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in VALUES.split(", ")]))
+
+        over = np.flatnonzero(p > q)
+        far = against(p[over], q[over])
+        # ids are in the order of terms, so that ties go to the least term
+        best = np.lexsort((ids[over], -far, number[over]))
+        own = number[over][best]
+        rank = np.arange(len(own)) - np.searchsorted(own, own)
+        best = best[rank < TERMS]
+        give("term", number[over][best], term=[words[k] for k in ids[over][best].tolist()], value=far[best])
+        by = np.lexsort((p, number))
+        fresh = np.flatnonzero(np.concatenate([[True], (np.diff(number[by]) != 0) | (np.diff(p[by]) != 0)]))
+        give("count", number[by][fresh], value=p[by][fresh], m=np.diff(np.append(fresh, len(by))))
+        for a, b, extra in corrections(ids, number, p, p0, rows.column("last")[0].as_py() + 1):
+            give("pair", a[a != b], b=b[a != b], value=extra[a != b])
+        return pa.Table.from_batches(batches)
+
+    return write_table(postings.groupBy("lang", "bucket").cogroup(kept.groupBy("lang", "bucket")).applyInArrow(run, VALUES), "divergence-values")
+
+
+def share(n: str, of: str = "size") -> Column:
+    """As shares(), in SQL."""
+    return F.expr(f"1 + CAST(1000000000 AS DECIMAL(19,0)) * CAST({n} + 1 AS DECIMAL(19,0)) div CAST(greatest({of} + v, 1) AS DECIMAL(19,0))")
+
+
+def value(p: str, q: str) -> Column:
+    """floor((p - q)^2 / q); shares are 10^9 + 1 at most, so that squares stay in 64 bits."""
+    return F.expr(f"({p} - {q}) * ({p} - {q}) div {q}")
+
+
 def ranked(rows: DataFrame, part: str, item: str) -> DataFrame:
     order = W.partitionBy("lang", "source").orderBy(F.desc("value"), item)
     return rows.select("lang", "source", F.lit(part).alias("part"), item, "value", F.row_number().over(order).alias("rank"))
 
 
-def pair_values(postings: DataFrame, groups: DataFrame) -> DataFrame:
-    """lang, source, item, value for each two sources of a language. ``groups``: lang, source, number, last, size, terms, v,
-    p0; ``postings``: lang, number, term_id, n, p, p0, last."""
-    counts = postings.groupBy("lang", "number", "p").agg(F.count("*").alias("m"))
+def pair_values(values: DataFrame, groups: DataFrame) -> DataFrame:
+    """lang, source, item, value for each two sources of a language. ``groups``: lang, source, number, terms, v, p0."""
+    counts = values.filter("kind = 'count'").groupBy("lang", F.col("a").alias("number"), F.col("value").alias("p")).agg(F.sum("m").alias("m"))
+    extra = values.filter("kind = 'pair'").groupBy("lang", "a", "b").agg(F.sum("value").alias("extra"))
     others = groups.select("lang", F.col("number").alias("other"), F.col("p0").alias("other_p0"))
     met = counts.join(others, "lang").filter("number <> other")
     alone = met.groupBy("lang", F.col("number").alias("a"), F.col("other").alias("b")).agg(F.sum(F.col("m") * value("p", "other_p0")).alias("forth"), F.sum(F.col("m") * value("other_p0", "p")).alias("back"))
-    there, back = alone.select("lang", "a", "b", "forth"), alone.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "back")
+    forth, back = alone.select("lang", "a", "b", "forth"), alone.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), "back")
     one = groups.select("lang", F.col("number").alias("a"), "source", "v", F.col("terms").alias("a_terms"), F.col("p0").alias("a_p0"))
     two = groups.select("lang", F.col("number").alias("b"), F.col("source").alias("item"), F.col("terms").alias("b_terms"), F.col("p0").alias("b_p0"))
     pairs = one.join(two, "lang").filter("a <> b")
-    for part in (there, back, corrections(postings)):
+    for part in (forth, back, extra):
         pairs = pairs.join(part, ["lang", "a", "b"], "left")
     known = lambda c: F.coalesce(F.col(c), F.lit(0))
     neither = (F.col("v") - F.col("a_terms") - F.col("b_terms")) * value("a_p0", "b_p0")
@@ -265,28 +410,22 @@ def audit(docs: DataFrame) -> DataFrame:
     spark, start = docs.sparkSession, mark()
     small_batches(spark)
     rows = blocked(docs)
-    frequencies = write_table(document_frequencies(rows), "term-frequencies")
-    kept = kept_terms(frequencies)
-    vocabulary = frequencies.join(kept.drop("df"), ["lang", "term"]).select("block", "lang", "term", "term_id")
-    counted = occurrences(rows, vocabulary).groupBy("lang", "source", "term_id").agg(F.sum("n").alias("n"))
-    counts = write_table(counted, "term-counts")
-
-    sizes = counts.groupBy("lang", "source").agg(F.sum("n").alias("size"), F.count("*").alias("terms"))
-    kinds = kept.groupBy("lang").agg(F.count("*").alias("v"))
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    found = write_table(document_frequencies(rows, 1 + size // BUCKET), "term-frequencies")
+    kept = kept_terms(found)
+    postings = postings_of(occurrences(rows, vocabularies(found, kept)))
+
+    sizes = postings.groupBy("lang", "source").agg(F.sum("size").alias("size"), F.sum("terms").alias("terms"))
+    kinds = kept.groupBy("lang").agg(F.sum("v").alias("v"))
     groups = rows.select("lang", "source").distinct().join(sizes, ["lang", "source"], "left").join(kinds, "lang", "left").na.fill(0, ["size", "terms", "v"])
     of_lang = W.partitionBy("lang")  # a row a source
     groups = groups.withColumn("number", (F.row_number().over(of_lang.orderBy("source")) - 1).cast("int")).withColumn("last", F.max("number").over(of_lang))
-    groups = write_table(groups.withColumn("p0", share("0")), "divergence-groups")
-
-    known = counts.join(groups.drop("terms", "p0"), ["lang", "source"]).withColumn("p", share("n"))
-    numbered = groups.select("lang", "number", "p0")
-    pairs = pair_values(known.join(numbered, ["lang", "number"]).select("lang", "number", "last", "term_id", "n", "p", "p0"), groups)
-
-    total = groups.groupBy("lang").agg(F.sum("size").alias("lang_size"))
-    of_terms = counts.groupBy("lang", "term_id").agg(F.sum("n").alias("lang_n"))
-    both = known.join(of_terms, ["lang", "term_id"]).join(total, "lang").withColumn("q", share("lang_n", "lang_size"))
-    best = ranked(both.filter("p > q").withColumn("value", value("p", "q")), "term", "term_id").filter(F.col("rank") <= TERMS)
-    named = best.join(kept.select("term_id", "term"), "term_id").select("lang", "source", "part", F.col("term").cast("string").alias("item"), "value", "rank")
-    out = write_table(ranked(pairs, "pair", "item").unionByName(named), "divergence")
-    drop_since(spark, start, out)
-    return out
+    groups = write_table(groups.withColumn("lang_size", F.sum("size").over(of_lang)).withColumn("p0", share("0")), "divergence-groups")
+
+    known = postings.select("bucket", "lang", "source", "ids", "counts").join(groups.drop("terms"), ["lang", "source"]).drop("source")
+    values = values_of(known, kept)
+    names = groups.select("lang", F.col("number").alias("a"), "source")
+    terms = ranked(values.filter("kind = 'term'").join(names, ["lang", "a"]), "term", "term").filter(F.col("rank") <= TERMS)
+    out = ranked(pair_values(values, groups), "pair", "item").unionByName(terms.withColumn("item", F.col("term").cast("string")).drop("term"))
+    drop_since(spark, start, values, groups)
+    return out.select("lang", "source", "part", "item", "value", "rank")

@@ -1,6 +1,7 @@
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,9 +58,10 @@ def test_terms_that_touch_repeat_or_lack(spark):
     assert not [r for r in got if r[0] == "fr"] and [r for r in got if r[:3] == ("en", "empty", "pair")]
 
 
-@pytest.mark.parametrize("tile", [3, 1024])
-def test_many_sources_in_small_blocks(spark, monkeypatch, tile):
-    monkeypatch.setattr(divergence, "TILE", tile)
+@pytest.mark.parametrize("dense", [3, 1024])
+def test_many_sources_in_small_blocks_and_buckets(spark, monkeypatch, dense):
+    monkeypatch.setattr(divergence, "DENSE", dense)
+    monkeypatch.setattr(divergence, "BUCKET", 2000)
     monkeypatch.setattr(divergence, "BLOCK", 2)
     monkeypatch.setattr(divergence, "HELD", 50)
     monkeypatch.setattr(divergence, "CHUNK", 100)
@@ -81,5 +83,7 @@ def test_shares_pass_64_bits(spark):
     big = 9_000_000_000_000
     row = spark.createDataFrame([(big, 3 * big, 7)], "n long, size long, v long").select(divergence.share("n").alias("p")).first()
     assert row.p == 1 + 1_000_000_000 * (big + 1) // (3 * big + 7)
+    n = np.array([big, 5])
+    assert divergence.shares(n, np.array([3 * big + 7, 9])).tolist() == [row.p, 1 + 6 * 10**9 // 9]
     far = spark.createDataFrame([(1_000_000_001, 3)], "p long, q long").select(divergence.value("p", "q").alias("f")).first()
     assert far.f == (1_000_000_001 - 3) ** 2 // 3
