@@ -135,4 +135,4 @@ def test_columns_and_filters_reach_the_file(spark, tmp_path):
     assert rows.filter("a is null").count() == 1 and rows.filter("b is not null and a < 5").count() == 5
     reader = sqlite.SqliteReader({"path": path, "table": "t"}, rows.schema)
     assert list(reader.pushFilters([sqlite.EqualTo(("b",), "x1"), sqlite.GreaterThan(("a",), 40)])) == []
-    assert sorted(reader.read(sqlite.InputPartition(None))) == [(43, "x1"), (46, "x1"), (49, "x1")]
+    assert sorted(reader.read(sqlite.KeyRange())) == [(43, "x1"), (46, "x1"), (49, "x1")]
