@@ -60,7 +60,7 @@ def brute(original, rows):
             return min(options, default=(10**9, "", ()))
 
         for i in range(len(own), -1, -1):  # from the end, as recursion is bounded
-            best(i, "u"), best(i, "a")
+            best(i, "u"), best(i, "a"), best(i, "s"), best(i, "")
         cost, audit, body = best(0, "")
         out[conv] = (gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, hashlib.sha256("\n".join(body).encode()).hexdigest())
     return out
