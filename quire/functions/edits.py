@@ -1,47 +1,76 @@
 """Edit scripts: minimal unit-cost edits between two texts as blocks.
 
-Common ends are set aside. Between them a band of the distance table is filled row by row, vectorised, and widened
-until the distance fits into it, so that near-equal texts of tens of thousands of characters take little. Of several
-minimal scripts the one is taken that, going back from the end, prefers a deletion, then an insertion, then a match or
-replacement.
+Common ends are set aside. Between them a row of the distance table is two whole numbers, whose bits say where it rises and
+where it falls, and a character of the source costs a few operations on them. The way back through the table divides it:
+of a stretch of rows only the first rows of PART parts are held, and each part is made again, from the last on, when the
+way has come to it. What is held grows with the target's length times the number of such levels, not with the table.
+
+Of several minimal scripts the one is taken that, going back from the end, prefers a deletion, then an insertion, then a
+match or replacement.
 """
 
 from __future__ import annotations
 
-import numpy as np
-
 OPCODES = "array<struct<tag:string,src_start:int,src_end:int,dest_start:int,dest_end:int>>"
-DELETE, INSERT, KEEP = 0, 1, 2
+#: Rows that are held at each level.
+PART = 64
+NAMES = ("delete", "insert", "equal", "replace")
+DELETE, INSERT, EQUAL, REPLACE = range(4)
+
+
+class Table:
+    """The distances between all heads of two texts, of which nothing is held."""
+
+    def __init__(self, source: str, target: str):
+        self.source, self.target = source, target
+        self.every = (1 << len(target)) - 1
+        self.places: dict[str, int] = {}
+        for k, c in enumerate(target):
+            self.places[c] = self.places.get(c, 0) | 1 << k
+
+    def after(self, row: tuple[int, int], c: str) -> tuple[tuple[int, int], int]:
+        """The next row, for a character of the source, and where it lies above the ``row`` before."""
+        rises, falls = row
+        same = self.places.get(c, 0) | falls
+        same |= (rises & same) + rises ^ rises
+        up, down = falls | self.every & ~(rises | same), rises & same
+        more, less = up << 1 | 1, down << 1
+        return (self.every & (less | ~(more | same)), self.every & more & same), up
 
+    def back(self, low: int, high: int, row: tuple[int, int], j: int, steps: list[int]) -> int:
+        """Goes from (high, j) back to row ``low``, which is given; adds the steps, last first. Returns the column."""
+        if high - low > PART:
+            size = PART
+            while size * PART < high - low:
+                size *= PART
+            firsts = [row]
+            for k in range(low, low + (high - low - 1) // size * size):
+                row = self.after(row, self.source[k])[0]
+                if (k + 1 - low) % size == 0:
+                    firsts.append(row)
+            for k in range(len(firsts) - 1, -1, -1):
+                j = self.back(low + k * size, min(high, low + (k + 1) * size), firsts.pop(), j, steps)
+            return j
+        rows = []
+        for k in range(low, high):
+            row, up = self.after(row, self.source[k])
+            rows.append((row[0], up))
+        for i in range(high, low, -1):
+            rises, up = rows.pop()
+            while j and not up >> j - 1 & 1 and rises >> j - 1 & 1:
+                steps.append(INSERT)
+                j -= 1
+            if not j or up >> j - 1 & 1:
+                steps.append(DELETE)
+            else:
+                steps.append(EQUAL if self.source[i - 1] == self.target[j - 1] else REPLACE)
+                j -= 1
+        return j
 
-def _band(a: np.ndarray, b: np.ndarray, k: int) -> tuple[int, np.ndarray]:
-    """(distance, moves) within diagonals -k .. k + len(b) - len(a) or the like; moves by row and band column."""
-    n, m = len(a), len(b)
-    low, width = min(0, m - n) - k, abs(m - n) + 2 * k + 1
-    big = n + m + 1
-    columns = np.arange(width)
-    row = np.full(width, big, np.int64)
-    at = columns + low  # column of the table for row 0
-    row[(at >= 0) & (at <= m)] = at[(at >= 0) & (at <= m)]
-    moves = np.full((n + 1, width), INSERT, np.int8)
-    for i in range(1, n + 1):
-        at = columns + low + i
-        there = (at >= 0) & (at <= m)
-        same = np.zeros(width, bool)
-        inner = there & (at >= 1)
-        same[inner] = b[at[inner] - 1] == a[i - 1]
-        keep = np.where(inner, row + ~same, big)
-        delete = np.full(width, big, np.int64)
-        delete[:-1] = row[1:] + 1
-        best = np.where(there, np.minimum(keep, delete), big)
-        # insertions pass along the row
-        fresh = np.minimum.accumulate(best - columns) + columns
-        fresh[~there] = big
-        insert = np.full(width, big, np.int64)
-        insert[1:] = fresh[:-1] + 1
-        moves[i] = np.where(delete == fresh, DELETE, np.where(insert == fresh, INSERT, KEEP))
-        row = fresh
-    return int(row[m - n - low]), moves
+    def steps(self) -> list[int]:
+        out: list[int] = []
+        j = self.back(0, len(self.source), (self.every, 0), len(self.target), out)
+        return [INSERT] * j + out[::-1]
 
 
 def opcodes(source: str, target: str) -> list[tuple[str, int, int, int, int]]:
@@ -52,38 +81,19 @@ def opcodes(source: str, target: str) -> list[tuple[str, int, int, int, int]]:
     tail = 0
     while tail < short - head and source[-1 - tail] == target[-1 - tail]:
         tail += 1
-    a = np.array([ord(c) for c in source[head : len(source) - tail]], np.int64)
-    b = np.array([ord(c) for c in target[head : len(target) - tail]], np.int64)
-    n, m = len(a), len(b)
-    steps: list[int] = []
-    if n and m:
-        k = 8
-        while True:
-            distance, moves = _band(a, b, k)
-            if distance <= k or k > n + m:
-                break
-            k *= 2
-        low, i, j = min(0, m - n) - k, n, m
-        while i or j:
-            move = DELETE if not j else INSERT if not i else int(moves[i, j - i - low])
-            steps.append(move if move != KEEP else 2 + (a[i - 1] != b[j - 1]))
-            i, j = i - (move != INSERT), j - (move != DELETE)
-        steps.reverse()
-    else:
-        steps = [DELETE] * n + [INSERT] * m
-    names, out = ("delete", "insert", "equal", "replace"), []
+    out: list[tuple[str, int, int, int, int]] = []
 
-    def add(tag: str, i: int, j: int) -> None:
-        if not i and not j:
-            return
-        s, t = (out[-1][2], out[-1][4]) if out else (0, 0)
-        if out and out[-1][0] == tag:
-            out[-1] = (tag, out[-1][1], s + i, out[-1][3], t + j)
-        else:
-            out.append((tag, s, s + i, t, t + j))
+    def add(step: int, n: int) -> None:
+        if n:
+            i, j = n * (step != INSERT), n * (step != DELETE)
+            s, t = (out[-1][2], out[-1][4]) if out else (0, 0)
+            if out and out[-1][0] == NAMES[step]:
+                out[-1] = (NAMES[step], out[-1][1], s + i, out[-1][3], t + j)
+            else:
+                out.append((NAMES[step], s, s + i, t, t + j))
 
-    add("equal", head, head)
-    for step in steps:
-        add(names[step], int(step != INSERT), int(step != DELETE))
-    add("equal", tail, tail)
+    add(EQUAL, head)
+    for step in Table(source[head : len(source) - tail], target[head : len(target) - tail]).steps():
+        add(step, 1)
+    add(EQUAL, tail)
     return out

@@ -5,6 +5,8 @@ edit distance between the segment and the joined words, within a limit that grow
 least total cost win, and of equal ones those whose starts were reached first. A run stays in the segment's chapter,
 and its last word in the verse of the segment's marker, if it has one.
 
+One pass over a page's words gives the distances from all starts of a segment to all its ends.
+
 Pages are independent: a row each, with its segments and words as arrays, bounded by a page.
 """
 
@@ -24,75 +26,74 @@ from quire.spec import LayoutSpec
 PATH = "edition_id int, page int, line int, seg int, surah int, marker int, start bigint, stop bigint, distance int, status string, detail string"
 
 
-class Runner:
-    """Edit distances between a fixed text and one that grows.
+def limit_of(length: int, spec: LayoutSpec) -> int:
+    return max(2, min(spec.max_distance, max(2, int(length * spec.distance_ratio))))
 
-    A row of the table holds the distances to all heads of the fixed text. Neighbours in it differ by one at most, so it
-    is two whole numbers, whose bits say where it rises and where it falls, and a character costs a few operations on them.
-    """
 
-    def __init__(self, target: str):
-        self.size, self.read, self.distance = len(target), 0, len(target)
-        self.places: dict[str, int] = {}
-        for k, t in enumerate(target):
-            self.places[t] = self.places.get(t, 0) | 1 << k
-        self.every = (1 << len(target)) - 1
-        self.rises, self.falls = self.every, 0
-
-    def extend(self, more: str) -> None:
-        self.read += len(more)
-        if not self.size:
-            self.distance = self.read
-            return
-        every, last, places = self.every, 1 << self.size - 1, self.places
-        rises, falls, distance = self.rises, self.falls, self.distance
-        for c in more:
+def distances(target: str, words: list[dict], starts: list[int], surah: int, limit: int, most: int) -> dict[int, list[tuple[int, int]]]:
+    """start -> [(end, distance)]: the runs of at most ``most`` words of the chapter within the ``limit``, for all starts in
+    one pass over the characters.
+
+    A row of a distance table holds the distances of what was read to all heads of the target. Neighbours in it differ by one
+    at most, so it is two numbers, whose bits say where it rises and where it falls. Every start has such bits of its own
+    in a lane of the same two numbers, and a guard bit above them keeps a sum's carry in its lane.
+    """
+    size, width = len(target), len(target) + 1
+    heads: dict[str, int] = {}
+    for k, c in enumerate(target):
+        heads[c] = heads.get(c, 0) | 1 << k
+    lanes = {start: k * width for k, start in enumerate(sorted(starts))}
+    all_ones = sum(1 << at for at in lanes.values())
+    # each character's places, in every lane
+    places = {c: bits * all_ones for c, bits in heads.items()}
+    whole = (1 << size) - 1
+    out: dict[int, list[tuple[int, int]]] = {start: [] for start in starts}
+    running: dict[int, int] = {}  # start: characters read before
+    every = ones = rises = falls = read = 0
+    for k in range(min(lanes), len(words)):
+        if k in lanes:
+            at = lanes[k]
+            running[k], every, ones, rises = read, every | whole << at, ones | 1 << at, rises | whole << at
+        if not running:
+            if k >= max(lanes):
+                break
+            read += len(words[k]["f"])
+            continue
+        if words[k]["surah"] != surah:
+            running, every, ones, rises, falls = {}, 0, 0, 0, 0
+            continue
+        for c in words[k]["f"]:
             # where a distance equals the one before it in both texts
-            same = places.get(c, 0) | falls
+            same = places.get(c, 0) & every | falls
             same |= (rises & same) + rises ^ rises
             # where a distance is above or below that of the row before
             up, down = falls | every & ~(rises | same), rises & same
-            if up & last:
-                distance += 1
-            elif down & last:
-                distance -= 1
-            up, down = up << 1 | 1, down << 1
+            up, down = up << 1 | ones, down << 1
             rises, falls = every & (down | ~(up | same)), every & up & same
-        self.rises, self.falls, self.distance = rises, falls, distance
-
-    def over(self, limit: int) -> bool:
-        """Whether every extension lies above the limit, as all distances of the row do."""
-        if self.distance <= limit:
-            return False
-        rises, falls, now = self.rises, self.falls, self.read
-        for _ in range(self.size):
-            if now <= limit:
-                return False
-            now += (rises & 1) - (falls & 1)
-            rises, falls = rises >> 1, falls >> 1
-        return True
-
-
-def limit_of(length: int, spec: LayoutSpec) -> int:
-    return max(2, min(spec.max_distance, max(2, int(length * spec.distance_ratio))))
+        read += len(words[k]["f"])
+        for start, before in list(running.items()):
+            at, n = lanes[start], read - before
+            if abs(n - size) <= limit:
+                distance = n + (rises >> at & whole).bit_count() - (falls >> at & whole).bit_count()
+                if distance <= limit:
+                    out[start].append((k + 1, distance))
+            # longer runs differ in length alone by more than the limit
+            if n > size + limit or k + 1 - start >= most:
+                del running[start]
+                left = ~(whole << at)
+                every, ones, rises, falls = every & left, ones & ~(1 << at), rises & left, falls & left
+    return out
 
 
 def reach(segment: dict, starts: dict[int, int], words: list[dict], spec: LayoutSpec) -> dict[int, tuple[int, int, int]]:
     """end -> (cost, start, distance) for all ends that a segment can have, in the order that they are reached."""
     found: dict[int, tuple[int, int, int]] = {}
-    limit = limit_of(len(segment["f"]), spec)
+    near = distances(segment["f"], words, list(starts), segment["surah"], limit_of(len(segment["f"]), spec), spec.max_words)
     for start, cost in starts.items():
-        run = Runner(segment["f"])
-        for end in range(start + 1, min(start + spec.max_words, len(words)) + 1):
-            word = words[end - 1]
-            if word["surah"] != segment["surah"]:
-                break
-            run.extend(word["f"])
-            if run.over(limit):
-                break
-            marked = segment["marker"] is None or word["ayah"] == segment["marker"]
-            if marked and run.distance <= limit and (end not in found or cost + run.distance < found[end][0]):
-                found[end] = (cost + run.distance, start, run.distance)
+        for end, distance in near[start]:
+            marked = segment["marker"] is None or words[end - 1]["ayah"] == segment["marker"]
+            if marked and (end not in found or cost + distance < found[end][0]):
+                found[end] = (cost + distance, start, distance)
     return found
 
 

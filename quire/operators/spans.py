@@ -11,11 +11,12 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.functions.edits import opcodes
-from quire.operators.streams import joined_text, overlap_join, running
+from quire.operators.streams import assign_by_offset, joined_text, overlap_join, running
 
 
 def verse_spans(ayat: DataFrame, normal: Column | None = None) -> DataFrame:
@@ -26,53 +27,66 @@ def verse_spans(ayat: DataFrame, normal: Column | None = None) -> DataFrame:
 
 
 def chapter_opcodes(source: DataFrame, target: DataFrame) -> DataFrame:
-    """edition_id, surah, ops: the edit script from each edition's chapter to the reference's. A row for each, so that
-    editions and chapters are independent tasks."""
+    """edition_id, surah, block, tag, src_start, src_end, dest_start, dest_end: the blocks of the edit script from each
+    edition's chapter to the reference's. A row for each chapter goes in, so that editions and chapters are independent tasks."""
+    names = ("tag", "src_start", "src_end", "dest_start", "dest_end")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            ops = [[dict(zip(("tag", "src_start", "src_end", "dest_start", "dest_end"), op, strict=True)) for op in opcodes(a, b)] for a, b in zip(pdf.text, pdf.other, strict=True)]
-            yield pd.DataFrame({"edition_id": pdf.edition_id, "surah": pdf.surah, "ops": ops})
+            for edition, surah, a, b in zip(pdf.edition_id, pdf.surah, pdf.text, pdf.other, strict=True):
+                ops = opcodes(a, b)
+                yield pd.DataFrame(ops, columns=list(names)).assign(edition_id=edition, surah=surah, block=range(len(ops)))[["edition_id", "surah", "block", *names]]
 
     whole = lambda df, *keys: df.groupBy(*keys).agg(joined_text("norm", "ayah").alias("text"))
     both = whole(source, "edition_id", "surah").join(whole(target, "surah").withColumnRenamed("text", "other"), "surah", "left")
     # rows are few and their work is not: they are dealt out whatever their size
     tasks = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = both.select("edition_id", "surah", "text", F.coalesce("other", F.lit("")).alias("other")).repartition(tasks, "edition_id", "surah")
-    return rows.mapInPandas(run, "edition_id int, surah int, ops array<struct<tag:string,src_start:int,src_end:int,dest_start:int,dest_end:int>>")
+    return rows.mapInPandas(run, "edition_id int, surah int, block int, tag string, src_start bigint, src_end bigint, dest_start bigint, dest_end bigint")
 
 
-def carried(pos: Column, ops: Column, end: bool) -> Column:
-    """A boundary carried over: by the first block whose closed range holds it."""
-    op = F.element_at(F.filter(ops, lambda o: (o["src_start"] <= pos) & (pos <= o["src_end"])), 1)
-    within = (pos - op["src_start"]) / T.at_least_one(op["src_end"] - op["src_start"])
-    replaced = op["dest_start"] + T.half_even(within * (op["dest_end"] - op["dest_start"])).cast("int")
-    moved = F.when(op["tag"] == "equal", op["dest_start"] + pos - op["src_start"]).when(op["tag"] == "replace", replaced).when(op["tag"] == "delete", op["dest_start"])
-    last = F.aggregate(ops, F.lit(0), lambda a, o: F.greatest(a, o["dest_end"]))
-    return F.when(op.isNull(), last).otherwise(moved.otherwise(op["dest_end"] if end else op["dest_start"])).cast("long")
+def block_ranges(blocks: DataFrame) -> DataFrame:
+    """``blocks`` with ``at``: the first boundary that each carries. A boundary belongs to the first block whose closed range
+    holds it, so that a block begins after its predecessor's end, and an insertion carries none but at the very start."""
+    before = F.lag("src_end").over(W.partitionBy("edition_id", "surah").orderBy("block"))
+    return blocks.withColumn("at", F.coalesce(before + 1, F.lit(0))).filter("at <= src_end")
+
+
+def carried(pos: Column, end: Column) -> Column:
+    """A boundary carried over by the block that holds it; with ``end``, past what is inserted there."""
+    within = (pos - F.col("src_start")) / T.at_least_one(F.col("src_end") - F.col("src_start"))
+    replaced = F.col("dest_start") + T.half_even(within * (F.col("dest_end") - F.col("dest_start"))).cast("long")
+    inserted = F.when(end, F.col("dest_end")).otherwise(F.col("dest_start"))
+    return F.when(F.col("tag") == "equal", F.col("dest_start") + pos - F.col("src_start")).when(F.col("tag") == "replace", replaced).when(F.col("tag") == "delete", F.col("dest_start")).otherwise(inserted)
 
 
 def mapped_spans(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Adds dest_start and dest_stop, in the reference's string, to the spans of ``source``."""
-    ops = chapter_opcodes(source, target)
-    both = source.join(ops, ["edition_id", "surah"])
-    both = both.withColumn("_a", carried(F.col("start"), F.col("ops"), False)).withColumn("_b", carried(F.col("stop"), F.col("ops"), True))
-    return both.withColumn("dest_start", F.least("_a", "_b")).withColumn("dest_stop", F.greatest("_a", "_b")).drop("_a", "_b", "ops")
+    """edition_id, surah, ayah, start, stop of ``source`` with dest_start and dest_stop in the reference's string.
+
+    Boundaries and blocks meet in an as-of join over bins of the chapter's offsets: no verse carries its chapter's script.
+    Two empty chapters have no blocks; their boundaries are carried to 0."""
+    blocks = block_ranges(chapter_opcodes(source, target))
+    keys = ["edition_id", "surah", "ayah", "start", "stop"]
+    ends = source.select(*keys, F.explode(F.array(F.struct(F.col("start").alias("pos"), F.lit(False).alias("end")), F.struct(F.col("stop").alias("pos"), F.lit(True).alias("end")))).alias("_e")).select(*keys, "_e.*")
+    found = assign_by_offset(ends, blocks, ["edition_id", "surah"], "pos", "at", ["tag", "src_start", "src_end", "dest_start", "dest_end"])
+    there = found.select(*keys, F.coalesce(carried(F.col("pos"), F.col("end")), F.lit(0)).cast("long").alias("_to"))
+    return there.groupBy(*keys).agg(F.min("_to").alias("dest_start"), F.max("_to").alias("dest_stop"))
 
 
-def map_editions(ayat: DataFrame, reference: int = 1, coverage: float = 0.0, skip_first: bool = True) -> tuple[DataFrame, DataFrame]:
+def map_editions(ayat: DataFrame, reference: int = 1, coverage: float = 0.0, skip_first: bool = True, normal: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(mapping, violations): edition_id, surah, ayah, hafs_ayah for all verses; the reference's verses map to themselves.
 
     With ``skip_first`` the reference's first verse of chapter 1 is no target for other editions. With a ``coverage``
     a reference verse must have that share of itself overlapped, or hold an end of the span; any overlap does by
-    default. A verse without a correspondence is a violation.
+    default. A verse without a correspondence is a violation. Texts are compared in their ``normal`` form, by default the
+    mapping's.
     """
-    spans = verse_spans(ayat)
+    spans = verse_spans(ayat, normal)
     own = F.col("edition_id") == reference
     skipped = own & (F.col("surah") == 1) & (F.col("ayah") == F.col("_first"))
     first = ayat.filter(own & (F.col("surah") == 1)).agg(F.min("ayah").alias("_first"))
     base = ayat.filter(own).join(F.broadcast(first)) if skip_first else None  # one row
-    target = verse_spans(base.filter(~F.coalesce(skipped, F.lit(False))) if skip_first else ayat.filter(own)).drop("edition_id")
+    target = verse_spans(base.filter(~F.coalesce(skipped, F.lit(False))) if skip_first else ayat.filter(own), normal).drop("edition_id")
     target = target.toDF(*target.columns)  # columns of their own, as both sides come from one table
     moved = mapped_spans(spans.filter(~own), target)
     goal = target.select("surah", F.col("ayah").alias("hafs_ayah"), F.col("start").alias("t_start"), F.col("stop").alias("t_stop"))

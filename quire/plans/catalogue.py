@@ -235,7 +235,27 @@ def fuzzy_candidates(spark, sf):
     return near.select(F.col("p_partkey").alias("left_key"), "right_key", big("distance").alias("distance"))
 
 
-@query()
+# distances there are of bytes, so that the one letter of two bytes becomes a sign of one
+@query(f"""
+WITH RECURSIVE conv AS (SELECT conv_id::INT AS edition_id, (turn + 1)::INT AS page, list_filter({TOKENS.format('text')}, lambda x: x <> '') AS w FROM conversations),
+p AS (SELECT *, len(w) AS n, list_transform(w, lambda x: translate(strip_accents(x), 'ß', '~')) AS f FROM conv WHERE len(w) > 0),
+lines AS (SELECT edition_id, page, n, f, l::INT AS line, translate(strip_accents(array_to_string(list_transform(w[l * 8 + 1:l * 8 + 8], lambda x, i: CASE WHEN (i - 1) % 4 = 3 THEN 'q' || substr(x, 2) ELSE x END), '')), 'ß', '~') AS s
+  FROM (SELECT *, unnest(range(0, (n - 1) // 8 + 1)) AS l FROM p)),
+limits AS (SELECT *, greatest(2, least(6, greatest(2, floor(length(s) * 0.25)::BIGINT))) AS most FROM lines),
+walk(edition_id, page, line, stop, cost, start, distance, place) AS (SELECT edition_id, page, -1, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 1::BIGINT FROM p
+ UNION ALL SELECT edition_id, page, line, stop, cost, start, distance, row_number() OVER (PARTITION BY edition_id, page, line ORDER BY reached, stop) FROM (
+  SELECT *, row_number() OVER (PARTITION BY edition_id, page, line, stop ORDER BY cost, came) AS best, min(came) OVER (PARTITION BY edition_id, page, line, stop) AS reached FROM (
+   SELECT edition_id, page, line, stop, cost + levenshtein(s, run) AS cost, start, levenshtein(s, run) AS distance, place AS came, most FROM (
+    SELECT *, array_to_string(f[start + 1:stop], '') AS run FROM (
+     SELECT k.edition_id, k.page, s.line, s.s, s.f, s.most, k.cost, k.place, k.stop AS start, unnest(range(k.stop + 1, least(k.stop + 16, s.n) + 1)) AS stop FROM walk k JOIN limits s ON s.edition_id = k.edition_id AND s.page = k.page AND s.line = k.line + 1)))
+   WHERE distance <= most) WHERE best = 1),
+ends AS (SELECT edition_id, page, max(n) AS n, max(line) AS line FROM limits GROUP BY edition_id, page),
+back AS (SELECT w.* FROM walk w JOIN ends e ON w.edition_id = e.edition_id AND w.page = e.page AND w.line = e.line AND w.stop = e.n
+ UNION ALL SELECT w.* FROM back b JOIN walk w ON w.edition_id = b.edition_id AND w.page = b.page AND w.line = b.line - 1 AND w.stop = b.start WHERE b.line > 0)
+SELECT edition_id, page, line, start, stop, distance::INT AS distance, 'ok' AS status FROM back
+UNION ALL SELECT e.edition_id, e.page, NULL, NULL, NULL, NULL, CASE WHEN max(w.line) = max(e.line) THEN 'wrong_end' ELSE 'no_state' END FROM ends e JOIN walk w ON w.edition_id = e.edition_id AND w.page = e.page
+ WHERE NOT EXISTS (SELECT 1 FROM back b WHERE b.edition_id = e.edition_id AND b.page = e.page) GROUP BY e.edition_id, e.page
+""")
 def fuzzy_segmentation(spark, sf):
     """Turns of conversations as pages, eight words a line, a letter changed in every fourth word, against their words."""
     conv = table(spark, sf, "conversations").select(big("conv_id").cast("int").alias("edition_id"), (F.col("turn") + 1).cast("int").alias("page"), T.tokens(F.col("text")).alias("w")).filter(F.size("w") > 0)
@@ -248,7 +268,26 @@ def fuzzy_segmentation(spark, sf):
     return path.select("edition_id", "page", "line", "start", "stop", "distance", "status")
 
 
-@query()
+@query("""
+WITH RECURSIVE pairs AS (SELECT a.item_id, b.item_id AS to_id, string_split(a.text, '') AS s, string_split(b.text, '') AS t FROM benchmark a JOIN benchmark b ON split_part(a.text, ' ', 1) = split_part(b.text, ' ', 1) AND a.item_id < b.item_id),
+heads AS (SELECT *, coalesce(list_min(list_filter(range(1, least(len(s), len(t)) + 1), lambda k: s[k] <> t[k])) - 1, least(len(s), len(t))) AS head FROM pairs),
+tails AS (SELECT *, coalesce(list_min(list_filter(range(0, least(len(s), len(t)) - head), lambda k: s[len(s) - k] <> t[len(t) - k])), least(len(s), len(t)) - head) AS tail FROM heads),
+mid AS (SELECT item_id, to_id, head, tail, s[head + 1:len(s) - tail] AS a, t[head + 1:len(t) - tail] AS b FROM tails),
+rows_(item_id, to_id, a, b, i, d) AS (SELECT item_id, to_id, a, b, 0::BIGINT, range(0, len(b) + 1) FROM mid
+ UNION ALL SELECT item_id, to_id, a, b, i + 1, list_transform(range(1, len(b) + 2), lambda j: j - 1 + list_min(best[1:j])) FROM (SELECT item_id, to_id, a, b, i,
+  list_transform(range(1, len(b) + 2), lambda j: CASE WHEN j = 1 THEN i + 1 ELSE least(d[j] + 1, d[j - 1] + CASE WHEN a[i + 1] = b[j - 1] THEN 0 ELSE 1 END) END - (j - 1)) AS best FROM rows_ WHERE i < len(a))),
+back(item_id, to_id, i, j, n, op) AS (SELECT item_id, to_id, len(a), len(b), 0::BIGINT, '' FROM mid
+ UNION ALL SELECT item_id, to_id, CASE WHEN step = 'insert' THEN i ELSE i - 1 END, CASE WHEN step = 'delete' THEN j ELSE j - 1 END, n + 1, step FROM (SELECT k.item_id, k.to_id, k.i, k.j, k.n,
+  CASE WHEN k.j = 0 THEN 'delete' WHEN k.i = 0 THEN 'insert' WHEN up.d[k.j + 1] + 1 = r.d[k.j + 1] THEN 'delete' WHEN r.d[k.j] + 1 = r.d[k.j + 1] THEN 'insert' WHEN r.a[k.i] = r.b[k.j] THEN 'equal' ELSE 'replace' END AS step
+  FROM back k JOIN rows_ r ON r.item_id = k.item_id AND r.to_id = k.to_id AND r.i = k.i LEFT JOIN rows_ up ON up.item_id = k.item_id AND up.to_id = k.to_id AND up.i = k.i - 1 WHERE k.i > 0 OR k.j > 0)),
+steps AS (SELECT item_id, to_id, -n AS k, op, (op <> 'insert')::BIGINT AS x, (op <> 'delete')::BIGINT AS y FROM back WHERE op <> ''
+ UNION ALL SELECT item_id, to_id, -1000000000, 'equal', head, head FROM mid WHERE head > 0 UNION ALL SELECT item_id, to_id, 0, 'equal', tail, tail FROM mid WHERE tail > 0),
+fresh AS (SELECT *, CASE WHEN lag(op) OVER (PARTITION BY item_id, to_id ORDER BY k) = op THEN 0 ELSE 1 END AS f FROM steps),
+runs AS (SELECT *, sum(f) OVER (PARTITION BY item_id, to_id ORDER BY k) AS run FROM fresh),
+blocks AS (SELECT item_id, to_id, run, any_value(op) AS tag, sum(x) AS x, sum(y) AS y FROM runs GROUP BY item_id, to_id, run),
+ends AS (SELECT *, sum(x) OVER w AS sx, sum(y) OVER w AS sy FROM blocks WINDOW w AS (PARTITION BY item_id, to_id ORDER BY run))
+SELECT item_id, to_id, (run - 1)::INT AS op, tag, (sx - x)::INT AS src_start, sx::INT AS src_end, (sy - y)::INT AS dest_start, sy::INT AS dest_end FROM ends
+""")
 def edit_opcodes(spark, sf):
     """Edit scripts from each benchmark item to every later one of equal first word."""
     item = table(spark, sf, "benchmark").select("item_id", "text", F.substring_index("text", " ", 1).alias("head"))
@@ -262,6 +301,43 @@ def edit_opcodes(spark, sf):
     return pairs.select("item_id", "to_id", "text", "target").mapInPandas(run, "item_id bigint, to_id bigint, op int, tag string, src_start int, src_end int, dest_start int, dest_end int")
 
 
+def _sign(c: str, base: int) -> Column:
+    """A character of the number's own."""
+    return F.decode(F.unhex(F.hex(F.col(c) + base)), "UTF-16BE")
+
+
+def _editions(spark, sf) -> DataFrame:
+    """Conversations as chapters of three editions. The first has every turn as a verse, between two characters of the turn's
+    own. The second lacks the second turn of every fifth chapter, adds a sign inside every fourth turn, changes the second
+    character of others and joins every fourth turn to the one before. The third cuts every turn in two."""
+    conv = table(spark, sf, "conversations").select(big("conv_id").cast("int").alias("surah"), big("turn").cast("int").alias("t"), F.coalesce("text", F.lit("")).alias("x"))
+    conv = conv.withColumn("x", F.concat(_sign("t", 0x4E00), "x", _sign("t", 0x5E00)))
+    first = conv.select(F.lit(1).alias("edition_id"), "surah", F.col("t").alias("ayah"), F.col("x").alias("text"))
+    kind = F.col("t") % 4
+    edited = F.when(kind == 1, F.concat(F.substring("x", 1, 2), F.lit("@"), F.expr("substring(x, 3)"))).when((kind == 2) & (F.length("x") > 4), F.concat(F.substring("x", 1, 1), F.lit("#"), F.expr("substring(x, 3)"))).otherwise(F.col("x"))
+    kept = conv.filter("not (surah % 5 = 0 and t = 1)").select("surah", (F.col("t") - (kind == 3).cast("int")).alias("ayah"), F.struct("t", edited.alias("x")).alias("part"))
+    second = kept.groupBy("surah", "ayah").agg(F.array_join(F.sort_array(F.collect_list("part"))["x"], "").alias("text")).select(F.lit(2).alias("edition_id"), "surah", "ayah", "text")
+    half = F.floor(F.length("x") / 2).cast("int")
+    halves = F.explode(F.array(F.struct((F.col("t") * 2).alias("ayah"), F.substring(F.col("x"), F.lit(1), half).alias("text")), F.struct((F.col("t") * 2 + 1).alias("ayah"), F.substring(F.col("x"), half + 1, F.length("x")).alias("text"))))
+    third = conv.select(F.lit(3).alias("edition_id"), "surah", halves.alias("h")).select("edition_id", "surah", "h.*")
+    return first.unionByName(second).unionByName(third)
+
+
+@query("""
+WITH v AS (SELECT conv_id::INT AS surah, turn::INT AS t, length(coalesce(text, '')) + 2 AS n FROM conversations),
+goal AS (SELECT *, sum(n) OVER (PARTITION BY surah ORDER BY t) AS stop FROM v WHERE NOT (surah = 1 AND t = (SELECT min(t) FROM v WHERE surah = 1))),
+kept AS (SELECT v.surah, v.t, v.t - (v.t % 4 = 3)::INT AS ayah, coalesce(stop, 0) AS stop FROM v LEFT JOIN goal g ON v.surah = g.surah AND v.t = g.t WHERE NOT (v.surah % 5 = 0 AND v.t = 1)),
+lagged AS (SELECT *, lag(stop, 1, 0) OVER (PARTITION BY surah ORDER BY t) AS start FROM kept),
+second AS (SELECT surah, ayah, min(start) AS a, max(stop) AS b FROM lagged GROUP BY surah, ayah)
+SELECT 1 AS edition_id, surah, t AS ayah, t AS hafs_ayah FROM v
+UNION ALL SELECT 2, s.surah, s.ayah, g.t FROM second s JOIN goal g ON s.surah = g.surah AND s.a < s.b AND g.stop - g.n < s.b AND g.stop > s.a
+UNION ALL SELECT 3, surah, (t * 2 + h)::INT, t FROM goal, range(2) r(h)
+""")
+def edition_map(spark, sf):
+    """The whole mapping between editions: scripts of chapters, boundaries carried over, overlaps."""
+    return spans.map_editions(_editions(spark, sf), normal=F.col("text"))[0]
+
+
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round_even(l_quantity / 2, 0) AS DOUBLE) AS half FROM lineitem")
 def half_even_round(spark, sf):
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", T.half_even(F.col("l_quantity") / 2).cast("double").alias("half"))
