@@ -17,6 +17,7 @@ from quire.functions import text as T
 from quire.functions.edits import opcodes
 from quire.operators import align_exact, align_fuzzy, checks, rollup, spans
 from quire.operators import lines as lines_of
+from quire.operators import pages as pages_of
 from quire.operators import streams as S
 from quire.operators import words as words_of
 from quire.spec import LayoutSpec
@@ -236,7 +237,7 @@ def fuzzy_candidates(spark, sf):
 
 
 # distances there are of bytes, so that the one letter of two bytes becomes a sign of one
-@query(f"""
+FUZZY_SQL = f"""
 WITH RECURSIVE conv AS (SELECT conv_id::INT AS edition_id, (turn + 1)::INT AS page, list_filter({TOKENS.format('text')}, lambda x: x <> '') AS w FROM conversations),
 p AS (SELECT *, len(w) AS n, list_transform(w, lambda x: translate(strip_accents(x), 'ß', '~')) AS f FROM conv WHERE len(w) > 0),
 lines AS (SELECT edition_id, page, n, f, l::INT AS line, translate(strip_accents(array_to_string(list_transform(w[l * 8 + 1:l * 8 + 8], lambda x, i: CASE WHEN (i - 1) % 4 = 3 THEN 'q' || substr(x, 2) ELSE x END), '')), 'ß', '~') AS s
@@ -255,8 +256,10 @@ back AS (SELECT w.* FROM walk w JOIN ends e ON w.edition_id = e.edition_id AND w
 SELECT edition_id, page, line, start, stop, distance::INT AS distance, 'ok' AS status FROM back
 UNION ALL SELECT e.edition_id, e.page, NULL, NULL, NULL, NULL, CASE WHEN max(w.line) = max(e.line) THEN 'wrong_end' ELSE 'no_state' END FROM ends e JOIN walk w ON w.edition_id = e.edition_id AND w.page = e.page
  WHERE NOT EXISTS (SELECT 1 FROM back b WHERE b.edition_id = e.edition_id AND b.page = e.page) GROUP BY e.edition_id, e.page
-""")
-def fuzzy_segmentation(spark, sf):
+"""
+
+
+def _fuzzy_path(spark, sf) -> DataFrame:
     """Turns of conversations as pages, eight words a line, a letter changed in every fourth word, against their words."""
     conv = table(spark, sf, "conversations").select(big("conv_id").cast("int").alias("edition_id"), (F.col("turn") + 1).cast("int").alias("page"), T.tokens(F.col("text")).alias("w")).filter(F.size("w") > 0)
     line = conv.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.size("w") - 1) / 8).cast("int"))).alias("line"))
@@ -264,8 +267,52 @@ def fuzzy_segmentation(spark, sf):
     segs = line.select("edition_id", "page", "line", F.lit(0).alias("seg"), F.lit(1).alias("surah"), F.array_join(changed, "").alias("text"), F.lit(None).cast("int").alias("marker"))
     word = conv.select("edition_id", "page", F.posexplode("w").alias("k", "word"))
     word = word.select("edition_id", F.lit(1).alias("surah"), F.lit(1).alias("ayah"), "page", (big("page") * 1_000_000 + F.col("k")).alias("pos"), "word", F.lit(1).alias("wordIndex"), T.fuzzy_canonical(F.col("word")).alias("f"))
-    path = align_fuzzy.align_pages(segs, word, LayoutSpec(max_words=16))
-    return path.select("edition_id", "page", "line", "start", "stop", "distance", "status")
+    return align_fuzzy.align_pages(segs, word, LayoutSpec(max_words=16))
+
+
+@query(FUZZY_SQL)
+def fuzzy_segmentation(spark, sf):
+    return _fuzzy_path(spark, sf).select("edition_id", "page", "line", "start", "stop", "distance", "status")
+
+
+@query(f"WITH path AS ({FUZZY_SQL}) SELECT edition_id, count_if(distance > 0)::BIGINT AS fuzzy_segments, coalesce(sum(distance), 0)::BIGINT AS total_edit_distance FROM path GROUP BY edition_id")
+def fuzzy_totals(spark, sf):
+    """What a manifest says of a fuzzy build."""
+    return align_fuzzy.path_totals(_fuzzy_path(spark, sf))
+
+
+def _paged_documents(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Documents as editions: their lines, and segments of 15 lines that hold text; every fourth break of pages is missing."""
+    docs = table(spark, sf, "documents").select(big("doc_id").cast("int").alias("edition_id"), F.posexplode(F.split("text", "\n")).alias("k", "text"))
+    lines = docs.select("edition_id", big("k").alias("line_no"), "text")
+    text = lines.filter(T.strip(F.col("text")) != "")
+    placed = S.ordinal(text, ["edition_id"], ["line_no"], "n").withColumn("page", F.floor((F.col("n") - 1) / 15).cast("int"))
+    segment = (F.col("page") - F.floor((F.col("page") + 2) / 4)).cast("int")
+    parts = placed.select("edition_id", segment.alias("segment_no"), "line_no", F.concat(F.lit("<p>"), F.translate("text", "<>", ""), F.lit("</p>")).alias("xml"))
+    segments = parts.groupBy("edition_id", "segment_no").agg(S.joined_text("xml", "line_no").alias("xml"))
+    return pages_of.printed_pages(lines.withColumn("text", F.translate("text", "<>", "")), segments, LayoutSpec(max_lines=15))
+
+
+PRINTED_SQL = """
+WITH l AS (SELECT doc_id::INT AS edition_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents),
+t AS (SELECT edition_id, k, regexp_replace(translate(x, '<>', ''), '\\s+$', '') AS text FROM l WHERE trim(translate(x, '<>', ''), chr(32) || chr(9) || chr(13)) <> ''),
+n AS (SELECT *, row_number() OVER (PARTITION BY edition_id ORDER BY k) - 1 AS n FROM t)
+"""
+
+
+@query(PRINTED_SQL + "SELECT edition_id, (n // 15 + 1)::INT AS page, (n % 15 + 1)::INT AS line_in_page, text FROM n")
+def printed_pages(spark, sf):
+    """Lines on pages, with the missing breaks repaired."""
+    return _paged_documents(spark, sf)[0]
+
+
+@query(PRINTED_SQL + """, p AS (SELECT edition_id, n // 15 AS page, count(*) AS n FROM n GROUP BY ALL),
+s AS (SELECT edition_id, page - (page + 2) // 4 AS segment, sum(n)::BIGINT AS n FROM p GROUP BY ALL)
+SELECT 'page_segment_size' AS rule, edition_id || ':' || segment AS key, 'lines: ' || n AS detail FROM s WHERE n > 15 AND n % 15 <> 0
+""")
+def page_break_violations(spark, sf):
+    """Segments that no full pages fit."""
+    return _paged_documents(spark, sf)[1]
 
 
 @query("""

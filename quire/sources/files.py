@@ -3,27 +3,51 @@
 from __future__ import annotations
 
 import json
+import os
 import subprocess
 import tempfile
+import uuid
+from collections import Counter
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from quire import schema as S
 from quire.functions import text as T
+from quire.operators.streams import prefix_sum
+
+
+#: Ends of lines beside those that Spark's reader knows.
+OTHER_ENDS = r"[\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+
+
+def stretches(spark: SparkSession, path: str) -> DataFrame:
+    """part, at, value: the lines of text files, read by as many tasks as the files have splits. The order within a file is
+    that of ``part`` (file and split) and of ``at`` within it."""
+    lines = spark.read.text(path)
+    return lines.select(F.struct("_metadata.file_path", "_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("at"), "value")
 
 
 def printed_lines(spark: SparkSession, path: str, edition_id: int) -> DataFrame:
-    """Lines of a formatted text file with their numbers."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.posexplode(F.split("value", r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]")).alias("line_no", "text")).select(F.lit(edition_id).alias("edition_id"), F.col("line_no").cast("long").alias("line_no"), "text")
+    """Lines of formatted text files with their numbers, from 0; several files follow each other by name."""
+    pieces = stretches(spark, path).withColumn("pieces", F.split("value", OTHER_ENDS)).withColumn("edition_id", F.lit(edition_id))
+    counted = prefix_sum(pieces, F.size("pieces"), ["edition_id"], "part", ["at"], "before")
+    return counted.select("edition_id", "before", F.posexplode("pieces").alias("k", "text")).select("edition_id", (F.col("before") + F.col("k")).alias("line_no"), "text")
 
 
 def page_segments(spark: SparkSession, path: str, edition_id: int, tag: str = "<beginpage/>") -> DataFrame:
-    """Segments of a tagged text file between page tags."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.posexplode(F.split("value", tag)).alias("n", "xml")).select(F.lit(edition_id).alias("edition_id"), (F.col("n") + 1).cast("int").alias("segment_no"), "xml")
+    """Segments of tagged text files between page tags, from 1. A line with tags ends one segment and begins others; the lines
+    of a segment are joined again."""
+    pieces = stretches(spark, path).withColumn("pieces", F.split("value", "\\Q" + tag + "\\E")).withColumn("edition_id", F.lit(edition_id))
+    counted = prefix_sum(pieces, F.size("pieces") - 1, ["edition_id"], "part", ["at"], "before")
+    rows = counted.select("edition_id", "part", "at", "before", F.posexplode("pieces").alias("k", "text"))
+    segment = (F.col("before") + F.col("k") + 1).cast("int").alias("segment_no")
+    held = F.array_sort(F.collect_list(F.struct("part", "at", "text")))  # a page's lines
+    return rows.groupBy("edition_id", segment).agg(F.array_join(F.transform(held, lambda x: x["text"]), "\n").alias("xml"))
 
 
 #: What the external converter is called with, by mode.
@@ -105,34 +129,108 @@ def rendered(value) -> str:
     return json.dumps(value, ensure_ascii=False, indent=2) + "\n"
 
 
-def export_records(df: DataFrame, folder: str, name: F.Column) -> int:
-    """Writes each row as a JSON file, named by ``name``; the files are written by the tasks. Returns their number."""
-    from pyarrow import fs
-
-    uri = folder if "://" in folder else f"file://{folder}"
-    fs.FileSystem.from_uri(uri)[0].create_dir(fs.FileSystem.from_uri(uri)[1], recursive=True)
-    rows = df.drop("edition_id").select(name.alias("_name"), F.to_json(F.struct(*[c for c in df.columns if c != "edition_id"]), {"ignoreNullFields": "false"}).alias("_json"))
-
-    def run(batches):
-        for pdf in batches:
-            for n, text in zip(pdf["_name"], pdf["_json"], strict=True):
-                system, path = fs.FileSystem.from_uri(uri)
-                with system.open_output_stream(f"{path}/{n}") as out:
-                    out.write(rendered(without_nulls(json.loads(text))).encode())
-            yield pdf[["_name"]]
-
-    return rows.mapInPandas(run, "_name string").count()
-
-
-def export_layout(pages: DataFrame, surahs: DataFrame, manifest: dict, folder: str) -> None:
-    """manifest.json, pages/page_001.json .. and surahs/001.json .. of one edition."""
+def file_system(path: str) -> tuple:
+    """(file system, path) of a path or URI."""
     from pyarrow import fs
 
-    export_records(pages, f"{folder}/pages", F.concat(F.lit("page_"), T.padded(F.col("page")), F.lit(".json")))
-    export_records(surahs, f"{folder}/surahs", F.concat(T.padded(F.col("surahId")), F.lit(".json")))
-    system, path = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
-    with system.open_output_stream(f"{path}/manifest.json") as out:
-        out.write(rendered(manifest).encode())
+    return fs.FileSystem.from_uri(path if "://" in path else f"file://{os.path.abspath(path)}")
+
+
+def exists(system, path: str) -> bool:
+    return bool(system.get_file_info(path).type)
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    folder: str
+    names: list[str]
+
+
+class RecordSink(DataSource):
+    """Rows (name, json) as a file each in the folder ``path``, which must not be there yet."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "records"
+
+    def writer(self, schema, overwrite: bool) -> RecordWriter:
+        return RecordWriter(self.options["path"])
+
+
+class RecordWriter(DataSourceWriter):
+    """Tasks write into folders of their own attempt. The commit gathers the files of the attempts that count under the
+    folder's name, as the last step; without a commit there is no folder."""
+
+    def __init__(self, path: str):
+        self.path, self.staging = path, f"{path}.staging-{uuid.uuid4().hex[:12]}"
+
+    def write(self, iterator) -> Written:
+        system, staging = file_system(self.staging)
+        folder, names = f"{staging}/{uuid.uuid4().hex}", []
+        for name, text in iterator:
+            if not names:
+                system.create_dir(folder, recursive=True)
+            with system.open_output_stream(f"{folder}/{name}") as out:
+                out.write(rendered(without_nulls(json.loads(text))).encode())
+            names.append(name)
+        return Written(folder, names)
+
+    def commit(self, messages: list[Written | None]) -> None:
+        system, path = file_system(self.path)
+        staging = file_system(self.staging)[1]
+        found = [(m.folder, n) for m in messages if m for n in m.names]
+        twice = [n for n, times in Counter(n for _, n in found).items() if times > 1]
+        if twice:
+            raise ValueError(f"several records are named {twice[0]}")
+        whole = f"{staging}/all"
+        system.create_dir(whole, recursive=True)
+        with ThreadPoolExecutor(16) as pool:  # a rename each, within one file system
+            list(pool.map(lambda m: system.move(f"{m[0]}/{m[1]}", f"{whole}/{m[1]}"), found))
+        system.move(whole, path)
+        self.abort(messages)
+
+    def abort(self, messages) -> None:
+        system, staging = file_system(self.staging)
+        if exists(system, staging):
+            system.delete_dir(staging)
+
+
+def export_records(df: DataFrame, folder: str, name: F.Column, **totals: F.Column) -> dict:
+    """Writes each row as a JSON file, named by ``name``, into a new folder. Returns the number of ``records`` and the
+    ``totals`` (aggregates over the rows), which come from the same pass."""
+    df.sparkSession.dataSource.register(RecordSink)
+    seen = Observation()
+    aggregates = [F.count(F.lit(1)).alias("records"), *(c.alias(n) for n, c in totals.items())]
+    rows = df.observe(seen, *aggregates).select(name.alias("name"), F.to_json(F.struct(*[c for c in df.columns if c != "edition_id"]), {"ignoreNullFields": "false"}).alias("json"))
+    rows.write.format("records").mode("append").option("path", folder).save()
+    return dict(seen.get)
+
+
+def export_layout(pages: DataFrame, surahs: DataFrame, manifest: dict, folder: str) -> dict:
+    """pages/page_001.json .., surahs/001.json .. and, last of all, manifest.json of one edition, in the place of what was in
+    the folder. All is written beside it first: whoever reads the folder sees the old set or the new one. Returns the totals:
+    pages, lines, and surahs."""
+    mark = uuid.uuid4().hex[:12]
+    made, old = f"{folder}.new-{mark}", f"{folder}.old-{mark}"
+    system, path = file_system(folder)
+    try:
+        on_pages = export_records(pages, f"{made}/pages", F.concat(F.lit("page_"), T.padded(F.col("page")), F.lit(".json")), lines=F.coalesce(F.sum(F.size("lines")), F.lit(0)))
+        of_surahs = export_records(surahs, f"{made}/surahs", F.concat(T.padded(F.col("surahId")), F.lit(".json")))
+        with system.open_output_stream(f"{file_system(made)[1]}/manifest.json") as out:
+            out.write(rendered(manifest).encode())
+        if exists(system, path):
+            system.move(path, file_system(old)[1])
+        system.move(file_system(made)[1], path)
+    finally:
+        for left in (made, old):
+            left = file_system(left)[1]
+            if exists(system, left):
+                # a set that was moved away comes back if the new one could not take its place
+                if exists(system, path):
+                    system.delete_dir(left)
+                elif ".old-" in left:
+                    system.move(left, path)
+    return {"pages": on_pages["records"], "lines": on_pages["lines"], "surahs": of_surahs["records"]}
 
 
 def write_relations(folder: str, metadata: DataFrame, editions: DataFrame, mapping: DataFrame) -> None:
@@ -147,7 +245,14 @@ def metadata_rows(spark: SparkSession, values: dict) -> DataFrame:
     return spark.createDataFrame([(k, str(v)) for k, v in values.items()], S.METADATA)
 
 
-def sample_pages(pages: DataFrame, numbers: tuple[int, ...] = (1, 2, 440, 598, 604), show: Callable = print) -> None:
-    """A summary for the console."""
+# The pages that the summaries of a styled and of a converted document show.
+STYLED_PAGES = (1, 2, 440, 598, 604)
+DOCUMENT_PAGES = (1, 2, 34, 35, 598, 604)
+
+
+def sample_pages(pages: DataFrame, numbers: tuple[int, ...] = STYLED_PAGES, show: Callable = print, totals: dict | None = None) -> None:
+    """A summary for the console: the ``totals`` of a build, if given, and the chapters and lines of some pages."""
+    if totals is not None:
+        show(", ".join(f"{k}: {v}" for k, v in totals.items()))
     for r in pages.filter(F.col("page").isin(*numbers)).select("page", "surah_ids", F.size("lines").alias("n")).orderBy("page").collect():
         show(f"page {r.page}: chapters {list(r.surah_ids)}, {r.n} lines")
