@@ -6,7 +6,10 @@ what the engine leaves to Spark's own operators. Numbers are BIGINT on both side
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable
+from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +23,7 @@ from quire.operators import lines as lines_of
 from quire.operators import pages as pages_of
 from quire.operators import streams as S
 from quire.operators import words as words_of
+from quire.sources import docx
 from quire.spec import LayoutSpec
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -293,6 +297,35 @@ def _paged_documents(spark, sf) -> tuple[DataFrame, DataFrame]:
     return pages_of.printed_pages(lines.withColumn("text", F.translate("text", "<>", "")), segments, LayoutSpec(max_lines=15))
 
 
+@query("""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS k FROM documents),
+e AS (SELECT doc_id, k, unnest(CASE WHEN contains(x, ' ') THEN [split_part(x, ' ', 1), NULL, substr(x, strpos(x, ' ') + 1)] ELSE [x] END) AS value, unnest(CASE WHEN contains(x, ' ') THEN [0, 1, 2] ELSE [0] END) AS n FROM l)
+SELECT doc_id::VARCHAR AS doc, k::INT AS para_no, n::INT AS event_no, CASE WHEN n = 1 THEN 'line_break' ELSE 'text' END AS type, value, n <> 2 AS bold, CASE WHEN n <> 2 THEN 24 END AS size FROM e
+""")
+def styled_events(spark, sf):
+    """Documents as styled files, a paragraph a line, its first word in bold and a line break after it, parsed again."""
+
+    def files(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"doc": pdf.doc_id.astype(str), "content": [_styled_file(t or "") for t in pdf.text]})
+
+    docs = table(spark, sf, "documents").select("doc_id", "text").mapInPandas(files, "doc string, content binary")
+    return docx.events(docs, "Font").select("doc", "para_no", "event_no", "type", "value", F.col("style.bold").alias("bold"), F.col("style.font_size_half_points").alias("size"))
+
+
+def _styled_file(text: str) -> bytes:
+    """A styled document of a text's lines."""
+    safe = lambda x: escape(x, {"\r": "&#13;"})
+    first = '<w:r><w:rPr><w:b/><w:sz w:val="24"/></w:rPr><w:t xml:space="preserve">{}</w:t>{}</w:r>'
+    rest = '<w:r><w:rPr/><w:t xml:space="preserve">{}</w:t></w:r>'
+    cut = (line.partition(" ") for line in text.split("\n"))
+    body = "".join("<w:p>" + first.format(safe(a), "<w:br/>" if space else "") + (rest.format(safe(b)) if space else "") + "</w:p>" for a, space, b in cut)
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("word/document.xml", f'<w:document xmlns:w="{docx.NAMESPACE[1:-1]}"><w:body>{body}</w:body></w:document>')
+    return out.getvalue()
+
+
 PRINTED_SQL = """
 WITH l AS (SELECT doc_id::INT AS edition_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents),
 t AS (SELECT edition_id, k, regexp_replace(translate(x, '<>', ''), '\\s+$', '') AS text FROM l WHERE trim(translate(x, '<>', ''), chr(32) || chr(9) || chr(13)) <> ''),

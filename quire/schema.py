@@ -18,7 +18,10 @@ METADATA = "key string, value string"
 COUNTS = "_counting_system string, _total_ayahs int, surahs map<string,int>"
 
 STYLE = "struct<font_family:string,font_size_half_points:int,rtl:boolean,bold:boolean,italic:boolean,hidden:boolean>"
-PROPS = "struct<alignment:string,bidi:boolean,spacing:map<string,string>,indent:map<string,string>,widow_control:boolean,auto_space_de:boolean,auto_space_dn:boolean,adjust_right_ind:boolean>"
+#: Whole numbers; ``other`` holds what is none.
+SPACING = "struct<before:int,after:int,line:int,lineRule:string,other:map<string,string>>"
+INDENT = "struct<left:int,right:int,firstLine:int,hanging:int,other:map<string,string>>"
+PROPS = f"struct<alignment:string,bidi:boolean,spacing:{SPACING},indent:{INDENT},widow_control:boolean,auto_space_de:boolean,auto_space_dn:boolean,adjust_right_ind:boolean>"
 GEOMETRY = "struct<page_size_twips:struct<width:int,height:int>,margins_twips:struct<top:int,right:int,bottom:int,left:int,header:int,footer:int,gutter:int>,doc_grid:struct<line_pitch_twips:int,line_rule:string>>"
 EVENTS = f"doc string, para_no int, event_no int, type string, value string, style {STYLE}"
 PARAGRAPHS = f"doc string, para_no int, props {PROPS}"

@@ -1,7 +1,8 @@
 """Styled documents (DOCX) as rows: paragraphs with their properties, and inline text and break events with run styles.
 
-A file is one row of Spark's binaryFile source; its XML is parsed on the executors. No name of an element or attribute
-outside the word-processing namespace is looked at.
+A file is one row of Spark's binaryFile source; its XML is parsed on the executors, once for all that is wanted and a paragraph
+at a time: what has been read of the body is let go. No name of an element or attribute outside the word-processing
+namespace is looked at.
 """
 
 from __future__ import annotations
@@ -35,9 +36,8 @@ def number(element: ET.Element | None, name: str) -> int | None:
     return int(value) if value and value.isdigit() else None
 
 
-def geometry(body: ET.Element | None) -> dict | None:
+def geometry(section: ET.Element | None) -> dict | None:
     """Page size, margins and grid of the body's section; null without one."""
-    section = None if body is None else body.find(tag("sectPr"))
     if section is None:
         return None
     size, margins, grid = (section.find(tag(n)) for n in ("pgSz", "pgMar", "docGrid"))
@@ -48,13 +48,19 @@ def geometry(body: ET.Element | None) -> dict | None:
     }
 
 
+def measures(element: ET.Element | None, numbers: tuple[str, ...], words: tuple[str, ...] = ()) -> dict:
+    """Attributes as whole numbers, and under ``other`` those that are none, as they stand."""
+    given = {n: attribute(element, n) for n in (*numbers, *words)}
+    whole = {n: int(v) if n in numbers and v and v.isdigit() else v if n in words else None for n, v in given.items()}
+    return whole | {"other": {n: v for n, v in given.items() if n in numbers and v is not None and not v.isdigit()}}
+
+
 def properties(paragraph: ET.Element) -> dict:
     """Alignment, direction, spacing, indents and flags; flags are null where absent."""
     p = paragraph.find(tag("pPr"))
     found = lambda name: None if p is None else p.find(tag(name))
-    pairs = lambda e, names: {n: attribute(e, n) for n in names if attribute(e, n) is not None}
     out = {"alignment": attribute(found("jc"), "val") or "left", "bidi": found("bidi") is not None}
-    out |= {"spacing": pairs(found("spacing"), ("before", "after", "line", "lineRule")), "indent": pairs(found("ind"), ("left", "right", "firstLine", "hanging"))}
+    out |= {"spacing": measures(found("spacing"), ("before", "after", "line"), ("lineRule",)), "indent": measures(found("ind"), ("left", "right", "firstLine", "hanging"))}
     for key, name in FLAGS.items():
         e = found(name)
         out[key] = None if e is None else attribute(e, "val") not in OFF
@@ -83,49 +89,85 @@ def inline(paragraph: ET.Element, font: str) -> Iterator[tuple[str, str | None,
                 yield "rendered_page_break", None, own
 
 
-def body_of(content: bytes) -> ET.Element | None:
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        return ET.fromstring(archive.read("word/document.xml")).find(f".//{tag('body')}")
-
-
-def _paragraphs(content: bytes) -> list[ET.Element]:
-    body = body_of(content)
-    return [] if body is None else body.findall(tag("p"))
+def parts(content: bytes) -> Iterator[tuple[int, ET.Element]]:
+    """(number, element) of the body's own paragraphs in order, and (-1, its first section). Each element is let go when the
+    next one is asked for."""
+    with zipfile.ZipFile(io.BytesIO(content)) as archive, archive.open("word/document.xml") as file:
+        above: list[ET.Element] = []
+        body, n, sections = None, 0, 0
+        for event, element in ET.iterparse(file, ("start", "end")):
+            if event == "start":
+                if body is None and element.tag == tag("body"):
+                    body = element
+                above.append(element)
+                continue
+            above.pop()
+            if body is None or not above or above[-1] is not body:
+                if element is body:
+                    return
+                continue
+            if element.tag == tag("p"):
+                yield n, element
+                n += 1
+            elif element.tag == tag("sectPr") and not sections:
+                yield -1, element
+                sections += 1
+            body.remove(element)
 
 
 def files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).selectExpr("element_at(split(path, '/'), -1) AS doc", "content")
 
 
-def events(docs: DataFrame, font: str) -> DataFrame:
-    """doc, para_no, event_no, type, value, style of ``docs`` (doc, content)."""
+def parsed(docs: DataFrame, font: str) -> DataFrame:
+    """All that ``docs`` (doc, content) hold, from one pass over each: a row for each event; one for each paragraph, with
+    props and no event_no; and one for each document, with its geometry and no para_no."""
+    names = ["doc", "para_no", "event_no", "type", "value", "style", "props", "geometry"]
 
     def run(batches):
         for pdf in batches:
             for doc, content in zip(pdf.doc, pdf.content, strict=True):
-                rows = [(doc, p, k, *e) for p, paragraph in enumerate(_paragraphs(content)) for k, e in enumerate(inline(paragraph, font))]
-                yield pd.DataFrame(rows, columns=["doc", "para_no", "event_no", "type", "value", "style"])
+                rows, section = [], None
+                for n, element in parts(content):
+                    if n < 0:
+                        section = geometry(element)
+                        continue
+                    rows.append((doc, n, None, None, None, None, properties(element), None))
+                    rows += [(doc, n, k, *e, None, None) for k, e in enumerate(inline(element, font))]
+                    if len(rows) > 2000:
+                        yield frame(rows)
+                        rows = []
+                yield frame([*rows, (doc, None, None, None, None, None, None, section)])
 
-    return docs.select("doc", "content").mapInPandas(run, S.EVENTS)
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=names, dtype=object)
+        return out.astype({"para_no": "Int32", "event_no": "Int32"})
 
+    return docs.select("doc", "content").mapInPandas(run, f"{S.EVENTS}, props {S.PROPS}, geometry {S.GEOMETRY}")
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """doc, para_no, props."""
 
-    def run(batches):
-        for pdf in batches:
-            for doc, content in zip(pdf.doc, pdf.content, strict=True):
-                rows = [(doc, p, properties(x)) for p, x in enumerate(_paragraphs(content))]
-                yield pd.DataFrame(rows, columns=["doc", "para_no", "props"])
+def events_of(rows: DataFrame) -> DataFrame:
+    """doc, para_no, event_no, type, value, style of parsed documents."""
+    return rows.filter("event_no IS NOT NULL").select("doc", "para_no", "event_no", "type", "value", "style")
+
 
-    return docs.select("doc", "content").mapInPandas(run, S.PARAGRAPHS)
+def paragraphs_of(rows: DataFrame) -> DataFrame:
+    """doc, para_no, props."""
+    return rows.filter("event_no IS NULL AND para_no IS NOT NULL").select("doc", "para_no", "props")
 
 
-def geometries(docs: DataFrame) -> DataFrame:
+def geometries_of(rows: DataFrame) -> DataFrame:
     """doc, geometry."""
+    return rows.filter("para_no IS NULL").select("doc", "geometry")
 
-    def run(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"doc": pdf.doc, "geometry": [geometry(body_of(c)) for c in pdf.content]})
 
-    return docs.select("doc", "content").mapInPandas(run, f"doc string, geometry {S.GEOMETRY}")
+def events(docs: DataFrame, font: str) -> DataFrame:
+    return events_of(parsed(docs, font))
+
+
+def paragraphs(docs: DataFrame) -> DataFrame:
+    return paragraphs_of(parsed(docs, ""))
+
+
+def geometries(docs: DataFrame) -> DataFrame:
+    return geometries_of(parsed(docs, ""))

@@ -34,7 +34,7 @@ def document(*paragraphs):
 
 DOC = document(
     paragraph(text("preface"), run(BREAK)),  # text before the first heading: ignored, its break too
-    paragraph(text(f"{T.HEADING} one"), props='<w:jc w:val="center"/><w:bidi/><w:spacing w:before="4" w:lineRule="auto"/><w:widowControl w:val="0"/><w:autoSpaceDE/>'),
+    paragraph(text(f"{T.HEADING} one"), props='<w:jc w:val="center"/><w:bidi/><w:spacing w:before="4" w:after="-2" w:lineRule="auto"/><w:widowControl w:val="0"/><w:autoSpaceDE/>'),
     paragraph(text(T.OPENING, size=30)),
     paragraph(text("a b1 "), text("c", bold=True), text("d", bold=True), text("e", plain=True), run(LINE), text("f 2"), run(PAGE), run(BREAK), text("g h"), run(LINE), text("۞"), run(LINE), text("3")),
     paragraph(text(" "), run(BREAK)),
@@ -74,7 +74,22 @@ def test_properties_and_geometry(spark):
     docs = spark.createDataFrame([("x.docx", DOC)], "doc string, content binary")
     props = [r.props for r in docx.paragraphs(docs).orderBy("para_no").collect()]
     p = props[1]
-    assert (p.alignment, p.bidi, p.spacing, p.widow_control, p.auto_space_de, p.auto_space_dn) == ("center", True, {"before": "4", "lineRule": "auto"}, False, True, None)
-    assert (props[0].alignment, props[0].bidi, props[0].spacing) == ("left", False, {})
+    assert (p.alignment, p.bidi, tuple(p.spacing), p.widow_control, p.auto_space_de, p.auto_space_dn) == ("center", True, (4, None, None, "auto", {"after": "-2"}), False, True, None)
+    assert (props[0].alignment, props[0].bidi, tuple(props[0].spacing), tuple(props[0].indent)) == ("left", False, (None,) * 4 + ({},), (None,) * 4 + ({},))
     g = docx.geometries(docs).first().geometry
     assert (g.page_size_twips.width, g.page_size_twips.height, g.margins_twips.top, g.margins_twips.left, g.doc_grid.line_pitch_twips) == (100, None, 7, None, 9)
+
+
+def test_one_pass_a_paragraph_at_a_time():
+    """What was read is let go; elements inside tables are no paragraphs of the body."""
+    import tracemalloc
+
+    big = document(*(paragraph(text("word " * 40), text("more", bold=True)) for _ in range(6000)))
+    tracemalloc.start()
+    n = sum(1 for _ in docx.parts(big))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 6001 and peak < 4_000_000
+    nested = document(paragraph(text("a")), f"<w:tbl>{paragraph(text('cell'))}</w:tbl>", paragraph(text("b")))
+    found = list((k, "".join(x.itertext())) for k, x in docx.parts(nested))
+    assert found == [(0, "a"), (1, "b"), (-1, "")]
