@@ -23,7 +23,8 @@ from quire.operators import lines as lines_of
 from quire.operators import pages as pages_of
 from quire.operators import streams as S
 from quire.operators import words as words_of
-from quire.sources import docx
+from quire.sources import docx, sqlite
+from quire.sources import files as files_of
 from quire.spec import LayoutSpec
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -297,6 +298,29 @@ def _paged_documents(spark, sf) -> tuple[DataFrame, DataFrame]:
     return pages_of.printed_pages(lines.withColumn("text", F.translate("text", "<>", "")), segments, LayoutSpec(max_lines=15))
 
 
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders WHERE o_orderpriority >= '3' AND o_orderstatus IN ('F', 'o') AND o_orderkey > 100")
+def relational_round_trip(spark, sf):
+    """Orders through a SQLite file whose key is no row number and whose texts do not tell cases apart, read back by ranges of
+    the key with filters that the file judges."""
+    path = files_of.scratch(spark, "orders").removeprefix("file://") + ".sqlite"
+    names = ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+    ddl = "CREATE TABLE orders (o_orderkey INTEGER, o_orderstatus TEXT COLLATE NOCASE, o_totalprice REAL, o_orderpriority TEXT, PRIMARY KEY (o_orderstatus, o_orderkey)) WITHOUT ROWID"
+    sqlite.write(table(spark, sf, "orders").select(names), path, "orders", ddl, ["o_orderstatus", "o_orderkey"])
+    back = sqlite.read(spark, path, "orders", partitions=8)
+    return back.filter("o_orderpriority >= '3' AND o_orderstatus IN ('F', 'o') AND o_orderkey > 100").select(big("o_orderkey").alias("o_orderkey"), *names[1:])
+
+
+@query("SELECT 2 AS edition_id, l_orderkey::INT AS surah, l_linenumber::INT AS ayah, l_partkey::INT AS hafs_ayah FROM lineitem GROUP BY ALL UNION ALL SELECT 1, n_nationkey::INT, 1, 1 FROM nation")
+def mapping_export(spark, sf):
+    """The mapping's relational form: exported to one file whole, and read back by ranges of its key of four columns."""
+    path = files_of.scratch(spark, "mapping").removeprefix("file://") + ".sqlite"
+    mapped = _line_mapping(spark, sf).select(*(F.col(c).cast("int").alias(c) for c in ("edition_id", "surah", "ayah", "hafs_ayah")))
+    identity = table(spark, sf, "nation").select(F.lit(1).alias("edition_id"), F.col("n_nationkey").cast("int").alias("surah"), F.lit(1).alias("ayah"), F.lit(1).alias("hafs_ayah"))
+    editions = spark.createDataFrame([(1, "a", "a", 1, "a"), (2, "b", "b", 1, "a")], "edition_id int, edition_key string, rawi string, ayah_count int, reference string")
+    sqlite.export(path, {"metadata": files_of.metadata_rows(spark, {"schema_version": 1}), "editions": editions, "ayah_hafs_map": identity.unionByName(mapped)})
+    return sqlite.read(spark, path, "ayah_hafs_map", "edition_id int, surah int, ayah int, hafs_ayah int", partitions=8)
+
+
 @query("""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS k FROM documents),
 e AS (SELECT doc_id, k, unnest(CASE WHEN contains(x, ' ') THEN [split_part(x, ' ', 1), NULL, substr(x, strpos(x, ' ') + 1)] ELSE [x] END) AS value, unnest(CASE WHEN contains(x, ' ') THEN [0, 1, 2] ELSE [0] END) AS n FROM l)

@@ -129,6 +129,17 @@ def rendered(value) -> str:
     return json.dumps(value, ensure_ascii=False, indent=2) + "\n"
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder of ``spark.checkpoint.dir``, which driver and executors share; a local session without that
+    setting (as in tests) gets a temporary folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="quire-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def file_system(path: str) -> tuple:
     """(file system, path) of a path or URI."""
     from pyarrow import fs
