@@ -144,7 +144,7 @@ def likeness(a: Column, b: Column, cells_a: Column, cells_b: Column) -> Column:
 def as_text(cells: Column) -> Column:
     """Count, digest and check of each cell in fixed-width hexadecimal."""
     wide = lambda x, n: F.lpad(F.lower(F.hex(x)), n, "0")
-    return F.array_join(F.transform(cells, lambda c: F.concat(wide(c["n"], 4), wide(c["d"], 16), wide(c["c"], 8))), "")
+    return F.array_join(F.transform(cells, lambda c: F.concat(wide(c["n"], 8), wide(c["d"], 16), wide(c["c"], 8))), "")
 
 
 def numbers(values: list[int]) -> Column:
