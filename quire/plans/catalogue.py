@@ -613,6 +613,30 @@ def referential_violations(spark, sf):
     return docs.unionByName(checks.foreign_key(lines, table(spark, sf, "orders"), ["o_orderkey"], "order"))
 
 
+@query("""
+WITH a AS (SELECT (o_custkey % 3 + 1)::INT AS e, (o_orderkey % 12 + 1)::INT AS s FROM orders),
+w AS (SELECT e.range::INT AS e, s.range::INT AS s FROM range(1, 4) e, range(1, 11) s)
+SELECT 'missing_chapter' AS rule, e || ':' || s AS key, '' AS detail FROM (SELECT * FROM w EXCEPT SELECT * FROM a)
+UNION ALL SELECT 'extra_chapter', e || ':' || s, '' FROM (SELECT * FROM a EXCEPT SELECT * FROM w)
+UNION ALL SELECT 'verse_total', e::VARCHAR, n::VARCHAR FROM (SELECT e, count(*) AS n FROM a GROUP BY e) JOIN (VALUES (1, 100), (2, 4907), (3, 300)) x(k, want) ON e = k WHERE n <> want
+""")
+def chapter_total_violations(spark, sf):
+    ayat = table(spark, sf, "orders").select((F.col("o_custkey") % 3 + 1).cast("int").alias("edition_id"), (F.col("o_orderkey") % 12 + 1).cast("int").alias("surah"))
+    return checks.chapter_totals(ayat, LayoutSpec(chapters=10), {1: 100, 2: 4907, 3: 300})
+
+
+@query("""
+SELECT 'line_keys' AS rule, x AS key, '' AS detail FROM (SELECT '{"line":' || l_linenumber || ',"first_word":' || l_orderkey || CASE l_linenumber % 4 WHEN 0 THEN '}' WHEN 1 THEN ',"end_word":0}' WHEN 2 THEN ',"end_word":0,"more":1}' ELSE ',"end":0}' END AS x, l_linenumber % 4 AS k FROM lineitem) WHERE k <> 1
+""")
+def line_key_violations(spark, sf):
+    """Records of lines whose keys are not those of a line."""
+    number = lambda c: F.col(c).cast("string")
+    kind = F.col("l_linenumber") % 4
+    rest = F.when(kind == 0, "}").when(kind == 1, ',"end_word":0}').when(kind == 2, ',"end_word":0,"more":1}').otherwise(',"end":0}')
+    rows = table(spark, sf, "lineitem").select(F.concat(F.lit('{"line":'), number("l_linenumber"), F.lit(',"first_word":'), number("l_orderkey"), rest).alias("json"))
+    return checks.line_keys(rows)
+
+
 @query("SELECT 'duplicate_line' AS rule, l_orderkey || ':' || l_linenumber AS key, CAST(count(*) AS VARCHAR) AS detail FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1")
 def duplicate_keys(spark, sf):
     return checks.not_unique(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], "line")
