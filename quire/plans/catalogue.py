@@ -333,7 +333,9 @@ def styled_events(spark, sf):
         for pdf in batches:
             yield pd.DataFrame({"doc": pdf.doc_id.astype(str), "content": [_styled_file(t or "") for t in pdf.text]})
 
-    docs = table(spark, sf, "documents").select("doc_id", "text").mapInPandas(files, "doc string, content binary")
+    # one file of a table is one task else
+    dealt = table(spark, sf, "documents").select("doc_id", "text").repartition("doc_id")
+    docs = dealt.mapInPandas(files, "doc string, content binary")
     return docx.events(docs, "Font").select("doc", "para_no", "event_no", "type", "value", F.col("style.bold").alias("bold"), F.col("style.font_size_half_points").alias("size"))
 
 

@@ -12,7 +12,7 @@ import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from quire import schema as S
@@ -52,7 +52,7 @@ def measures(element: ET.Element | None, numbers: tuple[str, ...], words: tuple[
     """Attributes as whole numbers, and under ``other`` those that are none, as they stand."""
     given = {n: attribute(element, n) for n in (*numbers, *words)}
     whole = {n: int(v) if n in numbers and v and v.isdigit() else v if n in words else None for n, v in given.items()}
-    return whole | {"other": {n: v for n, v in given.items() if n in numbers and v is not None and not v.isdigit()}}
+    return whole | {"other": [(n, v) for n, v in given.items() if n in numbers and v is not None and not v.isdigit()]}
 
 
 def properties(paragraph: ET.Element) -> dict:
@@ -122,28 +122,28 @@ def files(spark: SparkSession, path: str) -> DataFrame:
 def parsed(docs: DataFrame, font: str) -> DataFrame:
     """All that ``docs`` (doc, content) hold, from one pass over each: a row for each event; one for each paragraph, with
     props and no event_no; and one for each document, with its geometry and no para_no."""
-    names = ["doc", "para_no", "event_no", "type", "value", "style", "props", "geometry"]
+    ddl = f"{S.EVENTS}, props {S.PROPS}, geometry {S.GEOMETRY}"
+    schema = docs.sparkSession.createDataFrame([], ddl).toArrow().schema
 
-    def run(batches):
-        for pdf in batches:
-            for doc, content in zip(pdf.doc, pdf.content, strict=True):
-                rows, section = [], None
-                for n, element in parts(content):
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for given in batches:
+            for doc, content in zip(*given.columns, strict=True):
+                doc, rows, section = doc.as_py(), [], None
+                for n, element in parts(content.as_py()):
                     if n < 0:
                         section = geometry(element)
                         continue
                     rows.append((doc, n, None, None, None, None, properties(element), None))
                     rows += [(doc, n, k, *e, None, None) for k, e in enumerate(inline(element, font))]
-                    if len(rows) > 2000:
-                        yield frame(rows)
+                    if len(rows) > 5000:
+                        yield batch(rows)
                         rows = []
-                yield frame([*rows, (doc, None, None, None, None, None, None, section)])
-
-    def frame(rows: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=names, dtype=object)
-        return out.astype({"para_no": "Int32", "event_no": "Int32"})
+                yield batch([*rows, (doc, None, None, None, None, None, None, section)])
 
-    return docs.select("doc", "content").mapInPandas(run, f"{S.EVENTS}, props {S.PROPS}, geometry {S.GEOMETRY}")
+    return docs.select("doc", "content").mapInArrow(run, ddl)
 
 
 def events_of(rows: DataFrame) -> DataFrame:
