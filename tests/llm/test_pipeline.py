@@ -68,3 +68,25 @@ def test_encoding_stage(stages):
 def test_run(spark, stages):
     rows = pipeline.run(spark, SF)
     assert sorted(map(str, rows.collect())) == sorted(map(str, stages[4].collect()))
+
+
+@pytest.mark.parametrize("stage", range(4))
+def test_stages_of_odd_rows(spark, odd_docs, no_docs, stage):
+    """Nulls, ties, repeated rows and other columns of clashing names; what stays is as it was."""
+    name, run = pipeline.STAGES[stage]
+    given = Counter(map(tuple, odd_docs.collect()))
+    out = run(spark, odd_docs, SF)
+    rows = out.collect()
+    assert run(spark, no_docs, SF).collect() == []
+    if name == "byte_bpe":
+        assert Counter(r.doc_id for r in rows) == Counter(k[0] for k in given.elements())
+        return
+    got = Counter(map(tuple, rows))
+    assert out.columns == odd_docs.columns and set(got) <= set(given)
+    if name == "quality":
+        assert all(got[r] == given[r] for r in got)  # repeated rows stay or go together
+    elif name == "near_dedup":
+        assert set(got.values()) == {1} and len({r.text or "" for r in rows}) == len(rows)
+        assert {r.text or "" for r in rows} <= {k[1] or "" for k in given}
+    else:
+        assert all(got[r] >= given[r] for r in given)
