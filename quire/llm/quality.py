@@ -4,30 +4,34 @@ Every line is good or bad. A line's own features and those of the lines before a
 neighbouring states have a score of their own. Forward and backward sums give each line's marginal probability of being
 good; their mean, weighted by the lines' bytes, is the document's quality. The weights maximise the penalised likelihood
 of labelled documents, all of whose lines have the document's label, each document's log likelihood divided by the root
-of its lines. They are fitted on a bounded sample: SAMPLE documents, those with the smallest hashes of their ids, and of
-each at most SAMPLE_LINES neighbouring lines, from a place by the text's hash. Scoring covers every line of every text.
+of its lines. They are fitted on SAMPLE labelled documents at most, those with the smallest hashes of their ids, and on
+every line of these. Their features stay a table: each evaluation of the likelihood and its slope is a job whose tasks
+give one row of sums, and the ascent ends where no weight has a slope over TOLERANCE. Scoring covers every line of every
+text.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import id_hash_mod, small_batches, text_of, tidied
+from ._common import drop_table, id_hash_mod, small_batches, text_of, tidied, write_table
 from ._text import raw, words
 
 #: Labelled documents that the weights are fitted on, at most.
 SAMPLE = 4000
-#: Neighbouring lines of a document in that sample, at most; of longer documents it has so many from a place by hash.
-SAMPLE_LINES = 100
-STEPS = 80
-RATE = 0.12
 DECAY = 1e-4
+#: Slope of a weight at which the objective counts as being at its maximum.
+TOLERANCE = 2e-5
+#: Steps that the ascent remembers.
+MEMORY = 12
 #: Score from which a document is predicted to be good.
 THRESHOLD = 0.3
 
@@ -152,40 +156,104 @@ class Model:
         return np.clip(np.add.reduceat(good * weight, first) / np.add.reduceat(weight, first), 0.0, 1.0)
 
 
-def objective(theta: np.ndarray, x: np.ndarray, lines: np.ndarray, labels: np.ndarray) -> tuple[float, np.ndarray]:
-    """(value, slope) of what the fit maximises: the mean over documents of a document's log likelihood divided by the
-    root of its lines, less DECAY / 2 times the weights' squares. ``theta``: the weights, then the transition scores."""
-    weight = 1 / np.sqrt(lines) / len(lines)
+def sums(theta: np.ndarray, x: np.ndarray, lines: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """(value, slope..) of the documents' log likelihoods, each divided by the root of its lines, summed. ``theta``: the
+    weights, then the transition scores."""
+    weight = 1 / np.sqrt(lines)
     y, move = np.repeat(labels, lines).astype(float), theta[-4:].reshape(2, 2)
     good = x @ theta[:-4]
     p, expected, partition = marginals(np.stack((np.zeros(len(good)), good), 1), lines, move, weight)
     by_line = np.repeat(weight, lines)
     seen = np.diag(np.bincount(labels.astype(np.int64), weight * (lines - 1), minlength=2))
-    value = (y * good) @ by_line + (seen * move).sum() - partition - DECAY / 2 * (theta @ theta)
-    slope = np.concatenate((((y - p[:, 1]) * by_line) @ x, (seen - expected).reshape(-1))) - DECAY * theta
-    return float(value), slope
+    value = (y * good) @ by_line + (seen * move).sum() - partition
+    return np.concatenate(([value], ((y - p[:, 1]) * by_line) @ x, (seen - expected).reshape(-1)))
+
+
+def penalised(total: np.ndarray, n: int, theta: np.ndarray) -> tuple[float, np.ndarray]:
+    """(value, slope) of what the fit maximises, from the sums over ``n`` documents: their mean, less DECAY / 2 times the
+    weights' squares."""
+    return float(total[0] / n - DECAY / 2 * (theta @ theta)), total[1:] / n - DECAY * theta
+
+
+def objective(theta: np.ndarray, x: np.ndarray, lines: np.ndarray, labels: np.ndarray) -> tuple[float, np.ndarray]:
+    return penalised(sums(theta, x, lines, labels), len(lines), theta)
+
+
+def maximise(evaluate: Callable[[np.ndarray], tuple[float, np.ndarray]], theta: np.ndarray) -> np.ndarray:
+    """Where the concave function ``evaluate`` (value, slope) has no slope over TOLERANCE, by limited-memory quasi-Newton
+    steps that are halved until they gain; or where no step gains any more, at the end of a double's digits."""
+    value, slope = evaluate(theta)
+    held: deque[tuple[np.ndarray, np.ndarray]] = deque(maxlen=MEMORY)  # steps, and how far the slope fell over them
+    while np.abs(slope).max() > TOLERANCE:
+        way, parts = slope.copy(), []
+        for step, fall in reversed(held):
+            parts.append(step @ way / (step @ fall))
+            way -= parts[-1] * fall
+        way *= held[-1][0] @ held[-1][1] / (held[-1][1] @ held[-1][1]) if held else 1 / max(1.0, np.abs(slope).sum())
+        for step, fall in held:
+            way += (parts.pop() - fall @ way / (step @ fall)) * step
+        size = 1.0
+        while True:
+            there, slope_there = evaluate(theta + size * way)
+            if there >= value + 1e-4 * size * (way @ slope):
+                break
+            size /= 2
+            if size < 1e-9:
+                return theta
+        step, fall = size * way, slope - slope_there
+        if step @ fall > 0:
+            held.append((step, fall))
+        theta, value, slope = theta + step, there, slope_there
+    return theta
+
+
+def read_sample(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features, lines, labels) of rows of features_of()."""
+    own = [np.frombuffer(x.as_buffer(), "<f4").reshape(-1, OWN) for x in batch.column(0)]
+    return np.concatenate(own).astype(float), np.array([len(x) for x in own]), batch.column(1).to_numpy()
+
+
+def summed(sample: DataFrame, of: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The sum of ``of(features, lines, labels)`` over batches of the sample: a row for each task, added up exactly, so
+    that the order in which tasks end does not show."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                part = of(*read_sample(batch))
+                total = part if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["total"])
+
+    rows = sample.mapInArrow(run, "total array<double>").collect()
+    return np.array([math.fsum(x) for x in zip(*(r.total for r in rows), strict=True)])
+
 
+def fit(sample: DataFrame) -> Model:
+    """The maximum of the objective over all rows of features_of()."""
 
-def fit(own: np.ndarray, lines: np.ndarray, labels: np.ndarray) -> Model:
-    """The maximum of the objective, by Adam over the whole sample."""
-    if not len(lines):
+    def moments(own: np.ndarray, lines: np.ndarray, _: np.ndarray) -> np.ndarray:
+        return np.concatenate(([len(lines), len(own)], own.sum(0), (own**2).sum(0)))
+
+    found = summed(sample, moments)
+    if not len(found):
         return Model(np.zeros(3 * OWN + 3), np.zeros((2, 2)), np.zeros(OWN), np.ones(OWN))
-    centre, scale = own.mean(0), own.std(0) + 1e-3
-    x = with_neighbours((own - centre) / scale, lines).astype(np.float32)  # at most 91 MB
-    theta = np.zeros(x.shape[1] + 4)
-    m, v = np.zeros_like(theta), np.zeros_like(theta)
-    for t in range(1, STEPS + 1):
-        slope = objective(theta, x, lines, labels)[1]
-        m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
-        theta = theta + RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+    n, centre = int(found[0]), found[2 : 2 + OWN] / found[1]
+    scale = np.sqrt(np.maximum(found[2 + OWN :] / found[1] - centre**2, 0)) + 1e-3
+
+    def evaluate(theta: np.ndarray) -> tuple[float, np.ndarray]:
+        total = summed(sample, lambda own, lines, labels: sums(theta, with_neighbours((own - centre) / scale, lines), lines, labels))
+        return penalised(total, n, theta)
+
+    theta = maximise(evaluate, np.zeros(3 * OWN + 3 + 4))
     return Model(theta[:-4], theta[-4:].reshape(2, 2), centre, scale)
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> Model:
-    """A model of labelled documents that are not held out (crc32 of the id's text modulo 5 is not 0). Labels whose id
-    or quality is null teach nothing; of several labels of an id all count."""
-    small_batches(docs.sparkSession)
-    known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & (id_hash_mod("doc_id", 5) != 0)).select("doc_id", F.col("quality").cast("int").alias("quality"))
+def features_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(features, quality): all lines of the labelled documents that are learnt from, a row each. Of an id with several
+    texts the one of the smallest hash counts."""
+    known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & (id_hash_mod("doc_id", 5) != 0)).select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(SAMPLE)
     texts = docs.select("doc_id", text_of("text").alias("text")).join(F.broadcast(sample), "doc_id")  # at most SAMPLE rows
 
@@ -194,17 +262,23 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
             if not batch.num_rows:
                 continue
             own, _, lines = lines_of(batch.column(1))
-            first = np.cumsum(lines) - lines + batch.column(3).to_numpy() % np.maximum(1, lines - SAMPLE_LINES + 1)
-            data = [own[a : a + min(n, SAMPLE_LINES)].astype("<f4").tobytes() for a, n in zip(first, lines, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary()), batch.column(2)], names=["doc_id", "features", "quality"])
+            first = np.cumsum(lines) - lines
+            data = [own[a : a + n].astype("<f4").tobytes() for a, n in zip(first, lines, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(data, pa.binary())], names=["doc_id", "quality", "tie", "features"])
 
     kind = sample.schema["doc_id"].dataType.simpleString()
-    turn = F.xxhash64("text").bitwiseAND(F.lit((1 << 31) - 1))
-    placed = texts.select("doc_id", "text", "quality", turn.alias("turn")).mapInArrow(tidied(features), f"doc_id {kind}, features binary, quality int")
-    # ids may repeat in the documents: the sample stays bounded
-    rows = placed.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "features").limit(SAMPLE).collect()
-    own = [np.frombuffer(r.features, "<f4").reshape(-1, OWN).astype(float) for r in rows]
-    return fit(np.concatenate(own) if own else np.zeros((0, OWN)), np.array([len(x) for x in own], np.int64), np.array([r.quality for r in rows], np.int64))
+    rows = texts.select("doc_id", "text", "quality", F.xxhash64("text").alias("tie")).mapInArrow(tidied(features), f"doc_id {kind}, quality int, tie bigint, features binary")
+    return rows.groupBy("doc_id", "quality").agg(F.min(F.struct("tie", "features")).alias("least")).select("least.features", "quality")
+
+
+def learn(docs: DataFrame, labels: DataFrame) -> Model:
+    """A model of labelled documents that are not held out (crc32 of the id's text modulo 5 is not 0). Labels whose id
+    or quality is null teach nothing; of several different labels of an id all count."""
+    small_batches(docs.sparkSession)
+    sample = write_table(features_of(docs, labels), "features")
+    model = fit(sample)
+    drop_table(sample)
+    return model
 
 
 def score(docs: DataFrame, model: Model, keep: list[str], out: str = "score") -> DataFrame:

@@ -159,13 +159,44 @@ def test_slope_of_the_objective():
         assert abs((quality.objective(theta + step, x, lines, labels)[0] - quality.objective(theta - step, x, lines, labels)[0]) / 2e-6 - slope[k]) < 1e-6
 
 
-def test_long_documents_are_learnt_from(spark, monkeypatch):
-    """No document is shorter than a sample's lines."""
-    monkeypatch.setattr(quality, "SAMPLE_LINES", 5)
+def test_long_documents_are_learnt_from(spark):
+    """What tells good from bad stands in one part of long documents only."""
     rng = random.Random(3)
-    rows = [(k, "\n".join(prose(rng, 8) if k % 2 else "BUY!!! | NOW $$$" for _ in range(rng.randint(6, 40)))) for k in range(200)]
+    rows = []
+    for k in range(160):
+        lines = [prose(rng, 8) for _ in range(rng.randint(150, 400))]
+        at = rng.randrange(len(lines) - 60)
+        if k % 2 == 0:
+            lines[at : at + 60] = ["BUY!!! | NOW $$$"] * 60
+        rows.append((k, "\n".join(lines)))
     docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, quality int")
-    assert all(r.predicted == r.doc_id % 2 for r in quality.score_documents(docs, labels).collect())
+    scores = {r.doc_id: r.score for r in quality.score_documents(docs, labels).collect()}
+    assert max(scores[k] for k, _ in rows if k % 2 == 0) < min(scores[k] for k, _ in rows if k % 2)
+    used = quality.features_of(docs, labels).selectExpr("length(features) as n").collect()
+    learnt = [t for k, t in rows if zlib.crc32(str(k).encode()) % 5]
+    assert sorted(r.n // (4 * quality.OWN) for r in used) == sorted(t.count("\n") + 1 for t in learnt)
+
+
+def test_the_fit_is_a_maximum(spark):
+    """The slope of the whole sample's objective at the fitted weights, worked out in one place, is next to nothing."""
+    docs, labels = labelled(spark, 150)
+    model = quality.learn(docs, labels.union(labels))
+    rows = quality.features_of(docs, labels).collect()
+    own = [np.frombuffer(r.features, "<f4").reshape(-1, quality.OWN).astype(float) for r in rows]
+    lines, whole = np.array([len(x) for x in own]), np.concatenate(own)
+    assert np.allclose(model.centre, whole.mean(0)) and np.allclose(model.scale, whole.std(0) + 1e-3)
+    x, y = quality.with_neighbours((whole - model.centre) / model.scale, lines), np.array([r.quality for r in rows])
+    theta = np.concatenate((model.weights, model.move.reshape(-1)))
+    value, slope = quality.objective(theta, x, lines, y)
+    assert np.abs(slope).max() < 2 * quality.TOLERANCE
+    rng = np.random.default_rng(4)
+    assert all(quality.objective(theta + rng.normal(size=len(theta)) * 0.05, x, lines, y)[0] < value for _ in range(50))
+
+
+def test_of_an_id_with_several_texts_one_is_learnt_from(spark):
+    docs = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b\nb"), (2, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0)], "doc_id long, quality int")
+    assert quality.features_of(docs, labels).count() == sum(zlib.crc32(str(k).encode()) % 5 > 0 for k in (1, 2))
 
 
 def test_line_features():
