@@ -10,15 +10,19 @@ alone. What meets in a bucket is verified: two texts are linked if their sets of
 
 Texts with the same set of shingles are one node. In each bucket all nodes are compared with the one that meets most
 others, then, where a bucket still has several components, with one of another component, in several rounds while many
-pairs are left. What is left then is compared node by node in blocks within tasks, by sets, and tasks emit links alone. So a bucket of thousands of copies
-costs as many comparisons as it has members, and no link between different texts that meet in a bucket is lost. A
-class is a connected component.
+pairs are left. What is left then is compared node by node in blocks within tasks, by sets, and tasks emit links alone.
+Buckets of more than a block are dealt out anew before: two sets that reach the threshold share one of the shingles that
+come first in any order of all shingles, as many as a set may lack and one more, so that the nodes of such buckets go to
+groups by these, rare shingles first. So a bucket of thousands of copies costs as many comparisons as it has members, one
+of thousands of unlike variants of a template as many as share rare shingles, and no link between different texts that
+meet in a bucket is lost. A class is a connected component.
 
 Sets are compared by 32-bit hashes of their shingles.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 
@@ -43,6 +47,9 @@ HASH_BITS = np.uint64(51)
 SHORT = HASH_BITS - np.uint64(32)
 #: Nodes in a block of the exhaustive comparison.
 BLOCK = 1024
+#: Counts by which shingles are ordered, rare ones first, when large buckets are dealt out: each is that of all shingles
+#: whose hashes end alike. They decide how small the groups are, not which links are found.
+SLOTS = 1 << 16
 #: Rounds of stars before the exhaustive comparison, at most, and the pairs left for each place in a bucket at which it
 #: comes at once. Both move work only: what stars do not link is compared node by node.
 MOST_STARS, FEW_PAIRS = 4, 256
@@ -248,6 +255,49 @@ def pairs_left(members: DataFrame) -> float:
     return mixed.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2)).first()[0] or 0.0
 
 
+def leading(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first shingles of a set by rarity, then hash: as many as it may lack in a likeness of THRESHOLD, and one.
+
+    Of two sets that reach it, each has THRESHOLD of its shingles, rounded up, in common with the other; the first common
+    one cannot come later, as too few come after."""
+    common = math.ceil(THRESHOLD * len(shingles) - 1e-6)
+    order = np.lexsort((shingles, counts[shingles & np.uint32(SLOTS - 1)]))
+    return shingles[order[: len(shingles) - common + 1]]
+
+
+def regrouped(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(bucket, node, component): what of ``members`` is still to be compared. Buckets of BLOCK nodes at most stay; the
+    nodes of larger ones go to groups by their leading shingles, in which all links among them meet."""
+    mixed = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("bucket", "n")
+    held = write_table(members.join(mixed, "bucket").select("bucket", "node", "component", (F.col("n") > BLOCK).alias("large")), "mixed")
+    small = held.filter("not large").select("bucket", "node", "component")
+    if not held.filter("large").limit(1).count():
+        return small
+    nodes = write_table(held.filter("large").select("node", "component").distinct().join(sets, "node"), "large")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for x in batch.column(0):
+                total += np.bincount(np.frombuffer(x.as_buffer(), np.uint32) & np.uint32(SLOTS - 1), minlength=SLOTS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["slot", "n"])
+
+    counts = np.zeros(SLOTS, np.int64)
+    for r in nodes.select("shingles").mapInArrow(count, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).collect():  # SLOTS rows at most
+        counts[r.slot] = r.n
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [leading(np.frombuffer(x.as_buffer(), np.uint32), counts) for x in batch.column(2)]
+            if found:
+                row = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).astype(np.int64)), batch.column(0).take(row), batch.column(1).take(row)], names=["bucket", "node", "component"])
+
+    groups = nodes.select("node", "component", "shingles").mapInArrow(tidied(deal), "bucket bigint, node bigint, component bigint")
+    return write_table(small.union(groups), "groups")
+
+
 def remaining(members: DataFrame, sets: DataFrame) -> DataFrame:
     """The links (a, b) between different components that share a bucket.
 
@@ -340,7 +390,7 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         labels = components(links)
         known = write_table(members.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"), "weight"), "members")
         last = turn > 0 and (turn == MOST_STARS or pairs_left(known) <= FEW_PAIRS * max(1, known.count()))
-        more = remaining(known, sets) if last else verified(starred(known, turn), sets)
+        more = remaining(regrouped(known, sets), sets) if last else verified(starred(known, turn), sets)
         # a component found is a star from now on
         links, turn = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), turn + 1
     labels = components(links)

@@ -365,6 +365,53 @@ def test_the_last_comparison_equals_all_pairs(spark, monkeypatch):
     assert want and {tuple(r) for r in near_dup.remaining(members, given).collect()} == want
 
 
+def sets_table(spark, sets):
+    return spark.createDataFrame([(k, np.array(sorted(x), np.uint32).tobytes()) for k, x in sets.items()], "node long, shingles binary")
+
+
+def test_alike_sets_share_a_leading_shingle():
+    rng = random.Random(21)
+    alike, every = 0, [np.random.default_rng(k).integers(0, 4, near_dup.SLOTS) for k in range(5)]
+    for _ in range(3000):
+        x = set(rng.sample(range(2000), rng.randint(1, 60)))
+        y = (x - set(rng.sample(sorted(x), rng.randint(0, len(x) // 5)))) | set(rng.sample(range(2000), rng.randint(0, len(x) // 5)))
+        if not y or len(x & y) < 0.8 * len(x | y):
+            continue
+        alike += 1
+        counts = rng.choice(every)
+        first = [set(near_dup.leading(np.array(sorted(s), np.uint32), counts).tolist()) for s in (x, y)]
+        assert first[0] & first[1] and all(len(f) <= len(s) // 5 + 1 for f, s in zip(first, (x, y), strict=True))
+    assert alike > 1000
+
+
+def test_large_buckets_dealt_out_equal_all_pairs(spark, monkeypatch):
+    """Two large buckets and a small one; sets of few, of many and of the same shingles; some in one component."""
+    monkeypatch.setattr(near_dup, "BLOCK", 4)
+    rng = random.Random(18)
+    sets = {k: set(rng.sample(range(1000 * (k % 3), 1000 * (k % 3) + 24), rng.randint(18, 24))) | ({9000 + k} if k % 2 else set()) for k in range(60)}
+    sets |= {60: {1}, 61: {1, 2}, 62: {1}, 63: set(range(500)), 64: set(range(480))}
+    buckets = {77: range(65), 78: range(30, 65), 79: (0, 3, 6)}
+    component = {k: 3 if k in (3, 9, 12) else k for k in sets}
+    want = {(a, b) for a in sets for b in sets if a < b and component[a] != component[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    members = spark.createDataFrame([(b, k, component[k], 1) for b, own in buckets.items() for k in own], "bucket long, node long, component long, weight long")
+    given = sets_table(spark, sets)
+    assert (60, 62) in want and (63, 64) in want and {tuple(r) for r in near_dup.remaining(near_dup.regrouped(members, given), given).collect()} == want
+
+
+def test_many_unlike_variants_of_a_template(spark):
+    """One bucket of 20,000 sets that share 70 of 100 shingles, a hundred near pairs among them: every pair is found, and
+    those compared are a small number for each node."""
+    n = 20_000
+    sets = {k: set(range(70)) | set(range(1000 + 30 * k, 1030 + 30 * k)) for k in range(n)}
+    for k in range(0, 200, 2):
+        sets[k + 1] = (sets[k] - {1000 + 30 * k}) | {900_000_000 + k}
+    members = spark.createDataFrame([(7, k, k, 1) for k in range(n)], "bucket long, node long, component long, weight long")
+    given = sets_table(spark, sets)
+    groups = near_dup.regrouped(members, given)
+    assert near_dup.pairs_left(groups) < 20 * n  # of 200,000,000
+    assert {tuple(r) for r in near_dup.remaining(groups, given).collect()} == {(k, k + 1) for k in range(0, 200, 2)}
+
+
 def test_ids_too_many_to_send(spark, monkeypatch):
     rng = random.Random(2)
     rows = [(k, t) for k, t in enumerate(list(copies(rng, 5)) + [prose(rng, 30) for _ in range(5)])]
@@ -399,10 +446,12 @@ def links(texts):
     return sets, found
 
 
-def test_every_link_of_a_table(spark, monkeypatch):
-    """All near copies of the documents at sf0.01, with a further round of stars."""
-    monkeypatch.setattr(near_dup, "MOST_STARS", 2)
-    monkeypatch.setattr(near_dup, "FEW_PAIRS", 0)
+@pytest.mark.parametrize("settings", [{}, {"MOST_STARS": 2, "FEW_PAIRS": 0, "BLOCK": 32}])
+def test_every_link_of_a_table(spark, monkeypatch, settings):
+    """All near copies of the documents at sf0.01, with the query's settings, and with a further round of stars and
+    smaller blocks."""
+    for name, value in settings.items():
+        monkeypatch.setattr(near_dup, name, value)
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     rows = sorted(map(tuple, docs.collect()))
     of = {r.doc_id: r.class_id for r in near_dup.near_duplicates(docs).collect()}
