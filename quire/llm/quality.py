@@ -226,7 +226,7 @@ def summed(sample: DataFrame, of: Callable[[np.ndarray, np.ndarray, np.ndarray],
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["total"])
 
-    rows = sample.mapInArrow(run, "total array<double>").collect()
+    rows = sample.mapInArrow(tidied(run), "total array<double>").collect()
     return np.array([math.fsum(x) for x in zip(*(r.total for r in rows), strict=True)])
 
 
