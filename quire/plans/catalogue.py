@@ -234,11 +234,20 @@ FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p
 WHERE levenshtein(a.p_name, b.p_name) <= greatest(2, least(6, greatest(2, CAST(floor(length(a.p_name) * 0.25) AS BIGINT))))
 """)
 def fuzzy_candidates(spark, sf):
-    part = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size")
-    other = part.select(F.col("p_partkey").alias("right_key"), F.col("p_name").alias("right_name"), "p_brand", "p_size")
-    pairs = part.join(other, ["p_brand", "p_size"]).filter("p_partkey < right_key")
-    near = pairs.withColumn("distance", T.within_distance(F.col("p_name"), F.col("right_name"), 6)).filter((F.col("distance") >= 0) & (F.col("distance") <= T.distance_limit(F.length("p_name"))))
-    return near.select(F.col("p_partkey").alias("left_key"), "right_key", big("distance").alias("distance"))
+    """Names are compared once each in their group, and the pairs of near names bring their parts together. Rows are few
+    and their pairs are not: they are dealt out whatever their size."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    group = ["p_brand", "p_size"]
+    part = table(spark, sf, "part").select("p_partkey", "p_name", *group)
+    name = part.select(*group, "p_name").distinct().repartition(tasks, *group)
+    other = name.withColumnRenamed("p_name", "right_name").hint("shuffle_hash")
+    limit = T.distance_limit(F.length("p_name"))
+    pairs = name.join(other, group).filter(F.abs(F.length("p_name") - F.length("right_name")) <= limit)
+    near = pairs.withColumn("distance", T.within_distance(F.col("p_name"), F.col("right_name"), 6)).filter((F.col("distance") >= 0) & (F.col("distance") <= limit))
+    right = part.withColumnsRenamed({"p_partkey": "right_key", "p_name": "right_name"})
+    left = part.join(near, [*group, "p_name"]).repartition(tasks, *group, "right_name")
+    both = left.join(right.hint("shuffle_hash"), [*group, "right_name"]).filter("p_partkey < right_key")
+    return both.select(F.col("p_partkey").alias("left_key"), "right_key", big("distance").alias("distance"))
 
 
 # distances there are of bytes, so that the one letter of two bytes becomes a sign of one
