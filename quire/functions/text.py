@@ -52,10 +52,14 @@ COMPOSED = ("".join(_ONE), "".join(_ONE.values()))
 FORMS = _folded_letters()
 
 #: Marks, format characters, tatweel and annotation signs; the ranges are marks that older Unicode tables do not know.
-DROPPED = rf"[\p{{Mn}}\p{{Cf}}{TATWEEL}\u06DD\u06DE\u06E5\u06E6\u06E9\u0898-\u089F\u08CA-\u08D2]"
-MARKS = rf"[\p{{Mn}}\u0898-\u089F\u08CA-\u08D2]"
-#: White space of all of Unicode, with the separators that count as white space in text processing.
-SPACE = r"[\s\x1C-\x1F\x85\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+#: The range in front rules out most letters by one comparison, as every part of a class is tried for every character.
+DROPPED = rf"[\xAD\u0300-\x{{10FFFF}}&&[\p{{Mn}}\p{{Cf}}{TATWEEL}\u06DD\u06DE\u06E5\u06E6\u06E9\u0898-\u089F\u08CA-\u08D2]]"
+MARKS = rf"[\u0300-\x{{10FFFF}}&&[\p{{Mn}}\u0898-\u089F\u08CA-\u08D2]]"
+#: White space of all of Unicode, with the separators that count as white space in text processing. Single
+#: characters of Latin-1 are one table in Java's classes, ranges are not.
+_LATIN = r"\t\n\x0B\f\r\x1C\x1D\x1E\x1F \x85\xA0"
+_WIDE = r"\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+SPACE = rf"[{_LATIN}[\u1680-\u3000&&[{_WIDE}]]]"
 
 
 def _text(c: Column) -> Column:
@@ -67,6 +71,11 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
 
 
+def has_text(c: Column) -> Column:
+    """Whether anything but white space is there; null stays null. Found at the first such character."""
+    return c.rlike(rf"[^{_LATIN}{_WIDE}]")
+
+
 def canonical(c: Column) -> Column:
     """Letters only, for exact matching: marks, format characters, tatweel and signs go, letters that carry a hamza or
     madda become their base, spaces stay. Null is the empty text."""

@@ -24,37 +24,43 @@ def printed_pages(lines: DataFrame, segments: DataFrame, spec: LayoutSpec) -> tu
     Text before the first heading of the first segment does not count. A segment of more lines than a page holds is a
     missing page break: it is cut into full pages if its lines are a multiple of a page's, else it is a violation. A
     segment without text is an empty page, which shows as a gap in the page numbers.
+
+    Lines, segments and the lines' places are used several times, as results and violations need all of them: they are
+    held in memory or on disk, as ``held`` of the printed lines, until the caller lets them go.
     """
-    text = T.strip(F.col("text"))
-    own = lines.filter(text != "").select("edition_id", "line_no", F.regexp_replace("text", rf"{T.SPACE}+$", "").alias("text"))
-    own = own.withColumn("_plain", T.no_space(F.col("text"))).withColumn("_part", F.floor(F.col("line_no") / PART))
-    own = prefix_sum(own, F.length("_plain"), ["edition_id"], "_part", ["line_no"], "at")
+    own = lines.filter(T.has_text(F.col("text"))).select("edition_id", "line_no", F.regexp_replace("text", rf"{T.SPACE}+$", "").alias("text"))
+    own = own.withColumn("_size", F.length(T.no_space(F.col("text")))).withColumn("_part", F.floor(F.col("line_no") / PART)).persist()
     plain = T.no_space(T.without_tags(F.col("xml")))
     first = F.locate(T.HEADING, plain)
-    low = segments.groupBy("edition_id").agg(F.min("segment_no").alias("_first"))
-    target = F.when((F.col("segment_no") == F.col("_first")) & (first > 0), F.expr("substring(_text, _at)")).otherwise(F.col("_text"))
-    segs = segments.join(low, "edition_id").withColumn("_text", plain).withColumn("_at", first).withColumn("target", target)
-    segs = segs.withColumn("_part", F.floor(F.col("segment_no") / PART)).select("edition_id", "segment_no", "target", "_part")
-    segs = prefix_sum(segs, F.length("target"), ["edition_id"], "_part", ["segment_no"], "at")
-    placed = assign_by_offset(own.drop("_part"), segs.filter("target <> ''"), ["edition_id"], "at", "at", ["segment_no"])
-
-    texts = placed.groupBy("edition_id", "segment_no").agg(joined_text("_plain", "line_no").alias("own"), F.count("*").alias("n"))
-    sized = segs.select("edition_id", "segment_no", "target").join(texts, ["edition_id", "segment_no"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    parts = segments.select("edition_id", "segment_no", plain.alias("_text"), first.alias("_at"), F.floor(F.col("segment_no") / PART).alias("_part")).persist()
+    low = parts.groupBy("edition_id").agg(F.min("segment_no").alias("_first"))
+    target = F.when((F.col("segment_no") == F.col("_first")) & (F.col("_at") > 0), F.expr("substring(_text, _at)")).otherwise(F.col("_text"))
+    segs = parts.join(low, "edition_id").select("edition_id", "segment_no", target.alias("target"), "_part")
+    ends = prefix_sum(segs.select("edition_id", "segment_no", F.length("target").alias("_size"), "_part"), F.col("_size"), ["edition_id"], "_part", ["segment_no"], "at")
+    spots = prefix_sum(own, F.col("_size"), ["edition_id"], "_part", ["line_no"], "at").drop("_part", "_size")
+    placed = assign_by_offset(spots, ends.filter("_size > 0"), ["edition_id"], "at", "at", ["segment_no"]).drop("at").persist()
+
+    key = ["edition_id", "segment_no"]
+    sized = segs.select(key).join(placed.groupBy(key).agg(F.count("*").alias("n")), key, "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    texts = placed.withColumn("_plain", T.no_space(F.col("text"))).groupBy(key).agg(joined_text("_plain", "line_no").alias("own"), F.count("*").alias("n"))
+    spelt = segs.select(*key, "target").join(texts, key, "left").withColumn("n", F.coalesce("n", F.lit(0)))
     odd = (F.col("n") > spec.max_lines) & (F.col("n") % spec.max_lines != 0)
     wrong = F.coalesce(F.col("own"), F.lit("")) != F.col("target")
     rows = sized.withColumn("_pages", F.when(F.col("n") > spec.max_lines, F.ceil(F.col("n") / spec.max_lines)).otherwise(1)).withColumn("_part", F.floor(F.col("segment_no") / PART))
     paged = prefix_sum(rows, F.col("_pages"), ["edition_id"], "_part", ["segment_no"], "_before").select("edition_id", "segment_no", "_before")
     chunked = ordinal(placed, ["edition_id", "segment_no"], ["line_no"], "_n").join(paged, ["edition_id", "segment_no"])
     out = chunked.withColumn("page", (F.col("_before") + F.floor((F.col("_n") - 1) / spec.max_lines) + 1).cast("int")).withColumn("line_in_page", ((F.col("_n") - 1) % spec.max_lines + 1).cast("int"))
-    bad = sized.filter(wrong).select(F.lit("text_page_mismatch").alias("rule"), T.key("edition_id", "segment_no").alias("key"), F.concat(F.lit("lines: "), F.col("n")).alias("detail"))
+    bad = spelt.filter(wrong).select(F.lit("text_page_mismatch").alias("rule"), T.key("edition_id", "segment_no").alias("key"), F.concat(F.lit("lines: "), F.col("n")).alias("detail"))
     bad = bad.unionByName(sized.filter(odd).select(F.lit("page_segment_size").alias("rule"), T.key("edition_id", "segment_no").alias("key"), F.concat(F.lit("lines: "), F.col("n")).alias("detail")))
     lost = placed.filter("segment_no is null").select(F.lit("unconsumed_line").alias("rule"), T.key("edition_id", "line_no").alias("key"), F.col("text").alias("detail"))
-    return out.select("edition_id", "page", "line_in_page", "text"), bad.unionByName(lost)
+    out = out.select("edition_id", "page", "line_in_page", "text")
+    out.held = (own, parts, placed)
+    return out, bad.unionByName(lost)
 
 
 def page_counts(segments: DataFrame, lines: DataFrame, spec: LayoutSpec, printed: DataFrame) -> DataFrame:
     """What a manifest says of its source: page tags, segments, repaired breaks, lines."""
     segs = segments.groupBy("edition_id").agg((F.count("*") - 1).alias("raw_beginpage_count"), F.count("*").alias("raw_page_segments"))
-    text = lines.filter(T.strip(F.col("text")) != "").groupBy("edition_id").agg(F.count("*").alias("formatted_nonempty_lines"))
+    text = lines.filter(T.has_text(F.col("text"))).groupBy("edition_id").agg(F.count("*").alias("formatted_nonempty_lines"))
     pages = printed.groupBy("edition_id").agg(F.max("page").alias("pages"))
     return segs.join(text, "edition_id", "left").join(pages, "edition_id", "left").withColumn("split_missing_page_breaks", F.greatest(F.lit(0), F.col("pages") - F.col("raw_page_segments")))

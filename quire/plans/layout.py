@@ -58,6 +58,7 @@ def build_from_document(printed_lines: DataFrame, segments: DataFrame, ayat: Dat
     printed, bad = pages.printed_pages(printed_lines, segments, spec)
     out = build(printed, ayat, spec, fuzzy)
     out.violations = out.violations.unionByName(bad)
+    out.held += printed.held
     return out
 
 

@@ -29,3 +29,34 @@ def test_candidates_compare_names_once_and_in_all_tasks(spark, tmp_path):
     }
     out = got.collect()
     assert len(out) == len(want) and {tuple(r) for r in out} == want
+
+
+def test_pages_read_their_sources_once(spark):
+    """Lines and segments are read by one scan each, however many branches use them."""
+    from quire.operators import pages
+    from quire.spec import LayoutSpec
+
+    lines = spark.createDataFrame([(e, k, f"a{k} b  ") for e in (1, 2) for k in range(40)] + [(1, 7, " \x1c"), (None, 3, "x")], "edition_id int, line_no int, text string")
+    segments = spark.createDataFrame([(e, s, "".join(f"<p>a{k}b</p>" for k in range(s * 15, min(40, s * 15 + 15)))) for e in (1, 2) for s in range(3)], "edition_id int, segment_no int, xml string")
+    printed, bad = pages.printed_pages(lines, segments, LayoutSpec(max_lines=15))
+    plan = plan_of(printed.drop("line_in_page"))
+    assert "InMemoryTableScan" in plan and len(printed.held) == 3
+    assert sorted(map(tuple, printed.collect())) == [(e, k // 15 + 1, k % 15 + 1, f"a{k} b") for e in (1, 2) for k in range(40)]
+    assert [tuple(r) for r in bad.collect()] == [("unconsumed_line", "3", "x")]
+    for df in printed.held:
+        df.unpersist()
+
+
+def test_white_space_and_marks_are_the_same_sets(spark):
+    """The classes are written for speed: they hold what the plain ones hold, in all of Unicode."""
+    from pyspark.sql import functions as F
+
+    from quire.functions import text as T
+
+    plain = r"[\s\x1C-\x1F\x85   -     　]"
+    marks = r"[\p{Mn}࢘-࢟࣊-࣒]"
+    dropped = rf"[\p{{Mn}}\p{{Cf}}{T.TATWEEL}۝۞ۥۦ۩࢘-࢟࣊-࣒]"
+    every = spark.createDataFrame([(c, chr(c)) for c in range(0x110000) if not 0xD800 <= c < 0xE000], "c int, x string")
+    x = F.col("x")
+    odd = every.filter((x.rlike(plain) != x.rlike(T.SPACE)) | (x.rlike(marks) != x.rlike(T.MARKS)) | (x.rlike(dropped) != x.rlike(T.DROPPED)) | (T.has_text(x) == x.rlike(plain)))
+    assert odd.count() == 0 and every.filter(x.rlike(T.SPACE)).count() == 29
