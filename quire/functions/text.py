@@ -199,7 +199,8 @@ def split_token(c: Column, leading: bool = True) -> Column:
     head, tail = rf"(?s)\A({DIGIT_CLASS}+)(.+)\z", rf"(?s)\A(.+?)({DIGIT_CLASS}+)\z"
     number = lambda x: F.translate(x, DIGITS_FROM, DIGITS_TO)
     none, no_text = F.lit(None).cast("int"), F.lit("")
-    out = F.when(t == "", F.array().cast("array<struct<token:string,marker:int>>")).when(is_digits(t), F.array(_part(no_text, number(t))))
+    out = F.when(t == "", F.array().cast("array<struct<token:string,marker:int>>")).when(~t.rlike(DIGIT_CLASS), F.array(_part(t, none)))
+    out = out.when(is_digits(t), F.array(_part(no_text, number(t))))
     if leading:
         out = out.when(t.rlike(head), F.array(_part(no_text, number(F.regexp_extract(t, head, 1))), _part(F.regexp_extract(t, head, 2), none)))
     out = out.when(t.rlike(tail), F.array(_part(F.regexp_extract(t, tail, 1), none), _part(no_text, number(F.regexp_extract(t, tail, 2)))))

@@ -60,3 +60,26 @@ def test_white_space_and_marks_are_the_same_sets(spark):
     x = F.col("x")
     odd = every.filter((x.rlike(plain) != x.rlike(T.SPACE)) | (x.rlike(marks) != x.rlike(T.MARKS)) | (x.rlike(dropped) != x.rlike(T.DROPPED)) | (T.has_text(x) == x.rlike(plain)))
     assert odd.count() == 0 and every.filter(x.rlike(T.SPACE)).count() == 29
+
+
+def test_tokens_without_digits_take_one_test(spark):
+    """Words without digits are told first, before the patterns of numbers in front and behind; results stay."""
+    from pyspark.sql import functions as F
+
+    from quire.functions import text as T
+
+    df = spark.createDataFrame([("ab",), ("12",), ("3x",), ("x٣",), (" ",), (None,)], "w string").select(T.split_token(F.col("w")).alias("p"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("NOT RLIKE(") < plan.index("regexp_extract") if "NOT RLIKE(" in plan else plan.index("NOT ") < plan.index("regexp_extract")
+    assert [[tuple(x) for x in r.p] for r in df.collect()] == [[("ab", None)], [("", 12)], [("", 3), ("x", None)], [("x", None), ("", 3)], [], []]
+
+
+def test_roll_up_of_repeated_orders_and_lines(spark, tmp_path):
+    """Lines meet their orders when they are rolled up; orders and lines that repeat, and nulls, count as in the join."""
+    spark.createDataFrame([(k,) for k in (1, 2, 2, 3, None)], "o_orderkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    lines = [(1, 5), (1, 5), (1, 6), (2, None), (2, 4), (4, 1), (None, 1)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int").write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = catalogue.group_minmax_rollup(spark, str(tmp_path))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate [l_orderkey")  # the join takes aggregates
+    assert sorted(map(tuple, got.collect())) == [(1, 3, 2, 5, 6, 16), (2, 4, 1, 4, 4, 8)]
