@@ -208,8 +208,12 @@ def offset_join_exact(spark, sf):
     conv = table(spark, sf, "conversations").select("conv_id", "turn", "text")
     segs = conv.withColumn("seg", T.no_space(F.col("text"))).withColumn("at", S.running(F.length("seg"), ["conv_id"], ["turn"], before=True)).filter("seg <> ''")
     word = conv.select("conv_id", "turn", F.posexplode(T.tokens(F.col("text"))).alias("k", "w")).withColumn("at", S.running(F.length("w"), ["conv_id"], ["turn", "k"], before=True))
-    owned = S.assign_by_offset(word.select("conv_id", "w", "at"), segs.select("conv_id", "at", F.col("turn").alias("of"), "seg"), ["conv_id"], "at", "at", ["of", "seg"])
-    return owned.groupBy("conv_id", F.col("of").alias("turn")).agg(F.count("*").alias("n_words"), (S.joined_text("w", "at") == F.first("seg")).alias("equal"))
+    owned = S.assign_by_offset(word.select("conv_id", "w", "at"), segs.select("conv_id", "at", F.col("turn").alias("of")), ["conv_id"], "at", "at", ["of"])
+    spelt = owned.groupBy("conv_id", F.col("of").alias("turn")).agg(F.count("*").alias("n_words"), S.joined_text("w", "at").alias("own"))
+    # a segment's text meets its words when they are one row, not each of them
+    own = segs.groupBy(F.col("conv_id").alias("_conv"), F.col("turn").alias("_turn")).agg(F.first("seg").alias("seg"))
+    both = spelt.join(own, F.col("conv_id").eqNullSafe(F.col("_conv")) & F.col("turn").eqNullSafe(F.col("_turn")), "left")
+    return both.select("conv_id", "turn", "n_words", (F.col("own") == F.col("seg")).alias("equal"))
 
 
 @query("""

@@ -83,3 +83,15 @@ def test_roll_up_of_repeated_orders_and_lines(spark, tmp_path):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join") < plan.index("Aggregate [l_orderkey")  # the join takes aggregates
     assert sorted(map(tuple, got.collect())) == [(1, 3, 2, 5, 6, 16), (2, 4, 1, 4, 4, 8)]
+
+
+def test_words_do_not_carry_their_segments(spark, tmp_path):
+    """A segment's text is no column of its words' rows in the as-of join."""
+    rows = [(1, 0, "ab  c"), (1, 1, " "), (1, 2, "d\ne f"), (2, 0, "x"), (2, 1, None), (None, 0, "g h")]
+    spark.createDataFrame(rows, "conv_id long, turn long, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = catalogue.offset_join_exact(spark, str(tmp_path))
+    windows = [line for line in got._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Window [last(" in line]
+    assert windows and not any("seg" in line for line in windows)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, 0, 2, True), (1, 2, 3, True), (2, 0, 1, True), (None, 0, 2, True)], key=repr)
+    whole = got._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("seg#" in line and "_found" in line for line in whole.split("\n"))
