@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.functions.edits import opcodes
-from quire.operators.streams import assign_by_offset, joined_text, overlap_join, running
+from quire.operators.streams import assign_by_range, joined_text, overlap_join, running
 
 
 def verse_spans(ayat: DataFrame, normal: Column | None = None) -> DataFrame:
@@ -29,20 +29,30 @@ def verse_spans(ayat: DataFrame, normal: Column | None = None) -> DataFrame:
 def chapter_opcodes(source: DataFrame, target: DataFrame) -> DataFrame:
     """edition_id, surah, block, tag, src_start, src_end, dest_start, dest_end: the blocks of the edit script from each
     edition's chapter to the reference's. A row for each chapter goes in, so that editions and chapters are independent tasks."""
-    names = ("tag", "src_start", "src_end", "dest_start", "dest_end")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for edition, surah, a, b in zip(pdf.edition_id, pdf.surah, pdf.text, pdf.other, strict=True):
-                ops = opcodes(a, b)
-                yield pd.DataFrame(ops, columns=list(names)).assign(edition_id=edition, surah=surah, block=range(len(ops)))[["edition_id", "surah", "block", *names]]
+    schema = pa.schema([("edition_id", pa.int32()), ("surah", pa.int32()), ("block", pa.int32()), ("tag", pa.string()), *((n, pa.int64()) for n in ("src_start", "src_end", "dest_start", "dest_end"))])
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []  # of many chapters, as most have few
+        for given in batches:
+            for edition, surah, a, b in zip(*given.columns, strict=True):
+                key = edition.as_py(), surah.as_py()
+                rows += [(*key, k, *op) for k, op in enumerate(opcodes(a.as_py(), b.as_py()))]
+                if len(rows) > 5000:
+                    yield batch(rows)
+                    rows = []
+        if rows:
+            yield batch(rows)
 
     whole = lambda df, *keys: df.groupBy(*keys).agg(joined_text("norm", "ayah").alias("text"))
     both = whole(source, "edition_id", "surah").join(whole(target, "surah").withColumnRenamed("text", "other"), "surah", "left")
-    # rows are few and their work is not: they are dealt out whatever their size
+    # rows are few and their work is not: they are dealt out whatever their size, by a hash that no exchange before has, as the
+    # two would become one, of tasks merged by their bytes
     tasks = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = both.select("edition_id", "surah", "text", F.coalesce("other", F.lit("")).alias("other")).repartition(tasks, "edition_id", "surah")
-    return rows.mapInPandas(run, "edition_id int, surah int, block int, tag string, src_start bigint, src_end bigint, dest_start bigint, dest_end bigint")
+    rows = both.select("edition_id", "surah", "text", F.coalesce("other", F.lit("")).alias("other")).repartition(tasks, F.xxhash64("edition_id", "surah"))
+    return rows.mapInArrow(run, "edition_id int, surah int, block int, tag string, src_start bigint, src_end bigint, dest_start bigint, dest_end bigint")
 
 
 def block_ranges(blocks: DataFrame) -> DataFrame:
@@ -63,12 +73,12 @@ def carried(pos: Column, end: Column) -> Column:
 def mapped_spans(source: DataFrame, target: DataFrame) -> DataFrame:
     """edition_id, surah, ayah, start, stop of ``source`` with dest_start and dest_stop in the reference's string.
 
-    Boundaries and blocks meet in an as-of join over bins of the chapter's offsets: no verse carries its chapter's script.
+    Boundaries and blocks meet in bins of the chapter's offsets, and scripts are made once: no verse carries its chapter's.
     Two empty chapters have no blocks; their boundaries are carried to 0."""
     blocks = block_ranges(chapter_opcodes(source, target))
     keys = ["edition_id", "surah", "ayah", "start", "stop"]
     ends = source.select(*keys, F.explode(F.array(F.struct(F.col("start").alias("pos"), F.lit(False).alias("end")), F.struct(F.col("stop").alias("pos"), F.lit(True).alias("end")))).alias("_e")).select(*keys, "_e.*")
-    found = assign_by_offset(ends, blocks, ["edition_id", "surah"], "pos", "at", ["tag", "src_start", "src_end", "dest_start", "dest_end"])
+    found = assign_by_range(ends, blocks, ["edition_id", "surah"], "pos", ("at", "src_end"), ["tag", "src_start", "src_end", "dest_start", "dest_end"])
     there = found.select(*keys, F.coalesce(carried(F.col("pos"), F.col("end")), F.lit(0)).cast("long").alias("_to"))
     return there.groupBy(*keys).agg(F.min("_to").alias("dest_start"), F.max("_to").alias("dest_stop"))
 

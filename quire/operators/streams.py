@@ -66,6 +66,23 @@ def assign_by_offset(points: DataFrame, starts: DataFrame, keys: list[str], at:
     return out.select(*[F.col(c) for c in points.columns], *[F.col(f"_found.{c}").alias(c) for c in payload])
 
 
+def assign_by_range(points: DataFrame, ranges: DataFrame, keys: list[str], at: str, span: tuple[str, str], payload: list[str], width: int = 65_536) -> DataFrame:
+    """Adds to each point the ``payload`` of the closed range ``span`` that holds its offset ``at``; nulls if none does.
+
+    Ranges share no offset. Each is dealt into the bins that it touches, so that no bin needs the ones before, and
+    ``ranges``, which may be dear, are made once.
+    """
+    low, high = span
+    bins = F.explode(F.sequence(F.floor(F.col(low) / width), F.floor(F.col(high) / width)))
+    marks = ranges.select(*keys, bins.alias("_bin"), F.col(low).alias("_at"), F.struct(F.col(high).alias("_last"), *payload).alias("_range"))
+    rows = points.withColumn("_bin", F.floor(F.col(at) / width)).withColumn("_at", F.col(at)).withColumn("_range", F.lit(None).cast(marks.schema["_range"].dataType)).withColumn("_point", F.lit(1))
+    both = rows.unionByName(marks.withColumn("_point", F.lit(0)), allowMissingColumns=True)
+    inside = W.partitionBy(*keys, "_bin").orderBy("_at", "_point").rowsBetween(W.unboundedPreceding, 0)
+    found = both.withColumn("_found", F.last("_range", ignorenulls=True).over(inside)).filter("_point = 1")
+    held = F.col("_found._last") >= F.col(at)
+    return found.select(*[F.col(c) for c in points.columns], *[F.when(held, F.col(f"_found.{c}")).alias(c) for c in payload])
+
+
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], l_span: tuple[str, str], r_span: tuple[str, str], width: int | None = None) -> DataFrame:
     """Pairs of half-open intervals with equal ``keys`` that share a point; empty intervals share none.
 

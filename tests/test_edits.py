@@ -126,3 +126,38 @@ def test_least_total_over_all_cuts():
 
         path, status, _ = align_fuzzy.align_words(segments, words, spec)
         assert (sum(d for _, _, d in path) if status == "ok" else None) == best(0, 0)
+
+
+def test_alike_texts_do_not_take_the_table(monkeypatch):
+    """Few edits beside a missing passage are found on diagonals: no row of the table is made, however long the texts."""
+    monkeypatch.setattr(edits.Table, "after", lambda *_: pytest.fail("a row of the table"))
+    rng = random.Random(9)
+    a = "".join(rng.choice("abcdefgh ") for _ in range(60_000))
+    b = a[:100] + "@" + a[100:7000] + a[7700:20_000] + "#" + a[20_001:]
+    assert edits.opcodes(b, a)[:2] == [("equal", 0, 100, 0, 100), ("delete", 100, 101, 100, 100)]
+    assert sum(max(j - i, m - k) for tag, i, j, k, m in edits.opcodes(b, a) if tag != "equal") == 702
+
+
+def test_near_scripts_are_those_of_the_table():
+    rng = random.Random(10)
+    near = 0
+    for _ in range(600):
+        a = "".join(rng.choice("abc"[: rng.randint(1, 3)]) for _ in range(rng.randint(1, 60)))
+        b = list(a)
+        for _ in range(rng.randint(1, 5)):
+            at = rng.randint(0, len(b))
+            b[at : at + rng.choice([0, 1, 1, 12])] = rng.choice(["", "a", "b", "x", "aaaa"])
+        b = "".join(b)
+        near += edits.near_script(a, b) is not None
+        assert [tag for tag, i, j, k, m in edits.opcodes(a, b) for _ in range(max(j - i, m - k))] == plain_script(a, b), (a, b)
+    assert near > 200
+
+
+def test_scripts_are_made_once(spark):
+    """Blocks meet the boundaries without a second use: one Python step in the plan, also for ranges over many bins."""
+    df = spark.createDataFrame([(e, 1, k, "ab" * (90_000 if k == 1 else 3) + str(k * e)) for e in (1, 2) for k in range(4)], "edition_id int, surah int, ayah int, text string")
+    placed = spans.verse_spans(df, df["text"])
+    target = placed.filter("edition_id = 1").drop("edition_id")
+    got = spans.mapped_spans(placed.filter("edition_id = 2"), target.toDF(*target.columns))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert sorted((r.ayah, r.dest_start, r.dest_stop) for r in got.collect()) == [(0, 0, 7), (1, 7, 180_008), (2, 180_008, 180_015), (3, 180_015, 180_022)]
