@@ -93,3 +93,21 @@ def test_one_pass_a_paragraph_at_a_time():
     nested = document(paragraph(text("a")), f"<w:tbl>{paragraph(text('cell'))}</w:tbl>", paragraph(text("b")))
     found = list((k, "".join(x.itertext())) for k, x in docx.parts(nested))
     assert found == [(0, "a"), (1, "b"), (-1, "")]
+
+
+def test_events_alone_do_not_cost_properties(spark):
+    """What is not asked for is not made: no properties, no columns of them; several documents share a batch."""
+    from quire.plans.catalogue import _styled_file
+    from quire.sources import docx
+
+    files = spark.createDataFrame([(str(k), bytearray(_styled_file(f"a b{k}\nc"))) for k in range(3)] + [("none", bytearray(_styled_file("")))], "doc string, content binary")
+    assert docx.parsed(files, "F", "events").columns == ["doc", "para_no", "event_no", "type", "value", "style"]
+    got = docx.events(files.coalesce(1), "F").collect()
+    want = [("none", 0, 0, "text", "")]
+    for k in "012":
+        want += [(k, 0, 0, "text", "a"), (k, 0, 1, "line_break", None), (k, 0, 2, "text", f"b{k}"), (k, 1, 0, "text", "c")]
+    assert sorted((r.doc, r.para_no, r.event_no, r.type, r.value) for r in got) == sorted(want)
+    whole = docx.parsed(files, "F")
+    assert sorted(map(str, docx.events_of(whole).collect())) == sorted(map(str, got))
+    assert sorted(map(str, docx.paragraphs_of(whole).collect())) == sorted(map(str, docx.paragraphs(files).collect())) and docx.paragraphs(files).count() == 7
+    assert sorted(map(str, docx.geometries_of(whole).collect())) == sorted(map(str, docx.geometries(files).collect())) and docx.geometries(files).count() == 4
