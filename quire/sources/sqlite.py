@@ -25,14 +25,20 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, IsNull, LessThan, LessThanOrEqual, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceWriter, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, IsNull, LessThan, LessThanOrEqual, WriterCommitMessage
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 TYPES = {"INT": "bigint", "INTEGER": "bigint", "TEXT": "string", "REAL": "double", "BLOB": "binary"}
 WRITTEN = {"boolean": "INTEGER", "tinyint": "INTEGER", "smallint": "INTEGER", "int": "INTEGER", "bigint": "INTEGER", "float": "REAL", "double": "REAL", "binary": "BLOB"}
 #: Values of an IN list that go into a file's query.
 MOST_VALUES = 1000
+#: Rows of a batch, and of a range of the key that one task reads.
+BATCH, MOST_ROWS = 20_000, 2_000_000
+#: Types whose values SQLite stores as they come from Arrow.
+DIRECT = {"boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "string", "binary"}
 
 
 @contextlib.contextmanager
@@ -115,7 +121,8 @@ class SqliteSource(DataSource):
         return SqliteReader(self.options, schema)
 
     def writer(self, schema: StructType, overwrite: bool) -> SqliteWriter:
-        return SqliteWriter(self.options, schema, overwrite)
+        direct = all(f.dataType.simpleString() in DIRECT for f in schema.fields)
+        return (SqliteArrowWriter if direct else SqliteWriter)(self.options, schema, overwrite)
 
 
 @dataclass
@@ -130,6 +137,7 @@ class SqliteReader(DataSourceReader):
     def __init__(self, options, schema):
         self.path, self.name, self.parts, self.names = options["path"], options["table"], int(options.get("partitions", 1)), schema.names
         self.table = Table.of(self.path, self.name)
+        self.kinds = to_arrow_schema(schema)
         self.typed = {f.name: f.dataType.simpleString() for f in schema.fields}
         self.where: list[str] = []
         self.values: list = []
@@ -149,9 +157,15 @@ class SqliteReader(DataSourceReader):
             return [KeyRange()]
         with connect(self.path) as con:
             n = con.execute(f"SELECT count(*) FROM {quoted(self.name)}").fetchone()[0]
-            step = -(-n // self.parts)
-            ranked = f"SELECT {key}, row_number() OVER (ORDER BY {key}) AS place FROM {quoted(self.name)}"
-            cuts = [r[:-1] for r in con.execute(f"SELECT * FROM ({ranked}) WHERE place > 1 AND (place - 1) % ? = 0 ORDER BY place", (max(1, step),))]
+            step, cuts = max(1, -(-n // max(self.parts, -(-n // MOST_ROWS)))), []
+            # from cut to cut: the file passes over the rows between without giving them
+            after, values = "", []
+            while len(cuts) < (n - 1) // step:
+                low = con.execute(f"SELECT {key} FROM {quoted(self.name)}{after} ORDER BY {key} LIMIT 1 OFFSET {step}", values).fetchone()
+                if low is None:
+                    break
+                cuts.append(low)
+                after, values = f" WHERE ({key}) >= ({', '.join('?' * len(low))})", list(low)
         return [KeyRange(low, high) for low, high in zip([None, *cuts], [*cuts, None], strict=True)]
 
     def read(self, partition):
@@ -164,7 +178,18 @@ class SqliteReader(DataSourceReader):
         what = [quoted(n) if declared.get(n) in TYPES else f"CAST({quoted(n)} AS TEXT)" for n in self.names]
         order = f" ORDER BY {', '.join(key)}" if key else ""
         with connect(self.path) as con:
-            yield from con.execute(f"SELECT {', '.join(what) or '1'} FROM {quoted(self.name)}" + (f" WHERE {' AND '.join(where)}" if where else "") + order, values)
+            rows = con.execute(f"SELECT {', '.join(what) or '1'} FROM {quoted(self.name)}" + (f" WHERE {' AND '.join(where)}" if where else "") + order, values)
+            if not what:
+                yield from rows
+            while what and (some := rows.fetchmany(BATCH)):
+                yield pa.RecordBatch.from_arrays([as_arrow(c, f.type) for c, f in zip(zip(*some, strict=True), self.kinds, strict=True)], schema=self.kinds)
+
+
+def as_arrow(values: tuple, kind: pa.DataType) -> pa.Array:
+    """A column's values; SQLite holds what it was given, so that a text's column may have other values."""
+    if pa.types.is_string(kind) and not all(v is None or isinstance(v, str) for v in values):
+        values = tuple(v if v is None or isinstance(v, str) else str(v) for v in values)
+    return pa.array(values, kind)
 
 
 @dataclass
@@ -181,14 +206,14 @@ def plain(value):
 
 
 def filled(path: str, ddl: str, table: str, width: int, rows: Iterator) -> int:
-    """Writes a file of one table; returns the number of rows."""
+    """Writes a file of one table from tuples; returns the number of rows."""
     n = 0
 
     def counted():
         nonlocal n
         for row in rows:
             n += 1
-            yield tuple(plain(v) for v in row)
+            yield row
 
     with contextlib.closing(sqlite3.connect(path)) as con:
         con.execute("PRAGMA journal_mode = OFF")
@@ -212,7 +237,10 @@ class SqliteWriter(DataSourceWriter):
 
     def write(self, iterator) -> Shard:
         path = f"{self.staging}/{uuid.uuid4().hex}.sqlite"  # every attempt has its own
-        return Shard(path, filled(path, self.ddl, self.table, len(self.names), iterator))
+        return Shard(path, filled(path, self.ddl, self.table, len(self.names), self.tuples(iterator)))
+
+    def tuples(self, rows: Iterator) -> Iterator[tuple]:
+        return (tuple(map(plain, row)) for row in rows)
 
     def commit(self, messages: list[Shard | None]) -> None:
         made = f"{self.path}.{uuid.uuid4().hex[:12]}.part"
@@ -223,15 +251,18 @@ class SqliteWriter(DataSourceWriter):
             with contextlib.closing(sqlite3.connect(made, isolation_level=None)) as con:
                 con.execute(f"PRAGMA page_size = {self.page_size}")
                 con.execute("PRAGMA synchronous = OFF")
+                con.execute("PRAGMA journal_mode = OFF")  # what fails is thrown away whole
                 if self.overwrite:
                     con.execute(f"DROP TABLE IF EXISTS {quoted(self.table)}")
                 if not con.execute("SELECT 1 FROM sqlite_master WHERE type = 'table' AND name = ?", (self.table,)).fetchone():
                     con.execute(self.ddl)
-                into = ", ".join(map(quoted, self.names))
+                # without names the file's rows are taken over as they lie
+                own = [r[0] for r in con.execute("SELECT name FROM pragma_table_info(?)", (self.table,))]
+                into = "" if own == list(self.names) else f" ({', '.join(map(quoted, self.names))})"
                 for shard in messages:  # in the order of the partitions
                     if shard is not None and shard.rows:
                         con.execute("ATTACH ? AS shard", (shard.path,))
-                        con.execute(f"INSERT INTO main.{quoted(self.table)} ({into}) SELECT * FROM shard.{quoted(self.table)}")
+                        con.execute(f"INSERT INTO main.{quoted(self.table)}{into} SELECT * FROM shard.{quoted(self.table)}")
                         con.execute("DETACH shard")
             synced(made)
             os.replace(made, self.path)
@@ -248,6 +279,13 @@ class SqliteWriter(DataSourceWriter):
                 return
 
 
+class SqliteArrowWriter(SqliteWriter, DataSourceArrowWriter):
+    """The same for columns whose values need no change: batches instead of rows."""
+
+    def tuples(self, rows: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        return (row for batch in rows for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+
+
 def synced(path: str) -> None:
     handle = os.open(path, os.O_RDONLY)
     try:

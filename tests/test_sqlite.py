@@ -103,3 +103,23 @@ def test_export_is_all_or_nothing(spark, tmp_path):
     assert (tmp_path / "m.sqlite").read_bytes() == before and [p.name for p in tmp_path.iterdir()] == ["m.sqlite"]
     back = sqlite.read(spark, path, "ayah_hafs_map", partitions=6)
     assert rows(back) == rows(mapping)
+
+
+def test_rows_pass_in_batches(spark, tmp_path, monkeypatch):
+    """Batches go in and out; a range of the key holds a bounded number of rows, whatever number of tasks was asked for."""
+    from pyspark.sql.types import StructType
+
+    path = str(tmp_path / "b.sqlite")
+    rows = [(k // 7, f"t{k % 7}", None if k % 5 == 0 else k / 4, k % 3 == 0) for k in range(1000)]
+    df = spark.createDataFrame(rows, "a int, b string, c double, d boolean")
+    ddl = "CREATE TABLE t (a INTEGER, b TEXT, c REAL, d INTEGER, PRIMARY KEY (a, b)) WITHOUT ROWID"
+    sqlite.write(df, path, "t", ddl, ["a", "b"])
+    assert isinstance(sqlite.SqliteSource({"path": path, "table": "t"}).writer(df.schema, True), sqlite.SqliteArrowWriter)
+    monkeypatch.setattr(sqlite, "MOST_ROWS", 90)
+    monkeypatch.setattr(sqlite, "BATCH", 40)
+    reader = sqlite.SqliteReader({"path": path, "table": "t", "partitions": "3"}, StructType.fromDDL("a bigint, b string, c double, d bigint"))
+    parts = reader.partitions()
+    batches = [list(reader.read(p)) for p in parts]
+    assert len(parts) == 12 and all(sum(b.num_rows for b in some) <= 90 and len(some) > 1 for some in batches)
+    got = [tuple(r.values()) for some in batches for b in some for r in b.to_pylist()]
+    assert got == sorted(((a, b, c, int(d)) for a, b, c, d in rows), key=lambda r: r[:2])
