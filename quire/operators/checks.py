@@ -179,9 +179,11 @@ def mapping_monotone(mapping: DataFrame) -> DataFrame:
     """A verse's references have no gap, and do not start before those of the verse before end."""
     refs = mapping.groupBy("edition_id", "surah", "ayah").agg(F.min("hafs_ayah").alias("low"), F.max("hafs_ayah").alias("high"), F.count("*").alias("n"))
     back = F.lag("high").over(W.partitionBy("edition_id", "surah").orderBy("ayah"))
-    place = T.key("edition_id", "surah", "ayah")
-    gaps = violation(refs.filter("high - low + 1 <> n"), "reference_gap", place, T.key("low", "high"))
-    return gaps.unionByName(violation(refs.withColumn("_back", back).filter("low < _back"), "reference_order", place, T.key("_back", "low")))
+    gap = F.when(F.col("high") - F.col("low") + 1 != F.col("n"), F.struct(F.lit("reference_gap").alias("rule"), T.key("low", "high").alias("detail")))
+    order = F.when(F.col("low") < F.col("_back"), F.struct(F.lit("reference_order").alias("rule"), T.key("_back", "low").alias("detail")))
+    # both rules in one pass
+    bad = refs.withColumn("_back", back).select("edition_id", "surah", "ayah", F.inline(F.filter(F.array(gap, order), lambda x: x.isNotNull())))
+    return violation(bad, F.col("rule"), T.key("edition_id", "surah", "ayah"), F.col("detail"))
 
 
 def mapping_coverage(mapping: DataFrame, counts: DataFrame, reference: int = 1) -> DataFrame:

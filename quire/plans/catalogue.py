@@ -564,7 +564,10 @@ def union_mapping_rows(spark, sf):
 
 
 def _line_mapping(spark, sf) -> DataFrame:
-    return table(spark, sf, "lineitem").select(F.lit(2).alias("edition_id"), F.col("l_orderkey").alias("surah"), F.col("l_linenumber").alias("ayah"), F.col("l_partkey").alias("hafs_ayah")).distinct()
+    """Lines as verses of chapters, without repeats. All that follows goes by chapter: rows are dealt by it, into tasks by the size of
+    the input, as aggregates' tables and sorts hold a task's rows."""
+    lines = table(spark, sf, "lineitem").select(F.lit(2).alias("edition_id"), F.col("l_orderkey").alias("surah"), F.col("l_linenumber").alias("ayah"), F.col("l_partkey").alias("hafs_ayah"))
+    return lines.repartition(16 * lines.rdd.getNumPartitions(), "surah").distinct()
 
 
 @query("SELECT 2 AS edition_id, l_orderkey AS surah, l_linenumber AS ayah, count(DISTINCT l_partkey) AS n, array_to_string(list_sort(list(DISTINCT l_partkey)), ',') AS refs FROM lineitem GROUP BY ALL HAVING count(DISTINCT l_partkey) > 1")

@@ -95,3 +95,13 @@ def test_words_do_not_carry_their_segments(spark, tmp_path):
     assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, 0, 2, True), (1, 2, 3, True), (2, 0, 1, True), (None, 0, 2, True)], key=repr)
     whole = got._jdf.queryExecution().optimizedPlan().toString()
     assert not any("seg#" in line and "_found" in line for line in whole.split("\n"))
+
+
+def test_mapping_rules_take_one_pass_by_chapter(spark, tmp_path):
+    """Repeats go, references are rolled up and neighbours compared behind one exchange, in more tasks than a shuffle has by default."""
+    rows = [(1, 1, 5), (1, 1, 5), (1, 2, 3), (1, 2, 9), (1, 3, 9), (2, 1, 4), (None, 1, 7), (None, 2, 6)]
+    spark.createDataFrame([(o, n, p) for o, n, p in rows], "l_orderkey long, l_linenumber int, l_partkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = catalogue.contiguous_monotone(spark, str(tmp_path))
+    plan = plan_of(got)
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 1 and "hashpartitioning(surah#" in plan and ", 4)" not in plan
+    assert sorted(map(tuple, got.collect())) == [("reference_gap", "2:1:2", "3:9"), ("reference_order", "2:1:2", "5:3"), ("reference_order", "2:2", "7:6")]
