@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ def distances(target: str, words: list[dict], starts: list[int], surah: int, lim
     all_ones = sum(1 << at for at in lanes.values())
     # each character's places, in every lane
     places = {c: bits * all_ones for c, bits in heads.items()}
-    whole = (1 << size) - 1
+    whole, place = (1 << size) - 1, places.get
     out: dict[int, list[tuple[int, int]]] = {start: [] for start in starts}
     running: dict[int, int] = {}  # start: characters read before
     every = ones = rises = falls = read = 0
@@ -64,13 +65,16 @@ def distances(target: str, words: list[dict], starts: list[int], surah: int, lim
             continue
         for c in words[k]["f"]:
             # where a distance equals the one before it in both texts
-            same = places.get(c, 0) & every | falls
+            same = place(c, 0) & every | falls
             same |= (rises & same) + rises ^ rises
             # where a distance is above or below that of the row before
-            up, down = falls | every & ~(rises | same), rises & same
-            up, down = up << 1 | ones, down << 1
-            rises, falls = every & (down | ~(up | same)), every & up & same
+            up, down = (falls | (rises | same) & every ^ every) << 1 | ones, (rises & same) << 1
+            rises, falls = down & every | (up | same) & every ^ every, every & up & same
         read += len(words[k]["f"])
+        # starts come in order: if the first has read too little, all have
+        start = next(iter(running))
+        if read - running[start] < size - limit and k + 1 - start < most:
+            continue
         for start, before in list(running.items()):
             at, n = lanes[start], read - before
             if abs(n - size) <= limit:
@@ -117,6 +121,16 @@ def align_words(segments: list[dict], words: list[dict], spec: LayoutSpec) -> tu
     return path[::-1], "ok", ""
 
 
+def records(column: pa.ListArray) -> Iterator[list[dict]]:
+    """Each row's structs; null is none. Their fields are taken out as whole columns, not struct by struct."""
+    inner = column.flatten()
+    fields = [inner.field(k).to_pylist() for k in range(inner.type.num_fields)]
+    names, at = [f.name for f in inner.type], 0
+    for n in pc.list_value_length(column).to_pylist():
+        yield [dict(zip(names, values, strict=True)) for values in zip(*(f[at : at + (n or 0)] for f in fields), strict=True)]
+        at += n or 0
+
+
 def align_pages(segs: DataFrame, stream: DataFrame, spec: LayoutSpec) -> DataFrame:
     """A row for each segment with the words start .. stop - 1 of its page; pages that fail have one row that says why."""
     names = [c.split()[0] for c in PATH.split(", ")]
@@ -126,14 +140,15 @@ def align_pages(segs: DataFrame, stream: DataFrame, spec: LayoutSpec) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for edition, page, segments, words in zip(*batch.columns, strict=True):
-                edition, page, segments, words = edition.as_py(), page.as_py(), segments.as_py() or [], words.as_py() or []
+            editions, pages = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for edition, page, segments, words in zip(editions, pages, records(batch.column(2)), records(batch.column(3)), strict=True):
                 path, status, detail = align_words(segments, words, spec)
                 if status != "ok":
                     rows.append((edition, page, None, None, None, None, None, None, None, status, detail))
                 else:
                     rows += [(edition, page, s["line"], s["seg"], s["surah"], s["marker"], *at, status, detail) for s, at in zip(segments, path, strict=True)]
-            yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema)
+            columns = zip(*rows, strict=True) if rows else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     def by_page(rows: DataFrame, name: str, *columns: str) -> DataFrame:
         return rows.groupBy("edition_id", "page").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias(name))  # a page's rows
