@@ -66,6 +66,10 @@ def _text(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def _ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.length(c)
+
+
 def strip(c: Column) -> Column:
     """Without white space of any kind at the ends; null stays null."""
     return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
@@ -78,13 +82,14 @@ def has_text(c: Column) -> Column:
 
 def canonical(c: Column) -> Column:
     """Letters only, for exact matching: marks, format characters, tatweel and signs go, letters that carry a hamza or
-    madda become their base, spaces stay. Null is the empty text."""
-    return F.regexp_replace(F.translate(_text(c), COMPOSED[0] + "ٱى", COMPOSED[1] + "اي"), DROPPED, "")
+    madda become their base, spaces stay. Null is the empty text. ASCII has none of these and stays as it is."""
+    text = _text(c)
+    return F.when(_ascii(text), text).otherwise(F.regexp_replace(F.translate(text, COMPOSED[0] + "ٱى", COMPOSED[1] + "اي"), DROPPED, ""))
 
 
 def canonical_loose(c: Column) -> Column:
     """canonical without the lone hamza."""
-    return F.translate(canonical(c), "ء", "")
+    return F.when(_ascii(_text(c)), _text(c)).otherwise(F.translate(canonical(c), "ء", ""))
 
 
 def fuzzy_canonical(c: Column) -> Column:
@@ -208,8 +213,9 @@ def split_token(c: Column, leading: bool = True) -> Column:
 
 
 def split_line(c: Column, leading: bool = True) -> Column:
-    """All parts of a line's tokens, in order."""
-    return F.flatten(F.transform(tokens(c), lambda t: split_token(t, leading)))
+    """All parts of a line's tokens, in order. In a line without digits and section signs the tokens are the parts."""
+    whole = F.transform(tokens(c), lambda t: _part(t, F.lit(None).cast("int")))
+    return F.when(c.rlike(f"{DIGIT_CLASS}|{RUB}"), F.flatten(F.transform(tokens(c), lambda t: split_token(t, leading)))).otherwise(whole)
 
 
 def key(*columns: Column | str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.operators.streams import joined_text, ordinal, prefix_sum, running
+from quire.operators.streams import cut, ordinal, prefix_sum
 from quire.spec import LayoutSpec
 
 
@@ -41,12 +41,15 @@ def page_chapters(lines: DataFrame) -> DataFrame:
 def segments(text_lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(segments, ends): the texts between markers, a line's rest too, as edition_id, page, line, seg, surah, text, marker;
     and for each line whether its last part is a marker (edition_id, page, line, surah, ends_with_marker, marker)."""
-    parts = text_lines.select("edition_id", "page", "line", "surah", F.posexplode(T.split_line(F.col("text"))).alias("part", "_p"))
-    parts = parts.select("edition_id", "page", "line", "surah", "part", F.col("_p.token").alias("token"), F.col("_p.marker").alias("marker"))
-    line = ["edition_id", "page", "line"]
-    grouped = parts.withColumn("seg", running(F.col("marker").isNotNull().cast("int"), line, ["part"], before=True).cast("int"))
-    segs = grouped.groupBy(*line, "surah", "seg").agg(joined_text("token", "part").alias("text"), F.max("marker").alias("marker"))
-    ends = parts.groupBy(*line, "surah").agg(F.max_by("marker", "part").alias("marker")).withColumn("ends_with_marker", F.col("marker").isNotNull())
+    split = text_lines.select("edition_id", "page", "line", "surah", T.split_line(F.col("text")).alias("_parts"))
+    # a segment ends with a marker or the line; cuts are the numbers of parts before the ends
+    marked = F.filter(F.sequence(F.lit(1), F.size("_parts")), lambda i: F.element_at("_parts", i)["marker"].isNotNull())
+    cuts = split.select("*", F.explode(F.when(F.size("_parts") > 0, F.array(F.array_distinct(F.concat(F.array(F.lit(0)), marked, F.array(F.size("_parts"))))))).alias("_cuts"))
+    own = F.transform(F.sequence(F.lit(1), F.size("_cuts") - 1), lambda k: cut("_parts", F.element_at("_cuts", k) + 1, F.element_at("_cuts", k + 1)))
+    each = cuts.select("edition_id", "page", "line", "surah", F.posexplode(own).alias("seg", "_own"))
+    segs = each.select("edition_id", "page", "line", "surah", "seg", F.array_join(F.transform("_own", lambda p: p["token"]), "").alias("text"), F.element_at("_own", -1)["marker"].alias("marker"))
+    last = split.select("edition_id", "page", "line", "surah", F.explode(F.slice("_parts", -1, 1)).alias("_last"))
+    ends = last.select("edition_id", "page", "line", "surah", F.col("_last.marker").alias("marker"), F.col("_last.marker").isNotNull().alias("ends_with_marker"))
     return segs, ends
 
 

@@ -25,13 +25,37 @@ def running(value: Column, keys: list[str], order: list, before: bool = False) -
 
 def prefix_sum(df: DataFrame, value: Column, keys: list[str], part: str, order: list, out: str, before: bool = True) -> DataFrame:
     """Running sum over the stream of ``keys``, which is ordered by ``part`` and within it by ``order``."""
-    rows = df.withColumn("_value", value.cast("long"))
-    totals = rows.groupBy(*keys, part).agg(F.sum("_value").alias("_total"))
-    ahead = W.partitionBy(*keys).orderBy(part).rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(*keys, F.col(part).alias("_of_part"), F.coalesce(F.sum("_total").over(ahead), F.lit(0)).alias("_ahead"))
-    joined = rows.join(offsets.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)}), [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col(part).eqNullSafe(F.col("_of_part"))])
-    own = running(F.col("_value"), [*keys, part], order, before)
-    return joined.withColumn(out, F.col("_ahead") + own).drop("_value", "_of_part", "_ahead", *[f"_k{i}" for i in range(len(keys))])
+    return prefix_sums(df, {out: value}, keys, part, order, before)
+
+
+def stream_part(keys: list[str], part: str) -> Column:
+    """A part of a stream as one value, ``_stream`` of prefix_sums: a struct, as nulls in it equal each other."""
+    return F.struct(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], F.col(part).alias("_part_no")).alias("_stream")
+
+
+def prefix_sums(df: DataFrame, values: dict[str, Column], keys: list[str], part: str, order: list, before: bool = True, ties: bool = True) -> DataFrame:
+    """Running sums over the stream of ``keys``, which is ordered by ``part`` and within it by ``order``; ties go by the
+    other columns, unless there are none. Rows that are already dealt by a column ``_stream`` (of stream_part, in place of
+    ``keys`` and ``part``) stay where they are.
+
+    Rows are made once and dealt by part once: a part's totals are its last row's sums, so that they ask for the same
+    columns of the same exchange as the rows themselves, and both meet where they are.
+    """
+    named = {c for c in order if isinstance(c, str)} | {*keys, part, "_stream"}
+    others = [f.name for f in df.schema.fields if ties and f.name not in named and not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    n = range(len(values))
+    keyed = {k: F.col(f"_stream._key{i}") for i, k in enumerate(keys)} | {part: F.col("_stream._part_no")}
+    bare = [F.col(f"`{c}`") for c in df.columns if c not in keyed and c != "_stream"]
+    rows = df.select("*", *[] if "_stream" in df.columns else [stream_part(keys, part)])
+    rows = rows.select(*bare, "_stream", *[v.cast("long").alias(f"_value{i}") for i, v in enumerate(values.values())])
+    inside = W.partitionBy("_stream").orderBy(*order, *others)
+    upto = rows.select("*", F.row_number().over(inside).alias("_row"), *[F.sum(f"_value{i}").over(inside.rowsBetween(W.unboundedPreceding, 0)).alias(f"_upto{i}") for i in n])
+    totals = upto.groupBy("_stream").agg(*[F.max_by(f"_upto{i}", "_row").alias(f"_total{i}") for i in n])
+    ahead = W.partitionBy(*[f"_stream._key{i}" for i in range(len(keys))]).orderBy("_stream._part_no").rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.select("_stream", *[F.coalesce(F.sum(f"_total{i}").over(ahead), F.lit(0)).alias(f"_ahead{i}") for i in n])
+    own = lambda i: F.coalesce(F.col(f"_upto{i}") - F.coalesce(f"_value{i}", F.lit(0)), F.lit(0)) if before else F.col(f"_upto{i}")
+    kept = [keyed.get(c, F.col(f"`{c}`")).alias(c) for c in dict.fromkeys([*df.columns, *keyed]) if c not in values and c != "_stream"]
+    return upto.join(offsets, "_stream").select(*kept, *[(F.col(f"_ahead{i}") + own(i)).alias(out) for i, out in enumerate(values)])
 
 
 def previous(df: DataFrame, value: Column, keys: list[str], part: str, order: list[str], out: str) -> DataFrame:
@@ -123,3 +147,15 @@ def first_known(c: str, keys: list[str], order: list) -> Column:
 def joined_text(c: str, *order: str) -> Column:
     """An aggregate: a group's texts joined in order."""
     return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, c))), lambda x: x[c]), "")
+
+
+def cut(c: str, first: Column, last: Column) -> Column:
+    """The items ``first`` to ``last`` (from 1, one at least) of an array, at a cost of these alone; ``slice`` in a lambda goes
+    through the whole array."""
+    return F.transform(F.sequence(first, last), lambda i: F.element_at(c, i))
+
+
+def blocks(c: str, size: int) -> Column:
+    """An array cut into arrays of so many items, null if it is empty."""
+    starts = F.sequence(F.lit(1), F.size(c), F.lit(size))
+    return F.when(F.size(c) > 0, F.transform(starts, lambda k: cut(c, k, F.least(k + (size - 1), F.size(c)))))

@@ -717,19 +717,31 @@ n AS (SELECT *, row_number() OVER (PARTITION BY surah ORDER BY ayah, part) AS li
 """
 
 
+def _chunks(spark, sf) -> DataFrame:
+    """The edition's lines with their words, those from ``i`` to ``j`` of a verse, numbered within pages. Verses are dealt by
+    chapter, which is a page, once for all branches, and cut into lines where they then are."""
+    split = _verses(spark, sf).select("edition_id", "page", "surah", "ayah", T.tokens(F.col("text")).alias("words"))
+    # the page is a value, as a join's filter on a key would part the branches' exchanges
+    verses = split.repartition("surah").groupBy("edition_id", "surah", "ayah").agg(F.first("page").alias("page"), F.collect_list("words").alias("rows"))
+    # each place of a verse with its words: one, or those of all rows of the verse
+    shared = F.transform(F.sequence(F.lit(1), F.array_max(F.transform("rows", F.size))), lambda i: F.array_join(F.array_sort(F.transform(F.filter("rows", lambda w: F.size(w) >= i), lambda w: F.element_at(w, i))), " "))
+    whole = F.when(F.size("rows") == 1, F.col("rows")[0]).when(F.array_max(F.transform("rows", F.size)) > 0, shared)
+    lines = verses.select("edition_id", "page", "surah", "ayah", whole.alias("words"))
+    lines = lines.select("edition_id", "page", "surah", "ayah", F.size("words").alias("n"), F.posexplode(S.blocks("words", 8)).alias("part", "words"))
+    lines = lines.withColumn("i", (F.col("part") * 8 + 1).cast("long")).withColumn("j", F.least(F.col("part") * 8 + 8, "n").cast("long")).drop("n")
+    return S.ordinal(lines, ["edition_id", "surah"], ["ayah", "part"], "line")
+
+
 def _printed(spark, sf) -> DataFrame:
     """The edition's lines, numbered within pages; no digits, as these would be verse markers."""
-    word = words_of.numbered_tokens(_verses(spark, sf), "text", "edition_id", "surah", "ayah", "page")
-    line = word.withColumn("part", F.floor((F.col("word_no") - 1) / 8)).groupBy("edition_id", "page", "surah", "ayah", "part").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("word_no", "word"))), lambda x: x["word"]), " ").alias("text"))
-    return S.ordinal(line, ["edition_id", "page"], ["ayah", "part"], "line")
+    return _chunks(spark, sf).select("edition_id", "page", "surah", "ayah", "part", F.array_join("words", " ").alias("text"), "line")
 
 
 def _edition_lines(spark, sf) -> DataFrame:
     """The edition's lines with their first and last words as ends."""
-    own = words_of.numbered_tokens(_verses(spark, sf), "text", "edition_id", "surah", "ayah", "page").withColumn("part", F.floor((F.col("word_no") - 1) / 8))
-    w = F.struct("surah", "ayah", "word", F.col("word_no").alias("wordIndex"))
-    ends = own.withColumn("w", w).groupBy("edition_id", "page", "surah", "ayah", "part").agg(F.min_by("w", "word_no").alias("f"), F.max_by("w", "word_no").alias("e"))
-    rows = S.ordinal(ends, ["edition_id", "page"], ["ayah", "part"], "line")
+    end = lambda word, k: F.struct("surah", "ayah", word.alias("word"), F.col(k).alias("wordIndex"))
+    first, last = F.substring_index(F.element_at("words", 1), " ", 1), F.substring_index(F.element_at("words", -1), " ", -1)
+    rows = _chunks(spark, sf).withColumn("f", end(first, "i")).withColumn("e", end(last, "j"))
     return rows.select("edition_id", "page", "surah", "line", align_exact.word_endpoint("f").alias("first_word"), align_exact.word_endpoint("e").alias("end_word"))
 
 
@@ -741,7 +753,9 @@ def exact_alignment(spark, sf):
     lines, _ = align_exact.align(segs, ends, words_of.words(plain(_verses(spark, sf))), LayoutSpec())
     back = _edition_lines(spark, sf).select("page", "line", F.col("first_word.word").alias("f"), F.col("end_word.word").alias("e"))
     out = lines.join(back, ["page", "line"])
-    same = (T.canonical_loose(F.translate("f", "0123456789", "abcdefghij")) == T.canonical_loose(F.col("first_word.word"))) & (T.canonical_loose(F.translate("e", "0123456789", "abcdefghij")) == T.canonical_loose(F.col("end_word.word")))
+    bare = lambda c: F.translate(c, "0123456789", "abcdefghij")
+    alike = lambda a, b: (a == b) | (T.canonical_loose(a) == T.canonical_loose(b))
+    same = alike(bare("f"), F.col("first_word.word")) & alike(bare("e"), F.col("end_word.word"))
     return out.filter(same).select(big("page").alias("page"), big("line").alias("line"), big("first_word.ayah").alias("ayah"), F.col("f").alias("first_word"), big("first_word.wordIndex").alias("first_index"), F.col("e").alias("last_word"), big("end_word.wordIndex").alias("last_index"))
 
 

@@ -105,3 +105,32 @@ def test_mapping_rules_take_one_pass_by_chapter(spark, tmp_path):
     plan = plan_of(got)
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 1 and "hashpartitioning(surah#" in plan and ", 4)" not in plan
     assert sorted(map(tuple, got.collect())) == [("reference_gap", "2:1:2", "3:9"), ("reference_order", "2:1:2", "5:3"), ("reference_order", "2:2", "7:6")]
+
+
+def test_alignment_makes_words_and_lines_once(spark, tmp_path):
+    """The word stream and the lines are read, split and dealt once each, whatever sums and joins follow."""
+    rows = [(0, 0, "a b c d e f g h i"), (0, 1, None), (0, 2, " j  1k "), (1, 0, "ء l"), (1, 1, "m\nn " * 40), (2, 0, "")]
+    spark.createDataFrame(rows, "conv_id long, turn long, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = catalogue.exact_alignment(spark, str(tmp_path))
+    want = [(1, 1, 1, "a", 1, "h", 8), (1, 2, 1, "i", 9, "i", 9), (1, 3, 3, "j", 1, "1k", 2), (2, 1, 1, "ء", 1, "l", 2)]
+    assert sorted(map(tuple, got.collect())) == want + [(2, k + 2, 2, "m", 8 * k + 1, "n", 8 * k + 8) for k in range(10)]
+    final = plan_of(got).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 2
+
+
+def test_blocks_of_arrays(spark):
+    """Blocks are cut by their items alone; an empty array has none."""
+    from pyspark.sql import functions as F
+
+    from quire.operators.streams import blocks
+
+    df = spark.createDataFrame([(list(range(n)),) for n in (0, 1, 3, 4, 9)], "x array<int>")
+    assert [r.b for r in df.select(blocks("x", 4).alias("b")).collect()] == [None, [[0]], [[0, 1, 2]], [[0, 1, 2, 3]], [[0, 1, 2, 3], [4, 5, 6, 7], [8]]]
+
+
+def test_repeated_lines_have_their_own_segments(spark, tmp_path):
+    """A line's segments come from its own text, also where the table repeats a row."""
+    spark.createDataFrame([(0, 0), (0, 0), (1, 2)], "conv_id long, turn long").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = catalogue.marker_segments(spark, str(tmp_path))
+    assert "Exchange" not in plan_of(got)
+    assert sorted(map(tuple, got.collect())) == [(1, 1, 0, "ab", 3)] * 2 + [(1, 1, 1, "cd", None)] * 2 + [(2, 3, 0, "ab", 9), (2, 3, 1, "cd", None)]
