@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.operators.streams import assign_by_range, joined_text, prefix_sum
+from quire.operators.streams import assign_by_range, joined_text, prefix_sum, prefix_sums
 from quire.spec import LayoutSpec
 
 
@@ -28,7 +28,7 @@ def matched_words(segs: DataFrame, stream: DataFrame) -> tuple[DataFrame, DataFr
     """(words, segments): every word of ``stream`` (with its offset ``at``, or that is found here) with the (page, line, seg, seg_surah) that owns it, nulls if none;
     segments with text, with their ranges at .. at + size."""
     seg = segs.withColumn("_loose", T.canonical_loose(F.col("text"))).withColumn("size", F.length("_loose"))
-    seg = prefix_sum(seg, F.col("size"), ["edition_id"], "page", ["line", "seg"], "at")
+    seg = prefix_sums(seg, {"at": F.col("size")}, ["edition_id"], "page", ["line", "seg"])
     own = stream.drop("page") if "at" in stream.columns else prefix_sum(stream.drop("page"), F.length("loose"), ["edition_id"], "surah", ["ayah", "wordIndex"], "at")
     starts = seg.filter("size > 0").select("edition_id", "at", (F.col("at") + F.col("size") - 1).alias("last"), "page", "line", "seg", F.col("surah").alias("seg_surah"))
     found = assign_by_range(own, starts, ["edition_id"], "at", ("at", "last"), ["page", "line", "seg", "seg_surah"])

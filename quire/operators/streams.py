@@ -24,8 +24,15 @@ def running(value: Column, keys: list[str], order: list, before: bool = False) -
 
 
 def prefix_sum(df: DataFrame, value: Column, keys: list[str], part: str, order: list, out: str, before: bool = True) -> DataFrame:
-    """Running sum over the stream of ``keys``, which is ordered by ``part`` and within it by ``order``."""
-    return prefix_sums(df, {out: value}, keys, part, order, before)
+    """Running sum over the stream of ``keys``, which is ordered by ``part`` and within it by ``order``. Rows are made twice, for
+    the totals and for the sums, and keep what they are dealt by; for dear rows see prefix_sums."""
+    rows = df.withColumn("_value", value.cast("long"))
+    totals = rows.groupBy(*keys, part).agg(F.sum("_value").alias("_total"))
+    ahead = W.partitionBy(*keys).orderBy(part).rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.select(*keys, F.col(part).alias("_of_part"), F.coalesce(F.sum("_total").over(ahead), F.lit(0)).alias("_ahead"))
+    joined = rows.join(offsets.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)}), [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col(part).eqNullSafe(F.col("_of_part"))])
+    own = running(F.col("_value"), [*keys, part], order, before)
+    return joined.withColumn(out, F.col("_ahead") + own).drop("_value", "_of_part", "_ahead", *[f"_k{i}" for i in range(len(keys))])
 
 
 def stream_part(keys: list[str], part: str) -> Column:
