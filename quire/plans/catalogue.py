@@ -310,13 +310,13 @@ def fuzzy_totals(spark, sf):
 def _paged_documents(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Documents as editions: their lines, and segments of 15 lines that hold text; every fourth break of pages is missing."""
     docs = table(spark, sf, "documents").select(big("doc_id").cast("int").alias("edition_id"), F.posexplode(F.split("text", "\n")).alias("k", "text"))
-    lines = docs.select("edition_id", big("k").alias("line_no"), "text")
+    lines = docs.select("edition_id", big("k").alias("line_no"), F.regexp_replace("text", "[<>]", "").alias("text"))
     text = lines.filter(T.has_text(F.col("text")))
-    placed = S.ordinal(text, ["edition_id"], ["line_no"], "n").withColumn("page", F.floor((F.col("n") - 1) / 15).cast("int"))
+    placed = S.ordinal(text, ["edition_id"], ["line_no", pages_of.same_line(F.col("text"))], "n").withColumn("page", F.floor((F.col("n") - 1) / 15).cast("int"))
     segment = (F.col("page") - F.floor((F.col("page") + 2) / 4)).cast("int")
-    parts = placed.select("edition_id", segment.alias("segment_no"), "line_no", F.concat(F.lit("<p>"), F.regexp_replace("text", "[<>]", ""), F.lit("</p>")).alias("xml"))
-    segments = parts.groupBy("edition_id", "segment_no").agg(S.joined_text("xml", "line_no").alias("xml"))
-    return pages_of.printed_pages(lines.withColumn("text", F.regexp_replace("text", "[<>]", "")), segments, LayoutSpec(max_lines=15))
+    parts = placed.select("edition_id", segment.alias("segment_no"), "n", F.concat(F.lit("<p>"), "text", F.lit("</p>")).alias("xml"))
+    segments = parts.groupBy("edition_id", "segment_no").agg(S.joined_text("xml", "n").alias("xml"))
+    return pages_of.printed_pages(lines, segments, LayoutSpec(max_lines=15))
 
 
 @query("SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders WHERE o_orderpriority >= '3' AND o_orderstatus IN ('F', 'o') AND o_orderkey > 100")

@@ -134,3 +134,55 @@ def test_repeated_lines_have_their_own_segments(spark, tmp_path):
     got = catalogue.marker_segments(spark, str(tmp_path))
     assert "Exchange" not in plan_of(got)
     assert sorted(map(tuple, got.collect())) == [(1, 1, 0, "ab", 3)] * 2 + [(1, 1, 1, "cd", None)] * 2 + [(2, 3, 0, "ab", 9), (2, 3, 1, "cd", None)]
+
+
+def test_pages_hold_no_texts(spark):
+    """What is held is numbers of segments and runs. Segments that span parts of lines, lines behind the last segment, empty
+    segments, lines of equal number and editions without segments keep their places."""
+    from quire.operators import pages
+    from quire.spec import LayoutSpec
+
+    sizes = {1: [700, 3, 0, 20, 0, 600], 2: [0, 1], 3: [2], 5: [4]}
+    lines = [(e, k, f"{e}x{k}y ") for e, own in sizes.items() for k in range(sum(own) + (e == 3) * 5)] + [(4, 0, "q")]
+    text, segments = {(e, k): t for e, k, t in lines}, []
+    for e, own in sizes.items():
+        for s, n in enumerate(own):
+            at = sum(own[:s])
+            segments.append((e, s, "".join(f"<p>{text[e, k].strip()}</p>" for k in range(at, at + n))))
+    lines += [(6, 0, t) for t in ("aa", "b", "cccc")]  # by any order one segment
+    segments += [(6, 0, "<p>aabcccc</p>")]
+    printed, bad = pages.printed_pages(spark.createDataFrame(lines, "edition_id int, line_no int, text string").repartition(3), spark.createDataFrame(segments, "edition_id int, segment_no int, xml string"), LayoutSpec(max_lines=10))
+    assert not [c for df in printed.held for c, kind in df.dtypes if kind == "string"]
+    want = []
+    for e, own in sizes.items():
+        before, at = 0, 0
+        for s, n in enumerate(own):
+            n += (e == 3) * 5  # lines behind all segments are the last one's
+            want += [(e, before + (k // 10 if n > 10 else 0) + 1, k % 10 + 1, text[e, at + k].strip()) for k in range(n)]
+            before, at = before + max(1, -(-n // 10)), at + n
+    got = sorted(map(tuple, printed.collect()))
+    assert [r for r in got if r[0] < 6] == sorted(want)
+    assert [r[:3] for r in got if r[0] == 6] == [(6, 1, 1), (6, 1, 2), (6, 1, 3)] and {r[3] for r in got if r[0] == 6} == {"aa", "b", "cccc"}
+    found = [r for r in sorted(map(tuple, bad.collect())) if not r[1].startswith("6:")]
+    assert found == [("text_page_mismatch", "3:0", "lines: 7"), ("unconsumed_line", "4:0", "q")]
+    for df in printed.held:
+        df.unpersist()
+
+
+def test_lines_of_signs_alone_do_not_count(spark, tmp_path):
+    """Lines that are empty without the signs of tags are no lines, as in the SQL; documents of one id are one edition."""
+    import duckdb
+
+    texts = ["\n".join(f"a{k}" if k % 7 else "<>" for k in range(70)), "\n".join(["<", "b > c ", ""] * 20), "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(map(tuple, catalogue.printed_pages(spark, str(tmp_path)).collect()))
+    bad = sorted(map(tuple, catalogue.page_break_violations(spark, str(tmp_path)).collect()))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == sorted(con.execute(catalogue.ORACLES["printed_pages"]).fetchall()) and len(got) == 80
+    assert bad == sorted(con.execute(catalogue.ORACLES["page_break_violations"]).fetchall())
+    repeated = spark.createDataFrame([(1, f"{x}\n" * 40) for x in ("longer line", "s", "mid")] + [(1, None)], "doc_id long, text string")
+    repeated.write.mode("overwrite").parquet(str(tmp_path / "again" / "documents.parquet"))
+    pages = catalogue.printed_pages(spark, str(tmp_path / "again")).groupBy("page").count().collect()
+    assert sorted(map(tuple, pages)) == [(k, 15) for k in range(1, 9)]
+    assert catalogue.page_break_violations(spark, str(tmp_path / "again")).collect() == []
